@@ -126,7 +126,7 @@ def tens_digit(c: str | Column) -> Column:
     s = _c(c).cast("string")
     a = F.substring(s, 1, 1).try_cast("int")
     b = F.substring(s, 2, 1).try_cast("int")
-    return F.when(a.isNotNull() & b.isNotNull() & (F.length(s) == 2), a)
+    return F.when(a.isNotNull() & b.isNotNull(), a)
 
 
 def ones_digit(c: str | Column) -> Column:
@@ -134,7 +134,7 @@ def ones_digit(c: str | Column) -> Column:
     s = _c(c).cast("string")
     a = F.substring(s, 1, 1).try_cast("int")
     b = F.substring(s, 2, 1).try_cast("int")
-    return F.when(a.isNotNull() & b.isNotNull() & (F.length(s) == 2), b)
+    return F.when(a.isNotNull() & b.isNotNull(), b)
 
 
 def strip_brackets_split(c: str | Column) -> Column:

@@ -73,7 +73,7 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     parts = ", ".join(
         f"'{c}', c{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
-        f"stack({len(cols)}, {parts}) AS (column, count, mean, std, min, p25, p50, p75, max)")
+        f"stack({len(cols)}, {parts}) AS (column_name, count, mean, std, min, p25, p50, p75, max)")
 
 
 def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -83,8 +83,8 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
         F.count(F.when(missing(df, c), 1)).alias(f"m{i}") for i, c in enumerate(cols)]
     parts = ", ".join(f"'{c}', m{i}" for i, c in enumerate(cols))
     return (df.agg(*aggs)
-            .selectExpr("__n", f"stack({len(cols)}, {parts}) AS (column, n_missing)")
-            .select("column", "n_missing",
+            .selectExpr("__n", f"stack({len(cols)}, {parts}) AS (column_name, n_missing)")
+            .select("column_name", "n_missing",
                     F.try_divide(F.col("n_missing").cast("double"), F.col("__n")).alias("share")))
 
 
@@ -99,7 +99,7 @@ def column_profile(df: DataFrame, max_share: float | None = 0.5, approx: bool =
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     parts = ", ".join(f"'{c}', '{types[c]}', u{i}, t{i}" for i, c in enumerate(cols))
     out = (df.agg(*aggs)
-           .selectExpr(f"stack({len(cols)}, {parts}) AS (column, dtype, n_unique, n_total)")
+           .selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, dtype, n_unique, n_total)")
            .withColumn("unique_share", F.try_divide(F.col("n_unique").cast("double"), F.col("n_total"))))
     if max_share is not None:
         out = out.filter(F.col("unique_share") < max_share)
@@ -135,7 +135,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
 def columns_by_missing_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Columns sharing the same (non-zero) missing count."""
     return (null_counts(df, cols).filter(F.col("n_missing") > 0)
-            .groupBy("n_missing").agg(F.sort_array(F.collect_list("column")).alias("columns"))
+            .groupBy("n_missing").agg(F.sort_array(F.collect_list("column_name")).alias("columns"))
             .filter(F.size("columns") > 1))
 
 
@@ -145,9 +145,9 @@ def compare_subsets(a: DataFrame, b: DataFrame, cols: Sequence[str],
     columns, pivoted over the two tags with explicit values)."""
     def longform(df, tag):
         parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
-        return df.selectExpr(f"'{tag}' AS tag", f"stack({len(cols)}, {parts}) AS (column, value)")
+        return df.selectExpr(f"'{tag}' AS tag", f"stack({len(cols)}, {parts}) AS (column_name, value)")
     both = longform(a, tags[0]).unionByName(longform(b, tags[1]))
-    return (both.groupBy("column", "value").pivot("tag", list(tags)).agg(F.count(F.lit(1)))
+    return (both.groupBy("column_name", "value").pivot("tag", list(tags)).agg(F.count(F.lit(1)))
             .fillna(0, subset=list(tags)))
 
 
@@ -160,7 +160,7 @@ def classify_categoricals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                  F.max(F.col(c).isNull().cast("int")).alias(f"z{i}")]
     types = {f.name: isinstance(f.dataType, _NUMERIC) for f in df.schema.fields}
     parts = ", ".join(f"'{c}', {str(types[c]).lower()}, d{i} + z{i}" for i, c in enumerate(cols))
-    out = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column, is_numeric, n_levels)")
+    out = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, is_numeric, n_levels)")
     return out.withColumn("kind", F.when(F.col("n_levels") != 2, "multi")
                           .when(F.col("is_numeric"), "binary_numeric").otherwise("binary_text"))
 
@@ -182,7 +182,7 @@ def cluster_ratio(a: DataFrame, b: DataFrame, cluster: str = "cluster") -> DataF
 def describe_by(df: DataFrame, key: str, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, std, min, median, max per group and column (long)."""
     parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column, x)")
+    long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)")
     med = F.percentile("x", 0.5) if exact else F.percentile_approx("x", 0.5, 10000)
     return long.groupBy(key, "column").agg(
         F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
@@ -194,10 +194,13 @@ def row_sum(cols: Sequence[str]) -> Column:
     return sum((F.coalesce(F.col(c), F.lit(0)) for c in cols), F.lit(0))
 
 
-def best_by(df: DataFrame, keys: Sequence[str], maximise: str, minimise: str, order: str) -> DataFrame:
-    """Per group, the row with the largest ``maximise``, ties by the
-    smallest ``minimise``, then the smallest ``order`` (first)."""
-    rank = F.struct(F.col(maximise), -F.col(minimise), -F.col(order))
+def best_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
+    """Per group, the best row by a list of ``(column, "max"|"min")``
+    criteria applied in turn (e.g. max accuracy, then min loss, then min
+    epoch = first). ``max_by`` over a struct rank: no sort, partial
+    aggregation on the map side, so a hot group is not a problem."""
+    rank = F.struct(*[(F.col(c) if how == "max" else -F.col(c)).alias(f"__r{i}")
+                      for i, (c, how) in enumerate(order)])
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
     g = df.groupBy(*keys) if keys else df.groupBy()
     return g.agg(F.max_by(payload, rank).alias("best")).select(*keys, "best.*")
