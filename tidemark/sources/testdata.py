@@ -60,7 +60,7 @@ def music_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MUSIC_SQL = """
 music_raw AS (
-  SELECT CAST(user_id AS VARCHAR) AS userId, epoch_ms(ts) AS ts, event_type AS page,
+  SELECT CAST(user_id AS VARCHAR) AS userId, (epoch_us(ts) // 1000) AS ts, event_type AS page,
          CASE WHEN value >= 50 THEN 'paid' ELSE 'free' END AS level,
          CASE WHEN user_id % 2 = 0 THEN 'M' ELSE 'F' END AS gender,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS sessionId,
@@ -110,7 +110,7 @@ def win_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 WIN_SQL = """
 win AS (
   SELECT event_id AS seq,
-         CAST((epoch_ms(ts) // 1000) // 300 * 300 AS BIGINT) AS Time,
+         CAST((epoch_us(ts) // 1000000) // 300 * 300 AS BIGINT) AS Time,
          CAST(CASE
            WHEN event_type = 'view' THEN 4688
            WHEN event_type = 'signup' THEN CASE WHEN user_id % 3 = 0 THEN 4608 ELSE 4624 END
