@@ -1 +1,65 @@
-"""placeholder"""
+"""Text queries on the messages stand-in."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemark.functions.text import TOKEN_PATTERN, tokens
+from tidemark.operators.text import bag_of_words, tf_idf, term_counts
+from tidemark.plans.registry import register
+from tidemark.sources import testdata as td
+
+_TOK_SQL = ("list_transform(regexp_extract_all(text, '" + TOKEN_PATTERN.replace("'", "''") +
+            "'), lambda t: lower(trim(t)))")
+
+
+@register("tokenize", f"""
+SELECT doc_id, CAST(len({_TOK_SQL}) AS INTEGER) AS n_tokens, array_to_string({_TOK_SQL}, ' ') AS tokens
+FROM documents
+""")
+def q_tokenize(spark, sf_dir):
+    """F13 (re-aimed): whole-text tokens, lower-cased and trimmed."""
+    d = td.table(spark, sf_dir, "documents")
+    t = tokens("text")
+    return d.select("doc_id", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+
+
+BOW_SQL = f"""
+WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM c),
+v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.5 * n.n)
+SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
+"""
+
+
+@register("bag_of_words", BOW_SQL)
+def q_bag_of_words(spark, sf_dir):
+    """term counts per document, terms in more than half of the
+    documents dropped (max_df = 0.5)."""
+    return bag_of_words(td.table(spark, sf_dir, "documents"), "doc_id", "text", max_df=0.5)
+
+
+@register("bag_of_words_top", f"""
+WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+v AS (SELECT term FROM c GROUP BY term ORDER BY sum(count) DESC, term LIMIT 500)
+SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
+""")
+def q_bag_of_words_top(spark, sf_dir):
+    """F14 with max_features = 500 (the most frequent terms, ties by term)."""
+    return bag_of_words(td.table(spark, sf_dir, "documents"), "doc_id", "text", max_features=500)
+
+
+@register("tf_idf", f"""
+WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
+c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+n AS (SELECT count(DISTINCT doc_id) AS n FROM c),
+d AS (SELECT term, count(*) AS df FROM c GROUP BY term),
+w AS (SELECT doc_id, term, count * (ln((1.0 + n.n) / (1.0 + df)) + 1.0) AS w FROM c JOIN d USING (term), n)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w
+""")
+def q_tf_idf(spark, sf_dir):
+    """scikit-learn-style TF-IDF with L2 norm per document."""
+    c = term_counts(td.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return tf_idf(c).select("doc_id", "term", F.round("weight", 6).alias("weight"))
