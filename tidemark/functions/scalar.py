@@ -196,9 +196,10 @@ def recall(tp: str | Column, fn: str | Column) -> Column:
 
 
 def f_beta(p: str | Column, r: str | Column, beta: float) -> Column:
-    """(1 + b^2) p r / (b^2 p + r)."""
+    """(1 + b^2) p r / (b^2 p + r); 0 when precision and recall are 0
+    (scikit-learn's zero_division=0)."""
     b2 = beta * beta
-    return F.try_divide((1 + b2) * _c(p) * _c(r), b2 * _c(p) + _c(r))
+    return F.coalesce(F.try_divide((1 + b2) * _c(p) * _c(r), b2 * _c(p) + _c(r)), F.lit(0.0))
 
 
 def accuracy(correct: str | Column, total: str | Column) -> Column:
