@@ -89,8 +89,13 @@ if __name__ == "__main__":
     bad = []
     for n in (names or sorted(q)):
         if n not in o:
-            df = q[n](spark, sf)
-            print(f"{n:32s} rows {df.count():7d}  (no oracle)", flush=True)
+            t0 = time.time()
+            try:
+                df = q[n](spark, sf)
+                print(f"{n:32s} rows {df.count():7d}  (no oracle) {time.time() - t0:.1f}s", flush=True)
+            except Exception as e:
+                print(f"{n:32s} ERROR {type(e).__name__}: {str(e)[:400]}")
+                bad.append(n)
             continue
         try:
             if not compare(spark, con, n, q[n], o[n], sf):

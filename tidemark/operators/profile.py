@@ -184,7 +184,7 @@ def describe_by(df: DataFrame, key: str, cols: Sequence[str], exact: bool = True
     parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)")
     med = F.percentile("x", 0.5) if exact else F.percentile_approx("x", 0.5, 10000)
-    return long.groupBy(key, "column").agg(
+    return long.groupBy(key, "column_name").agg(
         F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
         F.min("x").alias("min"), med.alias("median"), F.max("x").alias("max"))
 

@@ -1 +1,326 @@
-"""placeholder"""
+"""Model queries (rows-only checks: model fits are not SQL-expressible).
+
+Each returns a DataFrame derived from the test tables: predictions, or a
+small report table built from fitted parameters and metrics.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.feature import (CountVectorizer, IDF, Imputer, RegexTokenizer, SQLTransformer,
+                                StringIndexer, VectorAssembler)
+from pyspark.ml.clustering import KMeans
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.sql import functions as F
+
+from tidemark.functions.text import TOKEN_PATTERN
+from tidemark.operators import encode as E
+from tidemark.operators import model as ML
+from tidemark.operators.metrics import binary_metrics, per_class_report
+from tidemark.operators.profile import cluster_ratio, describe_by
+from tidemark.operators.rank import topk_classes, top_n_per_group
+from tidemark.operators.sample import first_n_by_hash, hash_split, stratified_sample
+from tidemark.plans.demographics import clean_demographics
+from tidemark.plans.q_churn import churn_features
+from tidemark.plans.q_encode import expand_labels, prepare_census
+from tidemark.plans.q_state import PROCESS_LEVELS, process_context
+from tidemark.plans.registry import register
+from tidemark.session import scratch_table_path
+from tidemark.sources import testdata as td
+from tidemark.sources.files import load_model, save_model
+
+CHURN_LABELS = {"ChurnedInTimeBin": 0.065, "WillChurnInNextBin": 0.05, "WillChurnSoon": 0.12}
+
+
+def churn_feature_cols():
+    pages = [p for p in td.MUSIC_PAGES if p != td.CHURN_PAGE]
+    return ["UserTimeBin", "Gender", "PaidInTimeBin", "FreeInTimeBin", "DowngradedInTimeBin",
+            "UpgradedInTimeBin", "PreviouslyDowngraded", *pages, "SessionsInTimeBin",
+            "ArtistsInTimeBin", "DistinctSongsInTimeBin"]
+
+
+def churn_dataset(spark, sf_dir, label: str, fraction: float, seed: int = 147309):
+    """Q4 fixed: split first (hash of user and bin), down-sample the train
+    negatives only (M01), keep the test mix as it is."""
+    fe = churn_features(spark, sf_dir)
+    ds = ML.vectorise(fe, churn_feature_cols()).withColumn("label", F.col(label).cast("double"))
+    ds = ds.withColumn("_key", F.concat_ws(":", "UserId", F.col("UserTimeBin").cast("string")))
+    ds = hash_split(ds, "_key", 0.2, seed)
+    train = stratified_sample(ds.filter(F.col("split") == "train"), "label", {1.0: 1.0, 0.0: fraction}, "_key", seed)
+    test = ds.filter(F.col("split") == "test")
+    return train, test
+
+
+@register("churn_models")
+def q_churn_models(spark, sf_dir):
+    """LR / RF / GBT searches (2 folds,
+    4 fits in parallel, area under PR) for one label; best parameters and
+    test AUCs as a table."""
+    label = "WillChurnSoon"
+    train, test = churn_dataset(spark, sf_dir, label, CHURN_LABELS[label])
+    train, test = train.persist(), test.persist()
+    ev = BinaryClassificationEvaluator(metricName="areaUnderPR")
+    rows = []
+    try:
+        for kind in ["lr", "rf", "gbt"]:
+            est = ML.make_classifier(kind)
+            cv = ML.grid_search(est, ML.GRIDS[kind], ev, folds=2, parallelism=4, train=train)
+            best = cv.bestModel
+            pred = best.transform(test)
+            params = ";".join(f"{k}={best.getOrDefault(best.getParam(k))}" for k in ML.GRIDS[kind])
+            rows.append((label, kind, params, float(ML.auc(pred, metric="areaUnderPR")),
+                         float(ML.auc(pred, metric="areaUnderROC"))))
+    finally:
+        train.unpersist()
+        test.unpersist()
+    return spark.createDataFrame(rows, "label string, algorithm string, best_params string, "
+                                       "test_auc_pr double, test_auc_roc double")
+
+
+def census_dataset(spark, sf_dir):
+    c = td.census(spark, sf_dir)
+    x = prepare_census(c, td.CENSUS_NUMERIC, td.CENSUS_SKEWED, td.CENSUS_CATEGORICAL)
+    feats = [f for f in x.columns if f not in ("o_orderkey", "income")]
+    ds = ML.vectorise(x, feats).withColumn("label", F.col("income").cast("double"))
+    return hash_split(ds, "o_orderkey", 0.2, 0), feats
+
+
+@register("census_classifiers")
+def q_census_classifiers(spark, sf_dir):
+    """L01, L02, L06 (linear SVM), L11 and E01: accuracy and F0.5 on test."""
+    ds, _ = census_dataset(spark, sf_dir)
+    train, test = ds.filter("split = 'train'").persist(), ds.filter("split = 'test'").persist()
+    out = []
+    for kind, kw in [("lr", {}), ("rf", {"numTrees": 20}), ("svc", {"maxIter": 20})]:
+        m = ML.make_classifier(kind, **kw).fit(train)
+        met = binary_metrics(m.transform(test), "label", "prediction", 0.5).first()
+        out.append((kind, float(met["accuracy"]), float(met["f_beta"])))
+    naive = binary_metrics(test.withColumn("p", F.lit(1.0)), "label", "p", 0.5).first()
+    out.append(("naive", float(naive["accuracy"]), float(naive["f_beta"])))
+    train.unpersist()
+    test.unpersist()
+    return spark.createDataFrame(out, "model string, accuracy double, f_beta double")
+
+
+@register("census_tuned_forest")
+def q_census_tuned_forest(spark, sf_dir):
+    """L04 with the F-beta scorer actually passed to the search (Q10) + L05."""
+    ds, _ = census_dataset(spark, sf_dir)
+    train = ds.filter("split = 'train'")
+    est = ML.make_classifier("rf")
+    grid = {"numTrees": [20], "maxDepth": [4, 8], "minInstancesPerNode": [1, 4]}
+    cv = ML.grid_search(est, grid, ML.f_beta_evaluator("label", 0.5), folds=3, parallelism=4, train=train)
+    return ML.best_params(spark, cv.bestModel, list(grid))
+
+
+@register("feature_importance_top5")
+def q_feature_importance_top5(spark, sf_dir):
+    """L13 + T03: importances, top-5 features, refit on them, compare F0.5."""
+    ds, feats = census_dataset(spark, sf_dir)
+    train, test = ds.filter("split = 'train'"), ds.filter("split = 'test'")
+    rf = ML.make_classifier("rf", numTrees=20).fit(train)
+    imp = ML.importances(spark, rf, feats)
+    top = [r["feature"] for r in imp.orderBy(F.desc("importance"), "feature").limit(5).collect()]
+    idx = [feats.index(f) for f in top]
+    tr5, te5 = ML.slice_features(train, idx), ML.slice_features(test, idx)
+    rf5 = ML.make_classifier("rf", features="features_top", numTrees=20).fit(tr5)
+    f_all = binary_metrics(rf.transform(test), "label", "prediction").first()["f_beta"]
+    f_top = binary_metrics(rf5.transform(te5), "label", "prediction").first()["f_beta"]
+    return (imp.filter(F.col("feature").isin(top))
+            .withColumn("f_beta_all", F.lit(float(f_all))).withColumn("f_beta_top5", F.lit(float(f_top))))
+
+
+@register("learning_curve")
+def q_learning_curve(spark, sf_dir):
+    """Fit on 1 / 10 / 100 % of train (same hash order), score on test and
+    on the first 300 train rows, time both."""
+    ds, _ = census_dataset(spark, sf_dir)
+    train, test = ds.filter("split = 'train'").persist(), ds.filter("split = 'test'")
+    n = train.count()
+    first300 = first_n_by_hash(train, 300, "o_orderkey", 7)
+    rows = []
+    for share in [0.01, 0.1, 1.0]:
+        sub = first_n_by_hash(train, max(1, int(n * share)), "o_orderkey", 7)
+        m, t_fit = ML.fit_timed(ML.make_classifier("lr"), sub)
+        mt = binary_metrics(m.transform(test), "label", "prediction").first()
+        mtr = binary_metrics(m.transform(first300), "label", "prediction").first()
+        rows.append((share, float(t_fit), float(mt["accuracy"]), float(mt["f_beta"]),
+                     float(mtr["accuracy"]), float(mtr["f_beta"])))
+    train.unpersist()
+    return spark.createDataFrame(rows, "share double, fit_seconds double, test_accuracy double, "
+                                       "test_f_beta double, train_accuracy double, train_f_beta double")
+
+
+@register("imbalance_experiment")
+def q_imbalance_experiment(spark, sf_dir):
+    """Random-forest AUC with and without negative down-sampling, per label."""
+    rows = []
+    ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    for label, frac in CHURN_LABELS.items():
+        for f in (1.0, frac):
+            train, test = churn_dataset(spark, sf_dir, label, f)
+            m = ML.make_classifier("rf", numTrees=10).fit(train)
+            rows.append((label, f, float(ev.evaluate(m.transform(test)))))
+    return spark.createDataFrame(rows, "label string, negative_fraction double, test_auc double")
+
+
+@register("message_classifier")
+def q_message_classifier(spark, sf_dir):
+    """L07 + L08 + E04: one text pipeline (tokens -> counts -> IDF -> LR) per
+    label column, per-class report on the hash-split test set."""
+    msgs = expand_labels(td.messages(spark, sf_dir), td.categories(spark, sf_dir))
+    msgs = hash_split(msgs, "id", 0.25, 0)
+    tok = RegexTokenizer(inputCol="message", outputCol="tokens", pattern=TOKEN_PATTERN, gaps=False)
+    cv = CountVectorizer(inputCol="tokens", outputCol="tf", maxDF=0.75, vocabSize=5000)
+    idf = IDF(inputCol="tf", outputCol="features")
+    from pyspark.ml import Pipeline
+    feat = Pipeline(stages=[tok, cv, idf]).fit(msgs.filter("split = 'train'"))
+    x = feat.transform(msgs).persist()
+    labels = ["quality", "toxic"]
+    models = ML.multi_output(x.filter("split = 'train'").withColumn("quality", F.col("quality").cast("double"))
+                             .withColumn("toxic", F.col("toxic").cast("double")), labels,
+                             lambda lb: ML.make_classifier("lr", label=lb, maxIter=20))
+    test = x.filter("split = 'test'")
+    for lb, m in models.items():
+        test = m.setPredictionCol(f"pred_{lb}").setProbabilityCol(f"prob_{lb}") \
+                .setRawPredictionCol(f"raw_{lb}").transform(test)
+    rep = per_class_report(test, [(lb, f"pred_{lb}") for lb in labels])
+    x.unpersist()
+    return rep
+
+
+# -------------------------------------------------------- segments (E)
+
+SEG_COLS = ["p_size", "p_retailprice", "mfgr_side", "decade", "movement", "wealth", "lifestage"]
+
+
+def population_scaler(stats) -> SQLTransformer:
+    """F05 as a pipeline stage: population-std scaling with fitted constants
+    baked into SQL, so the fitted pipeline serialises and reapplies as is."""
+    exprs = ", ".join(f"(CAST(`{c}` AS DOUBLE) - ({m!r})) / ({(s or 1.0)!r}) AS `{c}_z`"
+                      for c, (m, s) in stats.items())
+    return SQLTransformer(statement=f"SELECT *, {exprs} FROM __THIS__")
+
+
+def segments_pipeline(pop, k_pca: int = 3, k_clusters: int = 4):
+    """Imputer -> population scaler -> assembler -> PCA -> k-means,
+    fitted on the population only."""
+    from pyspark.ml import Pipeline
+    imp = Imputer(strategy="mean", inputCols=SEG_COLS, outputCols=[f"{c}_i" for c in SEG_COLS])
+    pop_i = imp.fit(pop).transform(pop)
+    stats = E.fit_mean_std(pop_i, [f"{c}_i" for c in SEG_COLS])
+    scaler = population_scaler(stats)
+    asm = VectorAssembler(inputCols=[f"{c}_i_z" for c in SEG_COLS], outputCol="features")
+    from pyspark.ml.feature import PCA
+    pca = PCA(k=k_pca, inputCol="features", outputCol="pca")
+    km = KMeans(k=k_clusters, seed=42, featuresCol="pca", predictionCol="cluster")
+    return Pipeline(stages=[imp, scaler, asm, pca, km]).fit(pop)
+
+
+def _segments_inputs(spark, sf_dir):
+    meta = td.demo_meta(spark)
+    pop = clean_demographics(td.population(spark, sf_dir), meta)
+    cust = clean_demographics(td.demo_customers(spark, sf_dir), meta,
+                              binary={"mfgr_side": ["W", "O"]})
+    return pop.withColumn("mfgr_side", F.col("mfgr_side").cast("int")), \
+        cust.withColumn("mfgr_side", F.col("mfgr_side").cast("int"))
+
+
+@register("segments_scree")
+def q_segments_scree(spark, sf_dir):
+    """F09 + F10 + F11 + W04: full PCA of the standardised population."""
+    pop, _ = _segments_inputs(spark, sf_dir)
+    m = segments_pipeline(pop, k_pca=len(SEG_COLS))
+    pca = m.stages[3]
+    return ML.scree_table(spark, pca, pop.count(), float(len(SEG_COLS)))
+
+
+@register("segments_loadings")
+def q_segments_loadings(spark, sf_dir):
+    """F12 + T04: component weights, the 3 largest |weight| per component."""
+    pop, _ = _segments_inputs(spark, sf_dir)
+    pca = segments_pipeline(pop).stages[3]
+    ld = ML.loadings(spark, pca, SEG_COLS)
+    return top_n_per_group(ld, ["component"], [F.desc(F.abs("weight")), F.asc("feature")], 3)
+
+
+@register("segments_kmeans_sweep")
+def q_segments_kmeans_sweep(spark, sf_dir):
+    """L09 + E06: within-cluster cost for k = 2..8 on the PCA scores."""
+    pop, _ = _segments_inputs(spark, sf_dir)
+    m = segments_pipeline(pop)
+    scores = m.transform(pop).select("pca").persist()
+    rows = ML.kmeans_sweep(scores, range(2, 9), features="pca")
+    scores.unpersist()
+    return spark.createDataFrame([(k, c, -c) for k, c in rows], "k int, cost double, score double")
+
+
+@register("segments_compare")
+def q_segments_compare(spark, sf_dir):
+    """L10 + A20: customers through the population's frozen pipeline;
+    cluster shares of both and their ratio."""
+    pop, cust = _segments_inputs(spark, sf_dir)
+    m = segments_pipeline(pop)
+    return cluster_ratio(m.transform(pop), m.transform(cust), "cluster")
+
+
+@register("segments_profile")
+def q_segments_profile(spark, sf_dir):
+    """Per-cluster summary of the original features."""
+    pop, _ = _segments_inputs(spark, sf_dir)
+    m = segments_pipeline(pop)
+    return describe_by(m.transform(pop), "cluster", SEG_COLS)
+
+
+# -------------------------------------------------------- event log (B)
+
+@register("process_clusters")
+def q_process_clusters(spark, sf_dir):
+    """Event-log project end to end: F16 -> PCA(4) -> k-means(5) -> A21."""
+    proc = process_context(spark, td.win_events(spark, sf_dir), levels=PROCESS_LEVELS)
+    feats = ["has_parent_process", "after_hours", "near_startup", "is_locked", "is_screensaver",
+             "recorded_by_Comp", "UserName_type_Computer_account", "UserName_type_User_account"]
+    x = ML.vectorise(proc, feats)
+    pca = ML.pca_fit(x, 4)
+    y = pca.transform(x)
+    km = KMeans(k=5, seed=42, featuresCol="pca", predictionCol="cluster").fit(y)
+    return describe_by(km.transform(y), "cluster", feats)
+
+
+# -------------------------------------------------------- images (F)
+
+@register("embedding_mlp")
+def q_embedding_mlp(spark, sf_dir):
+    """L15 + T05 + A23-style selection: MLP head on precomputed 64-d
+    features, top-3 classes with softmax over the kept scores."""
+    emb = td.table(spark, sf_dir, "embeddings")
+    x = emb.select("vec_id", F.col("label").cast("double").alias("label"), "embedding")
+    from pyspark.ml.functions import array_to_vector
+    x = x.withColumn("features", array_to_vector(F.col("embedding").cast("array<double>")))
+    x = hash_split(x, "vec_id", 0.2, 0)
+    mlp = ML.make_classifier("mlp", layers=[64, 32, 10], maxIter=50).fit(x.filter("split = 'train'"))
+    pred = mlp.transform(x.filter("split = 'test'"))
+    top = pred.select("vec_id", "label", F.posexplode(topk_classes(ML.to_array("rawPrediction"), 3))
+                      .alias("pos", "t"))
+    return top.select("vec_id", "label", (F.col("pos") + 1).alias("rank"), F.col("t.cls").alias("cls"),
+                      F.col("t.prob").alias("prob"))
+
+
+@register("model_roundtrip")
+def q_model_roundtrip(spark, sf_dir):
+    """S10 + S11 + G01 batch form: fit a pipeline, save it under the shared
+    checkpoint folder, load it back and score; returns the loaded model's
+    predictions next to the fitted one's."""
+    from pyspark.ml import Pipeline
+    ds, feats = census_dataset(spark, sf_dir)
+    raw = ds.drop("features")
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                            ML.make_classifier("lr", maxIter=20)])
+    model = pipe.fit(raw.filter("split = 'train'"))
+    import uuid
+    path = scratch_table_path(spark, f"models/census-lr-{uuid.uuid4().hex}")
+    save_model(model, path)
+    loaded = load_model(path)
+    test = raw.filter("split = 'test'")
+    a = model.transform(test).select("o_orderkey", F.col("prediction").alias("fitted"))
+    b = loaded.transform(test).select("o_orderkey", F.col("prediction").alias("loaded"))
+    return a.join(b, "o_orderkey")
