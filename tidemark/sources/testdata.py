@@ -83,6 +83,11 @@ TIME_GRAIN_S = 300
 
 
 def win_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return win_events_from(table(spark, sf_dir, "events"))
+
+
+def win_events_from(events: DataFrame) -> DataFrame:
+    """Windows-event stand-in from an ``events`` frame (batch or stream)."""
     k = _k()
     et = F.col("event_type")
     mh = (F.col("user_id") % 3) == 0
@@ -95,7 +100,7 @@ def win_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = (F.when(F.col("event_id") % 3 == 1, F.concat(F.lit("User"), k.cast("string")))
             .when(F.col("event_id") % 3 == 2, F.concat(F.lit("Comp"), (k + 50).cast("string"), F.lit("$"))))
     t = F.floor(epoch_seconds("ts") / TIME_GRAIN_S) * TIME_GRAIN_S
-    return table(spark, sf_dir, "events").select(
+    return events.select(
         F.col("event_id").alias("seq"),
         t.cast("long").alias("Time"),
         eid.cast("int").alias("EventID"),
@@ -198,8 +203,11 @@ CENSUS_CATEGORICAL = ["c_mktsegment", "o_orderstatus", "ship_mode"]
 
 def census(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders x customer -> census-like rows; label = urgent/high priority."""
-    o = table(spark, sf_dir, "orders")
-    c = table(spark, sf_dir, "customer")
+    return census_from(table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer"))
+
+
+def census_from(o: DataFrame, c: DataFrame) -> DataFrame:
+    """Census stand-in from orders (batch or stream) and customers."""
     return o.join(c, o.o_custkey == c.c_custkey).select(
         "o_orderkey", "o_totalprice", "c_acctbal", "c_nationkey",
         F.month("o_orderdate").alias("order_month"), F.year("o_orderdate").alias("order_year"),
