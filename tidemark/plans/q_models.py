@@ -324,3 +324,17 @@ def q_model_roundtrip(spark, sf_dir):
     a = model.transform(test).select("o_orderkey", F.col("prediction").alias("fitted"))
     b = loaded.transform(test).select("o_orderkey", F.col("prediction").alias("loaded"))
     return a.join(b, "o_orderkey")
+
+
+@register("churn_rf_search")
+def q_churn_rf_search(spark, sf_dir):
+    """L02 + L04 timed like the reference's saved RF search: the 9-point
+    forest grid, 2 folds, 4 in parallel, area under PR, label
+    ChurnedInTimeBin (negatives at 0.065); returns the chosen parameters."""
+    label = "ChurnedInTimeBin"
+    train, test = churn_dataset(spark, sf_dir, label, CHURN_LABELS[label])
+    train = train.persist()
+    ev = BinaryClassificationEvaluator(metricName="areaUnderPR")
+    cv = ML.grid_search(ML.make_classifier("rf"), ML.GRIDS["rf"], ev, folds=2, parallelism=4, train=train)
+    train.unpersist()
+    return ML.best_params(spark, cv.bestModel, list(ML.GRIDS["rf"]))
