@@ -50,9 +50,12 @@ def read_dict_lines(spark: SparkSession, path: str, schema: T.StructType,
     txt = spark.read.text(path)
     fixed = F.regexp_replace(F.regexp_replace(F.regexp_replace(
         F.col("value"), r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
-    parsed = F.from_json(fixed, schema, {"allowSingleQuotes": "true", "mode": "PERMISSIVE"})
-    return txt.select(parsed.alias("r"), F.col("value").alias("_line")).select(
-        "r.*", F.when(F.col("r").isNull(), F.col("_line")).alias(corrupt_col))
+    with_bad = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
+    parsed = F.from_json(fixed, with_bad, {"allowSingleQuotes": "true", "mode": "PERMISSIVE",
+                                           "columnNameOfCorruptRecord": "__bad"})
+    r = txt.select(parsed.alias("r"), F.col("value").alias("_line"))
+    return r.select(*[F.col(f"r.{f.name}") for f in schema.fields],
+                    F.when(F.col("r.__bad").isNotNull(), F.col("_line")).alias(corrupt_col))
 
 
 def line_count(spark: SparkSession, path: str) -> int:
