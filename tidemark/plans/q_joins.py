@@ -178,3 +178,31 @@ def q_split_labels(spark, sf_dir):
     c0, c1 = X.split_part("categories", ";", 0), X.split_part("categories", ";", 1)
     return c.select("id", X.drop_last_chars(c0, 2).alias("name0"), X.last_char_number(c0).alias("value0"),
                     X.drop_last_chars(c1, 2).alias("name1"), X.last_char_number(c1).alias("value1"))
+
+
+# Per-channel means and standard deviations the reference
+# normalises image tensors with (three channels).
+CHANNEL_MEANS = [0.485, 0.456, 0.406]
+CHANNEL_STDS = [0.229, 0.224, 0.225]
+
+
+@register("embedding_normalise", f"""
+WITH e AS (SELECT vec_id, embedding FROM embeddings),
+u AS (SELECT vec_id, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x FROM e)
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos,
+  floor((x - CAST({CHANNEL_MEANS} AS DOUBLE[])[((i - 1) % 3) + 1]) / CAST({CHANNEL_STDS} AS DOUBLE[])[((i - 1) % 3) + 1] * 1e6 + 0.5) / 1e6 AS z,
+  floor(least(greatest(x * CAST({CHANNEL_STDS} AS DOUBLE[])[((i - 1) % 3) + 1] + CAST({CHANNEL_MEANS} AS DOUBLE[])[((i - 1) % 3) + 1], 0.0), 1.0)
+        * 1e6 + 0.5) / 1e6 AS clipped
+FROM u
+""")
+def q_embedding_normalise(spark, sf_dir):
+    """Per-channel (x - mean) / std, and the inverse clipped to [0, 1]."""
+    e = td.table(spark, sf_dir, "embeddings")
+    x = e.select("vec_id", X.normalise_channels("embedding", CHANNEL_MEANS, CHANNEL_STDS).alias("z"),
+                 X.denormalise_clip("embedding", CHANNEL_MEANS, CHANNEL_STDS).alias("c"))
+    z = x.select("vec_id", F.posexplode(F.arrays_zip("z", "c")).alias("pos", "zc"))
+    # the same IEEE operations as the SQL side (multiply, add, floor, divide),
+    # so both engines agree bit for bit at the 6th decimal
+    return z.select("vec_id", F.col("pos").cast("int").alias("pos"),
+                    (F.floor(F.col("zc.z") * 1e6 + 0.5) / 1e6).alias("z"),
+                    (F.floor(F.col("zc.c") * 1e6 + 0.5) / 1e6).alias("clipped"))

@@ -234,3 +234,33 @@ def q_running_share(spark, sf_dir):
     from pyspark.sql import Window
     tot = F.sum("n").over(Window.partitionBy())
     return r.select("lang", "n", "cum_n", F.round(F.col("cum_n") / tot, 6).alias("cum_share"))
+
+
+@register("row_counts", """
+SELECT 'events' AS table_name, count(*) AS n_rows FROM events
+UNION ALL SELECT 'documents', count(*) FROM documents
+UNION ALL SELECT 'lineitem', count(*) FROM lineitem
+""")
+def q_row_counts(spark, sf_dir):
+    """Global row counts (shape)."""
+    parts = [td.table(spark, sf_dir, t).agg(F.count(F.lit(1)).alias("n_rows"))
+             .select(F.lit(t).alias("table_name"), "n_rows") for t in ["events", "documents", "lineitem"]]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@register("distinct_values", "SELECT DISTINCT event_type AS page FROM events")
+def q_distinct_values(spark, sf_dir):
+    """Distinct values of a column (page names)."""
+    return td.table(spark, sf_dir, "events").select(F.col("event_type").alias("page")).distinct()
+
+
+@register("line_count", """
+SELECT CAST(sum(len(string_split(text, chr(10)))) AS BIGINT) AS n_lines FROM documents
+""")
+def q_line_count(spark, sf_dir):
+    """Number of lines over all document texts (whole texts)."""
+    d = td.table(spark, sf_dir, "documents")
+    return d.agg(F.sum(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
