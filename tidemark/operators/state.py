@@ -11,13 +11,15 @@ Spark form (no UDF, no per-row Python, no cross join):
 
 1. every row becomes up to three *lookup* rows ``(key, rank)`` (one per
    non-null key); marker rows become one *marker* row keyed by ``LogHost``
-   carrying, per channel, ``struct(on, t)`` - state is keyed by host name
-   only, so all three ranks look into the same namespace;
+   carrying, per channel, one long (marker time if it turns the state on, a
+   sentinel if it clears it) - state is keyed by host name only, so all
+   three ranks look into the same namespace;
 2. lookups and markers are unioned and cut into ``(key, time bucket)``
-   slices; a window ``last(marker, ignorenulls)`` ordered by ``(t, seq)`` over
-   the rows strictly before gives the state set inside the slice;
+   slices; one Window operator ordered by ``(t, seq)`` gives, per row, the
+   last marker strictly before it in the slice;
 3. the state entering each slice (the carry-in) comes from a window over
-   the tiny ``(key, bucket) -> last marker`` aggregate ordered by bucket;
+   the small ``(key, bucket) -> final marker state`` table (markers only,
+   plus the slices the lookups touch) ordered by bucket;
 4. per original row the lowest rank whose state is *on* wins (``min_by``),
    and the answer is joined back on the row id.
 
@@ -56,6 +58,9 @@ def default_keys(host: str = "LogHost", source: str = "Source", user: str = "Use
     return [F.col(host), F.col(source), all_but_last(F.col(user))]
 
 
+CLEARED = -(2 ** 63)  # state value of an off marker (no time can equal it)
+
+
 def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
                      time: str = "Time", seq: str = "seq", event: str = "EventID",
                      host: str = "LogHost", keys: Sequence[Column] | None = None,
@@ -65,19 +70,23 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
     ``seq`` must be unique per row and, with ``time``, give the file order
     (rows compare by ``(time, seq)``). ``bucket_seconds`` sets the slice
     width: smaller slices spread a hot host over more tasks.
+
+    A channel's state is one long per marker row: the marker time when it
+    turns the state on, ``CLEARED`` when it turns it off, null on other rows.
+    Longs keep every aggregate hash-based and every window primitive.
     """
     keys = list(keys) if keys is not None else default_keys(host)
     names = list(channels)
     ids = sorted({i for ch in channels.values() for i in (*ch.on, *ch.off)})
-    bucket = F.floor(F.col("_t") / bucket_seconds).cast("long")
 
     def marker_state(ch: Channel) -> Column:
-        return (F.when(F.col(event).isin(list(ch.on)), F.struct(F.lit(True).alias("on"), F.col(time).alias("t")))
-                .when(F.col(event).isin(list(ch.off)) if ch.off else F.lit(False),
-                      F.struct(F.lit(False).alias("on"), F.lit(None).cast("long").alias("t"))))
+        st = F.when(F.col(event).isin(list(ch.on)), F.col(time).cast("long"))
+        if ch.off:
+            st = st.when(F.col(event).isin(list(ch.off)), F.lit(CLEARED))
+        return st
 
     markers = (events.filter(F.col(event).isin(ids) & F.col(host).isNotNull())
-               .select(F.col(host).alias("_key"), F.col(time).cast("long").alias("_t"),
+               .select(F.col(host).cast("string").alias("_key"), F.col(time).cast("long").alias("_t"),
                        F.col(seq).alias("_seq"), F.lit(1).alias("_is_marker"),
                        F.lit(None).cast("int").alias("_rank"),
                        *[marker_state(channels[n]).alias(f"_m_{n}") for n in names]))
@@ -89,33 +98,42 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
                .filter(F.col("_k.key").isNotNull())
                .select(F.col("_k.key").alias("_key"), "_t", "_seq", F.lit(0).alias("_is_marker"),
                        F.col("_k.rank").alias("_rank"),
-                       *[F.lit(None).cast("struct<on:boolean,t:bigint>").alias(f"_m_{n}") for n in names]))
-
-    u = markers.unionByName(lookups).withColumn("_bucket", bucket)
+                       *[F.lit(None).cast("long").alias(f"_m_{n}") for n in names]))
 
-    # state set inside the slice, strictly before this row (lookups sort
-    # before a marker at the same (t, seq): a row never sees itself)
-    w_in = (Window.partitionBy("_key", "_bucket").orderBy("_t", "_seq", "_is_marker")
-            .rowsBetween(Window.unboundedPreceding, -1))
-    u = u.select("*", *[F.last(f"_m_{n}", ignorenulls=True).over(w_in).alias(f"_in_{n}") for n in names])
-
-    # state entering each slice: last marker of every earlier slice
+    bucket = F.floor(F.col("_t") / bucket_seconds).cast("long")
+    markers = markers.withColumn("_bucket", bucket)
+    lookups = lookups.withColumn("_bucket", bucket)
+    u = markers.unionByName(lookups)
+
+    # One Window operator per (key, bucket) slice, ordered by (t, seq);
+    # lookups sort before a marker with the same (t, seq), so a row never
+    # sees itself: the state set inside the slice strictly before the row.
+    before = (Window.partitionBy("_key", "_bucket").orderBy("_t", "_seq", "_is_marker")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    u = u.select("*", *[F.last(f"_m_{n}", ignorenulls=True).over(before).alias(f"_in_{n}") for n in names])
+
+    # State entering each slice. Slice-final states come from the marker
+    # rows alone (a small share of the rows); the slices looked at come from
+    # a hash distinct over the lookups. Both are at most one row per
+    # (key, bucket); a window per key over them carries the last known
+    # state forward to every later slice.
     order = F.struct("_t", "_seq")
-    per_slice = u.groupBy("_key", "_bucket").agg(
-        *[F.max_by(f"_m_{n}", F.when(F.col(f"_m_{n}").isNotNull(), order)).alias(f"_last_{n}")
-          for n in names])
+    ends = markers.groupBy("_key", "_bucket").agg(*[
+        F.max_by(f"_m_{n}", F.when(F.col(f"_m_{n}").isNotNull(), order)).alias(f"_end_{n}") for n in names])
+    slices = lookups.select("_key", "_bucket").distinct()
+    grid = slices.join(ends, ["_key", "_bucket"], "full")
     w_carry = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_slice.select("_key", "_bucket", *[
-        F.last(f"_last_{n}", ignorenulls=True).over(w_carry).alias(f"_carry_{n}") for n in names])
+    carry = grid.select("_key", "_bucket", *[
+        F.last(f"_end_{n}", ignorenulls=True).over(w_carry).alias(f"_carry_{n}") for n in names])
 
     looked = (u.filter(F.col("_is_marker") == 0).join(carry, ["_key", "_bucket"], "left")
               .select("_seq", "_rank", "_t", *[
                   F.coalesce(F.col(f"_in_{n}"), F.col(f"_carry_{n}")).alias(f"_s_{n}") for n in names]))
 
     def pick(n: str) -> Column:
-        on = F.col(f"_s_{n}.on")
-        return F.min_by(F.when(on, F.col("_t") - F.col(f"_s_{n}.t")),
-                        F.when(on, F.col("_rank"))).alias(f"_v_{n}")
+        st = F.col(f"_s_{n}")
+        on = st.isNotNull() & (st != F.lit(CLEARED))
+        return F.min_by(F.when(on, F.col("_t") - st), F.when(on, F.col("_rank"))).alias(f"_v_{n}")
 
     per_row = looked.groupBy("_seq").agg(*[pick(n) for n in names])
 

@@ -15,11 +15,21 @@ from tidemark.functions.text import tokens
 from tidemark.operators.lookup import bounded_broadcast
 
 
+def by_document(docs: DataFrame, doc_id: str) -> DataFrame:
+    """Hash-partition documents by id into ``spark.sql.shuffle.partitions``
+    parts (an explicit count, so AQE does not fold CPU-heavy tokenising into
+    a few tasks). Everything keyed by (doc, ...) downstream is then
+    co-located: ``groupBy(doc_id, term)`` needs no second shuffle."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return docs.repartition(n, F.col(doc_id))
+
+
 def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
                 pattern: str | None = None) -> DataFrame:
     """(doc, term, count) for every token (and word pair when ngram_max=2)."""
     toks = tokens(text) if pattern is None else tokens(text, pattern)
-    x = docs.select(F.col(doc_id).alias("doc_id"), toks.alias("_t"))
+    x = by_document(docs.select(F.col(doc_id).alias("doc_id"), F.col(text)), "doc_id").select(
+        "doc_id", toks.alias("_t"))
     if ngram_max >= 2:
         pairs = F.transform(F.arrays_zip(F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0))),
                                          F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))),
@@ -36,8 +46,10 @@ def vocabulary(counts: DataFrame, n_docs: int | None = None, max_df: float = 1.0
     (total count, ties by term)."""
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
     if max_df < 1.0:
-        n = n_docs if n_docs is not None else counts.select("doc_id").distinct().count()
-        stats = stats.filter(F.col("df") <= F.lit(max_df * n))
+        n = F.lit(n_docs) if n_docs is not None else F.col("__n")
+        if n_docs is None:  # document count as a one-row aggregate in the same plan
+            stats = stats.crossJoin(F.broadcast(counts.agg(F.count_distinct("doc_id").alias("__n"))))
+        stats = stats.filter(F.col("df") <= n * max_df).drop("__n")
     if max_features:
         stats = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
     return stats
@@ -57,12 +69,12 @@ def bag_of_words(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1, ma
 def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True) -> DataFrame:
     """scikit-learn's default weighting: tf * (ln((1+n)/(1+df)) + 1),
     then L2-normalised per document. (MLlib's IDF omits the +1 and the norm.)"""
-    n = counts.select("doc_id").distinct().count()
     x = counts
     if use_idf:
-        df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        n = counts.agg(F.count_distinct("doc_id").cast("double").alias("__n"))
+        df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n))
         x = x.join(df, "term").withColumn(
-            "w", F.col("count") * (F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0))
+            "w", F.col("count") * (F.log((1.0 + F.col("__n")) / (1.0 + F.col("df"))) + 1.0))
     else:
         x = x.withColumn("w", F.col("count").cast("double"))
     if norm:

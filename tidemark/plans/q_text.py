@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
-from tidemark.operators.text import bag_of_words, tf_idf, term_counts
+from tidemark.operators.text import bag_of_words, by_document, tf_idf, term_counts
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 
@@ -19,7 +19,7 @@ FROM documents
 """)
 def q_tokenize(spark, sf_dir):
     """F13 (re-aimed): whole-text tokens, lower-cased and trimmed."""
-    d = td.table(spark, sf_dir, "documents")
+    d = by_document(td.table(spark, sf_dir, "documents"), "doc_id")
     t = tokens("text")
     return d.select("doc_id", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
 
