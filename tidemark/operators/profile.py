@@ -56,20 +56,31 @@ def share_of_total(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column,
-    long form (one row per column), one aggregation pass.
+    long form (one row per column).
 
-    ``exact=False`` uses ``percentile_approx`` (bounded memory per group) for
-    the quartiles; the exact form buffers values per column."""
+    Moments come from one aggregation pass. Quartiles are exact by default,
+    found by distributed histogram refinement (``exact_quantiles``: a few
+    scans, nothing unbounded in one task); ``exact=False`` uses
+    ``percentile_approx`` in the same single pass."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
-        q = (F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], 10000))
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), q.alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
     wide = df.agg(*aggs)
+    if exact:
+        from tidemark.operators.quantiles import exact_quantiles
+        qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
+        r = wide.first()
+        rows = [(c, r[f"c{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], qs[((), c)][0.25], qs[((), c)][0.5],
+                 qs[((), c)][0.75], r[f"hi{i}"]) for i, c in enumerate(cols)]
+        return df.sparkSession.createDataFrame(
+            rows, "column_name string, count long, mean double, std double, min double, p25 double, "
+                  "p50 double, p75 double, max double")
     parts = ", ".join(
         f"'{c}', c{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
@@ -180,13 +191,26 @@ def cluster_ratio(a: DataFrame, b: DataFrame, cluster: str = "cluster") -> DataF
 
 
 def describe_by(df: DataFrame, key: str, cols: Sequence[str], exact: bool = True) -> DataFrame:
-    """Count, mean, std, min, median, max per group and column (long)."""
+    """Count, mean, std, min, median, max per group and column (long).
+
+    Moments: one groupBy over the stacked columns. Medians: exact
+    distributed selection per (group, column) (a group may be a third of
+    the rows; nothing collects it), joined as a small table bounded by
+    groups x columns; ``exact=False`` uses ``percentile_approx``."""
     parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
     long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)")
-    med = F.percentile("x", 0.5) if exact else F.percentile_approx("x", 0.5, 10000)
-    return long.groupBy(key, "column_name").agg(
-        F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
-        F.min("x").alias("min"), med.alias("median"), F.max("x").alias("max"))
+    moments = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
+               F.min("x").alias("min"), F.max("x").alias("max")]
+    if not exact:
+        return long.groupBy(key, "column_name").agg(*moments, F.percentile_approx("x", 0.5, 10000).alias("median"))
+    from tidemark.operators.quantiles import exact_quantiles
+    qs = exact_quantiles(df, cols, [0.5], group=[key])
+    ktype = df.schema[key].dataType.simpleString()
+    med = df.sparkSession.createDataFrame([(g[0], c, v[0.5]) for (g, c), v in qs.items()],
+                                          f"`{key}` {ktype}, column_name string, median double")
+    agg = long.groupBy(key, "column_name").agg(*moments)
+    return agg.join(F.broadcast(med), [key, "column_name"], "left").select(
+        key, "column_name", "count", "mean", "std", "min", "median", "max")
 
 
 def row_sum(cols: Sequence[str]) -> Column:
