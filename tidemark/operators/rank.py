@@ -61,19 +61,26 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int
                desc: bool = False) -> DataFrame:
     """Distributed running totals over a global order (two-level scan).
 
-    Rows are cut into ``n_buckets`` equal-width ranges of ``order``; per-range
-    totals (tiny) get their prefix in one small window; each range then runs
-    its own window, partitioned by range, plus the carry-in of all earlier
-    ranges. Ties in ``order`` are summed together (range frame), so the
-    running total at a value includes every row with that value."""
+    Rows are cut into ~``n_buckets`` ranges of ``order`` holding about the
+    same number of rows (boundaries from one ``percentile_approx`` pass, at
+    most ``n_buckets`` values on the driver), so a skewed value distribution
+    does not pile rows into one task. Per-range totals (tiny) get their
+    prefix in one small window; each range then runs its own window,
+    partitioned by range, plus the carry-in of all earlier ranges. Ties in
+    ``order`` land in the same range and are summed together (range frame),
+    so the running total at a value includes every row with that value."""
+    from pyspark.ml.feature import Bucketizer
     o = F.col(order).cast("double")
-    sign = -1.0 if desc else 1.0
-    rng = df.agg(F.min(o).alias("__lo"), F.max(o).alias("__hi"))
-    width = (F.col("__hi") - F.col("__lo")) / n_buckets
-    b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(F.floor((o - F.col("__lo")) / width), F.lit(n_buckets - 1))).cast("int")
-    key = (b * int(sign)).alias("__b") if desc else b.alias("__b")
-    x = df.crossJoin(F.broadcast(rng)).select("*", key).drop("__lo", "__hi")
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    qs = df.agg(F.percentile_approx(o, probs, 10000).alias("q")).first()["q"] or []
+    splits = [float("-inf")] + sorted({float(v) for v in qs}) + [float("inf")]
+    x = df.withColumn("__o", o)
+    if len(splits) > 2:
+        x = Bucketizer(splits=splits, inputCol="__o", outputCol="__bd", handleInvalid="keep").transform(x)
+    else:
+        x = x.withColumn("__bd", F.lit(0.0))
+    key = (-F.col("__bd")).cast("int") if desc else F.col("__bd").cast("int")
+    x = x.withColumn("__b", key).drop("__o", "__bd")
     per = x.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = per.select("__b", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0)).alias(f"__c_{v}")

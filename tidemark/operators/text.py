@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import tokens
+from tidemark.functions.text import TOKEN_PATTERN, normalise_token, raw_tokens, tokens
 from tidemark.operators.lookup import bounded_broadcast
 
 
@@ -25,11 +25,14 @@ def by_document(docs: DataFrame, doc_id: str) -> DataFrame:
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
-                pattern: str | None = None) -> DataFrame:
+                pattern: str = TOKEN_PATTERN, lemmas=None) -> DataFrame:
     """(doc, term, count) for every token (and word pair when ngram_max=2)."""
-    toks = tokens(text) if pattern is None else tokens(text, pattern)
-    x = by_document(docs.select(F.col(doc_id).alias("doc_id"), F.col(text)), "doc_id").select(
-        "doc_id", toks.alias("_t"))
+    d = by_document(docs.select(F.col(doc_id).alias("doc_id"), F.col(text)), "doc_id")
+    if ngram_max < 2:
+        t = d.select("doc_id", F.explode(raw_tokens(text, pattern)).alias("_r"))
+        return (t.select("doc_id", normalise_token(F.col("_r"), lemmas).alias("term"))
+                .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count")))
+    x = d.select("doc_id", tokens(text, pattern, lemmas).alias("_t"))
     if ngram_max >= 2:
         pairs = F.transform(F.arrays_zip(F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0))),
                                          F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))),
