@@ -67,3 +67,17 @@ def test_codes_to_null(spark):
     out = C.codes_to_null(df, {"a": C.parse_code_list_py("[-1,0]"), "b": C.parse_code_list_py("[X]")}).collect()
     assert [(r.a, r.b) for r in out] == [(1.0, None), (None, "A"), (None, "")]
     assert C.parse_code_list_py("[]") == [""]
+
+
+def test_rename_header_and_carry_forward(spark):
+    from tidemark.operators.state import carry_forward
+    df = spark.createDataFrame([(1, "a", None), (2, "a", 5), (3, "a", None), (1, "b", None)], "t int, k string, v int")
+    assert C.set_header(df, ["x", "y", "z"]).columns == ["x", "y", "z"]
+    assert C.rename(df, {"v": "value"}).columns == ["t", "k", "value"]
+    out = {(r.k, r.t): r.last_v for r in carry_forward(df, ["k"], ["t"], "v", "last_v").collect()}
+    assert out == {("a", 1): None, ("a", 2): 5, ("a", 3): 5, ("b", 1): None}
+    try:
+        C.drop_columns(df, ["nope"])
+        raise AssertionError("absent column must raise")
+    except KeyError:
+        pass

@@ -69,3 +69,12 @@ def test_save_table_fails_if_exists(spark):
         S.save_table(df, name)
     assert S.read_table(spark, name).count() == 3
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_bz2_json_lines(spark, tmp):
+    import bz2
+    p = os.path.join(tmp, "events.json.bz2")
+    with bz2.open(p, "wt") as f:
+        f.write('{"userId": "1", "ts": 5, "page": "NextSong"}\n{"userId": "", "ts": 6, "page": "Home"}\n')
+    df = S.read_events(spark, p)
+    assert df.count() == 2 and df.filter("userId = '1'").first().page == "NextSong"

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import ones_digit, tens_digit
-from tidemark.operators.clean import codes_to_null, drop_columns, keep_dense_rows, parse_code_list_py
+from tidemark.operators.clean import (codes_to_null, columns_of_type, drop_columns, keep_dense_rows,
+                                     parse_code_list_py)
 from tidemark.operators.lookup import struct_lookup
 from tidemark.sources import testdata as td
 
@@ -67,11 +68,12 @@ def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",)
     remaining mixed columns. ``binary`` (column -> [level0, level1]) is the
     fitted part; pass the population's to clean customers identically."""
     codes = codes_from_meta(meta)
-    types = {r[0]: r[1] for r in meta.select("attribute", "type").collect()}
+    categorical = set(columns_of_type(meta, ["categorical"]))
+    mixed_cols = set(columns_of_type(meta, ["mixed"]))
     x = codes_to_null(df, codes)
     x = drop_columns(x, list(drop_fixed))
     x = keep_dense_rows(x, max_missing)
-    cats = [c for c in x.columns if types.get(c) == "categorical"]
+    cats = [c for c in x.columns if c in categorical]
     binary = binary if binary is not None else binary_levels(x, cats)
     for c in cats:
         if c in binary:
@@ -83,5 +85,4 @@ def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",)
     dm = struct_lookup(F.col("decade_code"), DECADE_MOVEMENT, ["decade", "movement"])
     x = x.withColumns({"decade": dm["decade"], "movement": dm["movement"],
                        "wealth": tens_digit("cameo"), "lifestage": ones_digit("cameo")})
-    mixed = [c for c in x.columns if types.get(c) == "mixed"]
-    return x.drop(*mixed)
+    return x.drop(*[c for c in x.columns if c in mixed_cols])
