@@ -48,9 +48,9 @@ def test_csv_semicolon_and_write(spark, tmp):
 def test_code_map_and_labelled_files(spark, tmp):
     p = os.path.join(tmp, "names.json")
     with open(p, "w") as f:
-        json.dump({"1": "pink primrose", "2": "hard-leaved pocket orchid"}, f)
+        json.dump({"1": "class one", "2": "class two"}, f)
     m = {r.code: r.name for r in S.read_code_map(spark, p).collect()}
-    assert m == {"1": "pink primrose", "2": "hard-leaved pocket orchid"}
+    assert m == {"1": "class one", "2": "class two"}
     for split, label in [("train", "1"), ("train", "2"), ("valid", "1")]:
         d = os.path.join(tmp, "img", split, label)
         os.makedirs(d)

@@ -172,7 +172,7 @@ def event_types_sql() -> str:
     return f"event_types AS (SELECT * FROM (VALUES {vals}) t(EventID, Description))"
 
 
-# ------------------------------------------------- disaster messages ----
+# -------------------------------------------------- labelled messages ----
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents -> messages(id, message, original, genre)."""
     return table(spark, sf_dir, "documents").select(
