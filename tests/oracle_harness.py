@@ -51,14 +51,32 @@ def _rows(cols, rows):
     return sorted(out, key=repr), [cols[i].lower() for i in order]
 
 
+_DUCK = {"INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string",
+         "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "FLOAT": "float", "SMALLINT": "smallint",
+         "HUGEINT": "hugeint", "DATE": "date"}
+
+
+def type_diffs(sdf, rel):
+    st = {f.name.lower(): f.dataType.simpleString() for f in sdf.schema.fields}
+    out = []
+    for name, dtype in zip([d[0] for d in rel.description], [str(t) for t in rel.types]):
+        d = _DUCK.get(dtype, dtype.lower())
+        sp = st.get(name.lower())
+        if sp is not None and sp != d:
+            out.append(f"{name}: spark {sp} / duck {dtype}")
+    return out
+
+
 def compare(spark, con, name, fn, sql, sf_dir, verbose=True):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
     srows = sdf.collect()
     t1 = time.time()
-    rel = con.execute(sql)
-    dcols = [d[0] for d in rel.description]
-    drows = rel.fetchall()
+    rel = con.sql(sql)
+    tdiff = type_diffs(sdf, rel)
+    cur = con.execute(sql)
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
     s, scols = _rows(sdf.columns, srows)
     d, dcols2 = _rows(dcols, drows)
     ok_cols = scols == dcols2
@@ -67,6 +85,8 @@ def compare(spark, con, name, fn, sql, sf_dir, verbose=True):
     if verbose:
         print(f"{name:32s} rows {len(s):7d}/{len(d):7d} cols={'ok' if ok_cols else 'DIFF'} "
               f"vals={'ok' if ok_v else 'DIFF'} spark={t1 - t0:.2f}s", flush=True)
+        if tdiff:
+            print("   types:", "; ".join(tdiff))
         if not ok_cols:
             print("   spark:", scols, "\n   duck: ", dcols2)
         elif not ok_v:

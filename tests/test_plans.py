@@ -39,3 +39,24 @@ def test_feature_table_single_scan(spark):
         F.lit(None).cast("string").alias("artist"), F.lit(None).cast("string").alias("song"))
     p = plan(user_time_bins(ev, 7, pages=["view"]))
     assert p.count("FileScan parquet") == 1
+
+
+def test_state_join_slices_hot_keys(spark):
+    """The expanded event rows are shuffled by (key, time bucket), never by
+    the key alone, so one hot host cannot land in a single task."""
+    p = plan(Q["host_state"](spark, SF001))
+    assert "hashpartitioning(_key#" in p
+    for line in p.splitlines():
+        if "Exchange hashpartitioning(_key#" in line and "_bucket" not in line:
+            # only the small per-slice carry table may be keyed by _key alone
+            assert "Window" not in line
+    assert "_bucket" in p
+
+
+def test_text_counts_colocated_by_document(spark):
+    """Tokens are counted where their document lives: after the one
+    repartition by doc_id there is no exchange before the (doc, term)
+    aggregation."""
+    p = plan(Q["bag_of_words"](spark, SF001))
+    assert "RoundRobinPartitioning" not in p
+    assert p.count("hashpartitioning(doc_id") >= 1
