@@ -50,23 +50,39 @@ CODED_COLS = ["p_partkey", "p_size", "p_retailprice", "p_type", "p_brand", "size
 
 
 def binary_levels(df: DataFrame, cols) -> dict[str, list]:
-    """Fit part of X18: per two-level column, levels ordered by frequency
-    (most frequent first, ties lexical; null counts as a level)."""
+    """Fit part of X18 in ONE pass: per column, levels ordered by frequency
+    (most frequent first, ties lexical; null counts as a level); columns
+    with exactly two levels are returned. Counts per (column, value) are a
+    stacked aggregate; only the top 3 per column reach the driver."""
+    from pyspark.sql import Window
+    cols = list(cols)
+    if not cols:
+        return {}
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, value)")
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc_nulls_first("value"))
+    top = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= 3).collect()
+    by_col: dict = {}
+    for r in sorted(top, key=lambda r: (r["column_name"], r["r"])):
+        by_col.setdefault(r["column_name"], []).append(r["value"])
+    types = {f.name: f.dataType for f in df.schema.fields}
     out = {}
-    for c in cols:
-        rows = (df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
-                .orderBy(F.desc("n"), F.asc_nulls_first(c)).limit(3).collect())
-        if len(rows) == 2:
-            out[c] = [r[0] for r in rows]
+    for c, levels in by_col.items():
+        if len(levels) == 2:
+            # back to the column's own type so comparisons stay typed
+            out[c] = [None if v is None else (v if types[c].simpleString() == "string"
+                                               else float(v)) for v in levels]
     return out
 
 
 def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",),
-                       max_missing: int = 1, binary=None) -> DataFrame:
+                       max_missing: int = 1, binary=None, fitted_out: dict | None = None) -> DataFrame:
     """P11 -> P02 (fixed list) -> P14 -> X18 (binary re-encode, drop
     multi-level categoricals) -> J12/X08 (split mixed columns) -> drop the
     remaining mixed columns. ``binary`` (column -> [level0, level1]) is the
-    fitted part; pass the population's to clean customers identically."""
+    fitted part; pass the population's to clean customers identically
+    (``fitted_out`` receives the levels fitted here)."""
     codes = codes_from_meta(meta)
     categorical = set(columns_of_type(meta, ["categorical"]))
     mixed_cols = set(columns_of_type(meta, ["mixed"]))
@@ -75,6 +91,8 @@ def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",)
     x = keep_dense_rows(x, max_missing)
     cats = [c for c in x.columns if c in categorical]
     binary = binary if binary is not None else binary_levels(x, cats)
+    if fitted_out is not None:
+        fitted_out.update(binary)
     for c in cats:
         if c in binary:
             lv0 = binary[c][0]

@@ -218,9 +218,9 @@ def segments_pipeline(pop, k_pca: int = 3, k_clusters: int = 4):
 
 def _segments_inputs(spark, sf_dir):
     meta = td.demo_meta(spark)
-    pop = clean_demographics(td.population(spark, sf_dir), meta)
-    cust = clean_demographics(td.demo_customers(spark, sf_dir), meta,
-                              binary={"mfgr_side": ["W", "O"]})
+    fit: dict = {}
+    pop = clean_demographics(td.population(spark, sf_dir), meta, fitted_out=fit)
+    cust = clean_demographics(td.demo_customers(spark, sf_dir), meta, binary=fit)
     return pop.withColumn("mfgr_side", F.col("mfgr_side").cast("int")), \
         cust.withColumn("mfgr_side", F.col("mfgr_side").cast("int"))
 
