@@ -6,8 +6,7 @@ small report table built from fitted parameters and metrics.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import (CountVectorizer, IDF, Imputer, RegexTokenizer, SQLTransformer,
-                                StringIndexer, VectorAssembler)
+from pyspark.ml.feature import CountVectorizer, IDF, Imputer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.operators.sample import first_n_by_hash, hash_split, stratified_sample
-from tidemark.plans.q_churn import churn_features
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import functions as F
 
 from tidemark.operators import encode as E
 from tidemark.operators import model as ML
