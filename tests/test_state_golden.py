@@ -84,3 +84,28 @@ def test_random_tables(spark, seed):
                      rnd.choice(hosts + [None, "S"]), user, eid))
     rows = [r for r in rows if r[2] is not None or r[5] == 4688]
     _check(spark, rows, rnd.choice([13, 500, 10 ** 6]))
+
+
+def test_hot_host_third_of_rows(spark):
+    """One host holds a third of all rows (the stand-in event log with every
+    third user folded into one host): results equal the sequential walk,
+    and the hot host is spread over many (key, hour) slices."""
+    from pyspark.sql import functions as F
+    from tests.conftest import SF001
+    from tidemark.sources import testdata as td
+    ev = td.win_events(spark, SF001).withColumn(
+        "LogHost", F.when(F.col("seq") % 3 == 0, F.lit("HOT")).otherwise(F.col("LogHost")))
+    rows = [tuple(r) for r in ev.select("seq", "Time", "LogHost", "Source", "UserName", "EventID").collect()]
+    n = len(rows)
+    hot = sum(1 for r in rows if r[2] == "HOT")
+    assert hot * 3 >= n - 3
+    slices = {}
+    for r in rows:
+        if r[2] == "HOT":
+            slices[r[1] // 3600] = slices.get(r[1] // 3600, 0) + 1
+    assert max(slices.values()) < 0.01 * n  # no slice near the hot key's size
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r["seq"]: r for r in time_since_state(df, CH, bucket_seconds=3600).collect()}
+    exp = brute(rows)
+    bad = [(s, ch) for s, e in exp.items() for ch, v in e.items() if got[s][f"time_since_{ch}"] != v]
+    assert not bad, bad[:5]
