@@ -42,17 +42,30 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count")))
 
 
-def vocabulary(counts: DataFrame, n_docs: int | None = None, max_df: float = 1.0,
+def doc_count(docs: DataFrame) -> DataFrame:
+    """Number of documents as a one-row frame (``__n``): scikit-learn's n
+    counts every document, empty ones included; an id-only scan."""
+    return docs.agg(F.count(F.lit(1)).cast("double").alias("__n"))
+
+
+def _n_frame(counts: DataFrame, n_docs) -> DataFrame:
+    if n_docs is None:
+        return counts.agg(F.count_distinct("doc_id").cast("double").alias("__n"))
+    if isinstance(n_docs, DataFrame):
+        return n_docs
+    return counts.sparkSession.createDataFrame([(float(n_docs),)], "__n double")
+
+
+def vocabulary(counts: DataFrame, n_docs=None, max_df: float = 1.0,
                max_features: int | None = None) -> DataFrame:
     """Terms kept by document frequency (df <= max_df * n_docs, as
     scikit-learn) and, optionally, the ``max_features`` most frequent ones
-    (total count, ties by term)."""
+    (total count, ties by term). ``n_docs``: an int, a one-row frame from
+    ``doc_count``, or None (documents with at least one token)."""
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
     if max_df < 1.0:
-        n = F.lit(n_docs) if n_docs is not None else F.col("__n")
-        if n_docs is None:  # document count as a one-row aggregate in the same plan
-            stats = stats.crossJoin(F.broadcast(counts.agg(F.count_distinct("doc_id").alias("__n"))))
-        stats = stats.filter(F.col("df") <= n * max_df).drop("__n")
+        stats = (stats.crossJoin(F.broadcast(_n_frame(counts, n_docs)))
+                 .filter(F.col("df") <= F.col("__n") * max_df).drop("__n"))
     if max_features:
         stats = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
     return stats
@@ -64,17 +77,18 @@ def bag_of_words(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1, ma
     c = term_counts(docs, doc_id, text, ngram_max)
     if max_df >= 1.0 and not max_features:
         return c
-    v = vocabulary(c, None, max_df, max_features).select("term")
+    v = vocabulary(c, doc_count(docs), max_df, max_features).select("term")
     v = bounded_broadcast(v) if max_features else v
     return c.join(v, "term", "left_semi")
 
 
-def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True) -> DataFrame:
+def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True, n_docs=None) -> DataFrame:
     """scikit-learn's default weighting: tf * (ln((1+n)/(1+df)) + 1),
-    then L2-normalised per document. (MLlib's IDF omits the +1 and the norm.)"""
+    then L2-normalised per document. (MLlib's IDF omits the +1 and the norm.)
+    ``n_docs`` as in ``vocabulary`` (pass ``doc_count(docs)``)."""
     x = counts
     if use_idf:
-        n = counts.agg(F.count_distinct("doc_id").cast("double").alias("__n"))
+        n = _n_frame(counts, n_docs)
         df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n))
         x = x.join(df, "term").withColumn(
             "w", F.col("count") * (F.log((1.0 + F.col("__n")) / (1.0 + F.col("df"))) + 1.0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
-from tidemark.operators.text import bag_of_words, by_document, tf_idf, term_counts
+from tidemark.operators.text import bag_of_words, by_document, doc_count, tf_idf, term_counts
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 
@@ -27,7 +27,7 @@ def q_tokenize(spark, sf_dir):
 BOW_SQL = f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
 c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
-n AS (SELECT count(DISTINCT doc_id) AS n FROM c),
+n AS (SELECT count(*) AS n FROM documents),
 v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.5 * n.n)
 SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
 """
@@ -54,12 +54,14 @@ def q_bag_of_words_top(spark, sf_dir):
 @register("tf_idf", f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
 c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
-n AS (SELECT count(DISTINCT doc_id) AS n FROM c),
+n AS (SELECT count(*) AS n FROM documents),
 d AS (SELECT term, count(*) AS df FROM c GROUP BY term),
 w AS (SELECT doc_id, term, count * (ln((1.0 + n.n) / (1.0 + df)) + 1.0) AS w FROM c JOIN d USING (term), n)
 SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM w
 """)
 def q_tf_idf(spark, sf_dir):
-    """scikit-learn-style TF-IDF with L2 norm per document."""
-    c = term_counts(td.table(spark, sf_dir, "documents"), "doc_id", "text")
-    return tf_idf(c).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    """scikit-learn-style TF-IDF with L2 norm per document (n = number
+    of documents)."""
+    docs = td.table(spark, sf_dir, "documents")
+    c = term_counts(docs, "doc_id", "text")
+    return tf_idf(c, n_docs=doc_count(docs)).select("doc_id", "term", F.round("weight", 6).alias("weight"))
