@@ -40,3 +40,27 @@ def test_sample_is_stable(spark):
     a = Q["sample_exact"](spark, SF001)
     b = Q["sample_exact"](spark, SF001)
     assert _rows(a) == _rows(b) and a.count() == 1000
+
+
+def test_approximate_variants_close_to_exact(spark):
+    """The sketch-based variants meant for very large inputs stay close to
+    the exact answers."""
+    from tidemark.operators.bins import user_time_bins
+    from tidemark.operators.profile import column_profile, describe, describe_by
+    li = td.table(spark, SF001, "lineitem")
+    ex = {r.column_name: r for r in describe(li, ["l_quantity", "l_extendedprice"]).collect()}
+    ap = {r.column_name: r for r in describe(li, ["l_quantity", "l_extendedprice"], exact=False).collect()}
+    for c in ex:
+        assert ex[c]["count"] == ap[c]["count"] and abs(ex[c].mean - ap[c].mean) < 1e-6
+        assert abs(ex[c].p50 - ap[c].p50) <= 0.01 * (ex[c].max - ex[c].min)
+    assert describe_by(li, "l_returnflag", ["l_quantity"], exact=False).count() == 3
+    prof = {r.column_name: r.n_unique for r in column_profile(li.select("l_returnflag", "l_linestatus"),
+                                                              None, approx=True).collect()}
+    assert prof == {"l_returnflag": 3, "l_linestatus": 2}
+    ev = td.music_events(spark, SF001)
+    a = {(r.UserId, r.UserTimeBin): r.SessionsInTimeBin for r in
+         user_time_bins(ev, 7, pages=td.MUSIC_PAGES, approx_distinct=True).collect()}
+    e = {(r.UserId, r.UserTimeBin): r.SessionsInTimeBin for r in
+         user_time_bins(ev, 7, pages=td.MUSIC_PAGES).collect()}
+    assert a.keys() == e.keys()
+    assert all(abs(a[k] - e[k]) <= max(2, 0.1 * e[k]) for k in e)
