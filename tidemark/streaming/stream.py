@@ -111,6 +111,8 @@ def _carry(pdf: pd.DataFrame, prev: dict) -> tuple[pd.DataFrame, dict]:
 
 
 def _host_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    if state.hasTimedOut:  # never armed (see host_state_stream); nothing to emit
+        return
     prev = {}
     if state.exists:
         s = state.get
@@ -118,6 +120,11 @@ def _host_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
     parts = [p for p in pdfs if len(p)]
     pdf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(
         columns=["seq", "LogHost", "Time", "EventID"])
+    # rows behind the watermark are late: they are dropped, not applied to a
+    # state that later rows have already used (the operator does not do it)
+    wm = state.getCurrentWatermarkMs()
+    if wm > 0 and len(pdf):
+        pdf = pdf[pdf["Time"].astype("int64") * 1000 >= wm]
     res, new = _carry(pdf, prev)
     state.update((new.get("startup"), new.get("locked"), new.get("screensaver")))
     yield res
@@ -126,8 +133,15 @@ def _host_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iter
 def host_state_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     """Time since start-up / lock / screensaver by ``LogHost`` across
     micro-batches. State per host is three longs; a host's rows in one
-    micro-batch form one group (bounded by the trigger size)."""
+    micro-batch form one group (bounded by the trigger size).
+
+    Rows older than the watermark are dropped inside the state function (a
+    late marker must not reopen or rewrite a state already used by later
+    rows; ``applyInPandasWithState`` does not drop them itself). The
+    event-time timeout mode exposes the watermark; no timeout is ever armed
+    - a host's state must survive idle periods, since "time since start-up"
+    has no horizon."""
     ev = stream.withColumn("_et", F.timestamp_seconds("Time")).withWatermark("_et", delay)
     return (ev.select("seq", "LogHost", "Time", "EventID", "_et").groupBy("LogHost")
             .applyInPandasWithState(_host_state_fn, HOST_STATE_OUT, HOST_STATE_STATE, "append",
-                                    GroupStateTimeout.NoTimeout))
+                                    GroupStateTimeout.EventTimeTimeout))
