@@ -81,3 +81,14 @@ def test_rename_header_and_carry_forward(spark):
         raise AssertionError("absent column must raise")
     except KeyError:
         pass
+
+
+def test_label_name_check_and_expand(spark):
+    from tidemark.plans.q_encode import expand_labels, label_name_check
+    cats = spark.createDataFrame([(1, "related-1;request-0"), (2, "request-1;related-0"),
+                                  (3, "related-2;request-1"), (3, "related-2;request-1")], "id long, categories string")
+    r = label_name_check(cats, ["related", "request"]).first()
+    assert (r.n_rows, r.n_mismatched) == (4, 1)
+    msgs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id long, message string")
+    out = {x.id: (x.related, x.request) for x in expand_labels(msgs, cats).collect()}
+    assert out == {1: (1, 0), 2: (1, 0), 3: (2, 1)}  # duplicate id-3 rows collapse; id 4 has no labels

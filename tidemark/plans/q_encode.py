@@ -128,6 +128,31 @@ def expand_labels(messages: DataFrame, categories: DataFrame, names=None) -> Dat
     return dedupe(drop_columns(df.withColumns(cols), ["categories"]))
 
 
+def label_name_check(categories: DataFrame, names) -> DataFrame:
+    """Q13: rows whose category names (in order) differ from ``names``; the
+    reference assumed every row has the first row's order."""
+    pieces = F.split(F.col("categories"), ";")
+    row_names = F.transform(pieces, lambda p: F.substring(p, F.lit(1), F.greatest(F.length(p) - 2, F.lit(0))))
+    expected = F.array(*[F.lit(n) for n in names])
+    return categories.agg(F.count(F.lit(1)).alias("n_rows"),
+                          F.count(F.when(row_names != expected, 1)).alias("n_mismatched"))
+
+
+@register("label_name_check", f"""
+WITH {td.MESSAGES_SQL},
+f AS (SELECT categories AS c0 FROM categories ORDER BY id LIMIT 1),
+n AS (SELECT list_transform(string_split(categories, ';'), lambda p: substr(p, 1, length(p) - 2)) AS names,
+             (SELECT list_transform(string_split(c0, ';'), lambda p: substr(p, 1, length(p) - 2)) FROM f) AS first
+      FROM categories)
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE names <> first) AS n_mismatched FROM n
+""")
+def q_label_name_check(spark, sf_dir):
+    """Q13: category names verified on every row against the first row's."""
+    c = td.categories(spark, sf_dir)
+    first = c.orderBy("id").select("categories").first()[0]
+    return label_name_check(c, [p[:-2] for p in first.split(";")])
+
+
 @register("expand_labels", f"""
 WITH {td.MESSAGES_SQL}
 SELECT DISTINCT m.id, m.message, m.original, m.genre,
