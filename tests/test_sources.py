@@ -78,3 +78,15 @@ def test_bz2_json_lines(spark, tmp):
         f.write('{"userId": "1", "ts": 5, "page": "NextSong"}\n{"userId": "", "ts": 6, "page": "Home"}\n')
     df = S.read_events(spark, p)
     assert df.count() == 2 and df.filter("userId = '1'").first().page == "NextSong"
+
+
+def test_partitioned_events_prune(spark, tmp):
+    from pyspark.sql import functions as F
+    from tests.conftest import SF0001
+    ev = spark.read.parquet(f"{SF0001}/events.parquet").withColumn("day", F.to_date("ts"))
+    out = os.path.join(tmp, "events_by_day")
+    S.write_partitioned(ev, out, ["day"])
+    r = spark.read.parquet(out).filter(F.col("day") == F.lit("2024-01-05").cast("date"))
+    plan = r._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-05" in plan
+    assert r.count() == ev.filter(F.col("day") == F.lit("2024-01-05").cast("date")).count()

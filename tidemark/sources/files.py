@@ -105,3 +105,12 @@ def load_model(path: str):
     """Load a saved pipeline model."""
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+def write_partitioned(df: DataFrame, path: str, by: list[str], mode: str = "errorifexists",
+                      fmt: str = "parquet") -> None:
+    """Write a table partitioned by ``by`` (e.g. event day), so later reads
+    that filter on those columns skip whole directories (partition pruning).
+    Rows are clustered by the partition columns first, so each task writes
+    few files per partition."""
+    df.repartition(*by).write.mode(mode).partitionBy(*by).format(fmt).save(path)
