@@ -64,3 +64,18 @@ def test_approximate_variants_close_to_exact(spark):
          user_time_bins(ev, 7, pages=td.MUSIC_PAGES).collect()}
     assert a.keys() == e.keys()
     assert all(abs(a[k] - e[k]) <= max(2, 0.1 * e[k]) for k in e)
+
+
+def test_any_earlier_is_monotone_in_bin(spark):
+    from pyspark.sql import Window
+    df = Q["churn_user_bins"](spark, SF001)
+    w = Window.partitionBy("UserId").orderBy("UserTimeBin")
+    drops = df.withColumn("prev", F.lag("PreviouslyDowngraded").over(w)).filter(
+        F.col("prev") > F.col("PreviouslyDowngraded")).count()
+    assert drops == 0
+    # and it is 1 exactly after the first bin with a downgrade
+    first = df.filter("DowngradedInTimeBin = 1").groupBy("UserId").agg(F.min("UserTimeBin").alias("b0"))
+    j = df.join(first, "UserId", "left")
+    bad = j.filter(F.when(F.col("b0").isNotNull() & (F.col("UserTimeBin") > F.col("b0")), 1).otherwise(0)
+                   != F.col("PreviouslyDowngraded")).count()
+    assert bad == 0
