@@ -92,3 +92,12 @@ def test_label_name_check_and_expand(spark):
     msgs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "d")], "id long, message string")
     out = {x.id: (x.related, x.request) for x in expand_labels(msgs, cats).collect()}
     assert out == {1: (1, 0), 2: (1, 0), 3: (2, 1)}  # duplicate id-3 rows collapse; id 4 has no labels
+
+
+def test_map_and_struct_lookup(spark):
+    from tidemark.operators.lookup import map_lookup, struct_lookup
+    df = spark.createDataFrame([(1,), (15,), (99,), (None,)], "c int")
+    out = df.select(map_lookup("c", {1: "one", 15: "fifteen"}, "Unknown").alias("n"),
+                    struct_lookup("c", {1: (40, 0), 15: (90, 1)}, ["decade", "movement"]).alias("s")).collect()
+    assert [r.n for r in out] == ["one", "fifteen", "Unknown", "Unknown"]
+    assert [(r.s.decade, r.s.movement) if r.s else None for r in out] == [(40, 0), (90, 1), None, None]

@@ -41,7 +41,7 @@ def map_lookup(c: str | Column, mapping: Mapping, default=None) -> Column:
     """Lookup in a literal map (a handful of fixed entries)."""
     col = F.col(c) if isinstance(c, str) else c
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    v = F.element_at(m, col) if not isinstance(next(iter(mapping)), str) else m[col]
+    v = F.try_element_at(m, col)  # absent key (or null) -> null, never an error
     return v if default is None else F.coalesce(v, F.lit(default))
 
 
