@@ -49,3 +49,33 @@ def test_state_across_batches_and_late_rows(spark):
     for s, e in exp.items():
         for name, v in e.items():
             assert got[s][f"time_since_{name}"] == v, (s, name)
+
+
+def test_all_keys_across_batches_equals_batch(spark):
+    from tidemark.operators.state import time_since_state
+    from tidemark.plans.q_state import CHANNELS
+    from tidemark.streaming.stream import host_state_batches
+    ev = td.win_events(spark, SF0001)
+    pdf = ev.toPandas().sort_values(["Time", "seq"])
+    d = tempfile.mkdtemp(prefix="tidemark-stream-all-")
+    cuts = [0, int(len(pdf) * 0.3), int(len(pdf) * 0.7), len(pdf)]
+    for k in range(3):
+        pdf.iloc[cuts[k]:cuts[k + 1]].to_parquet(os.path.join(d, f"part-{k}.parquet"), index=False)
+    late = pdf.iloc[[5]].copy()
+    late["seq"] = 10 ** 9
+    late["Time"] = int(pdf["Time"].max()) - 10 * 3600
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    schema = pq.read_schema(os.path.join(d, "part-0.parquet")).remove_metadata()
+    pq.write_table(pa.Table.from_pandas(late, schema=schema, preserve_index=False),
+                   os.path.join(d, "part-3.parquet"))
+    out = spark.read.parquet(host_state_batches(file_stream(spark, d, ev.schema), CHANNELS,
+                                                bucket_seconds=7200))
+    assert out.select("batch").distinct().count() == 3  # the 4th batch held only the late row
+    got = {r["seq"]: r for r in out.collect()}
+    assert 10 ** 9 not in got
+    exp = {r["seq"]: r for r in time_since_state(ev, CHANNELS).collect()}
+    assert set(got) == set(exp)
+    cols = [f"time_since_{c}" for c in CHANNELS]
+    bad = [s for s in exp if any(got[s][c] != exp[s][c] for c in cols)]
+    assert not bad, bad[:5]

@@ -64,9 +64,14 @@ CLEARED = -(2 ** 63)  # state value of an off marker (no time can equal it)
 def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
                      time: str = "Time", seq: str = "seq", event: str = "EventID",
                      host: str = "LogHost", keys: Sequence[Column] | None = None,
-                     bucket_seconds: int = 3600, prefix: str = "time_since_") -> DataFrame:
+                     bucket_seconds: int = 3600, prefix: str = "time_since_",
+                     initial: DataFrame | None = None) -> DataFrame:
     """Add ``<prefix><channel>`` for every channel, in one pass.
 
+    ``initial`` (optional) is a state table from earlier rows -
+    ``(_key, _end_<channel>...)`` as built by ``state_table`` - that seeds
+    every key before the first row here (used across micro-batches).
+
     ``seq`` must be unique per row and, with ``time``, give the file order
     (rows compare by ``(time, seq)``). ``bucket_seconds`` sets the slice
     width: smaller slices spread a hot host over more tasks.
@@ -122,6 +127,10 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
         F.max_by(f"_m_{n}", F.when(F.col(f"_m_{n}").isNotNull(), order)).alias(f"_end_{n}") for n in names])
     slices = lookups.select("_key", "_bucket").distinct()
     grid = slices.join(ends, ["_key", "_bucket"], "full")
+    if initial is not None:  # earlier state sorts before every bucket
+        grid = grid.unionByName(initial.select(
+            F.col("_key").cast("string"), F.lit(-(2 ** 63)).cast("long").alias("_bucket"),
+            *[F.col(f"_end_{n}").cast("long") for n in names]))
     w_carry = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = grid.select("_key", "_bucket", *[
         F.last(f"_end_{n}", ignorenulls=True).over(w_carry).alias(f"_carry_{n}") for n in names])
@@ -148,6 +157,34 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
     return out.select(*events.columns, *cols)
 
 
+def state_table(events: DataFrame, channels: Mapping[str, Channel], *, time: str = "Time",
+                seq: str = "seq", event: str = "EventID", host: str = "LogHost",
+                initial: DataFrame | None = None) -> DataFrame:
+    """Per host, the state each channel is left in after ``events`` (marker
+    time, ``CLEARED`` or null), merged over an ``initial`` table: one row
+    per host, one hash aggregate over the marker rows only."""
+    names = list(channels)
+    ids = sorted({i for ch in channels.values() for i in (*ch.on, *ch.off)})
+    cols = []
+    for n in names:
+        ch = channels[n]
+        st = F.when(F.col(event).isin(list(ch.on)), F.col(time).cast("long"))
+        if ch.off:
+            st = st.when(F.col(event).isin(list(ch.off)), F.lit(CLEARED))
+        cols.append(st.alias(f"_m_{n}"))
+    m = (events.filter(F.col(event).isin(ids) & F.col(host).isNotNull())
+         .select(F.col(host).cast("string").alias("_key"), F.col(time).cast("long").alias("_t"),
+                 F.col(seq).alias("_seq"), *cols))
+    order = F.struct("_t", "_seq")
+    last = m.groupBy("_key").agg(*[
+        F.max_by(f"_m_{n}", F.when(F.col(f"_m_{n}").isNotNull(), order)).alias(f"_end_{n}") for n in names])
+    if initial is None:
+        return last
+    i = initial.select("_key", *[F.col(f"_end_{n}").alias(f"_i_{n}") for n in names])
+    return i.join(last, "_key", "full").select(
+        "_key", *[F.coalesce(F.col(f"_end_{n}"), F.col(f"_i_{n}")).alias(f"_end_{n}") for n in names])
+
+
 def carry_forward(df: DataFrame, partition: Sequence[str], order: Sequence[str],
                   value: str, out: str) -> DataFrame:
     """Last non-null ``value`` at or before each row within a partition.

@@ -4,6 +4,7 @@ sinks under the shared checkpoint folder and read back as DataFrames."""
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
+from pyspark.sql import functions as F
 from pyspark.ml.feature import VectorAssembler
 
 from tidemark.operators import encode as E
@@ -12,7 +13,9 @@ from tidemark.functions.scalar import contains_flag, log1p
 from tidemark.operators.sample import hash_split
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
-from tidemark.streaming.stream import file_stream, host_state_stream, run_to_files, windowed_counts
+from tidemark.plans.q_state import CHANNELS, HOST_STATE_SQL
+from tidemark.streaming.stream import (file_stream, host_state_batches, host_state_stream, run_to_files,
+                                       windowed_counts)
 
 
 def _events_stream(spark, sf_dir):
@@ -77,3 +80,19 @@ def q_stream_scored_orders(spark, sf_dir):
     orders = file_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet", td.table(spark, sf_dir, "orders").schema)
     scored = model.transform(prep(td.census_from(orders, cust))).select("o_orderkey", "label", "prediction")
     return spark.read.parquet(run_to_files(scored, "scored_orders"))
+
+
+@register("stream_host_state_all_keys", HOST_STATE_SQL)
+def q_stream_host_state_all_keys(spark, sf_dir):
+    """G03 with the three-key priority: micro-batches of the batch operator
+    seeded with the previous batch's per-host state (same answer as the
+    batch query for in-order input)."""
+    from tidemark.functions.scalar import flag
+    w = td.win_events_from(_events_stream(spark, sf_dir))
+    out = spark.read.parquet(host_state_batches(w, CHANNELS))
+    return out.select(
+        "seq", "Time", "EventID", "LogHost", "Source", "UserName", "ProcessName", "ParentProcessName",
+        "time_since_startup", "time_since_locked", "time_since_screensaver",
+        flag(F.col("time_since_startup") <= 60).alias("near_startup"),
+        flag(F.col("time_since_locked") > 0).alias("is_locked"),
+        flag(F.col("time_since_screensaver") > 0).alias("is_screensaver"))

@@ -3,9 +3,10 @@
 The reference has no streaming; these are the natural streaming shapes of
 its batch work: scoring new rows with a fitted pipeline (G01), per-entity
 counts in tumbling event-time windows with a watermark (G02), and the
-host start-up / lock / screensaver state carried across micro-batches (G03,
-primary key only - the cross-key fallback needs the whole history and stays
-batch). Sinks are files under the shared checkpoint folder, so a restarted
+host start-up / lock / screensaver state carried across micro-batches (G03:
+``host_state_batches`` with the full three-key priority as Spark jobs per
+micro-batch, and ``host_state_stream`` for the host key with
+``applyInPandasWithState``). Sinks are files under the shared checkpoint folder, so a restarted
 driver resumes from the checkpoint and executors can be lost at any time.
 """
 
@@ -145,3 +146,52 @@ def host_state_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
     return (ev.select("seq", "LogHost", "Time", "EventID", "_et").groupBy("LogHost")
             .applyInPandasWithState(_host_state_fn, HOST_STATE_OUT, HOST_STATE_STATE, "append",
                                     GroupStateTimeout.EventTimeTimeout))
+
+
+# ------------------------------------------------------- G03, all keys
+
+def host_state_batches(stream: DataFrame, channels, *, delay_seconds: int = 3600,
+                       bucket_seconds: int = 3600, name: str = "host_state_all_keys",
+                       base: str | None = None) -> str:
+    """G03 with the full three-key priority, as Spark jobs per micro-batch.
+
+    Each micro-batch runs the batch operator ``time_since_state`` seeded with
+    the per-host state table left by the previous batch, so the cross-key
+    fallback (source, user name) sees every host's state - no pandas group,
+    hot hosts split by time bucket as in batch. State and output are written
+    per batch id under the shared checkpoint folder with overwrite, so a
+    retried batch rewrites the same files (idempotent, survives executor or
+    driver loss together with the stream checkpoint). Rows older than the
+    latest event time of earlier batches minus ``delay_seconds`` are late and
+    dropped. Returns the output folder (partitioned by batch)."""
+    from tidemark.operators.state import state_table, time_since_state
+    spark = stream.sparkSession
+    root = base or os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
+    state_dir, out_dir, ck = (os.path.join(root, d) for d in ("state", "out", "checkpoint"))
+
+    def version(b: int) -> str:
+        return os.path.join(state_dir, f"v={b:012d}")
+
+    def run(batch: DataFrame, b: int) -> None:
+        prev, max_t = None, None
+        if b > 0:
+            prev = spark.read.parquet(os.path.join(version(b - 1), "state"))
+            max_t = spark.read.parquet(os.path.join(version(b - 1), "meta")).first()["max_time"]
+        x = batch if max_t is None else batch.filter(F.col("Time") >= F.lit(max_t - delay_seconds))
+        x = x.persist()
+        try:
+            res = time_since_state(x, channels, bucket_seconds=bucket_seconds, initial=prev)
+            res.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch={b:012d}"))
+            state_table(x, channels, initial=prev).write.mode("overwrite").parquet(
+                os.path.join(version(b), "state"))
+            m = x.agg(F.max("Time").cast("long").alias("m")).first()["m"]
+            new_max = max(v for v in (m, max_t) if v is not None) if (m is not None or max_t is not None) else None
+            spark.createDataFrame([(new_max,)], "max_time long").write.mode("overwrite").parquet(
+                os.path.join(version(b), "meta"))
+        finally:
+            x.unpersist()
+
+    q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", ck)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return out_dir
