@@ -71,6 +71,14 @@ def best_params(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "param string, value string")
 
 
+def linear_report(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
+    """Intercept and one coefficient per feature of a fitted linear
+    model (binary logistic regression or linear SVM), as (term, value)."""
+    rows = [("intercept", float(model.intercept))]
+    rows += [(n, float(v)) for n, v in zip(names, model.coefficients.toArray().tolist())]
+    return spark.createDataFrame(rows, "term string, value double")
+
+
 def auc(pred: DataFrame, label: str = "label", metric: str = "areaUnderROC") -> float:
     """MLlib's area under ROC / PR (binned for very large inputs)."""
     ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric)

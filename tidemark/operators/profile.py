@@ -228,3 +228,18 @@ def best_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
     g = df.groupBy(*keys) if keys else df.groupBy()
     return g.agg(F.max_by(payload, rank).alias("best")).select(*keys, "best.*")
+
+
+def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """A11 for text columns (pandas' object describe): non-null count,
+    distinct values, most frequent value (ties: smallest) and its count.
+    One stacked aggregation; the top value per column comes from a window
+    over the (column, value) counts, whose size is the number of levels."""
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, value)").filter(F.col("value").isNotNull())
+    counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"))
+    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
+    top = (counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
+           .select("column_name", F.col("value").alias("top"), F.col("n").alias("freq")))
+    return per.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")

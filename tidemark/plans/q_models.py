@@ -100,6 +100,17 @@ def q_census_classifiers(spark, sf_dir):
     return spark.createDataFrame(out, "model string, accuracy double, f_beta double")
 
 
+@register("census_lr_coefficients")
+def q_census_lr_coefficients(spark, sf_dir):
+    """Intercept and coefficients of the logistic regression (+ its
+    chosen parameters as extra rows)."""
+    ds, feats = census_dataset(spark, sf_dir)
+    m = ML.make_classifier("lr", maxIter=50, regParam=0.01).fit(ds.filter("split = 'train'"))
+    params = ML.best_params(spark, m, ["regParam", "elasticNetParam", "maxIter"]).select(
+        F.col("param").alias("term"), F.col("value").cast("double").alias("value"))
+    return ML.linear_report(spark, m, feats).unionByName(params)
+
+
 @register("census_tuned_forest")
 def q_census_tuned_forest(spark, sf_dir):
     """L04 with the F-beta scorer actually passed to the search (Q10) + L05."""

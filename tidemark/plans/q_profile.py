@@ -264,3 +264,16 @@ def q_line_count(spark, sf_dir):
     """Number of lines over all document texts (whole texts)."""
     d = td.table(spark, sf_dir, "documents")
     return d.agg(F.sum(F.size(F.split("text", "\n", -1))).cast("long").alias("n_lines"))
+
+
+_TXT = ["lang", "source"]
+
+
+@register("describe_text", " UNION ALL ".join(f"""
+SELECT '{c}' AS column_name, CAST(sum(n) AS BIGINT) AS count, count(*) AS "unique",
+       arg_max(value, struct_pack(n := n, neg := -rank)) AS top, max(n) AS freq
+FROM (SELECT {c} AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c}) AS rank
+      FROM documents WHERE {c} IS NOT NULL GROUP BY {c})""" for c in _TXT))
+def q_describe_text(spark, sf_dir):
+    """A11 for text columns: count, unique, top, freq."""
+    return P.describe_text(td.table(spark, sf_dir, "documents"), _TXT)
