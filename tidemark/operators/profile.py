@@ -221,8 +221,10 @@ def row_sum(cols: Sequence[str]) -> Column:
 def best_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
     """Per group, the best row by a list of ``(column, "max"|"min")``
     criteria applied in turn (e.g. max accuracy, then min loss, then min
-    epoch = first). ``max_by`` over a struct rank: no sort, partial
-    aggregation on the map side, so a hot group is not a problem."""
+    epoch = first). ``max_by`` over a struct rank: a partial (map-side)
+    aggregate keeps one row per group and task before the exchange, so a
+    hot group is not a problem (struct buffers make it sort-based, each
+    task sorting only its own rows)."""
     rank = F.struct(*[(F.col(c) if how == "max" else -F.col(c)).alias(f"__r{i}")
                       for i, (c, how) in enumerate(order)])
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
