@@ -207,7 +207,7 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedpri
 """)
 def q_best_by(spark, sf_dir):
     """Per order, the line with the largest quantity, ties by the
-    smallest discount, then the first line (max_by: no sort, partial agg)."""
+    smallest discount, then the first line (max_by: partial aggregate per task)."""
     li = td.table(spark, sf_dir, "lineitem")
     return P.best_by(li, ["l_orderkey"], [("l_quantity", "max"), ("l_discount", "min"), ("l_linenumber", "min"),
                                           ("l_partkey", "min"), ("l_suppkey", "min"), ("l_extendedprice", "min")])
