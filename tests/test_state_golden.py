@@ -109,3 +109,13 @@ def test_hot_host_third_of_rows(spark):
     exp = brute(rows)
     bad = [(s, ch) for s, e in exp.items() for ch, v in e.items() if got[s][f"time_since_{ch}"] != v]
     assert not bad, bad[:5]
+
+
+def test_auto_bucket_width(spark):
+    from tidemark.operators.state import choose_bucket_seconds, default_keys
+    df = spark.createDataFrame(EDGE, SCHEMA)
+    assert choose_bucket_seconds(df, default_keys(), target_rows=2) < 3600
+    assert choose_bucket_seconds(df, default_keys()) == 3600
+    a = {r.seq: tuple(r) for r in time_since_state(df, CH, bucket_seconds="auto").collect()}
+    b = {r.seq: tuple(r) for r in time_since_state(df, CH, bucket_seconds=10 ** 9).collect()}
+    assert a == b

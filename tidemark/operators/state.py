@@ -61,10 +61,25 @@ def default_keys(host: str = "LogHost", source: str = "Source", user: str = "Use
 CLEARED = -(2 ** 63)  # state value of an off marker (no time can equal it)
 
 
+def choose_bucket_seconds(events: DataFrame, keys: Sequence[Column], time: str = "Time",
+                          target_rows: int = 2_000_000, start: int = 3600) -> int:
+    """Slice width for ``time_since_state`` so that no (key, slice) holds
+    more than about ``target_rows`` rows: one pass counts rows per (key,
+    hour) over all lookup keys (partial aggregation map-side) and only the
+    maximum reaches the driver. Answers do not depend on the width."""
+    arr = F.array(*[k.cast("string") for k in keys])
+    hot = (events.select(F.explode(arr).alias("k"), F.floor(F.col(time) / start).alias("b"))
+           .filter(F.col("k").isNotNull()).groupBy("k", "b").count()
+           .agg(F.max("count").alias("m")).first()["m"])
+    if not hot or hot <= target_rows:
+        return start
+    return max(1, int(start * target_rows / hot))
+
+
 def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
                      time: str = "Time", seq: str = "seq", event: str = "EventID",
                      host: str = "LogHost", keys: Sequence[Column] | None = None,
-                     bucket_seconds: int = 3600, prefix: str = "time_since_",
+                     bucket_seconds: int | str = 3600, prefix: str = "time_since_",
                      initial: DataFrame | None = None) -> DataFrame:
     """Add ``<prefix><channel>`` for every channel, in one pass.
 
@@ -74,7 +89,8 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
 
     ``seq`` must be unique per row and, with ``time``, give the file order
     (rows compare by ``(time, seq)``). ``bucket_seconds`` sets the slice
-    width: smaller slices spread a hot host over more tasks.
+    width: smaller slices spread a hot host over more tasks; ``"auto"``
+    measures the largest (key, hour) slice first (``choose_bucket_seconds``).
 
     A channel's state is one long per marker row: the marker time when it
     turns the state on, ``CLEARED`` when it turns it off, null on other rows.
@@ -83,6 +99,8 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
     keys = list(keys) if keys is not None else default_keys(host)
     names = list(channels)
     ids = sorted({i for ch in channels.values() for i in (*ch.on, *ch.off)})
+    if bucket_seconds == "auto":
+        bucket_seconds = choose_bucket_seconds(events, keys, time)
 
     def marker_state(ch: Channel) -> Column:
         st = F.when(F.col(event).isin(list(ch.on)), F.col(time).cast("long"))
