@@ -57,12 +57,10 @@ def roc_points(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> Da
     """Per distinct threshold (descending), cumulative TP/FP, TPR, FPR and
     precision. Ties share one point."""
     sc = score_counts(df, label, score)
-    cum = prefix_sum(sc, score, ["pos", "neg"], n_buckets, desc=True)
-    tot = sc.agg(F.sum("pos").alias("__P"), F.sum("neg").alias("__N"))
-    return (cum.crossJoin(F.broadcast(tot))
-            .select(score, F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-                    safe_ratio("cum_pos", "__P").alias("tpr"), safe_ratio("cum_neg", "__N").alias("fpr"),
-                    safe_ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg")).alias("precision")))
+    cum = prefix_sum(sc, score, ["pos", "neg"], n_buckets, desc=True, totals=True)
+    return cum.select(score, F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
+                      safe_ratio("cum_pos", "total_pos").alias("tpr"), safe_ratio("cum_neg", "total_neg").alias("fpr"),
+                      safe_ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg")).alias("precision"))
 
 
 def area_under_roc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataFrame:

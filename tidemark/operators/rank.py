@@ -58,7 +58,7 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, out: str,
 
 
 def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int = 64,
-               desc: bool = False) -> DataFrame:
+               desc: bool = False, totals: bool = False) -> DataFrame:
     """Distributed running totals over a global order (two-level scan).
 
     Rows are cut into ~``n_buckets`` ranges of ``order`` holding about the
@@ -68,7 +68,8 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int
     prefix in one small window; each range then runs its own window,
     partitioned by range, plus the carry-in of all earlier ranges. Ties in
     ``order`` land in the same range and are summed together (range frame),
-    so the running total at a value includes every row with that value."""
+    so the running total at a value includes every row with that value.
+    ``totals`` adds ``total_<v>`` (grand totals, from the per-range table)."""
     from pyspark.ml.feature import Bucketizer
     o = F.col(order).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -83,10 +84,13 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int
     x = x.withColumn("__b", key).drop("__o", "__bd")
     per = x.groupBy("__b").agg(*[F.sum(v).alias(f"__t_{v}") for v in values])
     wb = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    wall = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     carry = per.select("__b", *[F.coalesce(F.sum(f"__t_{v}").over(wb), F.lit(0)).alias(f"__c_{v}")
-                               for v in values])
+                               for v in values],
+                       *[F.sum(f"__t_{v}").over(wall).alias(f"total_{v}") for v in values])
     ord_col = F.desc(order) if desc else F.asc(order)
     wi = Window.partitionBy("__b").orderBy(ord_col).rangeBetween(Window.unboundedPreceding, 0)
     y = x.join(F.broadcast(carry), "__b")
     return y.select(*df.columns, *[(F.sum(v).over(wi) + F.col(f"__c_{v}")).alias(f"cum_{v}")
-                                   for v in values])
+                                   for v in values],
+                    *([F.col(f"total_{v}") for v in values] if totals else []))
