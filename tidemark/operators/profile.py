@@ -129,17 +129,18 @@ def row_null_histogram(df: DataFrame, cols: Sequence[str] | None = None, count_p
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed.
 
-    The range comes from a one-row aggregate cross-joined as a single row
-    (broadcast of exactly one row), so the data is scanned twice, never
-    collected."""
+    The range is one aggregate (two numbers to the driver), then one
+    grouped count; the data is scanned twice, never collected."""
     x = F.col(col).cast("double")
-    rng = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
-    w = (F.col("__hi") - F.col("__lo")) / bins
-    b = F.when(w == 0, F.lit(0)).otherwise(
-        F.least(F.floor((x - F.col("__lo")) / w), F.lit(bins - 1))).cast("int")
-    return (df.filter(x.isNotNull() & ~F.isnan(x)).crossJoin(F.broadcast(rng))
-            .select(b.alias("bin"), (F.col("__lo") + b * w).alias("lower"),
-                    (F.col("__lo") + (b + 1) * w).alias("upper"))
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
+    lo, hi = r["lo"], r["hi"]
+    if lo is None:
+        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n long")
+    w = (hi - lo) / bins
+    b = (F.lit(0) if w == 0 else F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))).cast("int")
+    return (df.filter(x.isNotNull() & ~F.isnan(x))
+            .select(b.alias("bin"), (F.lit(lo) + b * F.lit(w)).alias("lower"),
+                    (F.lit(lo) + (b + 1) * F.lit(w)).alias("upper"))
             .groupBy("bin", "lower", "upper").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -44,16 +44,18 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
 
 def doc_count(docs: DataFrame) -> DataFrame:
     """Number of documents as a one-row frame (``__n``): scikit-learn's n
-    counts every document, empty ones included; an id-only scan."""
+    counts every document, empty ones included; an id-only scan. Only this
+    one number reaches the driver."""
     return docs.agg(F.count(F.lit(1)).cast("double").alias("__n"))
 
 
-def _n_frame(counts: DataFrame, n_docs) -> DataFrame:
+def _n_value(counts: DataFrame, n_docs) -> float:
+    """The document count as a number (one scalar to the driver)."""
     if n_docs is None:
-        return counts.agg(F.count_distinct("doc_id").cast("double").alias("__n"))
+        n_docs = counts.agg(F.count_distinct("doc_id").cast("double").alias("__n"))
     if isinstance(n_docs, DataFrame):
-        return n_docs
-    return counts.sparkSession.createDataFrame([(float(n_docs),)], "__n double")
+        return float(n_docs.first()["__n"] or 0.0)
+    return float(n_docs)
 
 
 def vocabulary(counts: DataFrame, n_docs=None, max_df: float = 1.0,
@@ -64,8 +66,7 @@ def vocabulary(counts: DataFrame, n_docs=None, max_df: float = 1.0,
     ``doc_count``, or None (documents with at least one token)."""
     stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
     if max_df < 1.0:
-        stats = (stats.crossJoin(F.broadcast(_n_frame(counts, n_docs)))
-                 .filter(F.col("df") <= F.col("__n") * max_df).drop("__n"))
+        stats = stats.filter(F.col("df") <= F.lit(_n_value(counts, n_docs) * max_df))
     if max_features:
         stats = stats.orderBy(F.desc("tf"), F.asc("term")).limit(max_features)
     return stats
@@ -88,10 +89,10 @@ def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True, n_docs=No
     ``n_docs`` as in ``vocabulary`` (pass ``doc_count(docs)``)."""
     x = counts
     if use_idf:
-        n = _n_frame(counts, n_docs)
-        df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df")).crossJoin(F.broadcast(n))
+        n = _n_value(counts, n_docs)
+        df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
         x = x.join(df, "term").withColumn(
-            "w", F.col("count") * (F.log((1.0 + F.col("__n")) / (1.0 + F.col("df"))) + 1.0))
+            "w", F.col("count") * (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0))
     else:
         x = x.withColumn("w", F.col("count").cast("double"))
     if norm:
