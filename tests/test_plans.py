@@ -20,7 +20,7 @@ def plan(df):
 def test_no_python_udf_no_cartesian(spark, name):
     p = plan(Q[name](spark, SF001))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    assert "CartesianProduct" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
 
 
 def test_pushdown_and_pruning(spark):
