@@ -56,8 +56,13 @@ def test_code_map_and_labelled_files(spark, tmp):
         os.makedirs(d)
         with open(os.path.join(d, "a.jpg"), "wb") as f:
             f.write(b"\xff\xd8")
-    rows = S.scan_labelled_files(spark, os.path.join(tmp, "img")).collect()
+    files = S.scan_labelled_files(spark, os.path.join(tmp, "img"))
+    rows = files.collect()
     assert sorted((r.split, r.label) for r in rows) == [("train", "1"), ("train", "2"), ("valid", "1")]
+    from tidemark.operators.encode import string_index
+    idx, model = string_index(files.filter("split = 'train'"), "label", "class_index")
+    assert model.labels == ["1", "2"]
+    assert {(r.label, r.class_index) for r in model.transform(files).collect()} == {("1", 0.0), ("2", 1.0)}
 
 
 def test_save_table_fails_if_exists(spark):

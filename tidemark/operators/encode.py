@@ -111,3 +111,12 @@ def frequency_index(df: DataFrame, col: str, out: str, order: str = "frequencyDe
     w = (Window.orderBy(F.desc("__n"), F.asc(col)) if order == "frequencyDesc" else Window.orderBy(F.asc(col)))
     vocab = counts.select(col, (F.row_number().over(w) - 1).cast("double").alias(out))
     return lookup_join(df, vocab, col, "left")
+
+
+def string_index(df: DataFrame, col: str, out: str, order: str = "alphabetAsc"):
+    """F08 / S12 with MLlib: fit a ``StringIndexer`` (``alphabetAsc`` gives
+    the class index = sorted label order, ``frequencyDesc`` the frequency
+    order) and return (indexed frame, fitted model) so new data reuses it."""
+    from pyspark.ml.feature import StringIndexer
+    model = StringIndexer(inputCol=col, outputCol=out, stringOrderType=order, handleInvalid="keep").fit(df)
+    return model.transform(df), model
