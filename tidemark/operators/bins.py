@@ -6,10 +6,12 @@ aggregate, two self-joins (an equi-join on ``bin = bin' - 1`` and a theta join
 on ``bin > bin'``), a pivot and three distinct-count aggregates, glued by five
 joins. Here it is ONE ``groupBy(user, bin).agg(...)`` (partial aggregation on
 the map side, so a user holding a third of all events does not overload a
-task) and ONE window stage over the already tiny aggregated table: per user
-there are at most ``#bins`` rows, so the window's partition-by-user is never
-skewed. Two shuffles in total instead of eight; the event table is scanned
-once.
+task) and ONE window stage over the already tiny aggregated table: per user there
+are at most ``#bins`` rows, so the window's partition-by-user is never
+skewed. The plan has three exchanges - raw rows keyed by (user, bin,
+distinct value) for the exact distinct counts, the partial aggregates keyed
+by (user, bin), and the small aggregated table keyed by user - instead of
+the eight queries and five joins; the event table is scanned once.
 """
 
 from __future__ import annotations
