@@ -12,9 +12,10 @@ pass k   every target still open splits its current value range into
 stop     when a range holds one distinct value, or at most ``collect_max``
          rows - those few values are fetched and the rank is read exactly.
 
-Each pass is one scan with partial (map-side) aggregation; the driver only
-sees at most ``targets x n_bins`` histogram rows and ``collect_max`` values
-per target. Quantiles interpolate linearly between order statistics
+Each pass is one scan (columns stacked, joined with the broadcast table of
+open ranges) with partial (map-side) aggregation; the driver only sees at
+most ``targets x n_bins`` histogram rows and ``collect_max`` values per
+target. Quantiles interpolate linearly between order statistics
 (the ``quantile_cont`` / ``percentile`` definition).
 """
 
@@ -58,16 +59,41 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
             found[key] = lo
             del want[key]
 
-    def in_group(g):
-        cond = F.lit(True)
-        for k, v in zip(group, g):
-            cond = cond & (F.col(k) == F.lit(v) if v is not None else F.col(k).isNull())
-        return cond
+    # With many open ranges (many groups) a pass works on ONE stacked frame
+    # (group..., column index, x) joined with the table of open ranges, so
+    # per-row cost does not grow with the number of groups; the range table
+    # is built on the driver, so its size is known (broadcast when small).
+    # With a few ranges, one conditional per range is cheaper.
+    stacked = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    long = (df.selectExpr(*[f"`{k}`" for k in group], f"stack({len(cols)}, {stacked}) AS (__c, __x)")
+            .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
+    gtypes = {k: df.schema[k].dataType.simpleString() for k in group}
+    range_schema = ", ".join([f"`{k}` {gtypes[k]}" for k in group] +
+                             ["__c int", "__t int", "__lo double", "__hi double", "__w double"])
 
-    def exploded(parts):
-        # explode + null filter stays in generated code (a higher-order
-        # filter() lambda would be interpreted per row)
-        return df.select(F.explode(F.array(*parts)).alias("h")).filter(F.col("h").isNotNull())
+    def with_ranges(rows):
+        """Rows inside each open range as (__t, __x, __lo, __w)."""
+        if len(rows) <= 64:
+            # few ranges: one conditional struct per range, exploded and
+            # null-filtered (stays in generated code, no join)
+            parts = []
+            for r in rows:
+                g, (i, t, lo, hi, w) = r[:len(group)], r[len(group):]
+                x = F.col(cols[i]).cast("double")
+                inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
+                for k, v in zip(group, g):
+                    inside = inside & (F.col(k) == F.lit(v) if v is not None else F.col(k).isNull())
+                parts.append(F.when(inside, F.struct(F.lit(t).alias("t"), x.alias("x"), F.lit(lo).alias("lo"),
+                                                     F.lit(w).cast("double").alias("w"))))
+            h = df.select(F.explode(F.array(*parts)).alias("h")).filter(F.col("h").isNotNull())
+            return h.select(F.col("h.t").alias("__t"), F.col("h.x").alias("__x"),
+                            F.col("h.lo").alias("__lo"), F.col("h.w").alias("__w"))
+        rng = df.sparkSession.createDataFrame(rows, range_schema)
+        rng = F.broadcast(rng) if len(rows) <= 1_000_000 else rng
+        cond = [long[k].eqNullSafe(rng[k]) for k in group] + [long["__c"] == rng["__c"]]
+        j = long.join(rng, cond)
+        return j.filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi"))).select(
+            "__t", "__x", "__lo", "__w")
 
     for _ in range(max_passes):
         if not want:
@@ -75,15 +101,11 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         # ranks that share a range share one histogram
         ranges = sorted({(k[0], k[1], want[k][0], want[k][1]) for k in want}, key=repr)
         rid = {r: t for t, r in enumerate(ranges)}
-        parts = []
-        for t, (g, i, lo, hi) in enumerate(ranges):
-            x = F.col(cols[i]).cast("double")
-            inside = (x >= F.lit(lo)) & (x <= F.lit(hi)) & in_group(g)
-            w = (hi - lo) / n_bins
-            b = F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(n_bins - 1)).cast("int")
-            parts.append(F.when(inside, F.struct(F.lit(t).alias("t"), b.alias("b"), x.alias("x"))))
-        hist = (exploded(parts).groupBy(F.col("h.t").alias("t"), F.col("h.b").alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("h.x").alias("mn"), F.max("h.x").alias("mx"))
+        rows = [(*g, i, t, lo, hi, (hi - lo) / n_bins) for t, (g, i, lo, hi) in enumerate(ranges)]
+        j = with_ranges(rows)
+        b = F.least(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")), F.lit(n_bins - 1)).cast("int")
+        hist = (j.groupBy(F.col("__t").alias("t"), b.alias("b"))
+                .agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("mn"), F.max("__x").alias("mx"))
                 .collect())
         per_t: dict = {}
         for r in hist:
@@ -92,7 +114,7 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         for key in list(want):
             lo, hi, rank = want[key]
             acc = 0
-            for b, c, mn, mx in sorted(per_t.get(rid[(key[0], key[1], lo, hi)], [])):
+            for b_, c, mn, mx in sorted(per_t.get(rid[(key[0], key[1], lo, hi)], [])):
                 if acc + c > rank:
                     if mn == mx:
                         found[key] = mn
@@ -107,13 +129,9 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
         # ranks exactly
         if small:
             rs = list(small)
-            parts = []
-            for t, (g, i, lo, hi) in enumerate(rs):
-                x = F.col(cols[i]).cast("double")
-                cond = (x >= F.lit(lo)) & (x <= F.lit(hi)) & in_group(g)
-                parts.append(F.when(cond, F.struct(F.lit(t).alias("t"), x.alias("x"))))
+            rows = [(*g, i, t, lo, hi, 0.0) for t, (g, i, lo, hi) in enumerate(rs)]
             got: dict = {}
-            for r in exploded(parts).select("h.t", "h.x").collect():
+            for r in with_ranges(rows).select("__t", "__x").collect():
                 got.setdefault(r[0], []).append(r[1])
             for t, r in enumerate(rs):
                 vals = sorted(got[t])
