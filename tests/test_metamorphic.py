@@ -79,3 +79,18 @@ def test_any_earlier_is_monotone_in_bin(spark):
     bad = j.filter(F.when(F.col("b0").isNotNull() & (F.col("UserTimeBin") > F.col("b0")), 1).otherwise(0)
                    != F.col("PreviouslyDowngraded")).count()
     assert bad == 0
+
+
+def test_exact_quantiles_many_groups(spark):
+    """More open ranges than the conditional path handles: the range-table
+    join path gives the same medians and quartiles as ``percentile``."""
+    from tidemark.operators.quantiles import exact_quantiles
+    li = td.table(spark, SF001, "lineitem").withColumn("g", F.col("l_suppkey") % 40)
+    got = exact_quantiles(li, ["l_extendedprice", "l_quantity"], [0.25, 0.5], group=["g"])
+    exp = li.groupBy("g").agg(F.percentile("l_extendedprice", F.array(F.lit(0.25), F.lit(0.5))).alias("p"),
+                              F.percentile("l_quantity", F.array(F.lit(0.25), F.lit(0.5))).alias("q")).collect()
+    for r in exp:
+        for col, key in (("l_extendedprice", "p"), ("l_quantity", "q")):
+            v = got[((r.g,), col)]
+            assert abs(v[0.25] - r[key][0]) <= 1e-9 * max(1.0, abs(r[key][0]))
+            assert abs(v[0.5] - r[key][1]) <= 1e-9 * max(1.0, abs(r[key][1]))
