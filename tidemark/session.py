@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+_PACKAGE = os.path.dirname(os.path.abspath(__file__))
+
 
 def get_spark(master: str | None = None, app: str = "tidemark",
               shuffle_partitions: int | None = None,
@@ -45,11 +48,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). If
-    neither is set - only in local tests - a scratch folder is made and set.
+    neither is set, a session inside one local process gets a scratch folder
+    (its only machine sees it); on a cluster this is an error, since a folder
+    on one machine is invisible to the others.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
@@ -68,7 +75,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
-    return os.path.join(checkpoint_dir(spark).replace("file:", ""), "tables", name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per context.
+
+    Needed where the driver found it on a path of its own; called before a
+    Python function is built.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_tidemark_shipped", False):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="tidemark-zip-"), "tidemark_src.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for top, _, names in os.walk(_PACKAGE):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(top, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
+    sc.addPyFile(path)
+    sc._tidemark_shipped = True
 
 
 def suggested_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
