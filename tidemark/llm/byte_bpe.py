@@ -31,7 +31,7 @@ from tidemark.session import ship_package
 
 _MASK = (1 << 64) - 1
 #: Words whose ids one worker remembers (results of the two tiers, dropped together when full).
-REMEMBERED = 400_000
+REMEMBERED = 1_000_000
 #: White space before a space: only there can a pre-token hold the end of one word and the next one's space.
 _RUN = re.compile(r"\s ")
 

@@ -11,8 +11,8 @@ from tidemark.session import checkpoint_dir
 
 #: One run of ASCII white space (space, tab, LF, VT, FF, CR).
 WHITE = r"[\x20\x09-\x0D]+"
-#: A side is broadcast only up to this many bytes, counted or stated by its type.
-BROADCAST_BYTES = 64 * 1024 ** 2
+#: A side is broadcast only up to this many bytes: its counted rows times their size in a hash table.
+BROADCAST_BYTES = 32 * 1024 ** 2
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -124,9 +124,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = fps.groupBy("fp").agg(F.min("id").alias("rep"))
     nodes = written(groups.where(F.col("rep").isNotNull()), "nodes")
     roots = written(components(links(nodes)), "roots")
-    known = written(nodes.join(if_small(roots, 16), F.col("rep") == F.col("node"), "left")
+    known = written(nodes.join(if_small(roots, 64), F.col("rep") == F.col("node"), "left")
                     .select(F.col("fp").alias("fp_"), F.coalesce("root", "rep").alias("component_id")), "groups")
-    return (fps.join(if_small(known, 16), F.col("fp") == F.col("fp_"), "left")
+    return (fps.join(if_small(known, 64), F.col("fp") == F.col("fp_"), "left")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
@@ -136,11 +136,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     be removed by and stay."""
     found = written(near_duplicates(docs, id_col, text_col, shingle).select(F.col(id_col).alias("id_"), "component_id"), "found")
     out = found.where(F.col("id_") != F.col("component_id")).select("id_").distinct()
-    kept = docs.join(if_small(written(out, "out"), 8), F.col(id_col) == F.col("id_"), "left_anti")
+    kept = docs.join(if_small(written(out, "out"), 64), F.col(id_col) == F.col("id_"), "left_anti")
     again = written(found.where(F.col("id_") == F.col("component_id")).groupBy("id_").count()
                     .where("count > 1").select("id_"), "again")
     if not again.head(1):
         return kept
-    again = if_small(again, 8)
+    again = if_small(again, 64)
     return kept.join(again, F.col(id_col) == F.col("id_"), "left_anti").unionByName(
         kept.join(again, F.col(id_col) == F.col("id_"), "left_semi").dropDuplicates([id_col]))
