@@ -76,9 +76,12 @@ def _first(rules: tuple[Rule, ...], value) -> Column:
 
 def _grams(mark: str, text: Column) -> Column:
     padded = F.concat(F.lit("^"), text, F.lit("$"))
-    each = [F.transform(F.sequence(F.lit(1), F.greatest(F.length(padded) - (k - 1), F.lit(1))),
-                        lambda i, k=k: F.concat(F.lit(mark), F.substring(padded, i, k))) for k in GRAMS]
-    return F.concat(*each)
+
+    def of(k: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(padded) - (k - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.concat(F.lit(mark), F.substr(padded, i, F.lit(k))))
+
+    return F.concat(*[of(k) for k in GRAMS])
 
 
 def _features(urls: DataFrame) -> DataFrame:
