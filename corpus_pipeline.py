@@ -11,14 +11,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import byte_bpe, decontaminate, pii, simhash, toxicity
-from tidemark.llm.common import table, written
+from tidemark.llm.common import fresh, only, table, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject. It is fitted on the labelled
     ones of ``docs`` outside the held-out remainder; without any, nothing is rejected."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    score, predicted = fresh(docs, "score", "predicted")
+    scored = toxicity.score(docs, model, score_col=score, predicted_col=predicted)
+    return only(scored.where(f"{predicted} = 0"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

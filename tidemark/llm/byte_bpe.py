@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import fresh
 from tidemark.session import ship_package
 
 _MASK = (1 << 64) - 1
@@ -207,8 +208,9 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * ids)
 
     run = F.pandas_udf(work, made)
-    packed = docs.withColumn("__bpe", run(F.col(text_col).cast("string")))
-    return packed.withColumns({f.split()[0]: F.col("__bpe")[f.split()[0]] for f in made.split(", ")}).drop("__bpe")
+    name = fresh(docs, "__bpe")[0]
+    packed = docs.withColumn(name, run(F.col(text_col).cast("string")))
+    return packed.withColumns({f.split()[0]: F.col(name)[f.split()[0]] for f in made.split(", ")}).drop(name)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:

@@ -45,6 +45,23 @@ def if_small(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> Dat
     return F.broadcast(df) if small(df, row_bytes, limit) else df
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+        taken.add(n.lower())
+    return out
+
+
+def only(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``df`` with just ``columns``, whatever characters their names have."""
+    return df.select(*[F.col("`" + c.replace("`", "``") + "`") for c in columns])
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z to a-z; every other character stays."""
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

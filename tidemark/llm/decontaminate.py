@@ -21,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import if_small, small, written
+from tidemark.llm.common import fresh, if_small, small, written
 
 SHINGLE = 5
 SHARE = (4, 5)  # at least 4/5 of an item's shingles
@@ -105,5 +105,6 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that hold a test item (rows with a null id stay)."""
-    found = written(contaminated(docs, items, id_col, text_col).select(F.col(id_col).alias("id_")).distinct(), "leaks")
-    return docs.join(if_small(found, 64), F.col(id_col) == F.col("id_"), "left_anti")
+    name = fresh(docs, "id_")[0]
+    found = written(contaminated(docs, items, id_col, text_col).select(F.col(id_col).alias(name)).distinct(), "leaks")
+    return docs.join(if_small(found, 64), F.col(id_col) == F.col(name), "left_anti")

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import if_small, written
+from tidemark.llm.common import fresh, if_small, only, written
 
 KINDS = ("email", "ip", "card", "phone", "id")  # order of kinds that start together
 #: Rounds of the bootstrap; share of known instances and number of them that make a pattern confident.
@@ -135,21 +135,23 @@ def added_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             .agg(F.array_sort(F.collect_set(F.struct("a", F.lit(4).alias("k"), "b", F.lit("").alias("v")))).alias("added")))
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with ``base`` and ``all_spans`` (arrays of start a, kind number k, end b, value v; sorted).
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", base_col: str = "base",
+         all_col: str = "all_spans") -> DataFrame:
+    """``docs`` with ``base_col`` and ``all_col`` (arrays of start a, kind number k, end b, value v; sorted).
 
     Positions count code points, ends are exclusive. A null text counts as
     empty (no spans). Rows, repeated ones too, and further columns stay; columns
     of the two names are replaced. A null id is a value like any other. An empty
     table gives an empty one.
     """
+    i, h, added, key = fresh(docs, "__id", "__h", "__added", "__key")
     extra = written(added_spans(docs, id_col, text_col), "added").select(
-        F.col("id").alias("__id"), F.col("h").alias("__h"), F.col("added").alias("__added"))
+        F.col("id").alias(i), F.col("h").alias(h), F.col("added").alias(added))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    based = docs.withColumn("base", base_spans(text)).withColumn("__key", F.xxhash64(text))
-    joined = based.join(if_small(extra, 256), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__h")), "left")
-    every = F.when(F.col("__added").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "__added")))
-    return joined.withColumn("all_spans", every).drop("__id", "__h", "__added", "__key")
+    based = docs.withColumn(key, F.xxhash64(text)).withColumn(base_col, base_spans(text))
+    joined = based.join(if_small(extra, 256), F.col(id_col).eqNullSafe(F.col(i)) & (F.col(key) == F.col(h)), "left")
+    every = F.when(F.col(added).isNull(), F.col(base_col)).otherwise(F.array_sort(F.concat(base_col, added)))
+    return joined.withColumn(all_col, every).drop(i, h, added, key)
 
 
 def digest(spans: Column) -> Column:
@@ -177,9 +179,10 @@ def masked(text: Column, spans: Column) -> Column:
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """``docs`` with all spans masked in the texts and ``chars_col``, where there is one, counted anew."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    out = find(docs, id_col, text_col)
-    out = out.withColumn(text_col, F.when(F.size("all_spans") > 0, masked(text, F.col("all_spans"))).otherwise(F.col(text_col)))
+    base, spans = fresh(docs, "base", "all_spans")
+    out = find(docs, id_col, text_col, base, spans)
+    out = out.withColumn(text_col, F.when(F.size(spans) > 0, masked(text, F.col(spans))).otherwise(F.col(text_col)))
     if chars_col in docs.columns:
         kind = docs.schema[chars_col].dataType
-        out = out.withColumn(chars_col, F.when(F.size("all_spans") > 0, F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
-    return out.select(*docs.columns)
+        out = out.withColumn(chars_col, F.when(F.size(spans) > 0, F.length(text_col).cast(kind)).otherwise(F.col(chars_col)))
+    return only(out, docs.columns)

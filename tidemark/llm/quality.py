@@ -131,8 +131,9 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) ->
     return train(sample["text"].tolist(), sample["y"].to_numpy(float))
 
 
-def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on).
+def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score",
+          predicted_col: str = "predicted") -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1) and ``predicted_col`` (1 from ``THRESHOLD`` on).
 
     Every chunk of every whole text is seen; a null text counts as empty, an
     empty one is a single chunk of padding. Rows, repeated ones too, and further
@@ -145,5 +146,5 @@ def score(docs: DataFrame, net: Network, text_col: str = "text") -> DataFrame:
         for texts in batches:
             yield pd.Series([net.probability(t) for t in texts], dtype="float64")
 
-    return (docs.withColumn("score", F.pandas_udf(work, "double")(F.col(text_col).cast("string")))
-            .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+    return (docs.withColumn(score_col, F.pandas_udf(work, "double")(F.col(text_col).cast("string")))
+            .withColumn(predicted_col, (F.col(score_col) >= THRESHOLD).cast("int")))

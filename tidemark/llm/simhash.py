@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, if_small, written
+from tidemark.llm.common import components, fresh, if_small, written
 from tidemark.session import ship_package
 
 SHINGLE = 3
@@ -135,12 +135,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     (one of its rows, if the id is repeated). Rows with a null id have no name to
     be removed by and stay."""
     found = written(near_duplicates(docs, id_col, text_col, shingle).select(F.col(id_col).alias("id_"), "component_id"), "found")
-    out = found.where(F.col("id_") != F.col("component_id")).select("id_").distinct()
-    kept = docs.join(if_small(written(out, "out"), 64), F.col(id_col) == F.col("id_"), "left_anti")
-    again = written(found.where(F.col("id_") == F.col("component_id")).groupBy("id_").count()
-                    .where("count > 1").select("id_"), "again")
+    name = fresh(docs, "id_")[0]
+    out = found.where(F.col("id_") != F.col("component_id")).select(F.col("id_").alias(name)).distinct()
+    kept = docs.join(if_small(written(out, "out"), 64), F.col(id_col) == F.col(name), "left_anti")
+    again = written(found.where(F.col("id_") == F.col("component_id")).groupBy("id_").agg(F.count("*").alias("n"))
+                    .where("n > 1").select(F.col("id_").alias(name)), "again")
     if not again.head(1):
         return kept
     again = if_small(again, 64)
-    return kept.join(again, F.col(id_col) == F.col("id_"), "left_anti").unionByName(
-        kept.join(again, F.col(id_col) == F.col("id_"), "left_semi").dropDuplicates([id_col]))
+    return kept.join(again, F.col(id_col) == F.col(name), "left_anti").unionByName(
+        kept.join(again, F.col(id_col) == F.col(name), "left_semi").dropDuplicates([id_col]))

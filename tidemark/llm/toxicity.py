@@ -268,8 +268,9 @@ def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) ->
     return entries, fit_logistic(np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(float)).tolist()
 
 
-def score(docs: DataFrame, model: tuple[list[Entry], list[float]], text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted`` (1 from ``THRESHOLD`` on).
+def score(docs: DataFrame, model: tuple[list[Entry], list[float]], text_col: str = "text", score_col: str = "score",
+          predicted_col: str = "predicted") -> DataFrame:
+    """``docs`` with ``score_col`` (0 to 1) and ``predicted_col`` (1 from ``THRESHOLD`` on).
 
     Whole texts are scored; a null text counts as empty, and an empty text gets
     the model's constant. Rows, repeated ones too, and further columns stay;
@@ -283,5 +284,5 @@ def score(docs: DataFrame, model: tuple[list[Entry], list[float]], text_col: str
         for texts in batches:
             yield pd.Series([s.score(t) for t in texts], dtype="float64")
 
-    return (docs.withColumn("score", F.pandas_udf(work, "double")(F.col(text_col).cast("string")))
-            .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
+    return (docs.withColumn(score_col, F.pandas_udf(work, "double")(F.col(text_col).cast("string")))
+            .withColumn(predicted_col, (F.col(score_col) >= THRESHOLD).cast("int")))

@@ -27,7 +27,8 @@ BLOCK_WORDS = (
 ALLOW_WORDS = (
     "university garden news city software encyclopedia museum recipes kitchen weather library school hospital travel island "
     "forum radio bank theatre maps region newspaper journal science teacher athletics other station mountain parliament history "
-    "thing another north river street water bread house letter").split()
+    "thing another north river street water bread house letter the that with this from have their these those through there "
+    "than then thank order earth health month south both tenth action nation stone rest east best").split()
 ADDRESSES = (
     "http://{w}.example.com/en/771",
     "https://www.{w}-home.example.org/fr/5120.html",
