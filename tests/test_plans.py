@@ -53,10 +53,13 @@ def test_state_join_slices_hot_keys(spark):
     assert "_bucket" in p
 
 
-def test_text_counts_colocated_by_document(spark):
-    """Tokens are counted where their document lives: after the one
-    repartition by doc_id there is no exchange before the (doc, term)
-    aggregation."""
-    p = plan(Q["bag_of_words"](spark, SF001))
-    assert "RoundRobinPartitioning" not in p
-    assert p.count("hashpartitioning(doc_id") >= 1
+def test_texts_are_tokenised_once_and_never_shuffled(spark):
+    """Terms are counted in the scan stage; the exchange carries (doc, term, count)
+    and is reused, so the final plan tokenises once."""
+    for name in ("bag_of_words", "bag_of_words_top", "bag_of_pairs", "tf_idf", "tf_weights", "tokenize"):
+        df = Q[name](spark, SF001)
+        df.collect()
+        p = df._jdf.queryExecution().executedPlan().toString()
+        p = p.split("== Initial Plan ==")[0]
+        assert p.count("regexp_extract_all") == 1, name
+        assert not any("Exchange" in line and "text#" in line for line in p.splitlines()), name

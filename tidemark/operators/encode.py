@@ -9,30 +9,40 @@ population std, constant column -> 0, no level dropped.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_LEVELS = 10_000
+def dummy_name(col: str, level) -> str:
+    """Column name of a level: ``col_level``, the level's text unchanged (two levels never share a name)."""
+    return f"{col}_{level}"
 
 
-def dummy_name(col: str, level) -> str:
-    return re.sub(r"[^0-9A-Za-z_]+", "_", f"{col}_{level}")
+def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int | None = None) -> dict[str, list]:
+    """Sorted distinct non-null levels per column.
 
+    A column per level is meant for categoricals; ``max_levels``, if given,
+    is checked against the exact number of levels of each column and exceeding
+    it raises. Wide columns: ``string_index`` and MLlib's sparse
+    ``OneHotEncoder(dropLast=False)`` (``one_hot_vector``)."""
+    out = {}
+    for c in cols:
+        rows = df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c)
+        if max_levels is not None:
+            rows = rows.limit(max_levels + 1)
+        out[c] = [r[0] for r in rows.collect()]
+        if max_levels is not None and len(out[c]) > max_levels:
+            raise ValueError(f"{c}: more than {max_levels} levels")
+    return out
 
-def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
-    """Sorted distinct non-null levels per column, one pass. Raises if a
-    column has more than ``max_levels`` levels (not a categorical)."""
-    aggs = [F.array_sort(F.collect_set(F.col(c))).alias(f"l{i}") for i, c in enumerate(cols)]
-    guard = [F.approx_count_distinct(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)]
-    r0 = df.agg(*guard).first()
-    for i, c in enumerate(cols):
-        if r0[f"n{i}"] > max_levels:
-            raise ValueError(f"{c}: ~{r0[f'n{i}']} levels > {max_levels}")
-    r = df.agg(*aggs).first()
-    return {c: list(r[f"l{i}"]) for i, c in enumerate(cols)}
+
+def one_hot_vector(df: DataFrame, col: str, out: str) -> DataFrame:
+    """F03 for columns with many levels: a sparse 0/1 vector, no level dropped; null -> all 0."""
+    from pyspark.ml.feature import OneHotEncoder
+    indexed, _ = string_index(df, col, "__index")
+    hot = OneHotEncoder(inputCol="__index", outputCol=out, dropLast=True).fit(indexed)  # the kept last index is null
+    return hot.transform(indexed).drop("__index")
 
 
 def one_hot(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence] | None = None,
@@ -43,6 +53,8 @@ def one_hot(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence] |
     new = {}
     for c in cols:
         for lv in levels[c]:
+            if dummy_name(c, lv) in new:  # e.g. level "b_c" of column "a" and level "c" of column "a_b"
+                raise ValueError(f"two levels give the column name {dummy_name(c, lv)}")
             new[dummy_name(c, lv)] = F.coalesce(F.col(c) == F.lit(lv), F.lit(False)).cast("int")
     out = df.withColumns(new)
     return out.drop(*cols) if drop else out
@@ -51,7 +63,9 @@ def one_hot(df: DataFrame, cols: Sequence[str], levels: Mapping[str, Sequence] |
 def fit_min_max(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.min(F.col(c).cast("double")).alias(f"a{i}"), F.max(F.col(c).cast("double")).alias(f"b{i}")]
+        x = F.col(c).cast("double")
+        x = F.when(~F.isnan(x), x)
+        aggs += [F.min(x).alias(f"a{i}"), F.max(x).alias(f"b{i}")]
     r = df.agg(*aggs).first()
     return {c: (r[f"a{i}"], r[f"b{i}"]) for i, c in enumerate(cols)}
 
@@ -103,13 +117,21 @@ def impute_mean(df: DataFrame, cols: Sequence[str], means: Mapping[str, float] |
 def frequency_index(df: DataFrame, col: str, out: str, order: str = "frequencyDesc") -> DataFrame:
     """label -> index by frequency (ties by value), or alphabetical.
 
-    The label vocabulary is aggregated, ranked and broadcast back (bounded by
-    the number of distinct labels, checked in ``lookup_join``)."""
+    The label vocabulary is aggregated and ranked in two levels: labels of one
+    frequency (or one first letters' range) are ranked among themselves, and
+    offset by the running totals over the few frequencies; so no task sorts the
+    whole vocabulary. The join back is the planner's choice."""
     from tidemark.operators.lookup import lookup_join
     from pyspark.sql import Window
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n")).filter(F.col(col).isNotNull())
-    w = (Window.orderBy(F.desc("__n"), F.asc(col)) if order == "frequencyDesc" else Window.orderBy(F.asc(col)))
-    vocab = counts.select(col, (F.row_number().over(w) - 1).cast("double").alias(out))
+    part = (-F.col("__n")) if order == "frequencyDesc" else F.substring(F.col(col).cast("string"), 1, 2)
+    counts = counts.withColumn("__p", part)
+    sizes = counts.groupBy("__p").agg(F.count(F.lit(1)).alias("__s"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # over distinct frequencies only
+    sizes = sizes.select("__p", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__o"))
+    own = Window.partitionBy("__p").orderBy(col)
+    vocab = (counts.withColumn("__r", F.row_number().over(own)).join(sizes, "__p")
+             .select(col, (F.col("__r") + F.col("__o") - 1).cast("double").alias(out)))
     return lookup_join(df, vocab, col, "left")
 
 

@@ -1,8 +1,9 @@
 """Dictionary lookups.
 
-A dictionary is a small table; it is broadcast only after its row count is
-checked against a bound, otherwise the join is left to the planner
-(sort-merge, with AQE re-planning at runtime).
+No side is forced to be broadcast: the planner does so when the bytes of a side,
+estimated or measured at run time (AQE), stay under
+``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles both, splitting
+skewed partitions.
 """
 
 from __future__ import annotations
@@ -12,20 +13,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` if it has at most ``max_rows`` rows (checked with a
-    bounded ``limit(max_rows + 1).count()``), else return it unchanged."""
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left",
-                max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Left lookup join of a small dimension."""
-    return df.join(bounded_broadcast(dim, max_rows), on, how)
+    return df.join(dim, on, how)
 
 
 def lookup_default(df: DataFrame, dim: DataFrame, key: str, value: str, out: str,
@@ -33,7 +23,7 @@ def lookup_default(df: DataFrame, dim: DataFrame, key: str, value: str, out: str
     """Code -> name, absent code -> ``default``."""
     dk = dim_key or key
     d = dim.select(F.col(dk).alias("__k"), F.col(value).alias("__v"))
-    j = df.join(bounded_broadcast(d), df[key] == F.col("__k"), "left")
+    j = df.join(d, df[key] == F.col("__k"), "left")
     return j.withColumn(out, F.coalesce(F.col("__v"), F.lit(default))).drop("__k", "__v")
 
 

@@ -53,7 +53,7 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     return df.groupBy(score).agg(F.sum(y).cast("long").alias("pos"), F.sum(1 - y).cast("long").alias("neg"))
 
 
-def roc_points(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataFrame:
+def roc_points(df: DataFrame, label: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """Per distinct threshold (descending), cumulative TP/FP, TPR, FPR and
     precision. Ties share one point."""
     sc = score_counts(df, label, score)
@@ -63,7 +63,7 @@ def roc_points(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> Da
                       safe_ratio("cum_pos", F.col("cum_pos") + F.col("cum_neg")).alias("precision"))
 
 
-def area_under_roc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -> DataFrame:
+def area_under_roc(df: DataFrame, label: str, score: str, n_buckets: int | None = None) -> DataFrame:
     """E02 (exact): P(score+ > score-) + 0.5 P(tie), from per-score counts and
     the distributed prefix of negatives below each score."""
     sc = score_counts(df, label, score)
@@ -74,22 +74,34 @@ def area_under_roc(df: DataFrame, label: str, score: str, n_buckets: int = 64) -
     return a.select(safe_ratio("w", F.col("P") * F.col("N")).alias("auc"))
 
 
+def area_under_pr(df: DataFrame, label: str, score: str, n_buckets: int | None = None) -> DataFrame:
+    """E02 (exact): area under the precision-recall curve by the trapezoid rule over
+    all distinct scores, the curve starting at recall 0 with the first point's
+    precision (MLlib's rule, without its bins)."""
+    sc = score_counts(df, label, score)
+    cum = prefix_sum(sc, score, ["pos", "neg"], n_buckets, desc=True, totals=True)
+    # a point's predecessor has its counts less the score's own, so no row looks at another
+    precision = F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))
+    p0, n0 = F.col("cum_pos") - F.col("pos"), F.col("cum_neg") - F.col("neg")
+    before = F.when(p0 + n0 > 0, F.try_divide(p0, p0 + n0)).otherwise(precision)
+    part = cum.select(((precision + before) / 2 * F.col("pos")).alias("w"), "total_pos")
+    a = part.agg(F.sum("w").alias("w"), F.max("total_pos").alias("P"))
+    return a.select(safe_ratio("w", "P").alias("auc_pr"))
+
+
 def per_class_report(df: DataFrame, pairs: Sequence[tuple[str, str]], classes: Sequence[int] = (0, 1)) -> DataFrame:
     """Precision, recall, F1 and support per (label column, class).
 
-    Label/prediction column pairs are stacked long, then ONE groupBy."""
+    Label/prediction column pairs are stacked long, then ONE groupBy gives the
+    counts of (category, y, yhat), from which every class's numbers are sums."""
     parts = ", ".join(f"'{y}', CAST(`{y}` AS INT), CAST(`{p}` AS INT)" for y, p in pairs)
     long = df.selectExpr(f"stack({len(pairs)}, {parts}) AS (category, y, yhat)")
-    rows = []
-    for c in classes:
-        rows.append(long.groupBy("category").agg(
-            F.lit(c).alias("class"),
-            F.sum(((F.col("y") == c) & (F.col("yhat") == c)).cast("long")).alias("tp"),
-            F.sum((F.col("yhat") == c).cast("long")).alias("predicted"),
-            F.sum((F.col("y") == c).cast("long")).alias("support")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    counts = long.groupBy("category", "y", "yhat").agg(F.count(F.lit(1)).alias("n"))
+    c = F.col("class")
+    out = (counts.withColumn("class", F.explode(F.array(*[F.lit(k) for k in classes]))).groupBy("category", "class").agg(
+        F.sum(F.when((F.col("y") == c) & (F.col("yhat") == c), F.col("n")).otherwise(0)).alias("tp"),
+        F.sum(F.when(F.col("yhat") == c, F.col("n")).otherwise(0)).alias("predicted"),
+        F.sum(F.when(F.col("y") == c, F.col("n")).otherwise(0)).alias("support")))
     out = out.withColumns({"precision": F.coalesce(safe_ratio("tp", "predicted"), F.lit(0.0)),
                            "recall": F.coalesce(safe_ratio("tp", "support"), F.lit(0.0))})
     return out.withColumn("f1", f_beta("precision", "recall", 1.0))

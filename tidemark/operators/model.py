@@ -80,8 +80,8 @@ def linear_report(spark: SparkSession, model, names: Sequence[str]) -> DataFrame
 
 
 def auc(pred: DataFrame, label: str = "label", metric: str = "areaUnderROC") -> float:
-    """MLlib's area under ROC / PR (binned for very large inputs)."""
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric)
+    """MLlib's area under ROC / PR over all distinct scores (no binning)."""
+    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction", metricName=metric, numBins=0)
     return ev.evaluate(pred)
 
 
@@ -126,9 +126,17 @@ def pca_fit(df: DataFrame, k: int, features: str = "features", out: str = "pca")
     return PCA(k=k, inputCol=features, outputCol=out).fit(df)
 
 
+def total_variance(df: DataFrame, features: str = "features") -> tuple[int, float]:
+    """Rows and summed sample variance (n - 1) of the components of a vector column, from the data."""
+    from pyspark.ml.stat import Summarizer
+    r = df.select(Summarizer.metrics("count", "variance").summary(F.col(features)).alias("s")).first()["s"]
+    return int(r["count"]), float(r["variance"].toArray().sum())
+
+
 def scree_table(spark: SparkSession, pca_model, n_rows: int, total_variance: float) -> DataFrame:
     """F10 + F11 + W04: per component the variance ratio, running total and
-    singular value sqrt(lambda * (n - 1)); lambda = ratio * total variance."""
+    singular value sqrt(lambda * (n - 1)); lambda = ratio * total variance,
+    the total being the sample variance (``total_variance``) of the fitted features."""
     ev = pca_model.explainedVariance.toArray().tolist()
     rows, cum = [], 0.0
     for i, r in enumerate(ev):

@@ -19,6 +19,12 @@ _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
 
 
+def present(col: str) -> Column:
+    """A numeric column as double, NaN as null: what counts as a value in moments, ranges and quantiles."""
+    x = F.col(f"`{col}`").cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def group_size(df: DataFrame, keys: Sequence[str], dropna: bool = False) -> DataFrame:
     """Rows per group; ``dropna`` gives pandas' groupby (null keys dropped)."""
     if dropna:
@@ -56,17 +62,16 @@ def share_of_total(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True) -> DataFrame:
     """Count, mean, sample std, min, quartiles, max per numeric column,
-    long form (one row per column).
+    long form (one row per column); NaN is missing.
 
-    Moments come from one aggregation pass. Quartiles are exact by default,
-    found by distributed histogram refinement (``exact_quantiles``: a few
-    scans, nothing unbounded in one task); ``exact=False`` uses
-    ``percentile_approx`` in the same single pass."""
+    Moments come from one aggregation pass. Quartiles are exact by default
+    (``exact_quantiles``: three more scans, nothing unbounded in one task);
+    ``exact=False`` uses ``percentile_approx`` in the same single pass."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = present(c)
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
         if not exact:
@@ -74,13 +79,12 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     wide = df.agg(*aggs)
     if exact:
         from tidemark.operators.quantiles import exact_quantiles
-        qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-        r = wide.first()
-        rows = [(c, r[f"c{i}"], r[f"m{i}"], r[f"s{i}"], r[f"lo{i}"], qs[((), c)][0.25], qs[((), c)][0.5],
-                 qs[((), c)][0.75], r[f"hi{i}"]) for i, c in enumerate(cols)]
-        return df.sparkSession.createDataFrame(
-            rows, "column_name string, count long, mean double, std double, min double, p25 double, "
-                  "p50 double, p75 double, max double")
+        qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
+            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
+        parts = ", ".join(f"'{c}', c{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
+        return (wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, count, mean, std, min, max)")
+                .join(qs, "column_name", "left")
+                .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
     parts = ", ".join(
         f"'{c}', c{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(cols))
     return wide.selectExpr(
@@ -129,16 +133,18 @@ def row_null_histogram(df: DataFrame, cols: Sequence[str] | None = None, count_p
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over [min, max]; the last bin is closed.
 
-    The range is one aggregate (two numbers to the driver), then one
-    grouped count; the data is scanned twice, never collected."""
-    x = F.col(col).cast("double")
+    Missing values (null, NaN) are left out; infinities have no bin of finite
+    width and are left out too. The range is one aggregate (two numbers to the
+    driver), then one grouped count; the data is scanned twice, never collected."""
+    x = present(col)
+    x = F.when(F.abs(x) != float("inf"), x)
     r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     lo, hi = r["lo"], r["hi"]
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n long")
     w = (hi - lo) / bins
     b = (F.lit(0) if w == 0 else F.least(F.floor((x - F.lit(lo)) / F.lit(w)), F.lit(bins - 1))).cast("int")
-    return (df.filter(x.isNotNull() & ~F.isnan(x))
+    return (df.filter(x.isNotNull())
             .select(b.alias("bin"), (F.lit(lo) + b * F.lit(w)).alias("lower"),
                     (F.lit(lo) + (b + 1) * F.lit(w)).alias("upper"))
             .groupBy("bin", "lower", "upper").agg(F.count(F.lit(1)).alias("n")))
@@ -164,12 +170,13 @@ def compare_subsets(a: DataFrame, b: DataFrame, cols: Sequence[str],
 
 
 def classify_categoricals(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Levels per column with null counted as a level; class is
+    """Levels per column with missing (null, NaN) counted as one level; class is
     ``binary_numeric`` / ``binary_text`` (2 levels) or ``multi`` (other)."""
     aggs = []
     for i, c in enumerate(cols):
-        aggs += [F.count_distinct(F.col(c)).alias(f"d{i}"),
-                 F.max(F.col(c).isNull().cast("int")).alias(f"z{i}")]
+        gone = missing(df, c)
+        aggs += [F.count_distinct(F.when(~gone, F.col(c))).alias(f"d{i}"),
+                 F.max(gone.cast("int")).alias(f"z{i}")]
     types = {f.name: isinstance(f.dataType, _NUMERIC) for f in df.schema.fields}
     parts = ", ".join(f"'{c}', {str(types[c]).lower()}, d{i} + z{i}" for i, c in enumerate(cols))
     out = df.agg(*aggs).selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, is_numeric, n_levels)")
@@ -194,23 +201,21 @@ def cluster_ratio(a: DataFrame, b: DataFrame, cluster: str = "cluster") -> DataF
 def describe_by(df: DataFrame, key: str, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, std, min, median, max per group and column (long).
 
-    Moments: one groupBy over the stacked columns. Medians: exact
-    distributed selection per (group, column) (a group may be a third of
-    the rows; nothing collects it), joined as a small table bounded by
-    groups x columns; ``exact=False`` uses ``percentile_approx``."""
+    NaN is missing. Moments: one groupBy over the stacked columns. Medians:
+    exact distributed selection per (group, column) (a group may be a third of
+    the rows; nothing collects it), joined on group and column;
+    ``exact=False`` uses ``percentile_approx``."""
     parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)")
+    long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)").withColumn("x", present("x"))
     moments = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
                F.min("x").alias("min"), F.max("x").alias("max")]
     if not exact:
         return long.groupBy(key, "column_name").agg(*moments, F.percentile_approx("x", 0.5, 10000).alias("median"))
     from tidemark.operators.quantiles import exact_quantiles
-    qs = exact_quantiles(df, cols, [0.5], group=[key])
-    ktype = df.schema[key].dataType.simpleString()
-    med = df.sparkSession.createDataFrame([(g[0], c, v[0.5]) for (g, c), v in qs.items()],
-                                          f"`{key}` {ktype}, column_name string, median double")
-    agg = long.groupBy(key, "column_name").agg(*moments)
-    return agg.join(F.broadcast(med), [key, "column_name"], "left").select(
+    med = exact_quantiles(df, cols, [0.5], group=[key]).select(
+        F.struct(key, "column_name").alias("__k"), F.col("value").alias("median"))
+    agg = long.groupBy(key, "column_name").agg(*moments).withColumn("__k", F.struct(key, "column_name"))
+    return agg.join(med, "__k", "left").select(
         key, "column_name", "count", "mean", "std", "min", "median", "max")
 
 
@@ -222,27 +227,44 @@ def row_sum(cols: Sequence[str]) -> Column:
 def best_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, str]]) -> DataFrame:
     """Per group, the best row by a list of ``(column, "max"|"min")``
     criteria applied in turn (e.g. max accuracy, then min loss, then min
-    epoch = first). ``max_by`` over a struct rank: a partial (map-side)
-    aggregate keeps one row per group and task before the exchange, so a
-    hot group is not a problem (struct buffers make it sort-based, each
-    task sorting only its own rows)."""
-    rank = F.struct(*[(F.col(c) if how == "max" else -F.col(c)).alias(f"__r{i}")
-                      for i, (c, how) in enumerate(order)])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    g = df.groupBy(*keys) if keys else df.groupBy()
-    return g.agg(F.max_by(payload, rank).alias("best")).select(*keys, "best.*")
+    epoch = first), of any ordered type. A null never wins over a value. Runs of equal direction are one struct
+    rank: ``max_by`` / ``min_by`` is a partial (map-side) aggregate that keeps
+    one row per group and task before the exchange, so a hot group is not a
+    problem. Numbers are negated to join a run of the other direction; for
+    text, dates and the like the run is cut: the best value of the first
+    criteria is found, and only rows that have it go on."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    g = list(keys)
+    rows, todo = df, list(order)
+    while todo:
+        take = 1
+        while take < len(todo) and (todo[take][1] == todo[0][1] or isinstance(types[todo[take][0]], _NUMERIC)):
+            take += 1
+        run, todo, lead = todo[:take], todo[take:], todo[0][1]
+        parts = []
+        for i, (c, how) in enumerate(run):
+            v = F.col(c) if how == lead else -F.col(c)
+            parts += [(F.col(c).isNotNull() if lead == "max" else F.col(c).isNull()).alias(f"p{i}"), v.alias(f"r{i}")]
+        rank = F.struct(*parts)
+        if not todo:
+            payload = F.struct(*[F.col(c) for c in df.columns if c not in g])
+            pick = (F.max_by if lead == "max" else F.min_by)(payload, rank)
+            return rows.groupBy(*g).agg(pick.alias("best")).select(*g, "best.*")
+        best = (F.max if lead == "max" else F.min)(F.struct(*parts)).alias("__best")
+        top = rows.groupBy(*g).agg(best).select(F.struct(F.lit(0), *g).alias("__g"), "__best")
+        rows = (rows.withColumn("__g", F.struct(F.lit(0), *g)).withColumn("__best", rank)
+                .join(top, ["__g", "__best"], "left_semi").drop("__g", "__best"))
+    raise ValueError("no criteria")
 
 
 def describe_text(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """A11 for text columns (pandas' object describe): non-null count,
     distinct values, most frequent value (ties: smallest) and its count.
-    One stacked aggregation; the top value per column comes from a window
-    over the (column, value) counts, whose size is the number of levels."""
+    One stacked aggregation per value; the top value per column is a partial
+    aggregate over the (column, value) counts (no task sees them all)."""
     parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, value)").filter(F.col("value").isNotNull())
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    per = counts.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc("value"))
-    top = (counts.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") == 1)
-           .select("column_name", F.col("value").alias("top"), F.col("n").alias("freq")))
-    return per.join(top, "column_name").select("column_name", "count", "unique", "top", "freq")
+    first = F.struct((-F.col("n")).alias("n"), F.col("value").alias("value"))  # most frequent, then smallest
+    per = counts.groupBy("column_name").agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.min(first).alias("t"))
+    return per.select("column_name", "count", "unique", F.col("t.value").alias("top"), (-F.col("t.n")).alias("freq"))

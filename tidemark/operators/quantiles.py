@@ -1,156 +1,94 @@
 """Exact quantiles without holding a group in one task.
 
-``percentile`` keeps every distinct value of a group in one aggregation
-buffer, which is unbounded when a group (or the whole table) is large.
-Here each wanted order statistic is found by histogram refinement:
+``percentile`` keeps every distinct value of a group in one aggregation buffer,
+which is unbounded when a group (or the whole table) is large. Here each wanted
+order statistic is found by cells:
 
-pass 0   one aggregation: non-null count, min, max per (group, column);
-pass k   every target still open splits its current value range into
-         ``n_bins`` equal-width bins; ONE aggregation over the rows inside
-         the open ranges gives count/min/max per (target, bin); the bin
-         holding the wanted rank becomes the new range (its exact min/max);
-stop     when a range holds one distinct value, or at most ``collect_max``
-         rows - those few values are fetched and the rank is read exactly.
+edges    one aggregation: approximate percentiles close around every asked
+         probability, per (group, column);
+cells    the edges cut the values into cells; one aggregation counts the rows
+         of each cell EXACTLY, and running totals over the few cells of a group
+         give the cell that holds a wanted rank, and the rank inside it;
+rank     only rows of those cells go on: counted per distinct value, running
+         totals inside the cell find the value.
 
-Each pass is one scan (columns stacked, joined with the broadcast table of
-open ranges) with partial (map-side) aggregation; the driver only sees at
-most ``targets x n_bins`` histogram rows and ``collect_max`` values per
-target. Quantiles interpolate linearly between order statistics
-(the ``quantile_cont`` / ``percentile`` definition).
+The edges only decide how small the cells are, never which value is found, so
+the approximation costs time at worst. A cell holds about 1/ACCURACY of a
+group's rows, so no task sorts more than that of any group. Everything is one
+plan of joins and aggregates at every size; nothing returns to the driver.
+NaN counts as missing; infinities are values like any other. Quantiles
+interpolate linearly between order statistics (the ``quantile_cont`` /
+``percentile`` definition); between equal neighbours, and exactly on one, the
+neighbour itself is the answer.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Accuracy of the percentile sketch; distance of the outermost edges from a probability; edges on each side.
+ACCURACY, SPREAD, SIDE = 10_000, 1e-3, 16
+#: Largest table of edges that is broadcast.
+BROADCAST_BYTES = 32 * 1024 ** 2
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group: Sequence[str] = (), n_bins: int = 4096, collect_max: int = 10_000,
-                    max_passes: int = 12) -> dict:
-    """{(group values tuple, column): {prob: value}} (None for empty groups)."""
-    group = list(group)
-    # pass 0
-    aggs = []
-    for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        x = F.when(~F.isnan(x), x)
-        aggs += [F.count(x).alias(f"n{i}"), F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-    base = (df.groupBy(*group) if group else df.groupBy()).agg(*aggs).collect()
 
-    # targets: (group tuple, col index, rank) -> open range
-    want: dict = {}
-    for r in base:
-        g = tuple(r[k] for k in group)
-        for i, _ in enumerate(cols):
-            n = r[f"n{i}"]
-            if not n:
-                continue
-            for q in probs:
-                pos = (n - 1) * q
-                for rank in {math.floor(pos), math.ceil(pos)}:
-                    want[(g, i, rank)] = [r[f"lo{i}"], r[f"hi{i}"], rank]  # lo, hi, rank within range
-    found: dict = {}
-    for key, (lo, hi, rank) in list(want.items()):
-        if lo == hi:
-            found[key] = lo
-            del want[key]
+def _stacked(df: DataFrame, cols: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """(key, x): one row per present value; the key holds the group values and the column's name."""
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(*[f"`{g}`" for g in group], f"stack({len(cols)}, {parts}) AS (column_name, x)")
+    return (long.where(F.col("x").isNotNull() & ~F.isnan("x"))
+            .select(F.struct(*group, "column_name").alias("key"), "x"))
 
-    # With many open ranges (many groups) a pass works on ONE stacked frame
-    # (group..., column index, x) joined with the table of open ranges, so
-    # per-row cost does not grow with the number of groups; the range table
-    # is built on the driver, so its size is known (broadcast when small).
-    # With a few ranges, one conditional per range is cheaper.
-    stacked = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
-    long = (df.selectExpr(*[f"`{k}`" for k in group], f"stack({len(cols)}, {stacked}) AS (__c, __x)")
-            .filter(F.col("__x").isNotNull() & ~F.isnan("__x")))
-    gtypes = {k: df.schema[k].dataType.simpleString() for k in group}
-    range_schema = ", ".join([f"`{k}` {gtypes[k]}" for k in group] +
-                             ["__c int", "__t int", "__lo double", "__hi double", "__w double"])
 
-    def with_ranges(rows):
-        """Rows inside each open range as (__t, __x, __lo, __w)."""
-        if len(rows) <= 64:
-            # few ranges: one conditional struct per range, exploded and
-            # null-filtered (stays in generated code, no join)
-            parts = []
-            for r in rows:
-                g, (i, t, lo, hi, w) = r[:len(group)], r[len(group):]
-                x = F.col(cols[i]).cast("double")
-                inside = (x >= F.lit(lo)) & (x <= F.lit(hi))
-                for k, v in zip(group, g):
-                    inside = inside & (F.col(k) == F.lit(v) if v is not None else F.col(k).isNull())
-                parts.append(F.when(inside, F.struct(F.lit(t).alias("t"), x.alias("x"), F.lit(lo).alias("lo"),
-                                                     F.lit(w).cast("double").alias("w"))))
-            h = df.select(F.explode(F.array(*parts)).alias("h")).filter(F.col("h").isNotNull())
-            return h.select(F.col("h.t").alias("__t"), F.col("h.x").alias("__x"),
-                            F.col("h.lo").alias("__lo"), F.col("h.w").alias("__w"))
-        rng = df.sparkSession.createDataFrame(rows, range_schema)
-        rng = F.broadcast(rng) if len(rows) <= 1_000_000 else rng
-        cond = [long[k].eqNullSafe(rng[k]) for k in group] + [long["__c"] == rng["__c"]]
-        j = long.join(rng, cond)
-        return j.filter((F.col("__x") >= F.col("__lo")) & (F.col("__x") <= F.col("__hi"))).select(
-            "__t", "__x", "__lo", "__w")
+def _cell(n_probs: int) -> Column:
+    """Number of the cell of ``x`` as a struct that grows with x: brackets begun, brackets passed, and,
+    inside a bracket, edges passed."""
+    width = 2 * SIDE + 1
+    begun = sum(((F.col("x") >= F.col("e")[j * width]).cast("int") for j in range(n_probs)), F.lit(0))
+    passed = sum(((F.col("x") > F.col("e")[j * width + width - 1]).cast("int") for j in range(n_probs)), F.lit(0))
+    fine = F.when(begun > passed, F.size(F.filter("e", lambda v: v <= F.col("x")))).otherwise(0)
+    return F.struct(begun.alias("a"), passed.alias("b"), fine.alias("f"))
 
-    for _ in range(max_passes):
-        if not want:
-            break
-        # ranks that share a range share one histogram
-        ranges = sorted({(k[0], k[1], want[k][0], want[k][1]) for k in want}, key=repr)
-        rid = {r: t for t, r in enumerate(ranges)}
-        rows = [(*g, i, t, lo, hi, (hi - lo) / n_bins) for t, (g, i, lo, hi) in enumerate(ranges)]
-        j = with_ranges(rows)
-        b = F.least(F.floor((F.col("__x") - F.col("__lo")) / F.col("__w")), F.lit(n_bins - 1)).cast("int")
-        hist = (j.groupBy(F.col("__t").alias("t"), b.alias("b"))
-                .agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("mn"), F.max("__x").alias("mx"))
-                .collect())
-        per_t: dict = {}
-        for r in hist:
-            per_t.setdefault(r["t"], []).append((r["b"], r["c"], r["mn"], r["mx"]))
-        small: dict = {}
-        for key in list(want):
-            lo, hi, rank = want[key]
-            acc = 0
-            for b_, c, mn, mx in sorted(per_t.get(rid[(key[0], key[1], lo, hi)], [])):
-                if acc + c > rank:
-                    if mn == mx:
-                        found[key] = mn
-                        del want[key]
-                    else:
-                        want[key] = [mn, mx, rank - acc]
-                        if c <= collect_max:
-                            small.setdefault((key[0], key[1], mn, mx), []).append(key)
-                    break
-                acc += c
-        # fetch the few values of all small ranges in ONE job and read the
-        # ranks exactly
-        if small:
-            rs = list(small)
-            rows = [(*g, i, t, lo, hi, 0.0) for t, (g, i, lo, hi) in enumerate(rs)]
-            got: dict = {}
-            for r in with_ranges(rows).select("__t", "__x").collect():
-                got.setdefault(r[0], []).append(r[1])
-            for t, r in enumerate(rs):
-                vals = sorted(got[t])
-                for key in small[r]:
-                    found[key] = vals[want[key][2]]
-                    del want[key]
 
-    out: dict = {}
-    for r in base:
-        g = tuple(r[k] for k in group)
-        for i, c in enumerate(cols):
-            n = r[f"n{i}"]
-            res = {}
-            for q in probs:
-                if not n:
-                    res[q] = None
-                    continue
-                pos = (n - 1) * q
-                a, b = found[(g, i, math.floor(pos))], found[(g, i, math.ceil(pos))]
-                res[q] = a + (b - a) * (pos - math.floor(pos))
-            out[(g, c)] = res
-    return out
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
+    """One row per group, column and probability: the group columns, ``column_name``, ``prob``,
+    ``value``. Columns without a present value in a group have no row."""
+    probs, group = sorted(set(probs)), list(group)
+    long = _stacked(df, cols, group)
+    grid = [min(1.0, max(0.0, p + SPREAD * k / SIDE)) for p in probs for k in range(-SIDE, SIDE + 1)]
+    edges = long.groupBy("key").agg(F.percentile_approx("x", grid, ACCURACY).alias("e"))
+    # the edges of a key are a row of known width: they are broadcast when the counted keys allow it, and
+    # joined by shuffle (with adaptive skew splitting) when there are more groups than that
+    keys = len(cols) * (df.select(*group).distinct().count() if group else 1)
+    if keys * 16 * (len(grid) + 8) <= BROADCAST_BYTES:
+        edges = F.broadcast(edges)
+    placed = long.join(edges, "key").select("key", "x", _cell(len(probs)).alias("cell"))
+
+    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("n"))
+    upto = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
+    cells = cells.select("key", "cell", "n", F.sum("n").over(upto).alias("upto"),
+                         F.sum("n").over(Window.partitionBy("key")).alias("total"))
+    wanted = []
+    for p in probs:
+        at = (F.col("total") - 1) * F.lit(p)
+        for side, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
+            wanted.append(F.struct(F.lit(p).alias("prob"), F.lit(side).alias("side"), rank.alias("rank"), (at - F.floor(at)).alias("rest")))
+    targets = (cells.select("key", "cell", (F.col("upto") - F.col("n")).alias("before"), "upto", F.explode(F.array(*wanted)).alias("t"))
+               .where((F.col("t.rank") >= F.col("before")) & (F.col("t.rank") < F.col("upto")))
+               .select("key", "cell", "t.prob", "t.side", "t.rest", (F.col("t.rank") - F.col("before")).alias("rank")))
+
+    inside = Window.partitionBy("key", "cell").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    values = (placed.join(targets.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
+              .groupBy("key", "cell", "x").agg(F.count("*").alias("n"))
+              .select("key", "cell", "x", "n", F.sum("n").over(inside).alias("upto")))
+    found = (values.join(targets, ["key", "cell"])
+             .where((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))))
+    both = found.groupBy("key", "prob").agg(F.max(F.when(F.col("side") == "low", F.col("x"))).alias("low"),
+                                            F.max(F.when(F.col("side") == "high", F.col("x"))).alias("high"),
+                                            F.max("rest").alias("rest"))
+    between = F.col("low") + (F.col("high") - F.col("low")) * F.col("rest")
+    value = F.when((F.col("rest") == 0) | (F.col("low") == F.col("high")), F.col("low")).otherwise(between)
+    return both.select("key.*", "prob", value.alias("value"))

@@ -57,12 +57,12 @@ def running_total(df: DataFrame, order: Sequence[str], value: str, out: str,
     return df.withColumn(out, F.sum(value).over(w))
 
 
-def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int = 64,
+def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int | None = None,
                desc: bool = False, totals: bool = False) -> DataFrame:
     """Distributed running totals over a global order (two-level scan).
 
-    Rows are cut into ~``n_buckets`` ranges of ``order`` holding about the
-    same number of rows (boundaries from one ``percentile_approx`` pass, at
+    Rows are cut into ~``n_buckets`` ranges of ``order`` (as many as the session
+    has shuffle partitions, if not given) holding about the same number of rows (boundaries from one ``percentile_approx`` pass, at
     most ``n_buckets`` values on the driver), so a skewed value distribution
     does not pile rows into one task. Per-range totals (tiny) get their
     prefix in one small window; each range then runs its own window,
@@ -71,9 +71,11 @@ def prefix_sum(df: DataFrame, order: str, values: Sequence[str], n_buckets: int
     so the running total at a value includes every row with that value.
     ``totals`` adds ``total_<v>`` (grand totals, from the per-range table)."""
     from pyspark.ml.feature import Bucketizer
+    if n_buckets is None:
+        n_buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     o = F.col(order).cast("double")
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    qs = df.agg(F.percentile_approx(o, probs, 10000).alias("q")).first()["q"] or []
+    qs = df.agg(F.percentile_approx(o, probs, max(10_000, 20 * n_buckets)).alias("q")).first()["q"] or []
     splits = [float("-inf")] + sorted({float(v) for v in qs}) + [float("inf")]
     x = df.withColumn("__o", o)
     if len(splits) > 2:

@@ -12,22 +12,16 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, normalise_token, raw_tokens, tokens
-from tidemark.operators.lookup import bounded_broadcast
-
-
-def by_document(docs: DataFrame, doc_id: str) -> DataFrame:
-    """Hash-partition documents by id into ``spark.sql.shuffle.partitions``
-    parts (an explicit count, so AQE does not fold CPU-heavy tokenising into
-    a few tasks). Everything keyed by (doc, ...) downstream is then
-    co-located: ``groupBy(doc_id, term)`` needs no second shuffle."""
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return docs.repartition(n, F.col(doc_id))
 
 
 def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
                 pattern: str = TOKEN_PATTERN, lemmas=None) -> DataFrame:
-    """(doc, term, count) for every token (and word pair when ngram_max=2)."""
-    d = by_document(docs.select(F.col(doc_id).alias("doc_id"), F.col(text)), "doc_id")
+    """(doc, term, count) for every token (and word pair when ngram_max=2).
+
+    Texts are tokenised and terms counted in the scan stage; only (doc, term,
+    partial count) is shuffled. Users of the counts that keep all three columns
+    share this one exchange, so texts are tokenised once per query."""
+    d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text))
     if ngram_max < 2:
         t = d.select("doc_id", F.explode(raw_tokens(text, pattern)).alias("_r"))
         return (t.select("doc_id", normalise_token(F.col("_r"), lemmas).alias("term"))
@@ -58,13 +52,19 @@ def _n_value(counts: DataFrame, n_docs) -> float:
     return float(n_docs)
 
 
+def _term_stats(counts: DataFrame) -> DataFrame:
+    """(term, df, tf). ``df`` reads ``count`` (always positive) so that no column of the
+    counts is pruned and their exchange can be reused."""
+    return counts.groupBy("term").agg(F.sum(F.when(F.col("count") > 0, 1)).alias("df"), F.sum("count").alias("tf"))
+
+
 def vocabulary(counts: DataFrame, n_docs=None, max_df: float = 1.0,
                max_features: int | None = None) -> DataFrame:
     """Terms kept by document frequency (df <= max_df * n_docs, as
     scikit-learn) and, optionally, the ``max_features`` most frequent ones
     (total count, ties by term). ``n_docs``: an int, a one-row frame from
     ``doc_count``, or None (documents with at least one token)."""
-    stats = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("count").alias("tf"))
+    stats = _term_stats(counts)
     if max_df < 1.0:
         stats = stats.filter(F.col("df") <= F.lit(_n_value(counts, n_docs) * max_df))
     if max_features:
@@ -79,7 +79,6 @@ def bag_of_words(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1, ma
     if max_df >= 1.0 and not max_features:
         return c
     v = vocabulary(c, doc_count(docs), max_df, max_features).select("term")
-    v = bounded_broadcast(v) if max_features else v
     return c.join(v, "term", "left_semi")
 
 
@@ -90,7 +89,7 @@ def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True, n_docs=No
     x = counts
     if use_idf:
         n = _n_value(counts, n_docs)
-        df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        df = _term_stats(counts).select("term", "df")
         x = x.join(df, "term").withColumn(
             "w", F.col("count") * (F.log(F.lit(1.0 + n) / (1.0 + F.col("df"))) + 1.0))
     else:

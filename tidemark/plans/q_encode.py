@@ -36,6 +36,21 @@ def q_one_hot(spark, sf_dir):
     return E.one_hot(c, td.CENSUS_CATEGORICAL)
 
 
+@register("one_hot_text", """
+SELECT doc_id, CAST(coalesce(k = 'a-b', false) AS INTEGER) AS "k_a-b", CAST(coalesce(k = 'a b', false) AS INTEGER) AS "k_a b",
+       CAST(coalesce(k = 'é', false) AS INTEGER) AS "k_é", CAST(coalesce(k = 'ñ', false) AS INTEGER) AS "k_ñ"
+FROM (SELECT doc_id, CASE lang WHEN 'en' THEN 'a-b' WHEN 'de' THEN 'a b' WHEN 'fr' THEN 'é' WHEN 'es' THEN 'ñ' END AS k FROM documents)
+""")
+def q_one_hot_text(spark, sf_dir):
+    """F03 with punctuated and non-ASCII levels: every level keeps its column."""
+    named = {"en": "a-b", "de": "a b", "fr": "é", "es": "ñ"}
+    k = F.lit(None).cast("string")
+    for lang, name in named.items():
+        k = F.when(F.col("lang") == lang, name).otherwise(k)
+    d = td.table(spark, sf_dir, "documents").select("doc_id", k.alias("k"))
+    return E.one_hot(d, ["k"], {"k": list(named.values())})
+
+
 _NUM = ["o_totalprice", "c_acctbal", "c_nationkey"]
 
 

@@ -100,7 +100,7 @@ CLASS_NAMES = {str(i): f"class {i}" for i in range(8)}
 
 @register("topk_classes", """
 WITH s AS (SELECT vec_id, r.i AS cls, CAST(embedding[r.i + 1] AS DOUBLE) AS score
-           FROM embeddings, range(0, 10) r(i)),
+           FROM (SELECT vec_id, embedding, unnest(range(0, len(embedding))) AS i FROM embeddings) r),
 k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, cls DESC) AS rank FROM s),
 t AS (SELECT * FROM k WHERE rank <= 5)
 SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(cls AS INTEGER) AS cls, round(score, 6) AS score,
@@ -109,10 +109,10 @@ SELECT vec_id, CAST(rank AS INTEGER) AS rank, CAST(cls AS INTEGER) AS cls, round
 FROM t
 """)
 def q_topk_classes(spark, sf_dir):
-    """T05 + J11: top-5 of the first 10 scores, softmax over the kept 5,
+    """T05 + J11: top-5 of all scores, softmax over the kept 5,
     code -> name with 'Unknown' default."""
     emb = td.table(spark, sf_dir, "embeddings")
-    top = emb.select("vec_id", F.posexplode(topk_classes(F.slice("embedding", 1, 10), 5)).alias("pos", "t"))
+    top = emb.select("vec_id", F.posexplode(topk_classes("embedding", 5)).alias("pos", "t"))
     rows = top.select("vec_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("t.cls").cast("int").alias("cls"),
                       F.round("t.score", 6).alias("score"), F.round("t.prob", 6).alias("prob"))
     names = spark.createDataFrame(sorted(CLASS_NAMES.items()), "code string, name string")

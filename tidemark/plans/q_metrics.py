@@ -100,6 +100,20 @@ def q_area_under_roc(spark, sf_dir):
     return M.area_under_roc(_census_scored(spark, sf_dir), "y", "score").select(_r("auc"))
 
 
+@register("area_under_pr", f"""
+WITH {_SCORED_SQL},
+g AS (SELECT score, sum(y) AS pos, sum(1 - y) AS neg FROM s GROUP BY score),
+c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp, sum(pos) OVER () AS P FROM g),
+p AS (SELECT score, tp / P AS recall, tp / (tp + fp) AS precision FROM c),
+l AS (SELECT recall, precision, lag(recall, 1, 0) OVER (ORDER BY score DESC) AS r0,
+             coalesce(lag(precision) OVER (ORDER BY score DESC), precision) AS p0 FROM p)
+SELECT round(sum((recall - r0) * (precision + p0) / 2), 6) AS auc_pr FROM l
+""")
+def q_area_under_pr(spark, sf_dir):
+    """E02 (exact form): area under the precision-recall curve of the raw score."""
+    return M.area_under_pr(_census_scored(spark, sf_dir), "y", "score").select(_r("auc_pr"))
+
+
 @register("per_class_report", """
 WITH p AS (SELECT l.quality, l.toxic, CAST(d.n_chars > 300 AS INTEGER) AS pred_quality,
                   CAST(d.n_chars % 7 = 0 AS INTEGER) AS pred_toxic

@@ -57,7 +57,7 @@ def q_churn_models(spark, sf_dir):
     label = "WillChurnSoon"
     train, test = churn_dataset(spark, sf_dir, label, CHURN_LABELS[label])
     train, test = train.persist(), test.persist()
-    ev = BinaryClassificationEvaluator(metricName="areaUnderPR")
+    ev = BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0)
     rows = []
     try:
         for kind in ["lr", "rf", "gbt"]:
@@ -164,7 +164,7 @@ def q_learning_curve(spark, sf_dir):
 def q_imbalance_experiment(spark, sf_dir):
     """Random-forest AUC with and without negative down-sampling, per label."""
     rows = []
-    ev = BinaryClassificationEvaluator(metricName="areaUnderROC")
+    ev = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
     for label, frac in CHURN_LABELS.items():
         for f in (1.0, frac):
             train, test = churn_dataset(spark, sf_dir, label, f)
@@ -340,7 +340,7 @@ def _churn_search(spark, sf_dir, kind: str, label: str):
     train, _ = churn_dataset(spark, sf_dir, label, CHURN_LABELS[label])
     train = train.persist()
     try:
-        ev = BinaryClassificationEvaluator(metricName="areaUnderPR")
+        ev = BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0)
         cv = ML.grid_search(ML.make_classifier(kind), ML.GRIDS[kind], ev, folds=2, parallelism=4, train=train)
         return ML.best_params(spark, cv.bestModel, list(ML.GRIDS[kind]))
     finally:

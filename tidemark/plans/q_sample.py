@@ -25,13 +25,14 @@ def q_sample_exact(spark, sf_dir):
 
 
 @register("take_prefix", f"""
-SELECT * FROM orders ORDER BY {h_sql('o_orderkey', 7)}, o_orderkey LIMIT 1500
+SELECT * FROM orders
+QUALIFY row_number() OVER (ORDER BY {h_sql('o_orderkey', 7)}, o_orderkey) <= (SELECT count(*) // 10 FROM orders)
 """)
 def q_take_prefix(spark, sf_dir):
     """The first 10 % of the orders in a fixed hash order (learning-curve
     subsets: the same rows for 1 %, 10 %, 100 %)."""
     o = td.table(spark, sf_dir, "orders")
-    return first_n_by_hash(o, 1500, "o_orderkey", 7)
+    return first_n_by_hash(o, o.count() // 10, "o_orderkey", 7)
 
 
 @register("stratified_sample", f"""

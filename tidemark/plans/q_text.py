@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
-from tidemark.operators.text import bag_of_words, by_document, doc_count, tf_idf, term_counts
+from tidemark.operators.text import bag_of_words, doc_count, tf_idf, term_counts
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 
@@ -19,14 +19,14 @@ FROM documents
 """)
 def q_tokenize(spark, sf_dir):
     """F13 (re-aimed): whole-text tokens, lower-cased and trimmed."""
-    d = by_document(td.table(spark, sf_dir, "documents"), "doc_id")
+    d = td.table(spark, sf_dir, "documents")
     t = tokens("text")
     return d.select("doc_id", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
 
 
 BOW_SQL = f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
-c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM documents),
 v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.5 * n.n)
 SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
@@ -42,7 +42,7 @@ def q_bag_of_words(spark, sf_dir):
 
 @register("bag_of_words_top", f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
-c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
 v AS (SELECT term FROM c GROUP BY term ORDER BY sum(count) DESC, term LIMIT 500)
 SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
 """)
@@ -53,7 +53,7 @@ def q_bag_of_words_top(spark, sf_dir):
 
 @register("tf_idf", f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
-c AS (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
+c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM documents),
 d AS (SELECT term, count(*) AS df FROM c GROUP BY term),
 w AS (SELECT doc_id, term, count * (ln((1.0 + n.n) / (1.0 + df)) + 1.0) AS w FROM c JOIN d USING (term), n)
@@ -65,3 +65,31 @@ def q_tf_idf(spark, sf_dir):
     docs = td.table(spark, sf_dir, "documents")
     c = term_counts(docs, "doc_id", "text")
     return tf_idf(c, n_docs=doc_count(docs)).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+_PAIRS_SQL = f"""
+WITH w AS (SELECT doc_id, {_TOK_SQL} AS t FROM documents),
+t AS (SELECT doc_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term FROM w),
+c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL)
+"""
+
+
+@register("bag_of_pairs", _PAIRS_SQL + """,
+n AS (SELECT count(*) AS n FROM documents),
+v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.75 * n.n)
+SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
+""")
+def q_bag_of_pairs(spark, sf_dir):
+    """F14 with words and word pairs, max_df = 0.75."""
+    return bag_of_words(td.table(spark, sf_dir, "documents"), "doc_id", "text", ngram_max=2, max_df=0.75)
+
+
+@register("tf_weights", f"""
+WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
+c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL)
+SELECT doc_id, term, round(count / sqrt(sum(count * count) OVER (PARTITION BY doc_id)), 6) AS weight FROM c
+""")
+def q_tf_weights(spark, sf_dir):
+    """F15 without idf: L2-normalised term counts per document."""
+    c = term_counts(td.table(spark, sf_dir, "documents"), "doc_id", "text")
+    return tf_idf(c, use_idf=False).select("doc_id", "term", F.round("weight", 6).alias("weight"))
