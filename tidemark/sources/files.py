@@ -43,29 +43,29 @@ def read_dict_lines(spark: SparkSession, path: str, schema: T.StructType,
                     corrupt_col: str = "_corrupt_record") -> DataFrame:
     """One Python-literal dict per line with ragged keys.
 
-    Lines are read as text and cut into quoted strings and what lies between;
-    outside strings the Python literals ``None/True/False`` are rewritten to
-    JSON, strings stay as they are (but for ``\\'``, an escape that JSON lacks).
-    ``from_json`` parses with the explicit schema (single quotes allowed); keys
-    absent on a line come out null, lines that do not parse keep their text in
-    ``corrupt_col``."""
+    Lines are read as text. Escaped backslashes and quotes are set aside (as
+    control characters, which a literal never holds raw), so the line falls
+    into quoted strings and what lies between. Outside strings the Python
+    literals ``None/True/False`` are rewritten to JSON; strings become JSON
+    strings of the same text. ``from_json`` parses with the explicit schema;
+    keys absent on a line come out null, lines that do not parse keep their
+    text in ``corrupt_col``."""
     txt = spark.read.text(path)
-    piece = r"""'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|[^'"]+|['"]"""
-    quoted = F.col("value").rlike("['\"]")
+    aside = F.col("value")
+    for escape, mark in (("\\\\", "\u0001"), ("\\'", "\u0002"), ('\\"', "\u0003")):
+        aside = F.replace(aside, F.lit(escape), F.lit(mark))
 
-    def outside(x):
-        return F.regexp_replace(F.regexp_replace(F.regexp_replace(
+    def rewritten(x):
+        literal = F.regexp_replace(F.regexp_replace(F.regexp_replace(
             x, r"\bNone\b", "null"), r"\bTrue\b", "true"), r"\bFalse\b", "false")
-
-    def inside(x):  # a string as JSON: double quotes, no escaped single ones
-        body = F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit("\\'"), F.lit("'"))
-        return F.when(F.startswith(x, F.lit("'")) & (F.length(x) > 1), F.concat(
-            F.lit('"'), F.regexp_replace(body, r'(?<!\\)((?:\\\\)*)"', r'$1\\"'), F.lit('"'))).otherwise(F.when(
-                F.length(x) > 1, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(x))
-
-    pieces = F.transform(F.regexp_extract_all(F.col("value"), F.lit(piece), F.lit(0)),
-                         lambda x: F.when(x.rlike("^['\"]"), inside(x)).otherwise(outside(x)))
-    fixed = F.when(quoted, F.concat_ws("", pieces)).otherwise(outside(F.col("value")))
+        single = F.concat(F.lit('"'), F.replace(F.substr(x, F.lit(2), F.length(x) - 2), F.lit('"'), F.lit('\\"')), F.lit('"'))
+        return F.when(F.startswith(x, F.lit("'")) & (F.length(x) > 1), single).when(
+            F.startswith(x, F.lit('"')), x).otherwise(literal)
+
+    pieces = F.regexp_extract_all(aside, F.lit(r"""'[^']*+'|"[^"]*+"|[^'"]++|['"]"""), F.lit(0))
+    fixed = F.concat_ws("", F.transform(pieces, rewritten))
+    for mark, escape in (("\u0001", "\\\\"), ("\u0002", "'"), ("\u0003", '\\"')):
+        fixed = F.replace(fixed, F.lit(mark), F.lit(escape))
     with_bad = T.StructType(schema.fields + [T.StructField("__bad", T.StringType())])
     parsed = F.from_json(fixed, with_bad, {"allowSingleQuotes": "true", "mode": "PERMISSIVE",
                                            "columnNameOfCorruptRecord": "__bad"})
