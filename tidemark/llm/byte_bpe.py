@@ -31,8 +31,9 @@ from tidemark.llm.common import fresh
 from tidemark.session import ship_package
 
 _MASK = (1 << 64) - 1
-#: Words whose ids one worker remembers (results of the two tiers, dropped together when full).
-REMEMBERED = 1_000_000
+#: Words whose ids one worker remembers in a generation; when it is full it becomes the old one, and what that
+#: held and has not been asked for since is forgotten.
+REMEMBERED = 250_000
 #: White space before a space: only there can a pre-token hold the end of one word and the next one's space.
 _RUN = re.compile(r"\s ")
 
@@ -90,38 +91,46 @@ class Codec:
         self.bytes_of = {r: k for k, r in ranks.items()}
         self.text_of = {r: str(r) for r in ranks.values()}
         self.one = [ranks[bytes([i])] for i in range(256)]
-        self.pair = {}  # (left id << 32 | right id) -> id of the joined bytes
+        self.bits = max(ranks.values()).bit_length()
+        self.pair = {}  # (left id << bits | right id) -> id of the joined bytes
         for word, r in ranks.items():
             for cut in range(1, len(word)):
                 a, b = ranks.get(word[:cut]), ranks.get(word[cut:])
                 if a is not None and b is not None:
-                    self.pair[a << 32 | b] = r
+                    self.pair[a << self.bits | b] = r
         self.split = regex.compile(pattern).findall
         self.known = _Known(self)
 
     def merge(self, piece: bytes) -> list[int]:
         """Ids of ``piece`` by merging linked bytes, lowest rank and leftmost first."""
-        one, get, push, pop = self.one, self.pair.get, heapq.heappush, heapq.heappop
-        ids = [one[b] for b in piece]
+        get, push, pop, bits = self.pair.get, heapq.heappush, heapq.heappop, self.bits
+        ids = list(map(self.one.__getitem__, piece))
         n = len(ids)
+        place = n.bit_length()
+        low = (1 << place) - 1
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        # an entry is rank * n + position; it holds as long as the pair there still has this rank
-        heap = [r * n + i for i in range(n - 1) if (r := get(ids[i] << 32 | ids[i + 1])) is not None]
+        # an entry is a rank and, in its low bits, a position; it holds as long as the pair there still has this rank
+        heap = [r << place | i for i, r in enumerate([get(a << bits | b) for a, b in zip(ids, ids[1:])]) if r is not None]
         heapq.heapify(heap)
         while heap:
-            r, i = divmod(pop(heap), n)
-            j = after[i]
-            if ids[i] < 0 or j >= n or get(ids[i] << 32 | ids[j]) != r:
+            r = pop(heap)
+            i = r & low
+            r >>= place
+            a, j = ids[i], after[i]
+            if a < 0 or j >= n or get(a << bits | ids[j]) != r:
                 continue
             ids[i], ids[j] = r, -1
             k = after[i] = after[j]
             if k < n:
                 before[k] = i
-                if (s := get(r << 32 | ids[k])) is not None:
-                    push(heap, s * n + i)
+                s = get(r << bits | ids[k])
+                if s is not None:
+                    push(heap, s << place | i)
             h = before[i]
-            if h >= 0 and (s := get(ids[h] << 32 | r)) is not None:
-                push(heap, s * n + h)
+            if h >= 0:
+                s = get(ids[h] << bits | r)
+                if s is not None:
+                    push(heap, s << place | h)
         return [x for x in ids if x >= 0]
 
     def piece(self, token: str) -> list[int]:
@@ -158,13 +167,16 @@ class _Known(dict):
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec = codec
+        self.codec, self.old = codec, {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
-        c = self.codec
-        pieces = c.split(word)
-        ids = tuple(c.piece(word)) if len(pieces) == 1 else tuple(chain.from_iterable([self[p] for p in pieces]))
+        ids = self.old.get(word)
+        if ids is None:
+            c = self.codec
+            pieces = c.split(word)
+            ids = tuple(c.piece(word)) if len(pieces) == 1 else tuple(chain.from_iterable([self[p] for p in pieces]))
         if len(self) >= REMEMBERED:
+            self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
