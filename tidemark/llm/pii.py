@@ -95,7 +95,7 @@ def _occurrences(found: DataFrame) -> DataFrame:
     return rows.select(
         "id", "h", F.col("x.t.a").alias("a"), F.col("x.t.b").alias("b"), F.lower("x.t.v").alias("instance"),
         F.exists("base", lambda s: (s["a"] < F.col("x.t.b")) & (s["b"] > F.col("x.t.a"))).alias("seed"),
-        F.lower(F.regexp_extract("x.p", r"(\S+)\s*$", 1)).alias("before")).select(
+        F.lower(F.regexp_extract("x.p", r"(?<!\S)(\S++)\s*+$", 1)).alias("before")).select(
         "id", "h", "a", "b", "instance", "seed",
         F.concat_ws(" ", "before", F.regexp_replace(F.regexp_replace("instance", "[0-9]+", "9"), r"\p{L}+", "a")).alias("pattern"))
 
