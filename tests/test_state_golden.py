@@ -112,10 +112,32 @@ def test_hot_host_third_of_rows(spark):
 
 
 def test_auto_bucket_width(spark):
-    from tidemark.operators.state import choose_bucket_seconds, default_keys
+    from tidemark.operators.state import choose_slices, default_keys
     df = spark.createDataFrame(EDGE, SCHEMA)
-    assert choose_bucket_seconds(df, default_keys(), target_rows=2) < 3600
-    assert choose_bucket_seconds(df, default_keys()) == 3600
+    assert choose_slices(df, default_keys(), target_rows=2)[0] < 3600
+    assert choose_slices(df, default_keys()) == (3600, 0)
     a = {r.seq: tuple(r) for r in time_since_state(df, CH, bucket_seconds="auto").collect()}
     b = {r.seq: tuple(r) for r in time_since_state(df, CH, bucket_seconds=10 ** 9).collect()}
     assert a == b
+
+
+def test_hot_host_within_one_second(spark):
+    """All rows of a host carry one time: slices are cut on by row numbers, answers stay."""
+    from tidemark.operators.state import choose_slices, default_keys
+    ids = [4608, 4688, 4800, 4688, 4801, 4688, 4802, 4688, 4803, 4688]
+    rows = [(i, 7200, "HOT", None, None, ids[i % 10] if i < 500 else 4688) for i in range(1000)]
+    rows += [(1000 + i, 7200 + i % 3, f"H{i % 5}", "HOT", None, ids[i % 7]) for i in range(200)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    width, step = choose_slices(df, default_keys(), target_rows=100)
+    assert width == 1 and 1 <= step <= 200
+    got = {r["seq"]: r for r in time_since_state(df, CH, bucket_seconds=width, seq_step=step).collect()}
+    exp = brute(rows)
+    assert [(s, c) for s, e in exp.items() for c, v in e.items() if got[s][f"time_since_{c}"] != v] == []
+
+
+def test_wanted_rows_only(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame(EDGE, SCHEMA)
+    some = {r.seq: tuple(r) for r in time_since_state(df, CH, wanted=F.col("EventID") == 4688).collect()}
+    every = {r.seq: tuple(r) for r in time_since_state(df, CH).collect() if r.EventID == 4688}
+    assert some == every

@@ -6,49 +6,31 @@ import tempfile
 
 from tests.conftest import SF0001
 from tidemark.sources import testdata as td
-from tidemark.streaming.stream import file_stream, host_state_stream, run_to_files
+from tidemark.streaming.stream import file_stream, run_to_files
 
-CH = [("startup", (4608,), ()), ("locked", (4800,), (4801,)), ("screensaver", (4802,), (4803,))]
 
+def test_stopped_stream_resumes_by_name(spark):
+    """One batch, a stop, more input, the same name: the run goes on from its state and
+    gives the batch answer; only the last two state versions stay."""
+    import uuid
 
-def host_only(rows):
-    out = {}
-    for name, on, off in CH:
-        st = {}
-        for seq, t, host, eid in sorted(rows, key=lambda r: (r[1], r[0])):
-            if eid in on:
-                v = t
-                st[host] = t
-            elif eid in off:
-                v = None
-                st.pop(host, None)
-            else:
-                v = t - st[host] if host in st else None
-            out.setdefault(seq, {})[name] = v
-    return out
-
-
-def test_state_across_batches_and_late_rows(spark):
-    ev = td.win_events(spark, SF0001).select("seq", "Time", "EventID", "LogHost")
+    from tidemark.operators.state import time_since_state
+    from tidemark.plans.q_state import CHANNELS
+    from tidemark.streaming.stream import host_state_batches, stream_folder
+    ev = td.win_events(spark, SF0001)
     pdf = ev.toPandas().sort_values(["Time", "seq"])
-    d = tempfile.mkdtemp(prefix="tidemark-stream-")
-    cut = int(len(pdf) * 0.6)
-    pdf.iloc[:cut].to_parquet(os.path.join(d, "part-0.parquet"), index=False)
-    pdf.iloc[cut:].to_parquet(os.path.join(d, "part-1.parquet"), index=False)
-    late = pdf.iloc[[0]].copy()
-    late["seq"] = 10 ** 9
-    late["Time"] = int(pdf["Time"].max()) - 10 * 3600  # far behind the watermark
-    late.to_parquet(os.path.join(d, "part-2.parquet"), index=False)
-    stream = file_stream(spark, d, ev.schema)
-    out = spark.read.parquet(run_to_files(host_state_stream(stream), "test_host_state"))
+    d = tempfile.mkdtemp(prefix="tidemark-stream-resume-")
+    name, cuts = f"resumed-{uuid.uuid4().hex}", [int(len(pdf) * i / 4) for i in range(5)]
+    for k in range(4):
+        pdf.iloc[cuts[k]:cuts[k + 1]].to_parquet(os.path.join(d, f"part-{k}.parquet"), index=False)
+        folder = host_state_batches(file_stream(spark, d, ev.schema), CHANNELS, name=name)
+    out = spark.read.parquet(folder)
+    assert out.select("batch").distinct().count() == 4
     got = {r["seq"]: r for r in out.collect()}
-    assert 10 ** 9 not in got  # late row dropped
-    rows = [tuple(x) for x in pdf[["seq", "Time", "LogHost", "EventID"]].itertuples(index=False)]
-    exp = host_only(rows)
+    exp = {r["seq"]: r for r in time_since_state(ev, CHANNELS).collect()}
     assert set(got) == set(exp)
-    for s, e in exp.items():
-        for name, v in e.items():
-            assert got[s][f"time_since_{name}"] == v, (s, name)
+    assert not [s for s in exp if any(got[s][f"time_since_{c}"] != exp[s][f"time_since_{c}"] for c in CHANNELS)]
+    assert sorted(os.listdir(stream_folder(spark, name).replace("file:", "") + "/state")) == ["v=000000000002", "v=000000000003"]
 
 
 def test_all_keys_across_batches_equals_batch(spark):
@@ -69,7 +51,7 @@ def test_all_keys_across_batches_equals_batch(spark):
     schema = pq.read_schema(os.path.join(d, "part-0.parquet")).remove_metadata()
     pq.write_table(pa.Table.from_pandas(late, schema=schema, preserve_index=False),
                    os.path.join(d, "part-3.parquet"))
-    out = spark.read.parquet(host_state_batches(file_stream(spark, d, ev.schema), CHANNELS,
+    out = spark.read.parquet(host_state_batches(file_stream(spark, d, ev.schema), CHANNELS, name=os.path.basename(d),
                                                 bucket_seconds=7200))
     assert out.select("batch").distinct().count() == 3  # the 4th batch held only the late row
     got = {r["seq"]: r for r in out.collect()}
@@ -101,7 +83,7 @@ def test_windowed_counts_drop_late_rows(spark):
     late["event_id"] = 10 ** 9  # same user and early timestamp, arriving last
     write(late, "part-2.parquet")
     out = spark.read.parquet(run_to_files(windowed_counts(file_stream(spark, d, ev.schema), "ts", ["user_id"],
-                                                          "1 day", "1 hour"), "test_win"))
+                                                          "1 day", "1 hour"), os.path.basename(d)))
     got = {(r.window_start_s, r.user_id): r.n for r in out.collect()}
     # batch answer over the in-order rows, windows closed by the final watermark
     b = (ev.withColumn("d", F.floor(F.unix_timestamp("ts") / 86400) * 86400)

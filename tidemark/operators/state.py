@@ -14,7 +14,7 @@ Spark form (no UDF, no per-row Python, no cross join):
    carrying, per channel, one long (marker time if it turns the state on, a
    sentinel if it clears it) - state is keyed by host name only, so all
    three ranks look into the same namespace;
-2. lookups and markers are unioned and cut into ``(key, time bucket)``
+2. lookups of hosts that have a marker, and markers, are unioned and cut into ``(key, time bucket)``
    slices; one Window operator ordered by ``(t, seq)`` gives, per row, the
    last marker strictly before it in the slice;
 3. the state entering each slice (the carry-in) comes from a window over
@@ -61,26 +61,33 @@ def default_keys(host: str = "LogHost", source: str = "Source", user: str = "Use
 CLEARED = -(2 ** 63)  # state value of an off marker (no time can equal it)
 
 
-def choose_bucket_seconds(events: DataFrame, keys: Sequence[Column], time: str = "Time",
-                          target_rows: int = 2_000_000, start: int = 3600) -> int:
-    """Slice width for ``time_since_state`` so that no (key, slice) holds
-    more than about ``target_rows`` rows: one pass counts rows per (key,
-    hour) over all lookup keys (partial aggregation map-side) and only the
-    maximum reaches the driver. Answers do not depend on the width."""
+def choose_slices(events: DataFrame, keys: Sequence[Column], time: str = "Time", seq: str = "seq",
+                  target_rows: int = 2_000_000, start: int = 3600) -> tuple[int, int]:
+    """Slices for ``time_since_state`` so that no (key, slice) holds much more
+    than ``target_rows`` rows: the width in seconds, and how many row numbers a
+    slice spans where one second is still too much for it (0: not cut by them).
+
+    One pass counts rows per (key, hour) and the widest span of row numbers in
+    a second, over all lookup keys (partial aggregation map-side); only the
+    maxima reach the driver. Answers do not depend on the slices."""
     arr = F.array(*[k.cast("string") for k in keys])
-    hot = (events.select(F.explode(arr).alias("k"), F.floor(F.col(time) / start).alias("b"))
-           .filter(F.col("k").isNotNull()).groupBy("k", "b").count()
-           .agg(F.max("count").alias("m")).first()["m"])
-    if not hot or hot <= target_rows:
-        return start
-    return max(1, int(start * target_rows / hot))
+    looked = (events.select(F.explode(arr).alias("k"), F.floor(F.col(time) / start).alias("b"), F.col(time).alias("t"),
+                            F.col(seq).alias("s")).filter(F.col("k").isNotNull()))
+    second = looked.groupBy("k", "b", "t").agg(F.count(F.lit(1)).alias("n"), (F.max("s") - F.min("s") + 1).alias("span"))
+    hot = second.groupBy("k", "b").agg(F.sum("n").alias("hour"), F.max("n").alias("second"), F.max("span").alias("span"))
+    r = hot.agg(F.max("hour").alias("hour"), F.max("second").alias("second"), F.max("span").alias("span")).first()
+    if not r["hour"] or r["hour"] <= target_rows:
+        return start, 0
+    if r["second"] > target_rows:
+        return 1, max(1, int(r["span"] * target_rows / r["second"]))
+    return max(1, int(start * target_rows / r["hour"])), 0
 
 
 def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
                      time: str = "Time", seq: str = "seq", event: str = "EventID",
                      host: str = "LogHost", keys: Sequence[Column] | None = None,
-                     bucket_seconds: int | str = 3600, prefix: str = "time_since_",
-                     initial: DataFrame | None = None) -> DataFrame:
+                     bucket_seconds: int | str = "auto", seq_step: int = 0, prefix: str = "time_since_",
+                     initial: DataFrame | None = None, wanted: Column | None = None) -> DataFrame:
     """Add ``<prefix><channel>`` for every channel, in one pass.
 
     ``initial`` (optional) is a state table from earlier rows -
@@ -89,8 +96,12 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
 
     ``seq`` must be unique per row and, with ``time``, give the file order
     (rows compare by ``(time, seq)``). ``bucket_seconds`` sets the slice
-    width: smaller slices spread a hot host over more tasks; ``"auto"``
-    measures the largest (key, hour) slice first (``choose_bucket_seconds``).
+    width: smaller slices spread a hot host over more tasks, and at one second
+    ``seq_step`` cuts on by row numbers; ``"auto"`` measures the largest
+    slices first (``choose_slices``).
+
+    Only keys that have a marker (or earlier state) are looked up. ``wanted``
+    limits the rows that are looked up and returned; all rows still set states.
 
     A channel's state is one long per marker row: the marker time when it
     turns the state on, ``CLEARED`` when it turns it off, null on other rows.
@@ -99,8 +110,11 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
     keys = list(keys) if keys is not None else default_keys(host)
     names = list(channels)
     ids = sorted({i for ch in channels.values() for i in (*ch.on, *ch.off)})
+    asked = events if wanted is None else events.filter(wanted)
     if bucket_seconds == "auto":
-        bucket_seconds = choose_bucket_seconds(events, keys, time)
+        bucket_seconds, seq_step = choose_slices(asked, keys, time, seq)
+    if seq_step and bucket_seconds != 1:
+        raise ValueError("seq_step needs slices of one second")
 
     def marker_state(ch: Channel) -> Column:
         st = F.when(F.col(event).isin(list(ch.on)), F.col(time).cast("long"))
@@ -116,14 +130,19 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
 
     key_arr = F.array(*[F.struct(F.lit(i + 1).alias("rank"), k.cast("string").alias("key"))
                         for i, k in enumerate(keys)])
-    lookups = (events.select(F.col(time).cast("long").alias("_t"), F.col(seq).alias("_seq"),
-                             F.explode(key_arr).alias("_k"))
-               .filter(F.col("_k.key").isNotNull())
+    held = markers.select(F.col("_key").alias("_held"))
+    if initial is not None:
+        held = held.unionByName(initial.select(F.col("_key").cast("string").alias("_held")))
+    lookups = (asked.select(F.col(time).cast("long").alias("_t"), F.col(seq).alias("_seq"),
+                            F.explode(key_arr).alias("_k"))
+               .join(held.distinct(), F.col("_k.key") == F.col("_held"), "left_semi")
                .select(F.col("_k.key").alias("_key"), "_t", "_seq", F.lit(0).alias("_is_marker"),
                        F.col("_k.rank").alias("_rank"),
                        *[F.lit(None).cast("long").alias(f"_m_{n}") for n in names]))
 
-    bucket = F.floor(F.col("_t") / bucket_seconds).cast("long")
+    second = F.floor(F.col("_t") / bucket_seconds).cast("long")
+    part = F.floor(F.col("_seq") / seq_step).cast("long") if seq_step else F.lit(0).cast("long")
+    bucket = F.struct(second.alias("s"), part.alias("p"))  # grows with (time, seq)
     markers = markers.withColumn("_bucket", bucket)
     lookups = lookups.withColumn("_bucket", bucket)
     u = markers.unionByName(lookups)
@@ -147,7 +166,8 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
     grid = slices.join(ends, ["_key", "_bucket"], "full")
     if initial is not None:  # earlier state sorts before every bucket
         grid = grid.unionByName(initial.select(
-            F.col("_key").cast("string"), F.lit(-(2 ** 63)).cast("long").alias("_bucket"),
+            F.col("_key").cast("string"),
+            F.struct(F.lit(-(2 ** 63)).cast("long").alias("s"), F.lit(-(2 ** 63)).cast("long").alias("p")).alias("_bucket"),
             *[F.col(f"_end_{n}").cast("long") for n in names]))
     w_carry = Window.partitionBy("_key").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = grid.select("_key", "_bucket", *[
@@ -164,7 +184,7 @@ def time_since_state(events: DataFrame, channels: Mapping[str, Channel], *,
 
     per_row = looked.groupBy("_seq").agg(*[pick(n) for n in names])
 
-    out = events.join(per_row, events[seq] == per_row["_seq"], "left")
+    out = asked.join(per_row, asked[seq] == per_row["_seq"], "left")
     cols = []
     for n in names:
         ch = channels[n]

@@ -6,6 +6,8 @@ small report table built from fitted parameters and metrics.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml.feature import CountVectorizer, IDF, Imputer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -22,11 +24,13 @@ from tidemark.plans.demographics import clean_demographics
 from tidemark.plans.q_churn import churn_features
 from tidemark.plans.q_encode import expand_labels, prepare_census
 from tidemark.plans.q_state import PROCESS_LEVELS, process_context
-from tidemark.plans.registry import register
-from tidemark.session import scratch_table_path
+from tidemark.plans.q_sample import h_sql
+from tidemark.plans.registry import oracle_of, register
+from tidemark.session import scratch_table_path, written_table
 from tidemark.sources import testdata as td
 from tidemark.sources.files import load_model, save_model
 
+# The labels and their sampling rates of negatives.
 CHURN_LABELS = {"ChurnedInTimeBin": 0.065, "WillChurnInNextBin": 0.05, "WillChurnSoon": 0.12}
 
 
@@ -37,10 +41,11 @@ def churn_feature_cols():
             "ArtistsInTimeBin", "DistinctSongsInTimeBin"]
 
 
-def churn_dataset(spark, sf_dir, label: str, fraction: float, seed: int = 147309):
+def churn_dataset(spark, sf_dir, label: str, fraction: float, seed: int = 147309, features=None):
     """Q4 fixed: split first (hash of user and bin), down-sample the train
-    negatives only (M01), keep the test mix as it is."""
-    fe = churn_features(spark, sf_dir)
+    negatives only (M01), keep the test mix as it is. ``features``: the
+    feature table, where a job has it already."""
+    fe = churn_features(spark, sf_dir) if features is None else features
     ds = ML.vectorise(fe, churn_feature_cols()).withColumn("label", F.col(label).cast("double"))
     ds = ds.withColumn("_key", F.concat_ws(":", "UserId", F.col("UserTimeBin").cast("string")))
     ds = hash_split(ds, "_key", 0.2, seed)
@@ -52,25 +57,28 @@ def churn_dataset(spark, sf_dir, label: str, fraction: float, seed: int = 147309
 @register("churn_models")
 def q_churn_models(spark, sf_dir):
     """LR / RF / GBT searches (2 folds,
-    4 fits in parallel, area under PR) for one label; best parameters and
+    4 fits in parallel, area under PR) for each of the three labels; the best
+    model of each pair is saved below the shared folder; best parameters and
     test AUCs as a table."""
-    label = "WillChurnSoon"
-    train, test = churn_dataset(spark, sf_dir, label, CHURN_LABELS[label])
-    train, test = train.persist(), test.persist()
     ev = BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0)
     rows = []
-    try:
-        for kind in ["lr", "rf", "gbt"]:
-            est = ML.make_classifier(kind)
-            cv = ML.grid_search(est, ML.GRIDS[kind], ev, folds=2, parallelism=4, train=train)
-            best = cv.bestModel
-            pred = best.transform(test)
-            params = ";".join(f"{k}={best.getOrDefault(best.getParam(k))}" for k in ML.GRIDS[kind])
-            rows.append((label, kind, params, float(ML.auc(pred, metric="areaUnderPR")),
-                         float(ML.auc(pred, metric="areaUnderROC"))))
-    finally:
-        train.unpersist()
-        test.unpersist()
+    fe = written_table(churn_features(spark, sf_dir), "churn-features")
+    for label, fraction in CHURN_LABELS.items():
+        train, test = churn_dataset(spark, sf_dir, label, fraction, features=fe)
+        train, test = train.persist(), test.persist()
+        try:
+            for kind in ["lr", "rf", "gbt"]:
+                est = ML.make_classifier(kind)
+                cv = ML.grid_search(est, ML.GRIDS[kind], ev, folds=2, parallelism=4, train=train)
+                best = cv.bestModel
+                save_model(best, scratch_table_path(spark, f"models/{label}.{kind}"))
+                pred = best.transform(test)
+                params = ";".join(f"{k}={best.getOrDefault(best.getParam(k))}" for k in ML.GRIDS[kind])
+                rows.append((label, kind, params, float(ML.auc(pred, metric="areaUnderPR")),
+                             float(ML.auc(pred, metric="areaUnderROC"))))
+        finally:
+            train.unpersist()
+            test.unpersist()
     return spark.createDataFrame(rows, "label string, algorithm string, best_params string, "
                                        "test_auc_pr double, test_auc_roc double")
 
@@ -141,22 +149,24 @@ def q_feature_importance_top5(spark, sf_dir):
 
 @register("learning_curve")
 def q_learning_curve(spark, sf_dir):
-    """Fit on 1 / 10 / 100 % of train (same hash order), score on test and
-    on the first 300 train rows, time both."""
+    """Three learners fitted on 1 / 10 / 100 % of train (same hash order), scored on
+    test and on the first 300 train rows; fitting and prediction are timed."""
     ds, _ = census_dataset(spark, sf_dir)
-    train, test = ds.filter("split = 'train'").persist(), ds.filter("split = 'test'")
+    ds = written_table(ds, "census")
+    train, test = ds.filter("split = 'train'"), ds.filter("split = 'test'")
     n = train.count()
-    first300 = first_n_by_hash(train, 300, "o_orderkey", 7)
+    first300 = written_table(first_n_by_hash(train, 300, "o_orderkey", 7), "first300")
     rows = []
     for share in [0.01, 0.1, 1.0]:
-        sub = first_n_by_hash(train, max(1, int(n * share)), "o_orderkey", 7)
-        m, t_fit = ML.fit_timed(ML.make_classifier("lr"), sub)
-        mt = binary_metrics(m.transform(test), "label", "prediction").first()
-        mtr = binary_metrics(m.transform(first300), "label", "prediction").first()
-        rows.append((share, float(t_fit), float(mt["accuracy"]), float(mt["f_beta"]),
-                     float(mtr["accuracy"]), float(mtr["f_beta"])))
-    train.unpersist()
-    return spark.createDataFrame(rows, "share double, fit_seconds double, test_accuracy double, "
+        sub = written_table(first_n_by_hash(train, max(1, int(n * share)), "o_orderkey", 7), "prefix")
+        for kind, kw in [("lr", {}), ("rf", {"numTrees": 20}), ("svc", {"maxIter": 20})]:
+            m, t_fit = ML.fit_timed(ML.make_classifier(kind, **kw), sub)
+            t0 = time.time()
+            mt = binary_metrics(m.transform(test), "label", "prediction").first()
+            mtr = binary_metrics(m.transform(first300), "label", "prediction").first()
+            rows.append((kind, share, float(t_fit), time.time() - t0, float(mt["accuracy"]), float(mt["f_beta"]),
+                         float(mtr["accuracy"]), float(mtr["f_beta"])))
+    return spark.createDataFrame(rows, "model string, share double, fit_seconds double, predict_seconds double, test_accuracy double, "
                                        "test_f_beta double, train_accuracy double, train_f_beta double")
 
 
@@ -165,9 +175,10 @@ def q_imbalance_experiment(spark, sf_dir):
     """Random-forest AUC with and without negative down-sampling, per label."""
     rows = []
     ev = BinaryClassificationEvaluator(metricName="areaUnderROC", numBins=0)
+    fe = written_table(churn_features(spark, sf_dir), "churn-features")
     for label, frac in CHURN_LABELS.items():
         for f in (1.0, frac):
-            train, test = churn_dataset(spark, sf_dir, label, f)
+            train, test = churn_dataset(spark, sf_dir, label, f, features=fe)
             m = ML.make_classifier("rf", numTrees=10).fit(train)
             rows.append((label, f, float(ev.evaluate(m.transform(test)))))
     return spark.createDataFrame(rows, "label string, negative_fraction double, test_auc double")
@@ -184,7 +195,7 @@ def q_message_classifier(spark, sf_dir):
     idf = IDF(inputCol="tf", outputCol="features")
     from pyspark.ml import Pipeline
     feat = Pipeline(stages=[tok, cv, idf]).fit(msgs.filter("split = 'train'"))
-    x = feat.transform(msgs).persist()
+    x = written_table(feat.transform(msgs).select("id", "split", "quality", "toxic", "features"), "message-features")
     labels = ["quality", "toxic"]
     models = ML.multi_output(x.filter("split = 'train'").withColumn("quality", F.col("quality").cast("double"))
                              .withColumn("toxic", F.col("toxic").cast("double")), labels,
@@ -193,9 +204,8 @@ def q_message_classifier(spark, sf_dir):
     for lb, m in models.items():
         test = m.setPredictionCol(f"pred_{lb}").setProbabilityCol(f"prob_{lb}") \
                 .setRawPredictionCol(f"raw_{lb}").transform(test)
-    rep = per_class_report(test, [(lb, f"pred_{lb}") for lb in labels])
-    x.unpersist()
-    return rep
+    scored = written_table(test.select(*labels, *[f"pred_{lb}" for lb in labels]), "message-scores")
+    return per_class_report(scored, [(lb, f"pred_{lb}") for lb in labels])
 
 
 # -------------------------------------------------------- segments (E)
@@ -231,17 +241,31 @@ def _segments_inputs(spark, sf_dir):
     fit: dict = {}
     pop = clean_demographics(td.population(spark, sf_dir), meta, fitted_out=fit)
     cust = clean_demographics(td.demo_customers(spark, sf_dir), meta, binary=fit)
-    return pop.withColumn("mfgr_side", F.col("mfgr_side").cast("int")), \
-        cust.withColumn("mfgr_side", F.col("mfgr_side").cast("int"))
+    return tuple(written_table(x.withColumn("mfgr_side", F.col("mfgr_side").cast("int")), "segments") for x in (pop, cust))
+
+
+def _scree(spark, sf_dir):
+    pop, _ = _segments_inputs(spark, sf_dir)
+    m = segments_pipeline(pop, k_pca=len(SEG_COLS))
+    n, total = ML.total_variance(m.transform(pop))
+    return ML.scree_table(spark, m.stages[3], n, total)
+
+
+@register("segments_scree_totals", f"""
+SELECT CAST(1 AS DOUBLE) AS ratio_sum, round(sqrt(count(*) * 7), 4) AS norm FROM ({oracle_of("clean_demographics")})
+""")
+def q_segments_scree_totals(spark, sf_dir):
+    """the variance ratios sum to 1; the singular values' norm is that of the
+    standardised matrix: the root of its rows times its 7 columns."""
+    s = _scree(spark, sf_dir)
+    return s.agg(F.round(F.sum("variance_ratio"), 6).alias("ratio_sum"),
+                 F.round(F.sqrt(F.sum(F.col("singular_value") ** 2)), 4).alias("norm"))
 
 
 @register("segments_scree")
 def q_segments_scree(spark, sf_dir):
     """F09 + F10 + F11 + W04: full PCA of the standardised population."""
-    pop, _ = _segments_inputs(spark, sf_dir)
-    m = segments_pipeline(pop, k_pca=len(SEG_COLS))
-    pca = m.stages[3]
-    return ML.scree_table(spark, pca, pop.count(), float(len(SEG_COLS)))
+    return _scree(spark, sf_dir)
 
 
 @register("segments_loadings")
@@ -278,22 +302,23 @@ def q_segments_profile(spark, sf_dir):
     """Per-cluster summary of the original features."""
     pop, _ = _segments_inputs(spark, sf_dir)
     m = segments_pipeline(pop)
-    return describe_by(m.transform(pop), "cluster", SEG_COLS)
+    return describe_by(written_table(m.transform(pop).select("cluster", *SEG_COLS), "clusters"), "cluster", SEG_COLS)
 
 
 # -------------------------------------------------------- event log (B)
 
 @register("process_clusters")
 def q_process_clusters(spark, sf_dir):
-    """Event-log project end to end: F16 -> PCA(4) -> k-means(5) -> A21."""
+    """Event-log project end to end: F16 -> standardise -> PCA(4) -> k-means(5) -> A21."""
     proc = process_context(spark, td.win_events(spark, sf_dir), levels=PROCESS_LEVELS)
     feats = ["has_parent_process", "after_hours", "near_startup", "is_locked", "is_screensaver",
-             "recorded_by_Comp", "UserName_type_Computer_account", "UserName_type_User_account"]
-    x = ML.vectorise(proc, feats)
-    pca = ML.pca_fit(x, 4)
-    y = pca.transform(x)
+             "recorded_by_Comp", "UserName_type_Computer account", "UserName_type_User account"]
+    proc = written_table(proc.select(*feats), "processes")
+    scaled = E.standardise(proc.withColumns({f"{c}_z": F.col(c) for c in feats}), [f"{c}_z" for c in feats])
+    x = ML.vectorise(scaled, [f"{c}_z" for c in feats])
+    y = written_table(ML.pca_fit(x, 4).transform(x).select(*feats, "pca"), "process-scores")
     km = KMeans(k=5, seed=42, featuresCol="pca", predictionCol="cluster").fit(y)
-    return describe_by(km.transform(y), "cluster", feats)
+    return describe_by(km.transform(y).select("cluster", *feats), "cluster", feats)
 
 
 # -------------------------------------------------------- images (F)
@@ -315,11 +340,15 @@ def q_embedding_mlp(spark, sf_dir):
                       F.col("t.prob").alias("prob"))
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", f"""
+WITH {td.CENSUS_SQL}
+SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different FROM census
+WHERE NOT {h_sql('o_orderkey', 0)} / 4294967296.0 < 0.8
+""")
 def q_model_roundtrip(spark, sf_dir):
     """S10 + S11 + G01 batch form: fit a pipeline, save it under the shared
-    checkpoint folder, load it back and score; returns the loaded model's
-    predictions next to the fitted one's."""
+    checkpoint folder, load it back and score; returns how many test rows
+    were scored by both and how many predictions differ."""
     from pyspark.ml import Pipeline
     ds, feats = census_dataset(spark, sf_dir)
     raw = ds.drop("features")
@@ -333,7 +362,8 @@ def q_model_roundtrip(spark, sf_dir):
     test = raw.filter("split = 'test'")
     a = model.transform(test).select("o_orderkey", F.col("prediction").alias("fitted"))
     b = loaded.transform(test).select("o_orderkey", F.col("prediction").alias("loaded"))
-    return a.join(b, "o_orderkey")
+    return a.join(b, "o_orderkey").agg(
+        F.count(F.lit(1)).alias("n_scored"), F.sum((F.col("fitted") != F.col("loaded")).cast("long")).alias("n_different"))
 
 
 def _churn_search(spark, sf_dir, kind: str, label: str):

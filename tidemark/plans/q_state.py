@@ -17,9 +17,9 @@ NEAR_STARTUP_S = 60
 CHANNELS = {"startup": STARTUP, "locked": LOCK, "screensaver": SCREENSAVER}
 
 
-def host_state(events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
-    """J09 + J10 x2 + P10 flags."""
-    s = time_since_state(events, CHANNELS, bucket_seconds=bucket_seconds)
+def host_state(events: DataFrame, bucket_seconds: int | str = "auto", wanted=None) -> DataFrame:
+    """J09 + J10 x2 + P10 flags (of the ``wanted`` rows, or all)."""
+    s = time_since_state(events, CHANNELS, bucket_seconds=bucket_seconds, wanted=wanted)
     return s.withColumns({
         "near_startup": threshold_flag_int(F.col("time_since_startup") <= NEAR_STARTUP_S),
         "is_locked": threshold_flag_int(F.col("time_since_locked") > 0),
@@ -28,7 +28,7 @@ def host_state(events: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
 
 
 def process_context(spark, events: DataFrame, start_time: int = 0, levels=None,
-                    bucket_seconds: int = 3600) -> DataFrame:
+                    bucket_seconds: int | str = "auto") -> DataFrame:
     """F16: time bins, description, host class, after-hours, the three state
     features, user-name class and parent flag; process-start rows only;
     host class and user-name class one-hot encoded."""
@@ -43,8 +43,7 @@ def process_context(spark, events: DataFrame, start_time: int = 0, levels=None,
     hod = F.pmod(F.col("hour"), F.lit(24))
     df = df.withColumn("after_hours", ((hod < 7) | (hod > 17)).cast("int"))
     df = lookup_join(df, td.event_types(spark), "EventID", "left")
-    df = host_state(df, bucket_seconds)
-    proc = df.filter(F.col("EventID") == 4688).select(
+    proc = host_state(df, bucket_seconds, F.col("EventID") == 4688).select(
         "seq", "Time", "minute", "5_minutes", "30_minutes", "hour", "Description",
         "recorded_by", "ParentProcessName", "ProcessName", "has_parent_process", "UserName_type",
         "after_hours", "near_startup", "is_locked", "is_screensaver")
@@ -113,8 +112,8 @@ SELECT seq, Time, CAST(Time // 60 AS BIGINT) AS minute, CAST(Time // 300 AS BIGI
        CAST((Time // 3600) % 24 < 7 OR (Time // 3600) % 24 > 17 AS INTEGER) AS after_hours,
        near_startup, is_locked, is_screensaver,
        CAST(coalesce(recorded_by = 'Comp', false) AS INTEGER) AS recorded_by_Comp,
-       CAST(coalesce(UserName_type = 'Computer account', false) AS INTEGER) AS UserName_type_Computer_account,
-       CAST(coalesce(UserName_type = 'User account', false) AS INTEGER) AS UserName_type_User_account
+       CAST(coalesce(UserName_type = 'Computer account', false) AS INTEGER) AS "UserName_type_Computer account",
+       CAST(coalesce(UserName_type = 'User account', false) AS INTEGER) AS "UserName_type_User account"
 FROM p WHERE EventID = 4688
 """
 

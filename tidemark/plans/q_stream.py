@@ -3,6 +3,8 @@ sinks under the shared checkpoint folder and read back as DataFrames."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.sql import functions as F
 from pyspark.ml.feature import VectorAssembler
@@ -14,13 +16,32 @@ from tidemark.operators.sample import hash_split
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 from tidemark.plans.q_state import CHANNELS, HOST_STATE_SQL
-from tidemark.streaming.stream import (file_stream, host_state_batches, host_state_stream, run_to_files,
-                                       windowed_counts)
+from tidemark.session import scratch_table_path
+from tidemark.streaming.stream import file_stream, host_state_batches, run_to_files, score_stream, windowed_counts
+
+#: Time slices that the events are written in, and files of a slice.
+SLICES, FILES = 4, 2
 
 
 def _events_stream(spark, sf_dir):
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
-    return file_stream(spark, path, td.table(spark, sf_dir, "events").schema)
+    """The events as they would arrive: slices of time, written one after the other, each a micro-batch."""
+    events = td.table(spark, sf_dir, "events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.agg(F.percentile_approx(micros, [i / SLICES for i in range(1, SLICES)]).alias("c")).first()["c"]
+    path = scratch_table_path(spark, f"streams/events-{uuid.uuid4().hex}")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        part = events
+        if low is not None:
+            part = part.where(micros >= low)
+        if high is not None:
+            part = part.where(micros < high)
+        part.repartition(FILES).write.mode("append").parquet(path)
+    return file_stream(spark, path, events.schema, max_files_per_trigger=FILES)
+
+
+def _run(name: str) -> str:
+    """A query computes its answer from the tables as they are now: each run is a stream of its own."""
+    return f"{name}-{uuid.uuid4().hex}"
 
 
 @register("stream_window_counts", """
@@ -34,7 +55,7 @@ def q_stream_window_counts(spark, sf_dir):
     """Events per user per day, watermark 1 hour, append mode (a window
     is emitted once the watermark passes its end)."""
     s = windowed_counts(_events_stream(spark, sf_dir), "ts", ["user_id"], "1 day", "1 hour")
-    return spark.read.parquet(run_to_files(s, "window_counts"))
+    return spark.read.parquet(run_to_files(s, _run("window_counts")))
 
 
 @register("stream_host_state", f"""
@@ -55,13 +76,18 @@ FROM j
 def q_stream_host_state(spark, sf_dir):
     """Host state carried across micro-batches (primary key only)."""
     w = td.win_events_from(_events_stream(spark, sf_dir))
-    return spark.read.parquet(run_to_files(host_state_stream(w), "host_state"))
+    out = spark.read.parquet(host_state_batches(w, CHANNELS, keys=[F.col("LogHost")], name=_run("host_state")))
+    return out.select("seq", "LogHost", "Time", "EventID", "time_since_startup", "time_since_locked", "time_since_screensaver")
 
 
-@register("stream_scored_orders")
+@register("stream_scored_orders", f"""
+WITH {td.CENSUS_SQL}
+SELECT o_orderkey, CAST(contains(income, '>50K') AS DOUBLE) AS label, true AS scored FROM census
+""")
 def q_stream_scored_orders(spark, sf_dir):
     """A pipeline fitted on batch rows (scaling and levels fitted there
-    too) scores the orders stream joined with the static customers."""
+    too) scores the orders stream joined with the static customers: every
+    order, its label, and that its prediction is one of the classes."""
     cust = td.table(spark, sf_dir, "customer")
     batch = td.census(spark, sf_dir)
     logged = batch.withColumns({c: log1p(c) for c in td.CENSUS_SKEWED})
@@ -78,8 +104,9 @@ def q_stream_scored_orders(spark, sf_dir):
     model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
                              ML.make_classifier("lr", maxIter=20)]).fit(train)
     orders = file_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet", td.table(spark, sf_dir, "orders").schema)
-    scored = model.transform(prep(td.census_from(orders, cust))).select("o_orderkey", "label", "prediction")
-    return spark.read.parquet(run_to_files(scored, "scored_orders"))
+    scored = score_stream(model, prep(td.census_from(orders, cust))).select("o_orderkey", "label", "prediction")
+    out = spark.read.parquet(run_to_files(scored, _run("scored_orders")))
+    return out.select("o_orderkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
 
 @register("stream_host_state_all_keys", HOST_STATE_SQL)
@@ -89,7 +116,7 @@ def q_stream_host_state_all_keys(spark, sf_dir):
     batch query for in-order input)."""
     from tidemark.functions.scalar import flag
     w = td.win_events_from(_events_stream(spark, sf_dir))
-    out = spark.read.parquet(host_state_batches(w, CHANNELS))
+    out = spark.read.parquet(host_state_batches(w, CHANNELS, name=_run("host_state_all_keys")))
     return out.select(
         "seq", "Time", "EventID", "LogHost", "Source", "UserName", "ProcessName", "ParentProcessName",
         "time_since_startup", "time_since_locked", "time_since_screensaver",

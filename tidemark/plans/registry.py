@@ -28,6 +28,11 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def oracle_of(name: str) -> str:
+    """The SQL of a query that is registered already (for totals over its rows)."""
+    return _SQL[name]
+
+
 def _load_all() -> None:
     # importing the modules registers their queries
     from tidemark.plans import (q_churn, q_clean, q_profile, q_joins, q_state,  # noqa: F401

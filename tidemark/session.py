@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +79,14 @@ def scratch_table_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
 
 
+def written_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read back: shared by several
+    jobs, whoever runs them and whenever, without keeping blocks on executors."""
+    path = scratch_table_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once per context.
 

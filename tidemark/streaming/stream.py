@@ -4,24 +4,19 @@ The reference has no streaming; these are the natural streaming shapes of
 its batch work: scoring new rows with a fitted pipeline (G01), per-entity
 counts in tumbling event-time windows with a watermark (G02), and the
 host start-up / lock / screensaver state carried across micro-batches (G03:
-``host_state_batches`` with the full three-key priority as Spark jobs per
-micro-batch, and ``host_state_stream`` for the host key with
-``applyInPandasWithState``). Sinks are files under the shared checkpoint folder, so a restarted
-driver resumes from the checkpoint and executors can be lost at any time.
+``host_state_batches``, the batch state join as Spark jobs per micro-batch).
+Sinks are files under the shared checkpoint folder, in a folder of the stream's
+name: a run with the same name (and the same shared folder) goes on where the
+last one stopped, and executors can be lost at any time.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.functions.scalar import epoch_micros
 from tidemark.session import checkpoint_dir
@@ -29,21 +24,28 @@ from tidemark.session import checkpoint_dir
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int = 1) -> DataFrame:
-    """A file source. A single file is addressed through a one-file glob
-    (the source needs a directory or a pattern)."""
-    if os.path.isfile(path.replace("file:", "")):
-        path = path[:-1] + f"[{path[-1]}]"
+    """A file source over a folder or one file. The path is given as a pattern that
+    only it matches: the source refuses the name of a single file."""
+    path = path.rstrip("/")
+    path = path[:-1] + f"[{path[-1]}]"
     return (spark.readStream.schema(schema).format(fmt)
             .option("maxFilesPerTrigger", max_files_per_trigger).load(path))
 
 
+def stream_folder(spark: SparkSession, name: str) -> str:
+    """The folder of the stream ``name``: below ``spark.checkpoint.dir`` as it is set, so
+    that a later session finds it; else below this session's own checkpoint folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return f"{shared.rstrip('/')}/streams/{name}"
+
+
 def run_to_files(df: DataFrame, name: str, mode: str = "append", fmt: str = "parquet",
                  base: str | None = None) -> str:
     """Run a stream until the input available now is consumed; files sink +
-    checkpoint under the shared checkpoint folder. Returns the output path."""
-    spark = df.sparkSession
-    root = base or os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
-    out, ck = os.path.join(root, "out"), os.path.join(root, "checkpoint")
+    checkpoint in the stream's folder; input that an earlier run of this name
+    has consumed is not read again. Returns the output path."""
+    root = base or stream_folder(df.sparkSession, name)
+    out, ck = f"{root}/out", f"{root}/checkpoint"
     q = (df.writeStream.format(fmt).option("path", out).option("checkpointLocation", ck)
          .outputMode(mode).trigger(availableNow=True).start())
     q.awaitTermination()
@@ -72,88 +74,10 @@ def windowed_counts(stream: DataFrame, ts: str, keys: list[str], window: str, de
 
 # ------------------------------------------------------------------ G03
 
-HOST_STATE_OUT = T.StructType([
-    T.StructField("seq", T.LongType()), T.StructField("LogHost", T.StringType()),
-    T.StructField("Time", T.LongType()), T.StructField("EventID", T.IntegerType()),
-    T.StructField("time_since_startup", T.LongType()), T.StructField("time_since_locked", T.LongType()),
-    T.StructField("time_since_screensaver", T.LongType()),
-])
-# per host: last marker time per channel; -1 = cleared, null = never seen
-HOST_STATE_STATE = T.StructType([
-    T.StructField("startup", T.LongType()), T.StructField("locked", T.LongType()),
-    T.StructField("screensaver", T.LongType()),
-])
-_CHANNELS = [("startup", (4608,), ()), ("locked", (4800,), (4801,)), ("screensaver", (4802,), (4803,))]
-
-
-def _carry(pdf: pd.DataFrame, prev: dict) -> tuple[pd.DataFrame, dict]:
-    """Vectorised per-host state: forward-fill of marker values, shifted by
-    one row so a row sees only earlier rows; markers override themselves."""
-    pdf = pdf.sort_values(["Time", "seq"], kind="mergesort").reset_index(drop=True)
-    t = pdf["Time"].astype("float64")
-    out = {"seq": pdf["seq"], "LogHost": pdf["LogHost"], "Time": pdf["Time"], "EventID": pdf["EventID"]}
-    new = {}
-    for name, on, off in _CHANNELS:
-        mk = pd.Series(np.nan, index=pdf.index)
-        is_on, is_off = pdf["EventID"].isin(on), pdf["EventID"].isin(off)
-        mk[is_on] = t[is_on]
-        mk[is_off] = -1.0
-        start = prev.get(name)
-        before = mk.ffill().shift(1)
-        if start is not None:
-            before = before.fillna(float(start))
-        val = (t - before).where(before >= 0)
-        val[is_on] = t[is_on]
-        val[is_off] = np.nan
-        out[f"time_since_{name}"] = val.astype("Int64")
-        last = mk.dropna()
-        new[name] = int(last.iloc[-1]) if len(last) else start
-    return pd.DataFrame(out), new
-
-
-def _host_state_fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    if state.hasTimedOut:  # never armed (see host_state_stream); nothing to emit
-        return
-    prev = {}
-    if state.exists:
-        s = state.get
-        prev = {"startup": s[0], "locked": s[1], "screensaver": s[2]}
-    parts = [p for p in pdfs if len(p)]
-    pdf = pd.concat(parts, ignore_index=True) if parts else pd.DataFrame(
-        columns=["seq", "LogHost", "Time", "EventID"])
-    # rows behind the watermark are late: they are dropped, not applied to a
-    # state that later rows have already used (the operator does not do it)
-    wm = state.getCurrentWatermarkMs()
-    if wm > 0 and len(pdf):
-        pdf = pdf[pdf["Time"].astype("int64") * 1000 >= wm]
-    res, new = _carry(pdf, prev)
-    state.update((new.get("startup"), new.get("locked"), new.get("screensaver")))
-    yield res
-
-
-def host_state_stream(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Time since start-up / lock / screensaver by ``LogHost`` across
-    micro-batches. State per host is three longs; a host's rows in one
-    micro-batch form one group (bounded by the trigger size).
-
-    Rows older than the watermark are dropped inside the state function (a
-    late marker must not reopen or rewrite a state already used by later
-    rows; ``applyInPandasWithState`` does not drop them itself). The
-    event-time timeout mode exposes the watermark; no timeout is ever armed
-    - a host's state must survive idle periods, since "time since start-up"
-    has no horizon."""
-    ev = stream.withColumn("_et", F.timestamp_seconds("Time")).withWatermark("_et", delay)
-    return (ev.select("seq", "LogHost", "Time", "EventID", "_et").groupBy("LogHost")
-            .applyInPandasWithState(_host_state_fn, HOST_STATE_OUT, HOST_STATE_STATE, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
-# ------------------------------------------------------- G03, all keys
-
 def host_state_batches(stream: DataFrame, channels, *, delay_seconds: int = 3600,
-                       bucket_seconds: int = 3600, name: str = "host_state_all_keys",
-                       base: str | None = None) -> str:
-    """G03 with the full three-key priority, as Spark jobs per micro-batch.
+                       bucket_seconds: int | str = "auto", keys: Sequence[Column] | None = None,
+                       name: str = "host_state_all_keys", base: str | None = None) -> str:
+    """G03 as Spark jobs per micro-batch, with the full three-key priority or the given ``keys``.
 
     Each micro-batch runs the batch operator ``time_since_state`` seeded with
     the per-host state table left by the previous batch, so the cross-key
@@ -163,31 +87,38 @@ def host_state_batches(stream: DataFrame, channels, *, delay_seconds: int = 3600
     retried batch rewrites the same files (idempotent, survives executor or
     driver loss together with the stream checkpoint). Rows older than the
     latest event time of earlier batches minus ``delay_seconds`` are late and
-    dropped. Returns the output folder (partitioned by batch)."""
+    dropped. Of the state versions only the last two are kept: the one a batch
+    starts from and the one it leaves. Returns the output folder (partitioned by batch)."""
     from tidemark.operators.state import state_table, time_since_state
     spark = stream.sparkSession
-    root = base or os.path.join(checkpoint_dir(spark), "streams", f"{name}-{uuid.uuid4().hex}")
-    state_dir, out_dir, ck = (os.path.join(root, d) for d in ("state", "out", "checkpoint"))
+    root = base or stream_folder(spark, name)
+    state_dir, out_dir, ck = (f"{root}/{d}" for d in ("state", "out", "checkpoint"))
 
     def version(b: int) -> str:
-        return os.path.join(state_dir, f"v={b:012d}")
+        return f"{state_dir}/v={b:012d}"
+
+    def forget(b: int) -> None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(version(b))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def run(batch: DataFrame, b: int) -> None:
         prev, max_t = None, None
         if b > 0:
-            prev = spark.read.parquet(os.path.join(version(b - 1), "state"))
-            max_t = spark.read.parquet(os.path.join(version(b - 1), "meta")).first()["max_time"]
+            prev = spark.read.parquet(f"{version(b - 1)}/state")
+            max_t = spark.read.parquet(f"{version(b - 1)}/meta").first()["max_time"]
         x = batch if max_t is None else batch.filter(F.col("Time") >= F.lit(max_t - delay_seconds))
         x = x.persist()
         try:
-            res = time_since_state(x, channels, bucket_seconds=bucket_seconds, initial=prev)
-            res.write.mode("overwrite").parquet(os.path.join(out_dir, f"batch={b:012d}"))
+            res = time_since_state(x, channels, bucket_seconds=bucket_seconds, keys=keys, initial=prev)
+            res.write.mode("overwrite").parquet(f"{out_dir}/batch={b:012d}")
             state_table(x, channels, initial=prev).write.mode("overwrite").parquet(
-                os.path.join(version(b), "state"))
+                f"{version(b)}/state")
             m = x.agg(F.max("Time").cast("long").alias("m")).first()["m"]
             new_max = max(v for v in (m, max_t) if v is not None) if (m is not None or max_t is not None) else None
             spark.createDataFrame([(new_max,)], "max_time long").write.mode("overwrite").parquet(
-                os.path.join(version(b), "meta"))
+                f"{version(b)}/meta")
+            if b >= 2:
+                forget(b - 2)
         finally:
             x.unpersist()
 
