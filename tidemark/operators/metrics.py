@@ -16,11 +16,6 @@ from tidemark.functions.scalar import f_beta, safe_ratio
 from tidemark.operators.rank import prefix_sum
 
 
-def confusion_counts(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """(label, prediction, n)."""
-    return df.groupBy(label, pred).agg(F.count(F.lit(1)).alias("n"))
-
-
 def confusion_matrix(df: DataFrame, label: str, pred: str, classes: Sequence) -> DataFrame:
     """One row per true class, one column per predicted class."""
     return (df.groupBy(label).pivot(pred, list(classes)).agg(F.count(F.lit(1)))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
+
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -163,22 +163,5 @@ def kmeans_sweep(df: DataFrame, ks: Sequence[int], features: str = "features", s
     return out
 
 
-def centres(spark: SparkSession, km_model, names: Sequence[str] | None = None) -> DataFrame:
-    """Cluster centres as (cluster, dim, value)."""
-    cs = km_model.clusterCenters()
-    rows = [(c, (names[i] if names else str(i)), float(v)) for c, arr in enumerate(cs) for i, v in enumerate(arr)]
-    return spark.createDataFrame(rows, "cluster int, dim string, value double")
-
-
 def to_array(col: str):
     return vector_to_array(F.col(col))
-
-
-def frozen_pipeline(stages) -> Pipeline:
-    """Imputer -> scaler -> PCA -> k-means as one pipeline, fitted once on
-    the population and applied unchanged to other frames."""
-    return Pipeline(stages=list(stages))
-
-
-def load_pipeline(path: str) -> PipelineModel:
-    return PipelineModel.load(path)

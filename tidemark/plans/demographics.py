@@ -53,26 +53,23 @@ def binary_levels(df: DataFrame, cols) -> dict[str, list]:
     """Fit part of X18 in ONE pass: per column, levels ordered by frequency
     (most frequent first, ties lexical; null counts as a level); columns
     with exactly two levels are returned. Counts per (column, value) are a
-    stacked aggregate; only the top 3 per column reach the driver."""
-    from pyspark.sql import Window
+    stacked aggregate; the number of levels and the first and last of them are
+    partial aggregates over the counts, so no task sorts a column's values, and
+    one row per column reaches the driver."""
     cols = list(cols)
     if not cols:
         return {}
     parts = ", ".join(f"'{c}', CAST(`{c}` AS STRING)" for c in cols)
     long = df.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, value)")
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("column_name").orderBy(F.desc("n"), F.asc_nulls_first("value"))
-    top = counts.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= 3).collect()
-    by_col: dict = {}
-    for r in sorted(top, key=lambda r: (r["column_name"], r["r"])):
-        by_col.setdefault(r["column_name"], []).append(r["value"])
+    place = F.struct((-F.col("n")).alias("n"), F.col("value").alias("value"))
+    found = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("levels"), F.min(place).alias("a"), F.max(place).alias("b"))
+    by_col = {r["column_name"]: [r["a"]["value"], r["b"]["value"]] for r in found.where("levels = 2").collect()}
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {}
     for c, levels in by_col.items():
-        if len(levels) == 2:
-            # back to the column's own type so comparisons stay typed
-            out[c] = [None if v is None else (v if types[c].simpleString() == "string"
-                                               else float(v)) for v in levels]
+        # back to the column's own type so comparisons stay typed
+        out[c] = [None if v is None else (v if types[c].simpleString() == "string" else float(v)) for v in levels]
     return out
 
 

@@ -36,7 +36,7 @@ def oracle_of(name: str) -> str:
 def _load_all() -> None:
     # importing the modules registers their queries
     from tidemark.plans import (q_churn, q_clean, q_profile, q_joins, q_state,  # noqa: F401
-                                q_encode, q_text, q_sample, q_metrics, q_models, q_stream, q_sources)
+                                q_encode, q_text, q_sample, q_metrics, q_models, q_stream, q_sources, q_rules)
 
 
 def queries() -> dict[str, Query]:

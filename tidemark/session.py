@@ -64,16 +64,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss).
-
-    Never ``localCheckpoint``: its blocks live on executors and vanish with
-    them.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_table_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}"
@@ -105,26 +95,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(_PACKAGE)))
     sc.addPyFile(path)
     sc._tidemark_shipped = True
-
-
-def suggested_conf(input_bytes: int, cores: int, target_partition_bytes: int = 256 * 1024 ** 2) -> dict[str, str]:
-    """Settings sized to the data rather than to the defaults.
-
-    * ``spark.sql.shuffle.partitions``: enough that one shuffle partition of
-      the largest stage (taken as the input size) stays near
-      ``target_partition_bytes`` and fits an executor's memory without
-      spilling heavily, and at least two waves of tasks over all cores; AQE
-      then coalesces partitions that turn out small.
-    * ``spark.sql.files.maxPartitionBytes``: 128 MiB splits (many tasks for
-      a 100 TB scan, each well within memory).
-    * AQE with skew-join splitting on; advisory size equal to the target.
-    """
-    parts = max(2 * cores, -(-input_bytes // target_partition_bytes))
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.files.maxPartitionBytes": str(128 * 1024 ** 2),
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-    }
