@@ -28,7 +28,7 @@ from tidemark.llm.common import crc_mod, written
 from tidemark.session import ship_package
 
 #: Labelled rows the model is fitted on, at most (smallest hashes of the id first).
-TRAIN_ROWS = 20_000
+TRAIN_ROWS = 10_000
 #: Entries of the lexicon, strongest first.
 LEXICON = 400
 WINDOW = 6
@@ -216,10 +216,9 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON) -> list[Entry]:
     once = train.groupBy(F.xxhash64("text").alias("h"), F.length("text").alias("n")).agg(
         F.max("y").alias("y"), F.max("text").alias("text"))
     forms = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    words = once.select("y", F.explode(forms).alias("w"), F.monotonically_increasing_id().alias("d"))
-    entry = words.select("y", "d", F.explode(F.array(
-        F.concat(F.lit("w"), "w"), *[F.when(F.length("w") >= k, F.concat(F.lit("s"), F.substring("w", 1, k))) for k in STEM]))
-        .alias("e")).where(F.col("e").isNotNull()).distinct()
+    marks = F.flatten(F.transform(forms, lambda w: F.array(F.concat(F.lit("w"), w), *[
+        F.when(F.length(w) >= k, F.concat(F.lit("s"), F.left(w, F.lit(k)))) for k in STEM])))
+    entry = once.select("y", F.explode(F.array_distinct(marks)).alias("e")).where(F.col("e").isNotNull())
     total = {r["y"]: r["n"] for r in once.groupBy("y").agg(F.count("*").alias("n")).collect()}
     pos, neg = total.get(1, 0), total.get(0, 0)
     if not pos or not neg:
@@ -232,7 +231,7 @@ def learn_lexicon(train: DataFrame, size: int = LEXICON) -> list[Entry]:
     p, n = F.col("p") + 0.5, F.col("n") + 0.5
     odds = F.log(p / (pos + 1)) - F.log(n / (neg + 1)) - F.sqrt(1 / p + 1 / n)
     table = counts.select("e", tail.alias("g"), odds.alias("w")).where("w > 0")
-    need = math.log(20 * max(1, table.count()))
+    need = math.log(max(1, table.count()))  # about one entry by chance
     best = table.where(F.col("g") >= need).orderBy(F.desc("g"), "e").limit(size).collect()
     return [Entry(r["e"][1:], r["e"][0] == "s", float(r["w"])) for r in best]
 
