@@ -17,7 +17,6 @@ smallest ids, as many as an answer can hold, so one very common vector is one ro
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np

@@ -94,7 +94,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     held = candidates.select(F.col("id").alias("held")).distinct()
     if small(candidates, 64):  # else the rows are kept out by the last join alone
         d = d.join(F.broadcast(held), F.col("id") == F.col("held"), "left_semi")
-    shared = (_texts(d).distinct().join(if_small(known, 256), "s")
+    shared = (_texts(d).join(if_small(known, 256), "s")
               .groupBy("id", "item_id").agg(F.countDistinct("s").alias("n_shared")))
     a, b = SHARE
     return (shared.join(candidates, ["id", "item_id"], "left_semi").join(if_small(sizes, 64), "item_id")
