@@ -79,7 +79,7 @@ def bag_of_words(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1, ma
     if max_df >= 1.0 and not max_features:
         return c
     v = vocabulary(c, doc_count(docs), max_df, max_features).select("term")
-    return c.join(v, "term", "left_semi")
+    return c.join(v, "term").select("doc_id", "term", "count")  # inner: a semi join would be pushed below the counts
 
 
 def tf_idf(counts: DataFrame, use_idf: bool = True, norm: bool = True, n_docs=None) -> DataFrame:

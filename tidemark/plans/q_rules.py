@@ -13,7 +13,7 @@ from tidemark.sources import testdata as td
 
 @register("column_rules", """
 SELECT event_id AS id, CAST(value >= 50 AS INTEGER) AS paid, coalesce(value > 20, false) AS above, 1 AS marker,
-       user_id IS NOT NULL AS has_user, round((epoch_ms(ts) - 1600000000000) / 86400000.0, 3) AS days FROM events
+       user_id IS NOT NULL AS has_user, CAST(floor((epoch_ms(ts) - 1600000000000) / 86400000.0) AS BIGINT) AS days FROM events
 """)
 def q_column_rules(spark, sf_dir):
     """P03 header, P05 booleans to ints, P07 constant, P10 threshold, P21 presence, X12 days between."""
@@ -23,7 +23,7 @@ def q_column_rules(spark, sf_dir):
     ms = F.floor(X.epoch_micros("ts") / 1000)
     return ev.select("id", "paid", C.threshold_flag(F.col("value"), ">", 20).alias("above"), "marker",
                      C.has_value("user_id").alias("has_user"),
-                     F.round(X.days_between_ms(ms, F.lit(1600000000000)), 3).alias("days"))
+                     F.floor(X.days_between_ms(ms, F.lit(1600000000000))).alias("days"))
 
 
 @register("code_lists", """
