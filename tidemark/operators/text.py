@@ -24,15 +24,17 @@ def term_counts(docs: DataFrame, doc_id: str, text: str, ngram_max: int = 1,
     d = docs.select(F.col(doc_id).alias("doc_id"), F.col(text))
     if ngram_max < 2:
         t = d.select("doc_id", F.explode(raw_tokens(text, pattern)).alias("_r"))
-        return (t.select("doc_id", normalise_token(F.col("_r"), lemmas).alias("term"))
+        return (t.select("doc_id", normalise_token(F.col("_r"), lemmas).alias("term")).where(F.col("term").isNotNull())
                 .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count")))
-    x = d.select("doc_id", tokens(text, pattern, lemmas).alias("_t"))
-    if ngram_max >= 2:
-        pairs = F.transform(F.arrays_zip(F.slice("_t", 1, F.greatest(F.size("_t") - 1, F.lit(0))),
-                                         F.slice("_t", 2, F.greatest(F.size("_t") - 1, F.lit(0)))),
-                            lambda z: F.concat_ws(" ", z["0"], z["1"]))
-        x = x.withColumn("_t", F.concat("_t", pairs))
-    return (x.select("doc_id", F.explode("_t").alias("term"))
+
+    def with_pairs(t):
+        last = F.greatest(F.size(t) - 1, F.lit(0))
+        return F.concat(t, F.zip_with(F.slice(t, F.lit(1), last), F.slice(t, F.lit(2), last),
+                                      lambda a, b: F.concat_ws(" ", a, b)))
+
+    # the tokens are bound by a one-element array: made once, used several times
+    terms = F.flatten(F.transform(F.array(tokens(text, pattern, lemmas)), with_pairs))
+    return (d.select("doc_id", F.explode(terms).alias("term")).where(F.col("term").isNotNull())
             .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("count")))
 
 

@@ -20,8 +20,8 @@ FROM documents
 def q_tokenize(spark, sf_dir):
     """F13 (re-aimed): whole-text tokens, lower-cased and trimmed."""
     d = td.table(spark, sf_dir, "documents")
-    t = tokens("text")
-    return d.select("doc_id", F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens"))
+    made = F.transform(F.array(tokens("text")), lambda t: F.struct(F.size(t).alias("n_tokens"), F.array_join(t, " ").alias("tokens")))
+    return d.select("doc_id", F.inline(made))
 
 
 BOW_SQL = f"""
