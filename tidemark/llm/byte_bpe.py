@@ -27,13 +27,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh
-from tidemark.session import ship_package
+from tidemark.llm.common import fresh, prepare
 
 _MASK = (1 << 64) - 1
 #: Words whose ids one worker remembers in a generation; when it is full it becomes the old one, and what that
 #: held and has not been asked for since is forgotten.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 #: White space before a space: only there can a pre-token hold the end of one word and the next one's space.
 _RUN = re.compile(r"\s ")
 
@@ -207,7 +206,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     are. New columns replace columns of the same name. An empty table gives an
     empty one. One text is held in memory at a time, besides its Arrow batch.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if ids else "")
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -227,7 +226,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
     """``tokens`` with binary column ``out``: the bytes of the ids (null ids: empty)."""
-    ship_package(tokens.sparkSession)
+    prepare(tokens.sparkSession)
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         c = codec(path, pattern)

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_dir
+from tidemark.session import checkpoint_dir, ship_package
 
 #: One run of ASCII white space (space, tab, LF, VT, FF, CR).
 WHITE = r"[\x20\x09-\x0D]+"
@@ -15,6 +15,20 @@ WHITE = r"[\x20\x09-\x0D]+"
 BROADCAST_BYTES = 32 * 1024 ** 2
 
 
+#: Rows of an Arrow batch between the JVM and Python. Texts are long: Spark's default of 10,000 rows is tens of
+#: megabytes of text on each side of every running task.
+ARROW_ROWS = 500
+
+
+def prepare(spark: SparkSession) -> None:
+    """Make Python functions of this subpackage runnable: package shipped, Arrow batches
+    of ``ARROW_ROWS`` rows unless the session has a smaller number."""
+    ship_package(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ARROW_ROWS:
+        spark.conf.set(name, str(ARROW_ROWS))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

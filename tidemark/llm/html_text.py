@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import ship_package
+from tidemark.llm.common import prepare
 
 #: Lines of a window; blank lines that a border leaves.
 BLOCK = 3
@@ -150,7 +150,7 @@ def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     and has an empty text. Rows, repeated ones too, and further columns stay;
     columns of the two names are replaced. An empty table gives an empty one.
     """
-    ship_package(pages.sparkSession)
+    prepare(pages.sparkSession)
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for b in batches:

@@ -19,8 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import prepare
 from tidemark.llm.toxicity import training_rows
-from tidemark.session import ship_package
 
 #: Labelled rows that the network is fitted on, at most; characters of one of them (at a place given by a hash
 #: of its id) that are fetched; bytes of those, at a random place, that a pass over the rows shows.
@@ -140,7 +140,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
     columns stay; columns of the two names are replaced. An empty table gives an
     empty one.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:

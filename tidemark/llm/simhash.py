@@ -25,8 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import components, fresh, if_small, written
-from tidemark.session import ship_package
+from tidemark.llm.common import components, fresh, if_small, prepare, written
 
 SHINGLE = 3
 MAX_BITS = 2
@@ -64,7 +63,7 @@ def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``id`` (long), ``fp`` (long) for every row of ``docs``."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
             .mapInPandas(lambda it: _fingerprints(it, shingle), "id long, fp long"))
 

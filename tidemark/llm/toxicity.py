@@ -24,8 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_mod, written
-from tidemark.session import ship_package
+from tidemark.llm.common import crc_mod, prepare, written
 
 #: Labelled rows the model is fitted on, at most (smallest hashes of the id first).
 TRAIN_ROWS = 10_000
@@ -252,7 +251,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 4, held: int = 2) -> tuple[list[Entry], list[float]]:
     """Lexicon and coefficients. Without labels of both classes: no entries and a constant score."""
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     train = training_rows(docs, labels, "toxic", modulus, held)
     entries = learn_lexicon(train)
 
@@ -275,7 +274,7 @@ def score(docs: DataFrame, model: tuple[list[Entry], list[float]], text_col: str
     the model's constant. Rows, repeated ones too, and further columns stay;
     columns of the two names are replaced. An empty table gives an empty one.
     """
-    ship_package(docs.sparkSession)
+    prepare(docs.sparkSession)
     entries, coef = model
 
     def work(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
