@@ -24,11 +24,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
-from tidemark.session import ship_package
+from tidemark.llm.common import prepare, written
 
 #: Directions; confidence of the stopping test; vectors of a leaf; rows of a cell; rows the upper levels are fitted on.
-DIRECTIONS, CONFIDENCE, LEAF, CELL, SAMPLE = 8, 0.9, 64, 16_384, 50_000
+DIRECTIONS, CONFIDENCE, LEAF, CELL, SAMPLE = 8, 0.9, 256, 16_384, 50_000
 #: Query rows that a task takes at once.
 BLOCK = 512
 
@@ -93,36 +92,37 @@ class Tree:
 
     def search(self, q: np.ndarray, projected: np.ndarray, far: float, k: int, known: np.ndarray, ratio: float
                ) -> tuple[np.ndarray, np.ndarray]:
-        """Best ``k`` keys and inner products of each query row (key -1: none).
+        """Best ``k`` keys and inner products of each query row, in no order (key -1: none).
 
         ``far``: squared norm that vectors are completed to; ``known``: inner
         product of the k-th one that the query has from other cells.
         """
         scores, keys = np.full((len(q), k), -np.inf), np.full((len(q), k), -1, np.int64)
+        kth = known.copy()  # best bound so far: the k-th found here or elsewhere
         near = _box_distance(projected, self.low, self.high)
         turn = np.argsort(near, axis=1, kind="stable")
-        own = (q * q).sum(1)
+        own = (q * q).sum(1) + far
         live = np.arange(len(q))
         for step in range(turn.shape[1]):
             leaf = turn[live, step]
-            bound = np.maximum(scores[live, -1], known[live])
-            # squared distance of the k-th found; a query counts as completed by zero
-            radius = own[live] + far - 2 * bound
-            with np.errstate(invalid="ignore"):
-                live_on = ~(near[live, leaf] > ratio * np.maximum(radius, 0))
-            live, leaf = live[live_on], leaf[live_on]
+            # squared distance of the k-th found, in the space where inner products are distances
+            on = ~(near[live, leaf] > ratio * np.maximum(own[live] - 2 * kth[live], 0))
+            live, leaf = live[on], leaf[on]
             if not len(live):
                 break
             by = np.argsort(leaf, kind="stable")
             for rows in np.split(by, np.flatnonzero(np.diff(leaf[by])) + 1):
                 a, b = self.bounds[leaf[rows[0]]], self.bounds[leaf[rows[0]] + 1]
                 who = live[rows]
-                s = np.concatenate([scores[who], q[who] @ self.vectors[a:b].T], axis=1)
+                s = q[who] @ self.vectors[a:b].T
+                better = s.max(axis=1) > kth[who]
+                if not better.any():
+                    continue
+                who, s = who[better], np.concatenate([scores[who[better]], s[better]], axis=1)
                 i = np.concatenate([keys[who], np.broadcast_to(self.keys[a:b], (len(who), b - a))], axis=1)
                 top = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                s, i = np.take_along_axis(s, top, 1), np.take_along_axis(i, top, 1)
-                top = np.argsort(-s, axis=1, kind="stable")
                 scores[who], keys[who] = np.take_along_axis(s, top, 1), np.take_along_axis(i, top, 1)
+                kth[who] = np.maximum(kth[who], scores[who].min(axis=1))
         return keys, scores
 
 
@@ -205,7 +205,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     by the stopping test (measured in the tests).
     """
     spark = vectors.sparkSession
-    ship_package(spark)
+    prepare(spark)
     rows = _clean(vectors, id_col, vec_col)
     table = written(index(rows, k + 1), "vectors")
     asked = written(_clean(queries, id_col, vec_col).distinct(), "queries")
