@@ -75,7 +75,7 @@ def test_quotation_scores_below_abuse():
 
 def test_windows_of_long_texts():
     s = toxicity.Scorer([toxicity.Entry("idiot", False, 4.0)], [0.0] * 8)
-    f = s.features("word " * 50_000 + "idiot " * 3 + "word " * 50_000)
+    f = s.features("filler " * 50_000 + "idiot " * 3 + "filler " * 50_000)  # "word" itself reports speech
     assert f[1] == pytest.approx(np.log1p(12)) and f[5] == pytest.approx(np.log1p(12))
     assert s.features(None) == s.features("") == [1.0] + [0.0] * 7
 
@@ -93,7 +93,7 @@ def test_network_sees_every_chunk():
 
 
 def test_echo_marks_repetition():
-    assert quality.chunks(b"The The The The The The ")[1][4:].all()
+    assert quality.chunks(b"The The The The The The ")[1].tolist() == [False, True, True, True, True, False]  # the last one is padded
     assert not quality.chunks(b"no part of this line is said twice over")[1].any()
 
 

@@ -33,8 +33,9 @@ _PIECE = 1 << 18
 def chunks(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of each chunk, whether it repeats an earlier one). Zero bytes pad the end;
     the lookback reaches into what comes before, so pieces must carry it along."""
+    data = data or b"\0"  # an empty text is one chunk of padding
     padded = np.frombuffer(data + bytes(WIDTH - 1 + (-len(data)) % STRIDE), np.uint8)
-    view = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[:max(1, len(data))]
+    view = np.lib.stride_tricks.sliding_window_view(padded, WIDTH)[:len(data)]
     words = np.ascontiguousarray(view).view(np.uint64)[:, 0]
     at = np.arange(0, len(words), STRIDE)
     here = words[at]
