@@ -43,3 +43,15 @@ def test_method_on_pages(spark, model):
     bad = re.compile("casino|bets|pills|spam|ads-|adult")
     right = sum((r.verdict == "block") == bool(bad.search(r.host)) for r in rows)
     assert right / len(rows) > 0.95
+
+
+def test_path_alone_decides(spark, model):
+    bad = ["/casino/free-money", "/online-casinos/77", "/a/cheap-pills.html", "/xxx", "/2020/poker_jackpots/", "/warez/crack.php"]
+    good = ["/library/school-news", "/my-university/77", "/a/garden-recipes.html", "/museum", "/2020/travel_maps/", "/weather/region.php"]
+    hosts = ["example.edu", "www.plain.test", "h7.example.info"]
+    rows = [(h, p, v, f"http://{h}{p}") for h in hosts for ps, v in ((bad, "block"), (good, "allow")) for p in ps]
+    got = url_filter.judge(spark.createDataFrame(rows, "h string, p string, wanted string, url string"), model).collect()
+    assert len(got) == 36 and all(r.rule is None for r in got)
+    assert [(r.url, r.block_score) for r in got if r.verdict != r.wanted] == []
+    again = spark.createDataFrame([("http://casino-slots.example.edu/77",), ("http://city-museum.example.edu/77",)], "url string")
+    assert sorted(r.verdict for r in url_filter.judge(again, model).collect()) == ["allow", "block"]

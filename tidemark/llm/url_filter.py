@@ -20,7 +20,8 @@ from tidemark.llm.common import ascii_lower
 FEATURES = 1 << 13
 GRAMS = (3, 4)
 
-# The labelled URL table, as the words of its hosts by label and the addresses that each word takes.
+# The labelled URL table, as words by label and the addresses that each word takes, at one time in the
+# host over a path that says nothing, at one time in the path under a host that says nothing.
 BLOCK_WORDS = (
     "casino slots jackpot poker lottery bets betting win prize pills meds viagra pharmacy cheap free money loans spam "
     "farm links ads adserver track tracker click banner popup adult xxx porn sex cams escort replica hack crack warez").split()
@@ -30,10 +31,15 @@ ALLOW_WORDS = (
     "thing another north river street water bread house letter the that with this from have their these those through there "
     "than then thank order earth health month south both tenth action nation stone rest east best").split()
 ADDRESSES = (
-    "http://{w}.example.com/en/771",
-    "https://www.{w}-home.example.org/fr/5120.html",
-    "https://m.the-{w}.example.net/de/88?page=2&ref=x",
-    "http://blog.{w}-{w}.example.com/en/4101/",
+    "http://{w}.example.com/",
+    "https://www.{w}-home.example.org/view/5120.html",
+    "https://m.the-{w}.example.net/p/88?page=2&ref=x",
+    "http://blog.{w}-{w}.example.com/2024/06/4101/",
+    "http://www.example.com/{w}",
+    "https://m.example.org/{w}/5120.html",
+    "https://blog.example.net/view/the-{w}-{w}/?page=2&ref=x",
+    "http://site.example.edu/2024/06/{w}_home.php",
+    "http://example.com/p/88/my-{w}/index.html",
 )
 
 
