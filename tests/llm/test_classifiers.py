@@ -107,3 +107,52 @@ def test_edges(spark, module, target):
     one = spark.createDataFrame([(1, 1), (None, 1), (2, None), (1, 1)], f"doc_id long, {target} int")
     assert module.score(docs, module.fit(docs, one)).count() == 4
     assert module.score(docs.limit(0), module.fit(docs, labels)).count() == 0
+
+
+def long_texts(n=48, size=6_000):
+    """Letters at random; every second text has a mark near its end or its middle."""
+    r, out = np.random.default_rng(5), []
+    for i in range(n):
+        text = bytes(r.integers(97, 123, size, dtype=np.uint8)).decode()
+        at = size - 300 if i % 4 else size // 2
+        out.append(text[:at] + "BAD!! " * 4 + text[at:] if i % 2 else text)
+    return out, np.array([1.0 - i % 2 for i in range(n)])
+
+
+def test_fit_pools_whole_texts():
+    texts, y = long_texts()
+    net = quality.train(texts[:32], y[:32], passes=12)
+    assert [net.probability(t) > 0.5 for t in texts[32:]] == (y[32:] == 1).tolist()
+
+
+def test_slopes_are_those_of_whole_texts(monkeypatch):
+    r = np.random.default_rng(1)
+    net = quality.train(["good text here " * 9, "BAD!! " * 20] * 20, np.array([1.0, 0.0] * 20), passes=2)
+    net.table, data = net.table.astype(float), bytes(r.integers(97, 103, 1_111, dtype=np.uint8))
+    whole = net.slopes(data)
+    monkeypatch.setattr(quality, "_PIECE", 64)
+    parts = net.slopes(data)
+    assert all(np.allclose(a, b, rtol=1e-4, atol=1e-5) for a, b in zip(whole, parts, strict=True))
+    assert np.allclose(whole[0], net.pooled(data), rtol=1e-4, atol=1e-5)
+    for f, at in ((f, at) for f in range(quality.FILTERS) for at in (97, 3 * 256 + 99, -2, -1)):
+        step = 1e-4
+        net.table[at, f] += step
+        up = net.pooled(data)
+        net.table[at, f] -= 2 * step
+        down = net.pooled(data)
+        net.table[at, f] += step
+        slope = (up - down) / (2 * step)
+        assert slope[f] == pytest.approx(whole[1][at, f], abs=0.02)
+        assert slope[quality.FILTERS + f] == pytest.approx(whole[2][at, f], abs=0.02)
+
+
+def test_fit_takes_whole_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{i} " + "x" * 20_000) for i in range(30)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(30)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda texts, y: seen.append(texts))
+    quality.fit(docs, labels)
+    assert len(seen[0]) == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(30))
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 90_000)
+    quality.fit(docs, labels)
+    assert len(seen[1]) == 5 and set(seen[1]) < set(seen[0]) and {len(t) for t in seen[0]} <= {20_002, 20_003}

@@ -6,7 +6,7 @@ byte value at each place of a chunk, and one for chunks that repeat what stood
 up to ``ECHO`` bytes before. Rectified filter outputs are max-pooled and averaged
 over the chunks; a logistic layer joins the pooled values into one probability.
 Because a byte is one of 256 values, a filter is a table, and a chunk's output is
-the sum of ``WIDTH`` looked-up rows. Long texts are pooled piece by piece.
+the sum of ``WIDTH`` looked-up rows. Long texts are pooled piece by piece, in the fit as in the scoring.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import prepare
 from tidemark.llm.toxicity import training_rows
 
-#: Labelled rows that the network is fitted on, at most; characters of one of them (at a place given by a hash
-#: of its id) that are fetched; bytes of those, at a random place, that a pass over the rows shows.
-TRAIN_ROWS, TRAIN_CHARS, TRAIN_BYTES = 4_000, 8_000, 1_024
+#: Labelled rows that the network is fitted on, at most, each with its whole text; once the rows taken have so many
+#: bytes together, no further row is taken.
+TRAIN_ROWS, TRAIN_BYTES = 4_000, 32 << 20
 WIDTH, STRIDE, ECHO, FILTERS = 8, 4, 24, 16
 THRESHOLD = 0.5
 _PIECE = 1 << 18
@@ -51,25 +51,52 @@ class Network:
     table: np.ndarray  # (WIDTH * 256 + 2, FILTERS): byte weights by place and value, echo, constant
     dense: np.ndarray  # (2 * FILTERS + 1,): weights of the maxima, of the means, constant
 
-    def outputs(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Rectified filter outputs of a piece's chunks, and the pieces' rows of the table."""
+    def outputs(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rectified filter outputs of a piece's chunks, the chunks' rows of the table, and their echoes."""
         view, echo = chunks(data)
         rows = view.astype(np.int32) + np.arange(0, WIDTH * 256, 256, dtype=np.int32)
         out = self.table[rows[:, 0]]
         for j in range(1, WIDTH):
             out += self.table[rows[:, j]]
         out += echo[:, None] * self.table[-2] + self.table[-1]
-        return np.maximum(out, 0, out=out), rows
+        return np.maximum(out, 0, out=out), rows, echo
 
-    def pooled(self, data: bytes) -> np.ndarray:
-        best, total, n = np.zeros(FILTERS, np.float32), np.zeros(FILTERS), 0
+    def pieces(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """``outputs`` of a whole text, piece by piece; every chunk once."""
         for a in range(0, max(1, len(data)), _PIECE):
             skip = min(a, ECHO) // STRIDE  # chunks that only give the lookback
-            out = self.outputs(data[a - skip * STRIDE:a + _PIECE + WIDTH - STRIDE])[0]
-            out = out[skip:skip + -(-min(_PIECE, max(1, len(data) - a)) // STRIDE)]
+            part = slice(skip, skip + -(-min(_PIECE, max(1, len(data) - a)) // STRIDE))
+            out, rows, echo = self.outputs(data[a - skip * STRIDE:a + _PIECE + WIDTH - STRIDE])
+            yield out[part], rows[part], echo[part]
+
+    def pooled(self, data: bytes) -> np.ndarray:
+        best, total, n = np.zeros(FILTERS, np.float32), np.zeros(FILTERS), 0
+        for out, _, _ in self.pieces(data):
             best, total, n = np.maximum(best, out.max(0)), total + out.sum(0), n + len(out)
         return np.concatenate([best, total / n, [1.0]])
 
+    def slopes(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``pooled``, and how the maxima and the means of a whole text change with the table (each like the table).
+
+        A maximum changes with the rows of its first largest chunk, a mean with
+        the rows of all chunks whose output is positive.
+        """
+        best, total, n = np.zeros(FILTERS, np.float32), np.zeros(FILTERS), 0
+        of_max, of_mean = np.zeros_like(self.table), np.zeros_like(self.table)
+        for out, rows, echo in self.pieces(data):
+            top, on = out.argmax(0), out > 0
+            for f in range(FILTERS):
+                if out[top[f], f] > best[f]:
+                    of_max[:, f] = 0
+                    of_max[rows[top[f]], f] = 1
+                    of_max[-2:, f] = echo[top[f]], 1
+                of_mean[:-2, f] += np.bincount(rows[on[:, f]].ravel(), minlength=WIDTH * 256)
+            of_mean[-2] += on[echo].sum(0)
+            of_mean[-1] += on.sum(0)
+            best, total, n = np.maximum(best, out.max(0)), total + out.sum(0), n + len(out)
+        of_mean /= n
+        return np.concatenate([best, total / n, [1.0]]), of_max, of_mean
+
     def probability(self, text: str | None) -> float:
         """Probability of class 1; a null text counts as empty."""
         z = float(self.pooled((text or "").encode("utf-8", "surrogatepass")) @ self.dense)
@@ -94,24 +121,12 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, batch: int = 16
         for a in range(0, len(order), batch):
             d_table, d_dense = np.zeros_like(net.table), np.zeros_like(net.dense)
             for i in order[a:a + batch]:
-                start = int(rng.integers(0, max(1, len(data[i]) - TRAIN_BYTES + 1)))
-                piece = data[i][start:start + TRAIN_BYTES]
-                out, rows = net.outputs(piece)
-                echo = chunks(piece)[1]
-                top = out.argmax(0)
-                x = np.concatenate([out[top, np.arange(FILTERS)], out.mean(0), [1.0]])
+                x, of_max, of_mean = net.slopes(data[i])
                 z = np.clip(x @ net.dense, -35, 35)
                 g = (1 / (1 + np.exp(-z)) - labels[i]) * (0.5 / share if labels[i] else 0.5 / (1 - share))
                 d_dense += g * x
-                back = np.broadcast_to(g * net.dense[FILTERS:-1] / len(out), out.shape).astype(np.float32)
-                back = back.copy()
-                back[top, np.arange(FILTERS)] += g * net.dense[:FILTERS]
-                back *= out > 0
-                flat = rows.ravel()
-                for f in range(FILTERS):
-                    d_table[:-2, f] += np.bincount(flat, np.repeat(back[:, f], WIDTH), WIDTH * 256)
-                d_table[-2] += echo @ back
-                d_table[-1] += back.sum(0)
+                d_table += of_max * (g * net.dense[:FILTERS]).astype(np.float32)
+                d_table += of_mean * (g * net.dense[FILTERS:-1]).astype(np.float32)
             step += 1
             for p, d, m, v in ((net.table, d_table, *moments[:2]), (net.dense, d_dense, *moments[2:])):
                 d /= batch
@@ -124,11 +139,16 @@ def train(texts: list[str], labels: np.ndarray, passes: int = 6, batch: int = 16
 
 
 def fit(docs: DataFrame, labels: DataFrame, modulus: int = 3, held: int = 1) -> Network:
-    """The network from the labelled rows outside the held-out remainder, ``TRAIN_ROWS`` at most."""
+    """The network from the whole texts of labelled rows outside the held-out remainder: those with the smallest
+    hashes of the id, ``TRAIN_ROWS`` at most and none after ``TRAIN_BYTES``."""
     rows = training_rows(docs, labels, "quality", modulus, held, TRAIN_ROWS)
-    room = F.greatest(F.length("text") - TRAIN_CHARS, F.lit(0)) + 1
-    part = F.substr("text", F.pmod(F.xxhash64("doc_id"), room).cast("int") + 1, F.lit(TRAIN_CHARS))
-    sample = rows.select("doc_id", part.alias("text"), "y").toPandas().sort_values("doc_id")  # TRAIN_ROWS rows at most
+    order = F.xxhash64("doc_id")
+    taken, last = 0, None
+    for r in sorted(rows.select(order.alias("h"), F.octet_length("text").alias("n")).collect()):  # TRAIN_ROWS rows at most
+        if taken >= TRAIN_BYTES:
+            break
+        taken, last = taken + r["n"], r["h"]
+    sample = rows.where(order <= F.lit(last)).select("doc_id", "text", "y").toPandas().sort_values("doc_id")
     return train(sample["text"].tolist(), sample["y"].to_numpy(float))
 
 
