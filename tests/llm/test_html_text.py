@@ -45,3 +45,19 @@ def test_frame(spark):
     assert sorted((r.page_id or 0, r.text, r.n_chars) for r in out.collect()) == [(0, "", 0), (1, "é\nb", 3), (1, "é\nb", 3)]
     assert html_text.extract(pages.limit(0)).count() == 0
     assert html_text.extract(pages.withColumnRenamed("other", "text")).columns.count("text") == 1
+
+
+def test_dropped_elements_end_without_end_tags():
+    p = PARAGRAPH
+    for start in ("<ul><li class=share>A<li>B</ul>", "<dl><dt class=share>A<dd>B</dl>", "<dl><dd class=share>A<dt>B</dl>",
+                  "<table><tr><td class=share>A<td>B</table>", "<table><tr class=share><td>A<tr><td>B</table>"):
+        assert main_text(f"<body>{start}<p>{p}</body>") == f"B\n{p}", start
+        assert main_text(f"<article>{start}<p>{p}</article>") == f"B\n{p}", start
+    for page in (f"<body><p>{p}<svg/><p>{p}", f"<p>{p}<math class='x' /><p>{p}", f"<p>{p}<svg><path d=x /><svg/></svg><p>{p}",
+                 f"<head><meta charset=utf-8><title>T</title><p>{p}<p>{p}", f"<div><p class=ad>A<p>{p}</div><p>{p}",
+                 f"<div><span class=ad>A</div><p>{p}<p>{p}", f"<p>{p}<p><a class=share>A</p><p>{p}"):
+        assert main_text(page) == f"{p}\n{p}", page
+    assert main_text(f"<article><p>{p}<div class=ad>A</article><article><p>{p}</article>") == f"{p}\n{p}"
+    assert main_text(f"<html><head><title>T</title>{p}") == p
+    assert main_text(f"<ul class=menu><li>A<ul><li>B</ul><li>C</ul><p>{p}") == p
+    assert main_text(f"<div class=ad><div>A</div>B</div><p>{p}</div>") == p

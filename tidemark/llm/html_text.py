@@ -3,7 +3,8 @@
 Markup is stripped to lines, one per block of the page, in page order. Elements
 that are never article text (scripts, menus, forms, adverts, reader comments and
 the like, by element or by a word of their class or id) and the borders of the
-article element leave blank lines. The text length of a line counts without
+article element leave blank lines; a dropped element ends with its own end tag,
+that of an element around it, or a start tag that implies its end. The text length of a line counts without
 white space and without link text; over it slides a window of ``BLOCK`` lines.
 Where the windows' sums surge from nothing and where they dive back to nothing
 bound a region; regions whose peak reaches the surge level are the main text. On
@@ -13,6 +14,7 @@ pages that mark an article (or main) element, only its lines have a length.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -39,6 +41,21 @@ NAMES = frozenset(
     "newsletter subscribe signup login share sharing social related recommended widget pagination skip".split())
 ARTICLE = frozenset(("article", "main"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+FOREIGN = frozenset(("svg", "math"))  # may close themselves
+IN_HEAD = frozenset("base link meta".split()) | RAW
+
+# An open element of the first set ends where a start tag has the name, unless one of the second was opened in between.
+_LISTS, _TABLE = frozenset(("ul", "ol", "menu")), frozenset(("table",))
+_ROWS = frozenset(("tr", "thead", "tbody", "tfoot"))
+_IMPLIED = {
+    "li": (frozenset(("li",)), _LISTS), "dt": (frozenset(("dt", "dd")), frozenset(("dl",))), "dd": (frozenset(("dt", "dd")), frozenset(("dl",))),
+    "td": (frozenset(("td", "th")), _TABLE), "th": (frozenset(("td", "th")), _TABLE), "tr": (frozenset(("tr", "td", "th")), _TABLE),
+    **{t: (_ROWS | {"td", "th", "caption", "colgroup"}, _TABLE) for t in ("thead", "tbody", "tfoot")},
+    "option": (frozenset(("option",)), frozenset(("select",))), "optgroup": (frozenset(("option", "optgroup")), frozenset(("select",)))}
+#: An end tag looks no further than these for its element, unless it is of their own kind.
+_WALLS = frozenset("table td th caption".split())
+_P = frozenset("p")
+_OPEN = 512  # levels of nesting that are told apart, as in browsers
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>|</[^>]*>""", re.S)
 _NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -57,8 +74,10 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
     """(text, length without links and white space, inside an article) of each line; borders as blank lines."""
     out: list[tuple[str, int, bool]] = []
     parts: list[str] = []
-    linked = depth = article = links = 0
-    dropped = ""
+    linked = article = links = 0
+    dropped = 0  # place on the stack of the dropped element, counted from 1
+    stack: list[str] = []
+    opened: Counter[str] = Counter()
 
     def flush(border: bool = False) -> None:
         nonlocal linked
@@ -71,11 +90,36 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         if border:
             out.extend([("", 0, False)] * BLOCK)
 
+    def end(size: int) -> None:
+        """Closes the elements above the first ``size`` of the stack."""
+        nonlocal dropped, article
+        while len(stack) > size:
+            gone = stack.pop()
+            opened[gone] -= 1
+            if dropped > len(stack):
+                dropped = 0
+            elif gone in ARTICLE and not dropped:
+                flush(True)
+                article -= 1
+
+    def place(names: frozenset[str], walls: frozenset[str]) -> int | None:
+        """Place of the last open element with one of the names, if no wall is inside it."""
+        if not any(opened[t] for t in names):
+            return None
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i] in names:
+                return i
+            if stack[i] in walls:
+                return None
+        return None
+
     at = 0
     while True:
         m = _TAG.search(html, at)
+        piece = html[at:m.start() if m else len(html)]
+        if dropped and stack[dropped - 1] == "head" and not piece.isspace() and piece and len(stack) == dropped:
+            end(dropped - 1)  # text is the first content of the body
         if not dropped:
-            piece = html[at:m.start() if m else len(html)]
             if piece:
                 parts.append(piece)
                 if links:
@@ -92,22 +136,45 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                 if not dropped and tag not in ("noscript", "textarea"):
                     continue
             continue
+        if close:
+            far = tag in _WALLS or tag in ARTICLE or tag in _ROWS or tag in ("body", "html")
+            i = place(frozenset((tag,)), frozenset() if far else _WALLS if dropped else _WALLS | ARTICLE)
+            if i is not None:
+                if not dropped and tag in BLOCKS:
+                    flush()
+                end(i)
+        else:
+            if dropped and (tag == "body" or tag in ARTICLE and stack[dropped - 1] not in ARTICLE):
+                end(dropped - 1)
+            if opened["head"] and tag not in IN_HEAD and tag not in ("head", "html"):
+                end(stack.index("head"))
+            if tag in _IMPLIED:
+                names, walls = _IMPLIED[tag]
+                while (i := place(names, walls)) is not None:
+                    end(i)
+            elif tag in BLOCKS and (i := place(_P, _WALLS | {"button", "object"})) is not None:
+                end(i)
+        single = tag in VOID or m[3].rstrip().endswith("/") and (tag in FOREIGN or any(opened[t] for t in FOREIGN))
         if dropped:
-            ends = not close and (tag in ARTICLE and dropped not in ARTICLE or tag == "body" or dropped == "p" and tag in BLOCKS)
-            if tag == dropped and not ends:
-                depth += -1 if close else 1
-            if depth and not ends:
-                continue
-            dropped = ""
-            if close:
-                continue
-        if not close and tag not in VOID and _unwanted(tag, m[3]):
-            if tag in BLOCKS or tag in DROPPED:
+            if not close and not single and len(stack) < _OPEN:
+                stack.append(tag)
+                opened[tag] += 1
+            continue
+        if not close and not single:
+            unwanted = _unwanted(tag, m[3])
+            if tag in ARTICLE or unwanted and (tag in BLOCKS or tag in DROPPED):
                 flush(True)
-            dropped, depth = tag, 1
-        elif tag in ARTICLE:
-            flush(True)
-            article = max(0, article + (-1 if close else 1))
+            if len(stack) >= _OPEN:
+                end(_OPEN - 1)
+            stack.append(tag)
+            opened[tag] += 1
+            if unwanted:
+                dropped = len(stack)
+                continue
+            if tag in ARTICLE:
+                article += 1
+        if tag in ARTICLE:
+            links = 0
         elif tag in BLOCKS:
             flush()
             links = 0
