@@ -61,3 +61,20 @@ def test_dropped_elements_end_without_end_tags():
     assert main_text(f"<html><head><title>T</title>{p}") == p
     assert main_text(f"<ul class=menu><li>A<ul><li>B</ul><li>C</ul><p>{p}") == p
     assert main_text(f"<div class=ad><div>A</div>B</div><p>{p}</div>") == p
+
+
+def test_windows_choose_beside_a_small_article():
+    teaser = "<article><h2>Also read</h2><p>A teaser.</article>"
+    body = "".join(f"<p>{PARAGRAPH} {i}" for i in range(5))
+    wanted = "\n".join(f"{PARAGRAPH} {i}" for i in range(5))
+    assert main_text(f"<body><div>{body}</div>{teaser}</body>") == wanted
+    assert main_text(f"<body>{teaser}<div>{body}</div></body>") == wanted
+    assert main_text(f"<body><article>{body}</article><div>Imprint</div></body>") == wanted
+    part = f"<article>{body}<div class=ad>Buy</div><p><a href=x>The source of it all</a></article>"
+    assert main_text(f"<body>{part}<div>Imprint</div></body>") == wanted + "\nThe source of it all"
+
+
+def test_lesser_regions_are_kept():
+    long, closing, gap = "Word by word. " * 77, "A closing line. " * 13, "<div class=ad>Buy</div>"
+    page = f"<div><p>{long}<p>{long}<p>{long}</div>{gap}<p>Few words.</p>{gap}<p>{closing}</p>{gap}<p>Tail."
+    assert main_text(page).split("\n") == [long.strip()] * 3 + ["Few words.", closing.strip()]

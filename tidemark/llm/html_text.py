@@ -7,8 +7,11 @@ article element leave blank lines; a dropped element ends with its own end tag,
 that of an element around it, or a start tag that implies its end. The text length of a line counts without
 white space and without link text; over it slides a window of ``BLOCK`` lines.
 Where the windows' sums surge from nothing and where they dive back to nothing
-bound a region; regions whose peak reaches the surge level are the main text. On
-pages that mark an article (or main) element, only its lines have a length.
+bound a region; regions whose peak reaches the surge level are main text, and so
+are lesser ones between the first and the last of these. Where the lines in
+article (or main) elements hold most of the page's length, the element is a
+weight: its lines count double, link text too, none of its regions is too low,
+and a region outside must reach a share of the page's highest peak.
 """
 
 from __future__ import annotations
@@ -26,8 +29,9 @@ from tidemark.llm.common import prepare
 
 #: Lines of a window; blank lines that a border leaves.
 BLOCK = 3
-#: A region counts from a peak of this many characters, or this share of the page's highest peak.
-SURGE, SHARE = 60, 0.25
+#: A region counts from a peak of this many characters, or the page's highest peak if that is less; beside an article
+#: that dominates also from this share of the highest peak, and the article's lines count so many times.
+SURGE, SHARE, WEIGHT = 60, 0.25, 2
 
 # Elements by their part in a page, and words of class or id names.
 RAW = frozenset("script style textarea title noscript template xmp iframe noembed noframes".split())
@@ -189,14 +193,15 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
 def main_text(html: str | None) -> str:
     """The main text of a whole page; empty for a page that is null, empty or without text."""
     page = lines(html or "")
-    marked = any(inside and text for text, _, inside in page)
-    lengths = [(n if inside or not marked else 0) for _, n, inside in page]
+    marked = sum(n for _, n, _ in page) <= 2 * sum(n for _, n, inside in page if inside)
+    lengths = [WEIGHT * (len(text) - text.count(" ")) if marked and inside else n for text, n, inside in page]
     sums, total = [], 0
     for i, n in enumerate(lengths):
         total += n - (lengths[i - BLOCK] if i >= BLOCK else 0)
         sums.append(total)
-    level = 1 if marked else min(max(sums, default=0), max(SURGE, SHARE * max(sums, default=0)))
-    kept, i = [], 0
+    peak = max(sums, default=0)
+    level = min(peak, max(SURGE, SHARE * peak) if marked else SURGE)
+    regions, i = [], 0
     while i < len(sums):
         if not sums[i]:
             i += 1
@@ -204,8 +209,10 @@ def main_text(html: str | None) -> str:
         surge = i
         while i < len(sums) and sums[i]:
             i += 1
-        if max(sums[surge:i]) >= level:
-            kept += [text for text, _, inside in page[surge:i] if text and (inside or not marked)]
+        high = max(sums[surge:i]) >= level or marked and any(inside for _, _, inside in page[surge:i])
+        regions.append((surge, i, high))
+    high = [k for k, r in enumerate(regions) if r[2]]
+    kept = [text for surge, dive, _ in regions[high[0]:high[-1] + 1] for text, _, _ in page[surge:dive] if text] if high else []
     return "\n".join(kept)
 
 
