@@ -277,13 +277,19 @@ def q_segments_loadings(spark, sf_dir):
     return top_n_per_group(ld, ["component"], [F.desc(F.abs("weight")), F.asc("feature")], 3)
 
 
+# The reference's numbers of clusters, for the demographics and for the event log.
+SEGMENT_KS = sorted({*range(2, 30, 2), *range(3, 16, 2)})
+PROCESS_KS = range(2, 15)
+
+
 @register("segments_kmeans_sweep")
 def q_segments_kmeans_sweep(spark, sf_dir):
-    """L09 + E06: within-cluster cost for k = 2..8 on the PCA scores."""
+    """L09 + E06: within-cluster cost on the PCA scores for the reference's k:
+    2..28 in steps of 2 and odd k to 15."""
     pop, _ = _segments_inputs(spark, sf_dir)
     m = segments_pipeline(pop)
     scores = m.transform(pop).select("pca").persist()
-    rows = ML.kmeans_sweep(scores, range(2, 9), features="pca")
+    rows = ML.kmeans_sweep(scores, SEGMENT_KS, features="pca")
     scores.unpersist()
     return spark.createDataFrame([(k, c, -c) for k, c in rows], "k int, cost double, score double")
 
@@ -307,20 +313,35 @@ def q_segments_profile(spark, sf_dir):
 
 # -------------------------------------------------------- event log (B)
 
-@register("process_clusters")
-def q_process_clusters(spark, sf_dir):
-    """Event-log project end to end: F16 -> standardise -> PCA(4) -> k-means(5) -> A21."""
+def _process_scores(spark, sf_dir):
+    """F16 -> standardise -> PCA(4); the features' names too."""
     proc = process_context(spark, td.win_events(spark, sf_dir), levels=PROCESS_LEVELS)
     feats = ["has_parent_process", "after_hours", "near_startup", "is_locked", "is_screensaver",
              "recorded_by_Comp", "UserName_type_Computer account", "UserName_type_User account"]
     proc = written_table(proc.select(*feats), "processes")
     scaled = E.standardise(proc.withColumns({f"{c}_z": F.col(c) for c in feats}), [f"{c}_z" for c in feats])
     x = ML.vectorise(scaled, [f"{c}_z" for c in feats])
-    y = written_table(ML.pca_fit(x, 4).transform(x).select(*feats, "pca"), "process-scores")
+    return written_table(ML.pca_fit(x, 4).transform(x).select(*feats, "pca"), "process-scores"), feats
+
+
+@register("process_clusters")
+def q_process_clusters(spark, sf_dir):
+    """Event-log project end to end: F16 -> standardise -> PCA(4) -> k-means(5) -> A21."""
+    y, feats = _process_scores(spark, sf_dir)
     km = KMeans(k=5, seed=42, featuresCol="pca", predictionCol="cluster").fit(y)
     return describe_by(km.transform(y).select("cluster", *feats), "cluster", feats)
 
 
+@register("process_kmeans_sweep")
+def q_process_kmeans_sweep(spark, sf_dir):
+    """L09 + E06: within-cluster cost on the event log's PCA scores for the reference's k = 2..14."""
+    y, _ = _process_scores(spark, sf_dir)
+    scores = y.select("pca").persist()
+    rows = ML.kmeans_sweep(scores, PROCESS_KS, features="pca")
+    scores.unpersist()
+    return spark.createDataFrame([(k, c, -c) for k, c in rows], "k int, cost double, score double")
+
+
 # -------------------------------------------------------- images (F)
 
 @register("embedding_mlp")
