@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, byte_bpe, chat, decontaminate, html_text, pii, quality, simhash, toxicity, url_filter
+from tidemark.llm import (ann, byte_bpe, centroids, chat, decontaminate, html_text, pii, quality, simhash, toxicity, url_filter,
+                          vector_codes)
 from tidemark.llm.common import crc_mod, table
 
 
@@ -79,6 +80,17 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (crc_mod(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = centroids.cluster(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    digest = F.sha2(F.array_join(F.transform("centroid", lambda x: x.cast("string")), ","), 256)
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return coded.withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_digest(books)))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_simhash": op2_simhash,
@@ -90,6 +102,8 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_ann": op9_ann,
     "op10_quality": op10_quality,
+    "op11_centroids": op11_centroids,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 #: DuckDB SQL by query; the others are tested against brute force or held-out rows.
@@ -121,3 +135,57 @@ select conv_id, count(*) as n_turns,
        cast(sum(framed) as bigint) as formatted_chars
 from e group by conv_id
 """
+
+_WHOLE = "embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+_DISTANCE = "cast(list_sum(list_transform(list_zip({a}, {b}), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint)"
+_FLOOR_MEAN = "(sum(x) - ((sum(x) % count(*) + count(*)) % count(*))) // count(*)"
+
+
+def _centroid_sql(k: int = 8, rounds: int = 10) -> str:
+    """Assignment and mean, written out round by round; a distance and a number are one integer d * k + c."""
+    steps = [f"""kept as materialized (select row_number() over () as rid, vec_id,
+           list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+           from embeddings where {_WHOLE} and len(embedding) = 64)""",
+             f"""c0 as materialized (select row_number() over (order by sha256('3:' || vec_id), v) - 1 as c, v from kept
+           where vec_id is not null qualify row_number() over (order by sha256('3:' || vec_id), v) <= {k})"""]
+    for r in range(rounds + 1):
+        d = _DISTANCE.format(a="kept.v", b=f"c{r}.v")
+        steps.append(f"""a{r} as materialized (select rid, any_value(kept.v) as v, min({d} * {k} + c) as m
+           from kept cross join c{r} group by rid)""")
+        if r < rounds:
+            steps.append(f"""c{r + 1} as materialized (select c, coalesce(w, v) as v from c{r} left join (
+           select c, list(mean order by j) as w from (select c, j, cast({_FLOOR_MEAN} as bigint) as mean
+               from (select m % {k} as c, unnest(v) as x, unnest(range(1, 65)) as j from a{r}) group by c, j) group by c) using (c))""")
+    return f"""with {", ".join(steps)},
+     f as (select rid, cast(m % {k} as integer) as cluster, m // {k} as distance from a{rounds})
+select vec_id, cluster, distance, cast(sum(distance) over (partition by cluster) as bigint) as cluster_inertia,
+       cast(sum(distance) over () as bigint) as inertia, sha256(array_to_string(c.v, ',')) as centroid_sha256
+from f join kept using (rid) join c{rounds} c on c.c = cluster"""
+
+
+def _code_sql(entries: int = 64, rounds: int = 2) -> str:
+    steps = [f"""kept as materialized (select row_number() over () as rid, vec_id, label,
+           list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings where {_WHOLE})""",
+             """p as materialized (select rid, part, v[part * (len(v) // 16) + 1:(part + 1) * (len(v) // 16)] as x
+           from kept, range(16) r(part))""",
+             f"""e0 as materialized (select part, i, x as y from p join (select rid, row_number() over (order by vec_id, v) - 1 as i
+           from kept where vec_id is not null qualify i < {entries}) using (rid))"""]
+    for r in range(rounds + 1):
+        d = _DISTANCE.format(a="p.x", b="e.y")
+        steps.append(f"""a{r} as materialized (select rid, part, any_value(x) as x, min({d} * {entries} + i) as m
+           from p join e{r} e using (part) group by rid, part)""")
+        if r < rounds:
+            steps.append(f"""e{r + 1} as materialized (select part, i, coalesce(w, y) as y from e{r} left join (
+           select part, i, list(mean order by j) as w from (select part, i, j, cast({_FLOOR_MEAN} as bigint) as mean
+               from (select part, m % {entries} as i, unnest(x) as x, unnest(range(1, len(x) + 1)) as j from a{r})
+               group by part, i, j) group by part, i) using (part, i))""")
+    return f"""with {", ".join(steps)},
+     f as (select rid, string_agg(printf('%02x', m % {entries}), '' order by part) as code, cast(sum(m // {entries}) as bigint) as error
+           from a{rounds} group by rid),
+     b as (select sha256(string_agg(array_to_string(y, ','), ',' order by part, i)) as codebooks_sha256 from e{rounds})
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error, codebooks_sha256
+from f join kept using (rid) cross join b"""
+
+
+ORACLES["op11_centroids"] = _centroid_sql()
+ORACLES["op13_vector_codes"] = _code_sql()
