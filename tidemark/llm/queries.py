@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import (ann, byte_bpe, centroids, chat, decontaminate, html_text, pii, quality, simhash, toxicity, url_filter,
-                          vector_codes)
+from tidemark.llm import (ann, byte_bpe, centroids, chat, decontaminate, html_text, language_model, pii, quality, simhash, toxicity,
+                          url_filter, vector_codes)
 from tidemark.llm.common import crc_mod, table
 
 
@@ -86,6 +86,10 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest.alias("centroid_sha256"))
 
 
+def op12_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
     return coded.withColumn("codebooks_sha256", F.lit(vector_codes.codebooks_digest(books)))
@@ -103,6 +107,7 @@ QUERIES = {
     "op9_ann": op9_ann,
     "op10_quality": op10_quality,
     "op11_centroids": op11_centroids,
+    "op12_language_model": op12_language_model,
     "op13_vector_codes": op13_vector_codes,
 }
 
