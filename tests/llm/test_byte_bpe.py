@@ -54,8 +54,28 @@ def test_query_columns_and_round_trip(spark, codec):
     assert byte_bpe.encode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
-def test_memory_of_words_is_bounded(monkeypatch, codec, reference):
-    monkeypatch.setattr(byte_bpe, "REMEMBERED", 50)
-    c = byte_bpe.Codec(byte_bpe.read_ranks(PATH), public_tokenizers.PATTERN)
-    t = " ".join(f"unseen{i}" for i in range(500))
-    assert c.encode(t) == reference.encode_ordinary(t) and len(c.known) + len(c.known.old) <= 104
+def test_memory_of_words_is_bounded(codec, reference, monkeypatch):
+    fresh = byte_bpe.Codec(byte_bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 20_000)
+    r = random.Random(5)
+    for _ in range(300):
+        t = " ".join("".join(r.choice("abcdefg") for _ in range(r.randint(1, 9))) for _ in range(20))
+        assert fresh.encode(t) == reference.encode_ordinary(t)
+        assert len(fresh.known) + len(fresh.known.old) <= 2 * 20_000 // byte_bpe._ENTRY
+
+
+def test_texts_without_spaces_are_not_remembered_whole(codec, reference):
+    fresh = byte_bpe.Codec(byte_bpe.read_ranks(PATH), public_tokenizers.PATTERN)
+    r = random.Random(6)
+    for n in range(1000):
+        t = "".join(r.choices("的一是不了人我在有他。，abc123", k=20_000 if n < 20 else 2_000))
+        got = fresh.encode(t)
+        assert n % 50 or got == reference.encode_ordinary(t)
+    held = [*fresh.known.items(), *fresh.known.old.items()]
+    assert all(len(w) <= byte_bpe.LONGEST for w, _ in held)
+    assert sum(byte_bpe._ENTRY + 4 * len(w) + len(x) for w, x in held) <= 2 * byte_bpe.REMEMBERED_BYTES
+
+
+@pytest.mark.parametrize("text", ["a \n b", "a\x1c b", "\x85 b", " " * 50_000 + "x", "a" + " \n" * 3000 + " b  c", "x\u3000 y"])
+def test_cuts_beside_runs_of_white_space(codec, reference, text):
+    assert codec.encode(text) == reference.encode_ordinary(text)

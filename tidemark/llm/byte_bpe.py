@@ -17,11 +17,12 @@ import base64
 import hashlib
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,11 +31,14 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import fresh, prepare
 
 _MASK = (1 << 64) - 1
-#: Words whose ids one worker remembers in a generation; when it is full it becomes the old one, and what that
-#: held and has not been asked for since is forgotten.
-REMEMBERED = 200_000
+#: Bytes of words and their codes that one worker remembers in a generation, about; when it is full it becomes the old
+#: one, and what that held and has not been asked for since is forgotten. Longer words are never remembered whole.
+REMEMBERED_BYTES, LONGEST = 96 << 20, 64
+#: Bytes of an entry besides its characters and ids: two objects and a place in a dictionary.
+_ENTRY = 200
 #: White space before a space: only there can a pre-token hold the end of one word and the next one's space.
 _RUN = re.compile(r"\s ")
+_CUT = re.compile(r"(?<=\S)(?= )")
 
 
 class PerfectHash:
@@ -139,45 +143,51 @@ class Codec:
         return [self.id[s]] if self.key[s] == raw else self.merge(raw)
 
     def words(self, text: str) -> list[str]:
-        """``text`` cut before every space, where no pre-token crosses such a cut; else whole."""
+        """``text`` cut before every space that follows no white space: no pre-token crosses such a cut."""
         if _RUN.search(text):
-            return self.split(text)
-        first, *rest = text.split(" ")
-        return [first, *map(" ".__add__, rest)]
+            found = _CUT.split(text)
+        else:
+            first, *rest = text.split(" ")
+            found = [first, *map(" ".__add__, rest)]
+        return found if found[0] else found[1:]
 
-    def _ids(self, text: str) -> list[tuple[int, ...]]:
-        return list(map(self.known.__getitem__, self.words(text)))
+    def packed(self, text: str) -> bytes:
+        """The ids as 32-bit integers."""
+        return b"".join(map(self.known.__getitem__, self.words(text)))
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(self._ids(text)))
+        return np.frombuffer(self.packed(text), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def digests(self, text: str) -> tuple[int, str, str]:
-        """Token count, sha256 of the ids as text, sha256 of the bytes they decode to."""
-        ids = self.encode(text)
-        return (len(ids), hashlib.sha256(" ".join(map(self.text_of.__getitem__, ids)).encode()).hexdigest(),
+    def digests(self, text: str) -> tuple[bytes, str, str]:
+        """The ids as 32-bit integers, sha256 of the ids as text, sha256 of the bytes they decode to."""
+        packed = self.packed(text)
+        ids = np.frombuffer(packed, np.int32).tolist()
+        return (packed, hashlib.sha256(" ".join(map(self.text_of.__getitem__, ids)).encode()).hexdigest(),
                 hashlib.sha256(self.decode(ids)).hexdigest())
 
 
 class _Known(dict):
-    """Ids by word, worked out when first asked for."""
+    """Ids of a word as 32-bit integers, worked out when first asked for."""
 
     def __init__(self, codec: Codec):
         super().__init__()
-        self.codec, self.old = codec, {}
+        self.codec, self.old, self.bytes = codec, {}, 0
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             c = self.codec
             pieces = c.split(word)
-            ids = tuple(c.piece(word)) if len(pieces) == 1 else tuple(chain.from_iterable([self[p] for p in pieces]))
-        if len(self) >= REMEMBERED:
-            self.old = dict(self)
-            self.clear()
-        self[word] = ids
+            ids = array("i", c.piece(word)).tobytes() if len(pieces) == 1 else b"".join([self[p] for p in pieces])
+        if len(word) <= LONGEST:
+            self.bytes += _ENTRY + 4 * len(word) + len(ids)
+            if self.bytes >= REMEMBERED_BYTES:
+                self.old, self.bytes = dict(self), 0
+                self.clear()
+            self[word] = ids
         return ids
 
 
@@ -208,20 +218,23 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids
     """
     prepare(docs.sparkSession)
     made = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", token_ids array<int>" if ids else "")
+    names = [f.split()[0] for f in made.split(", ")]
 
-    def work(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def work(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         c = codec(path, pattern)
         for texts in batches:
-            rows = []
-            for t in texts:
-                n, a, b = c.digests(t or "")
-                rows.append((n, a, b, np.array(c.encode(t or ""), np.int32)) if ids else (n, a, b))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"] + ["token_ids"] * ids)
-
-    run = F.pandas_udf(work, made)
+            rows = [c.digests(t or "") for t in texts.to_pylist()]
+            ends = np.cumsum([0] + [len(r[0]) >> 2 for r in rows])
+            cells = [pa.array(np.diff(ends), pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.string())]
+            if ids:
+                flat = np.frombuffer(b"".join([r[0] for r in rows]), np.int32)
+                cells.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)))
+            yield pa.StructArray.from_arrays(cells, names)
+
+    run = F.arrow_udf(work, made)
     name = fresh(docs, "__bpe")[0]
     packed = docs.withColumn(name, run(F.col(text_col).cast("string")))
-    return packed.withColumns({f.split()[0]: F.col(name)[f.split()[0]] for f in made.split(", ")}).drop(name)
+    return packed.withColumns({n: F.col(name)[n] for n in names}).drop(name)
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, ids_col: str = "token_ids", out: str = "decoded") -> DataFrame:
