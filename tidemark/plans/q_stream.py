@@ -23,10 +23,13 @@ from tidemark.streaming.stream import file_stream, host_state_batches, run_to_fi
 SLICES, FILES = 4, 2
 
 
-def _events_stream(spark, sf_dir):
-    """The events as they would arrive: slices of time, written one after the other, each a micro-batch."""
+def _events_stream(spark, sf_dir, jitter_seconds: int = 0):
+    """The events as they would arrive: slices of time, written one after the other, each a micro-batch. With
+    jitter an event arrives up to so much later than it happened, and the slices overlap in event time."""
     events = td.table(spark, sf_dir, "events")
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    if jitter_seconds:
+        micros = micros + F.pmod(F.xxhash64("event_id"), F.lit(jitter_seconds)) * 1_000_000
     cuts = events.agg(F.percentile_approx(micros, [i / SLICES for i in range(1, SLICES)]).alias("c")).first()["c"]
     path = scratch_table_path(spark, f"streams/events-{uuid.uuid4().hex}")
     for low, high in zip([None, *cuts], [*cuts, None]):
@@ -82,12 +85,13 @@ def q_stream_host_state(spark, sf_dir):
 
 @register("stream_scored_orders", f"""
 WITH {td.CENSUS_SQL}
-SELECT o_orderkey, CAST(contains(income, '>50K') AS DOUBLE) AS label, true AS scored FROM census
+SELECT o_orderkey, CAST(contains(income, '>50K') AS DOUBLE) AS label, 0 AS differs FROM census
 """)
 def q_stream_scored_orders(spark, sf_dir):
     """A pipeline fitted on batch rows (scaling and levels fitted there
     too) scores the orders stream joined with the static customers: every
-    order, its label, and that its prediction is one of the classes."""
+    order, its label, and whether its streamed prediction or probability
+    differs from the batch one (or is missing)."""
     cust = td.table(spark, sf_dir, "customer")
     batch = td.census(spark, sf_dir)
     logged = batch.withColumns({c: log1p(c) for c in td.CENSUS_SKEWED})
@@ -104,9 +108,11 @@ def q_stream_scored_orders(spark, sf_dir):
     model = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
                              ML.make_classifier("lr", maxIter=20)]).fit(train)
     orders = file_stream(spark, f"{sf_dir.rstrip('/')}/orders.parquet", td.table(spark, sf_dir, "orders").schema)
-    scored = score_stream(model, prep(td.census_from(orders, cust))).select("o_orderkey", "label", "prediction")
+    scored = score_stream(model, prep(td.census_from(orders, cust))).select("o_orderkey", "label", "prediction", "probability")
     out = spark.read.parquet(run_to_files(scored, _run("scored_orders")))
-    return out.select("o_orderkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
+    again = model.transform(prep(batch)).select("o_orderkey", F.struct("prediction", ML.to_array("probability").alias("p")).alias("batch"))
+    same = F.struct("prediction", ML.to_array("probability").alias("p")).eqNullSafe(F.col("batch"))
+    return out.join(again, "o_orderkey", "left").select("o_orderkey", "label", (~same).cast("int").alias("differs"))
 
 
 @register("stream_host_state_all_keys", HOST_STATE_SQL)
@@ -123,3 +129,26 @@ def q_stream_host_state_all_keys(spark, sf_dir):
         flag(F.col("time_since_startup") <= 60).alias("near_startup"),
         flag(F.col("time_since_locked") > 0).alias("is_locked"),
         flag(F.col("time_since_screensaver") > 0).alias("is_screensaver"))
+
+
+#: Largest delay of an event's arrival in the shuffled stream.
+JITTER_S = 2 * 86400
+
+
+@register("stream_host_state_shuffled", HOST_STATE_SQL)
+def q_stream_host_state_shuffled(spark, sf_dir):
+    """G03 for events out of order: batches overlap in event time by up to two days, rows are held
+    back until the watermark has passed them, and the stream is stopped and resumed by name between
+    two runs; the answer is the batch one."""
+    from tidemark.functions.scalar import flag
+    name = _run("host_state_shuffled")
+    w = td.win_events_from(_events_stream(spark, sf_dir, JITTER_S))
+    for _ in range(2):  # the second run resumes: nothing is read again, open rows stay as they are
+        folder = host_state_batches(w, CHANNELS, delay_seconds=JITTER_S, name=name)
+    out = spark.read.parquet(folder)
+    return out.select(
+        "seq", "Time", "EventID", "LogHost", "Source", "UserName", "ProcessName", "ParentProcessName",
+        "time_since_startup", "time_since_locked", "time_since_screensaver",
+        flag(F.col("time_since_startup") <= 60).alias("near_startup"),
+        flag(F.col("time_since_locked") > 0).alias("is_locked"),
+        flag(F.col("time_since_screensaver") > 0).alias("is_screensaver"))

@@ -27,9 +27,8 @@ def q_tokenize(spark, sf_dir):
 BOW_SQL = f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
 c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
-n AS (SELECT count(*) AS n FROM documents),
-v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.5 * n.n)
-SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
+v AS (SELECT term FROM c GROUP BY term HAVING count(*) <= 0.5 * (SELECT count(*) FROM documents))
+SELECT doc_id, term, count FROM c JOIN v USING (term)
 """
 
 
@@ -75,9 +74,8 @@ c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL)
 
 
 @register("bag_of_pairs", _PAIRS_SQL + """,
-n AS (SELECT count(*) AS n FROM documents),
-v AS (SELECT term FROM c, n GROUP BY term, n.n HAVING count(*) <= 0.75 * n.n)
-SELECT doc_id, term, count FROM c WHERE term IN (SELECT term FROM v)
+v AS (SELECT term FROM c GROUP BY term HAVING count(*) <= 0.75 * (SELECT count(*) FROM documents))
+SELECT doc_id, term, count FROM c JOIN v USING (term)
 """)
 def q_bag_of_pairs(spark, sf_dir):
     """F14 with words and word pairs, max_df = 0.75."""

@@ -74,55 +74,109 @@ def windowed_counts(stream: DataFrame, ts: str, keys: list[str], window: str, de
 
 # ------------------------------------------------------------------ G03
 
+#: Partition of the answers to rows that are still inside the delay; every run writes it anew.
+OPEN_BATCH = -1
+
+
 def host_state_batches(stream: DataFrame, channels, *, delay_seconds: int = 3600,
                        bucket_seconds: int | str = "auto", keys: Sequence[Column] | None = None,
-                       name: str = "host_state_all_keys", base: str | None = None) -> str:
-    """G03 as Spark jobs per micro-batch, with the full three-key priority or the given ``keys``.
-
-    Each micro-batch runs the batch operator ``time_since_state`` seeded with
-    the per-host state table left by the previous batch, so the cross-key
-    fallback (source, user name) sees every host's state - no pandas group,
-    hot hosts split by time bucket as in batch. State and output are written
-    per batch id under the shared checkpoint folder with overwrite, so a
-    retried batch rewrites the same files (idempotent, survives executor or
-    driver loss together with the stream checkpoint). Rows older than the
-    latest event time of earlier batches minus ``delay_seconds`` are late and
-    dropped. Of the state versions only the last two are kept: the one a batch
-    starts from and the one it leaves. Returns the output folder (partitioned by batch)."""
+                       name: str = "host_state_all_keys", base: str | None = None, close: bool = True) -> str:
+    """G03 as Spark jobs per micro-batch, with the full three-key priority or the given ``keys``,
+    for rows that arrive in any order inside ``delay_seconds``.
+
+    The watermark is the latest event time seen minus the delay. Rows at or
+    above it are held back in a table; once it has passed them they are released
+    in event order, so a row is answered when no earlier marker can come any
+    more, and rows that arrive shuffled give the batch answer. A released set is
+    later in time than all that went before: the batch operator
+    ``time_since_state`` runs on it, seeded with the per-host state that the
+    earlier ones left (every key sees every host's state, hot hosts are split
+    by time bucket as in batch). A row below the watermark of the batches
+    before its own comes too late: it is dropped and counted (``stream_facts``).
+
+    State, held rows and answers are written per batch id under the shared
+    checkpoint folder with overwrite, so a retried batch rewrites the same files
+    (idempotent, survives executor or driver loss together with the stream
+    checkpoint). Of the versions only the last two are kept: the one a batch
+    starts from and the one it leaves. With ``close`` a run ends by answering the
+    rows still held, as if no more were to come, in the partition
+    ``OPEN_BATCH``; they stay held, and the next run empties that partition and
+    goes on. Returns the output folder (partitioned by batch)."""
     from tidemark.operators.state import state_table, time_since_state
     spark = stream.sparkSession
     root = base or stream_folder(spark, name)
-    state_dir, out_dir, ck = (f"{root}/{d}" for d in ("state", "out", "checkpoint"))
-
-    def version(b: int) -> str:
-        return f"{state_dir}/v={b:012d}"
+    out_dir, ck = f"{root}/out", f"{root}/checkpoint"
 
-    def forget(b: int) -> None:
-        path = spark._jvm.org.apache.hadoop.fs.Path(version(b))
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    def answer(rows: DataFrame, state: DataFrame | None, b: int) -> None:
+        res = time_since_state(rows, channels, bucket_seconds=bucket_seconds, keys=keys, initial=state)
+        res.write.mode("overwrite").parquet(f"{out_dir}/batch={b:012d}" if b >= 0 else f"{out_dir}/batch={b}")
 
     def run(batch: DataFrame, b: int) -> None:
-        prev, max_t = None, None
+        held = state = seen = None
+        late = 0
         if b > 0:
-            prev = spark.read.parquet(f"{version(b - 1)}/state")
-            max_t = spark.read.parquet(f"{version(b - 1)}/meta").first()["max_time"]
-        x = batch if max_t is None else batch.filter(F.col("Time") >= F.lit(max_t - delay_seconds))
-        x = x.persist()
+            old = _version(root, b - 1)
+            held, state = spark.read.schema(batch.schema).parquet(f"{old}/held"), spark.read.parquet(f"{old}/state")
+            facts = spark.read.parquet(f"{old}/facts").first()
+            seen, late = facts["max_time"], facts["late_rows"]
+        batch = batch.persist()
         try:
-            res = time_since_state(x, channels, bucket_seconds=bucket_seconds, keys=keys, initial=prev)
-            res.write.mode("overwrite").parquet(f"{out_dir}/batch={b:012d}")
-            state_table(x, channels, initial=prev).write.mode("overwrite").parquet(
-                f"{version(b)}/state")
-            m = x.agg(F.max("Time").cast("long").alias("m")).first()["m"]
-            new_max = max(v for v in (m, max_t) if v is not None) if (m is not None or max_t is not None) else None
-            spark.createDataFrame([(new_max,)], "max_time long").write.mode("overwrite").parquet(
-                f"{version(b)}/meta")
+            new = batch.agg(F.max("Time").cast("long").alias("m"), *([] if seen is None else [
+                F.sum((F.col("Time") < seen - delay_seconds).cast("long")).alias("late")])).first()
+            rows = batch if seen is None else batch.where(F.col("Time") >= seen - delay_seconds)
+            late += 0 if seen is None else new["late"] or 0
+            seen = max((v for v in (new["m"], seen) if v is not None), default=None)
+            if held is not None:
+                rows = rows.unionByName(held)
+            ready = F.lit(False) if seen is None else F.coalesce(F.col("Time") < seen - delay_seconds, F.lit(False))
+            path = _version(root, b)
+            rows.where(~ready).write.mode("overwrite").parquet(f"{path}/held")
+            released = rows.where(ready).persist()
+            try:
+                answer(released, state, b)
+                state_table(released, channels, initial=state).write.mode("overwrite").parquet(f"{path}/state")
+            finally:
+                released.unpersist()
+            spark.createDataFrame([(b, seen, late)], "batch long, max_time long, late_rows long").write.mode("overwrite").parquet(f"{path}/facts")
             if b >= 2:
-                forget(b - 2)
+                _forget(spark, _version(root, b - 2))
         finally:
-            x.unpersist()
+            batch.unpersist()
 
+    last = _last_version(spark, root)
+    if last is not None:  # answers to open rows of an earlier run are not final
+        held = spark.read.schema(stream.schema).parquet(f"{_version(root, last)}/held")
+        answer(held.limit(0), None, OPEN_BATCH)
     q = (stream.writeStream.foreachBatch(run).option("checkpointLocation", ck)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    last = _last_version(spark, root)
+    if close and last is not None:
+        path = _version(root, last)
+        answer(spark.read.schema(stream.schema).parquet(f"{path}/held"), spark.read.parquet(f"{path}/state"), OPEN_BATCH)
     return out_dir
+
+
+def stream_facts(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
+    """Latest batch, latest event time and dropped late rows of a ``host_state_batches`` stream."""
+    root = base or stream_folder(spark, name)
+    last = _last_version(spark, root)
+    if last is None:
+        return spark.createDataFrame([], "batch long, max_time long, late_rows long")
+    return spark.read.parquet(f"{_version(root, last)}/facts")
+
+
+def _version(root: str, b: int) -> str:
+    return f"{root}/state/v={b:012d}"
+
+
+def _last_version(spark: SparkSession, root: str) -> int | None:
+    """The latest batch whose version is written whole (its facts come last)."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/state/v=*/facts/_SUCCESS")
+    hits = found.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(found)
+    return max((int(h.getPath().getParent().getParent().getName()[2:]) for h in hits or []), default=None)
+
+
+def _forget(spark: SparkSession, path: str) -> None:
+    old = spark._jvm.org.apache.hadoop.fs.Path(path)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
