@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-
+from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.clustering import KMeans
@@ -109,11 +110,13 @@ def slice_features(df: DataFrame, indices: Sequence[int], out: str = "features_t
     return VectorSlicer(inputCol=features, outputCol=out, indices=list(indices)).transform(df)
 
 
-def multi_output(train: DataFrame, labels: Sequence[str], make: Callable[[str], object]) -> dict:
-    """One model per label column over the same (persisted) features."""
+def multi_output(train: DataFrame, labels: Sequence[str], make: Callable[[str], object], parallelism: int = 4) -> dict:
+    """One model per label column over the same (persisted) features, ``parallelism`` fits at once
+    (driver threads: each only submits its jobs)."""
     train = train.persist()
     try:
-        return {lb: make(lb).fit(train) for lb in labels}
+        with ThreadPoolExecutor(max(1, parallelism)) as pool:
+            return dict(zip(labels, pool.map(inheritable_thread_target(train.sparkSession)(lambda lb: make(lb).fit(train)), labels)))
     finally:
         train.unpersist()
 

@@ -7,10 +7,11 @@ small report table built from fitted parameters and metrics.
 from __future__ import annotations
 
 import time
+import uuid
 
 from pyspark.ml.feature import CountVectorizer, IDF, Imputer, RegexTokenizer, SQLTransformer, VectorAssembler
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN
@@ -20,6 +21,7 @@ from tidemark.operators.metrics import binary_metrics, per_class_report
 from tidemark.operators.profile import cluster_ratio, describe_by
 from tidemark.operators.rank import topk_classes, top_n_per_group
 from tidemark.operators.sample import first_n_by_hash, hash_split, stratified_sample
+from tidemark.operators.text_model import chosen, label_messages, text_grid, text_pipeline, text_search
 from tidemark.plans.demographics import clean_demographics
 from tidemark.plans.q_churn import churn_features
 from tidemark.plans.q_encode import expand_labels, prepare_census
@@ -61,7 +63,7 @@ def q_churn_models(spark, sf_dir):
     model of each pair is saved below the shared folder; best parameters and
     test AUCs as a table."""
     ev = BinaryClassificationEvaluator(metricName="areaUnderPR", numBins=0)
-    rows = []
+    rows, run = [], uuid.uuid4().hex
     fe = written_table(churn_features(spark, sf_dir), "churn-features")
     for label, fraction in CHURN_LABELS.items():
         train, test = churn_dataset(spark, sf_dir, label, fraction, features=fe)
@@ -71,7 +73,7 @@ def q_churn_models(spark, sf_dir):
                 est = ML.make_classifier(kind)
                 cv = ML.grid_search(est, ML.GRIDS[kind], ev, folds=2, parallelism=4, train=train)
                 best = cv.bestModel
-                save_model(best, scratch_table_path(spark, f"models/{label}.{kind}"))
+                save_model(best, scratch_table_path(spark, f"models/{run}/{label}.{kind}"))
                 pred = best.transform(test)
                 params = ";".join(f"{k}={best.getOrDefault(best.getParam(k))}" for k in ML.GRIDS[kind])
                 rows.append((label, kind, params, float(ML.auc(pred, metric="areaUnderPR")),
@@ -179,8 +181,12 @@ def q_imbalance_experiment(spark, sf_dir):
     for label, frac in CHURN_LABELS.items():
         for f in (1.0, frac):
             train, test = churn_dataset(spark, sf_dir, label, f, features=fe)
-            m = ML.make_classifier("rf", numTrees=10).fit(train)
-            rows.append((label, f, float(ev.evaluate(m.transform(test)))))
+            train = train.persist()
+            try:
+                m = ML.make_classifier("rf", numTrees=10).fit(train)
+                rows.append((label, f, float(ev.evaluate(m.transform(test)))))
+            finally:
+                train.unpersist()
     return spark.createDataFrame(rows, "label string, negative_fraction double, test_auc double")
 
 
@@ -208,6 +214,66 @@ def q_message_classifier(spark, sf_dir):
     return per_class_report(scored, [(lb, f"pred_{lb}") for lb in labels])
 
 
+# The reference's reduced search of the message classifier. Its least number of rows to split a node is
+# taken as the least number of rows of a child less one (MLlib has no such parameter); its trees are grown to MLlib's depth below.
+MESSAGE_TEXT = {"ngramMax": [1], "maxDF": [0.75], "useIDF": [True]}
+MESSAGE_FOREST = {"numTrees": [100, 200], "minInstancesPerNode": [1, 2]}
+MESSAGE_LABELS = ["quality", "toxic"]
+MESSAGE_DEPTH = 10
+
+
+def _labelled_messages(spark, sf_dir):
+    msgs = expand_labels(td.messages(spark, sf_dir), td.categories(spark, sf_dir))
+    msgs = hash_split(msgs, "id", 0.25, 0).withColumns({lb: F.col(lb).cast("double") for lb in MESSAGE_LABELS})
+    return written_table(msgs.select("id", "message", *MESSAGE_LABELS, "split"), "labelled-messages")
+
+
+@register("message_forest_search")
+def q_message_forest_search(spark, sf_dir):
+    """L04 + L07: a forest for each label behind its own text features; the reference's reduced grid
+    (4 points, 3 folds) over text options and forest; chosen values and test F1 per label."""
+    msgs = _labelled_messages(spark, sf_dir)
+    train, test = msgs.where("split = 'train'"), msgs.where("split = 'test'")
+    rows = []
+    for lb in MESSAGE_LABELS:
+        pipe = text_pipeline(ML.make_classifier("rf", label=lb, maxDepth=MESSAGE_DEPTH, cacheNodeIds=True))
+        ev = MulticlassClassificationEvaluator(labelCol=lb, metricName="accuracy")
+        search = text_search(train, pipe, text_grid(pipe, MESSAGE_TEXT, MESSAGE_FOREST), ev, folds=3)
+        got = chosen(search)
+        f1 = MulticlassClassificationEvaluator(labelCol=lb, metricName="f1").evaluate(search.bestModel.transform(test))
+        rows.append((lb, len(search.avgMetrics), got["numTrees"], got["minInstancesPerNode"], got["ngramMax"], got["maxDF"],
+                     got["useIDF"], float(max(search.avgMetrics)), float(f1)))
+    return spark.createDataFrame(rows, "label string, points int, num_trees int, min_instances int, ngram_max int, max_df double, "
+                                       "use_idf boolean, cv_accuracy double, test_f1 double")
+
+
+@register("message_forest_reload", f"""
+WITH m AS (SELECT doc_id, {h_sql('doc_id', 0)} / 4294967296.0 < 0.75 AS train FROM documents JOIN labels USING (doc_id))
+SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different, 'quality,toxic' AS names FROM m WHERE NOT train
+""")
+def q_message_forest_reload(spark, sf_dir):
+    """L07 + S10 + S11: text pipelines (words and pairs, no idf) with a forest for each label, saved and
+    loaded; the labels of new messages, zipped with their names, by both: how many differ."""
+    msgs = _labelled_messages(spark, sf_dir)
+    train, new = msgs.where("split = 'train'").persist(), msgs.where("split = 'test'").select("id", "message")
+    options = {"ngramMax": 2, "maxDF": 0.5, "maxFeatures": 5000, "useIDF": False}
+    fitted, loaded = {}, {}
+    try:
+        fitted = ML.multi_output(train, MESSAGE_LABELS, lambda lb: text_pipeline(
+            ML.make_classifier("rf", label=lb, numTrees=20), **options))
+    finally:
+        train.unpersist()
+    run = uuid.uuid4().hex
+    for lb, m in fitted.items():
+        path = scratch_table_path(spark, f"models/message-{lb}-{run}")
+        save_model(m, path)
+        loaded[lb] = load_model(path)
+    a = label_messages(fitted, new).select("id", F.to_json("labels").alias("a"), F.array_join(F.map_keys("labels"), ",").alias("names"))
+    b = label_messages(loaded, new).select("id", F.to_json("labels").alias("b"))
+    return a.join(b, "id").agg(F.count(F.lit(1)).alias("n_scored"), F.sum((F.col("a") != F.col("b")).cast("long")).alias("n_different"),
+                               F.max("names").alias("names"))
+
+
 # -------------------------------------------------------- segments (E)
 
 SEG_COLS = ["p_size", "p_retailprice", "mfgr_side", "decade", "movement", "wealth", "lifestage"]
@@ -376,7 +442,6 @@ def q_model_roundtrip(spark, sf_dir):
     pipe = Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
                             ML.make_classifier("lr", maxIter=20)])
     model = pipe.fit(raw.filter("split = 'train'"))
-    import uuid
     path = scratch_table_path(spark, f"models/census-lr-{uuid.uuid4().hex}")
     save_model(model, path)
     loaded = load_model(path)

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, tokens
+from tidemark.operators.frozen import fit_vocabulary, vector_batches, weigh
+from tidemark.operators.sample import hash_split
 from tidemark.operators.text import bag_of_words, doc_count, tf_idf, term_counts
+from tidemark.plans.q_sample import h_sql
 from tidemark.plans.registry import register
+from tidemark.session import scratch_table_path
 from tidemark.sources import testdata as td
+from tidemark.streaming.stream import file_stream
 
 _TOK_SQL = ("list_transform(regexp_extract_all(text, '" + TOKEN_PATTERN.replace("'", "''") +
             "'), lambda t: lower(trim(t)))")
@@ -91,3 +98,43 @@ def q_tf_weights(spark, sf_dir):
     """F15 without idf: L2-normalised term counts per document."""
     c = term_counts(td.table(spark, sf_dir, "documents"), "doc_id", "text")
     return tf_idf(c, use_idf=False).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+#: Document frequencies of the train split (words and pairs, at most half of its messages) weigh the terms of the test split.
+_FROZEN_SQL = _PAIRS_SQL + f""",
+s AS (SELECT doc_id, {h_sql('doc_id', 5)} / 4294967296.0 < 0.75 AS train FROM documents),
+n AS (SELECT count(*) AS n FROM s WHERE train),
+d AS (SELECT term, count(*) AS df FROM c JOIN s USING (doc_id) WHERE train GROUP BY term
+      HAVING count(*) <= 0.5 * (SELECT n FROM n)),
+g AS (SELECT doc_id, term, count * (ln((1.0 + (SELECT n FROM n)) / (1.0 + df)) + 1.0) AS w
+      FROM c JOIN s USING (doc_id) JOIN d USING (term) WHERE NOT train)
+SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM g
+"""
+
+
+def _frozen(spark, sf_dir):
+    """Vocabulary of the train split, and the test split's messages."""
+    docs = hash_split(td.table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", 0.25, 5)
+    vocab = fit_vocabulary(docs.where("split = 'train'"), "doc_id", "text", ngram_max=2, max_df=0.5)
+    return vocab, docs.where("split = 'test'").drop("split")
+
+
+@register("tf_idf_new_messages", _FROZEN_SQL)
+def q_tf_idf_new_messages(spark, sf_dir):
+    """F14 + F15 fitted once: the vocabulary and idf of the train split, saved and loaded, weigh the
+    terms of messages that it has not seen."""
+    vocab, new = _frozen(spark, sf_dir)
+    path = scratch_table_path(spark, f"vocabularies/{uuid.uuid4().hex}")
+    vocab.save(path)
+    return weigh(type(vocab).load(spark, path), new, "doc_id", "text").select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+@register("stream_tf_idf_new_messages", _FROZEN_SQL)
+def q_stream_tf_idf_new_messages(spark, sf_dir):
+    """F14 + F15 on a stream: new messages arrive in several micro-batches, each joined to the stored
+    vocabulary and put together as one vector per message."""
+    vocab, new = _frozen(spark, sf_dir)
+    path = scratch_table_path(spark, f"streams/messages-{uuid.uuid4().hex}")
+    new.repartition(4).write.parquet(path)
+    out = spark.read.parquet(vector_batches(vocab, file_stream(spark, path, new.schema), "doc_id", "text", f"messages-{uuid.uuid4().hex}"))
+    return out.select("doc_id", F.inline("terms")).select("doc_id", "term", F.round("weight", 6).alias("weight"))
