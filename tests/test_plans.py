@@ -63,3 +63,23 @@ def test_texts_are_tokenised_once_and_never_shuffled(spark):
         p = p.split("== Initial Plan ==")[0]
         assert p.count("regexp_extract_all") == 1, name
         assert not any("Exchange" in line and "text#" in line for line in p.splitlines()), name
+
+
+def test_quantiles_read_their_input_twice(spark):
+    """One read for sketches and moments, one for the exact ranks."""
+    from pyspark.sql import functions as F
+    from tidemark.operators.profile import describe, describe_by
+    from tidemark.operators.quantiles import exact_quantiles
+    events = spark.read.parquet(f"{SF001}/events.parquet").withColumn("k", F.col("user_id") % 7)
+    for df in (describe(events, ["value", "user_id"]), describe_by(events, "k", ["value", "user_id"]),
+               exact_quantiles(events, ["value"], [0.1, 0.9], ["k"])):
+        # the first read is done by now: its numbers are literals, or a written table
+        assert plan(df).count("events.parquet") == 1
+
+
+def test_a_missed_bracket_is_an_error_not_an_answer(spark):
+    from tidemark.operators.quantiles import exact_quantiles_of_columns
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) AS x")
+    assert exact_quantiles_of_columns(df, {"x": [49.0, 50.0]}, [0.5]).first()["value"] == 49.5
+    with pytest.raises(Exception, match="outside its bracket"):
+        exact_quantiles_of_columns(df, {"x": [60.0, 70.0]}, [0.5]).collect()

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.clean import missing
+from tidemark.operators.quantiles import bracket, exact_quantiles_of_columns, quantiles_with, stacked
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -64,26 +65,31 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
     """Count, mean, sample std, min, quartiles, max per numeric column,
     long form (one row per column); NaN is missing.
 
-    Moments come from one aggregation pass. Quartiles are exact by default
-    (``exact_quantiles``: three more scans, nothing unbounded in one task);
-    ``exact=False`` uses ``percentile_approx`` in the same single pass."""
+    Two reads: one aggregate gives the moments and a bracket around each
+    quartile, a second one the exact quartiles (``exact_quantiles_of_columns``,
+    nothing unbounded in one task); ``exact=False`` takes the sketch's
+    ``percentile_approx`` in the first and needs no second. Only the one row of
+    numbers reaches the driver."""
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC)]
-    aggs = []
+    probs, aggs = [0.25, 0.5, 0.75], []
     for i, c in enumerate(cols):
         x = present(c)
         aggs += [F.count(x).alias(f"c{i}"), F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
-        if not exact:
-            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], 10000).alias(f"q{i}"))
+        aggs.append((bracket(x, probs) if exact else F.percentile_approx(x, probs, 10000)).alias(f"q{i}"))
     wide = df.agg(*aggs)
     if exact:
-        from tidemark.operators.quantiles import exact_quantiles
-        qs = exact_quantiles(df, cols, [0.25, 0.5, 0.75]).groupBy("column_name").agg(
-            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75))])
-        parts = ", ".join(f"'{c}', c{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
-        return (wide.selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, count, mean, std, min, max)")
-                .join(qs, "column_name", "left")
+        r = wide.first()
+        facts = df.sparkSession.createDataFrame(
+            [(c, *(r[f"{k}{i}"] for k in ("c", "m", "s", "lo", "hi"))) for i, c in enumerate(cols)],
+            "column_name string, count long, mean double, std double, min double, max double")
+        ends = {c: r[f"q{i}"] for i, c in enumerate(cols) if r[f"q{i}"] is not None}
+        if not ends:
+            return facts.select("column_name", "count", "mean", "std", "min", *[F.lit(None).cast("double").alias(n) for n in ("p25", "p50", "p75")], "max")
+        qs = exact_quantiles_of_columns(df, ends, probs).groupBy("column_name").agg(
+            *[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in zip(("p25", "p50", "p75"), probs)])
+        return (facts.join(F.broadcast(qs), "column_name", "left")  # a row per column
                 .select("column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"))
     parts = ", ".join(
         f"'{c}', c{i}, m{i}, s{i}, lo{i}, q{i}[0], q{i}[1], q{i}[2], hi{i}" for i, c in enumerate(cols))
@@ -201,22 +207,18 @@ def cluster_ratio(a: DataFrame, b: DataFrame, cluster: str = "cluster") -> DataF
 def describe_by(df: DataFrame, key: str, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Count, mean, std, min, median, max per group and column (long).
 
-    NaN is missing. Moments: one groupBy over the stacked columns. Medians:
-    exact distributed selection per (group, column) (a group may be a third of
-    the rows; nothing collects it), joined on group and column;
-    ``exact=False`` uses ``percentile_approx``."""
-    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(f"`{key}`", f"stack({len(cols)}, {parts}) AS (column_name, x)").withColumn("x", present("x"))
+    NaN is missing. Two reads of the stacked columns: moments and brackets of the
+    medians, then the exact medians (a group may be a third of the rows;
+    nothing collects it), joined on group and column; ``exact=False`` uses
+    ``percentile_approx`` and one read."""
     moments = [F.count("x").alias("count"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"),
                F.min("x").alias("min"), F.max("x").alias("max")]
     if not exact:
-        return long.groupBy(key, "column_name").agg(*moments, F.percentile_approx("x", 0.5, 10000).alias("median"))
-    from tidemark.operators.quantiles import exact_quantiles
-    med = exact_quantiles(df, cols, [0.5], group=[key]).select(
-        F.struct(key, "column_name").alias("__k"), F.col("value").alias("median"))
-    agg = long.groupBy(key, "column_name").agg(*moments).withColumn("__k", F.struct(key, "column_name"))
-    return agg.join(med, "__k", "left").select(
-        key, "column_name", "count", "mean", "std", "min", "median", "max")
+        found = stacked(df, cols, [key]).groupBy("key").agg(*moments, F.percentile_approx("x", 0.5, 10000).alias("median"))
+        return found.select("key.*", *[c for c in found.columns if c != "key"])
+    med, facts = quantiles_with(df, cols, [0.5], [key], moments)
+    med = med.select(F.struct(key, "column_name").alias("key"), F.col("value").alias("median"))
+    return facts.join(med, "key", "left").select("key.*", "count", "mean", "std", "min", "median", "max")
 
 
 def row_sum(cols: Sequence[str]) -> Column:

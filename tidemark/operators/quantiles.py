@@ -1,21 +1,20 @@
-"""Exact quantiles without holding a group in one task.
+"""Exact quantiles in two reads, without holding a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one aggregation buffer,
-which is unbounded when a group (or the whole table) is large. Here each wanted
-order statistic is found by cells:
-
-edges    one aggregation: approximate percentiles close around every asked
-         probability, per (group, column);
-cells    the edges cut the values into cells; one aggregation counts the rows
-         of each cell EXACTLY, and running totals over the few cells of a group
-         give the cell that holds a wanted rank, and the rank inside it;
-rank     only rows of those cells go on: counted per distinct value, running
-         totals inside the cell find the value.
-
-The edges only decide how small the cells are, never which value is found, so
-the approximation costs time at worst. A cell holds about 1/ACCURACY of a
-group's rows, so no task sorts more than that of any group. Everything is one
-plan of joins and aggregates at every size; nothing returns to the driver.
+which is unbounded when a group (or the whole table) is large. Here:
+
+read one  one aggregate keeps a mergeable quantile sketch per (group, column):
+          for every asked probability a bracket of two values, one surely below
+          and one surely above the wanted ranks (the bracket is ten times as
+          wide as the sketch's error);
+read two  one aggregate counts the rows below, between and above the brackets,
+          one number each, and the rows inside them per distinct value; running
+          totals over these few rows of a group give the value at a wanted rank.
+
+The sketch only decides how many values are kept, never which one is found: the
+ranks come from exact counts, and should a rank ever fall outside its bracket the
+query ends with an error instead of a wrong answer. Inside a bracket lie about
+2 * SPREAD of a group's rows, so no task sorts more than that of any group.
 NaN counts as missing; infinities are values like any other. Quantiles
 interpolate linearly between order statistics (the ``quantile_cont`` /
 ``percentile`` definition); between equal neighbours, and exactly on one, the
@@ -24,71 +23,94 @@ neighbour itself is the answer.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Accuracy of the percentile sketch; distance of the outermost edges from a probability; edges on each side.
-ACCURACY, SPREAD, SIDE = 10_000, 1e-3, 16
-#: Largest table of edges that is broadcast.
+from tidemark.session import written_table
+
+#: Accuracy of the percentile sketch (an error of 1 / ACCURACY of the rows); distance of a bracket's ends from its probability.
+ACCURACY, SPREAD = 10_000, 1e-3
+#: Largest table of brackets that is broadcast.
 BROADCAST_BYTES = 32 * 1024 ** 2
 
 
-def _stacked(df: DataFrame, cols: Sequence[str], group: Sequence[str]) -> DataFrame:
-    """(key, x): one row per present value; the key holds the group values and the column's name."""
-    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
-    long = df.selectExpr(*[f"`{g}`" for g in group], f"stack({len(cols)}, {parts}) AS (column_name, x)")
-    return (long.where(F.col("x").isNotNull() & ~F.isnan("x"))
-            .select(F.struct(*group, "column_name").alias("key"), "x"))
+def bracket(x: Column, probs: Sequence[float]) -> Column:
+    """Sketch aggregate of a column: the lower and upper end of each probability's bracket, in turn (null without values)."""
+    grid = [min(1.0, max(0.0, p + side)) for p in probs for side in (-SPREAD, SPREAD)]
+    return F.percentile_approx(x, grid, ACCURACY)
+
+
+def _found(placed: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """(key, prob, value) from (key, x, e: bracket ends)."""
+    e = F.col("e")
+    begun = sum(((F.col("x") >= e[2 * j]).cast("int") for j in range(len(probs))), F.lit(0))
+    passed = sum(((F.col("x") > e[2 * j + 1]).cast("int") for j in range(len(probs))), F.lit(0))
+    # both grow with x: the cells between brackets are one row each, inside a bracket each value is a row
+    cells = (placed.select("key", begun.alias("a"), passed.alias("b"), "x")
+             .select("key", "a", "b", F.when(F.col("a") > F.col("b"), F.col("x")).alias("v"))
+             .groupBy("key", "a", "b", "v").agg(F.count(F.lit(1)).alias("n")))
+    upto = Window.partitionBy("key").orderBy("a", "b", "v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = cells.select("key", "v", "n", F.sum("n").over(upto).alias("upto"), F.sum("n").over(Window.partitionBy("key")).alias("total"))
+    before = F.col("upto") - F.col("n")
+    value = F.coalesce(F.col("v"), F.raise_error(F.lit("a wanted rank lies outside its bracket")).cast("double"))
+    sides = []
+    for i, p in enumerate(probs):
+        at = (F.col("total") - 1) * F.lit(p)
+        for name, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
+            sides.append(F.max(F.when((rank >= before) & (rank < F.col("upto")), value)).alias(f"{name}{i}"))
+        sides.append(F.max(at - F.floor(at)).alias(f"rest{i}"))
+    wide = ranked.groupBy("key").agg(*sides)
+
+    def between(i: int) -> Column:
+        low, high, rest = F.col(f"low{i}"), F.col(f"high{i}"), F.col(f"rest{i}")
+        return F.when((rest == 0) | (low == high), low).otherwise(low + (high - low) * rest)
+
+    each = F.array(*[F.struct(F.lit(p).alias("prob"), between(i).alias("value")) for i, p in enumerate(probs)])
+    return wide.select("key", F.inline(each))
 
 
-def _cell(n_probs: int) -> Column:
-    """Number of the cell of ``x`` as a struct that grows with x: brackets begun, brackets passed, and,
-    inside a bracket, edges passed."""
-    width = 2 * SIDE + 1
-    begun = sum(((F.col("x") >= F.col("e")[j * width]).cast("int") for j in range(n_probs)), F.lit(0))
-    passed = sum(((F.col("x") > F.col("e")[j * width + width - 1]).cast("int") for j in range(n_probs)), F.lit(0))
-    fine = F.when(begun > passed, F.size(F.filter("e", lambda v: v <= F.col("x")))).otherwise(0)
-    return F.struct(begun.alias("a"), passed.alias("b"), fine.alias("f"))
+def stacked(df: DataFrame, cols: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """(key, x): one row per column of each row; the key holds the group values and the column's name; NaN as null."""
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(*[f"`{g}`" for g in group], f"stack({len(cols)}, {parts}) AS (column_name, x)")
+    return long.select(F.struct(*group, "column_name").alias("key"), F.nanvl("x", F.lit(None).cast("double")).alias("x"))
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
     """One row per group, column and probability: the group columns, ``column_name``, ``prob``,
     ``value``. Columns without a present value in a group have no row."""
+    return quantiles_with(df, cols, probs, group, [])[0]
+
+
+def quantiles_with(df: DataFrame, cols: Sequence[str], probs: Sequence[float], group: Sequence[str],
+                   more: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
+    """``exact_quantiles`` of each column in each group, and what the first read found besides.
+
+    The first frame has the group columns, ``column_name``, ``prob`` and ``value``, without
+    rows for columns that have no value in a group; the second ``key`` (struct of
+    the group columns and ``column_name``) and the aggregates ``more`` of ``x``.
+    It is written, so the input is read twice in all."""
     probs, group = sorted(set(probs)), list(group)
-    long = _stacked(df, cols, group)
-    grid = [min(1.0, max(0.0, p + SPREAD * k / SIDE)) for p in probs for k in range(-SIDE, SIDE + 1)]
-    edges = long.groupBy("key").agg(F.percentile_approx("x", grid, ACCURACY).alias("e"))
-    # the edges of a key are a row of known width: they are broadcast when the counted keys allow it, and
-    # joined by shuffle (with adaptive skew splitting) when there are more groups than that
-    keys = len(cols) * (df.select(*group).distinct().count() if group else 1)
-    if keys * 16 * (len(grid) + 8) <= BROADCAST_BYTES:
-        edges = F.broadcast(edges)
-    placed = long.join(edges, "key").select("key", "x", _cell(len(probs)).alias("cell"))
-
-    cells = placed.groupBy("key", "cell").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy("key").orderBy("cell").rowsBetween(Window.unboundedPreceding, 0)
-    cells = cells.select("key", "cell", "n", F.sum("n").over(upto).alias("upto"),
-                         F.sum("n").over(Window.partitionBy("key")).alias("total"))
-    wanted = []
-    for p in probs:
-        at = (F.col("total") - 1) * F.lit(p)
-        for side, rank in (("low", F.floor(at)), ("high", F.ceil(at))):
-            wanted.append(F.struct(F.lit(p).alias("prob"), F.lit(side).alias("side"), rank.alias("rank"), (at - F.floor(at)).alias("rest")))
-    targets = (cells.select("key", "cell", (F.col("upto") - F.col("n")).alias("before"), "upto", F.explode(F.array(*wanted)).alias("t"))
-               .where((F.col("t.rank") >= F.col("before")) & (F.col("t.rank") < F.col("upto")))
-               .select("key", "cell", "t.prob", "t.side", "t.rest", (F.col("t.rank") - F.col("before")).alias("rank")))
-
-    inside = Window.partitionBy("key", "cell").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    values = (placed.join(targets.select("key", "cell").distinct(), ["key", "cell"], "left_semi")
-              .groupBy("key", "cell", "x").agg(F.count("*").alias("n"))
-              .select("key", "cell", "x", "n", F.sum("n").over(inside).alias("upto")))
-    found = (values.join(targets, ["key", "cell"])
-             .where((F.col("rank") >= F.col("upto") - F.col("n")) & (F.col("rank") < F.col("upto"))))
-    both = found.groupBy("key", "prob").agg(F.max(F.when(F.col("side") == "low", F.col("x"))).alias("low"),
-                                            F.max(F.when(F.col("side") == "high", F.col("x"))).alias("high"),
-                                            F.max("rest").alias("rest"))
-    between = F.col("low") + (F.col("high") - F.col("low")) * F.col("rest")
-    value = F.when((F.col("rest") == 0) | (F.col("low") == F.col("high")), F.col("low")).otherwise(between)
-    return both.select("key.*", "prob", value.alias("value"))
+    long = stacked(df, cols, group)
+    facts = written_table(long.groupBy("key").agg(bracket(F.col("x"), probs).alias("e"), *more), "brackets")
+    ends = facts.select("key", "e").where(F.col("e").isNotNull())
+    if facts.count() * 16 * (2 * len(probs) + 16) <= BROADCAST_BYTES:  # the count reads footers only
+        ends = F.broadcast(ends)
+    placed = long.where(F.col("x").isNotNull()).join(ends, "key")
+    return _found(placed, probs).select("key.*", "prob", "value"), facts.drop("e")
+
+
+def exact_quantiles_of_columns(df: DataFrame, ends: Mapping[str, Sequence[float]], probs: Sequence[float]) -> DataFrame:
+    """(column_name, prob, value) of whole columns, given the bracket ends of each column that has
+    values (as ``bracket`` gave them): one read, the ends are literals."""
+    probs = sorted(set(probs))
+
+    def number(v: float) -> str:
+        return f"CAST('{v!r}' AS DOUBLE)"
+
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE), array({', '.join(number(v) for v in e)})" for c, e in ends.items())
+    long = df.selectExpr(f"stack({len(ends)}, {parts}) AS (column_name, x, e)")
+    placed = long.where(F.col("x").isNotNull() & ~F.isnan("x")).select(F.struct("column_name").alias("key"), "x", "e")
+    return _found(placed, probs).select("key.*", "prob", "value")
