@@ -14,7 +14,6 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import vector_to_array
@@ -22,6 +21,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.kmeans_many import kmeans_many
+
 
 def vectorise(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """columns -> one vector column (nulls are an error, as in MLlib)."""
@@ -158,12 +159,9 @@ def loadings(spark: SparkSession, pca_model, names: Sequence[str]) -> DataFrame:
 
 def kmeans_sweep(df: DataFrame, ks: Sequence[int], features: str = "features", seed: int = 42,
                  max_iter: int = 20) -> list[tuple[int, float]]:
-    """L09 + E06: within-cluster cost per k (score = -cost)."""
-    out = []
-    for k in ks:
-        m = KMeans(k=k, seed=seed, featuresCol=features, maxIter=max_iter).fit(df)
-        out.append((k, float(m.summary.trainingCost)))
-    return out
+    """L09 + E06: within-cluster cost per k (score = -cost), all k refined by the same scans."""
+    found = kmeans_many(df, list(ks), features, seed=seed, max_iter=max_iter)
+    return [(k, float(found[k].cost)) for k in ks]
 
 
 def to_array(col: str):
