@@ -35,15 +35,32 @@ def text_part(text: Column) -> Column:
                             F.lit(None).cast("string").alias("ref"), F.lit(None).cast("double").alias("size")))
 
 
-def _visit(part: Column) -> Column:
-    """The flat text of a part: its escaped text, or a placeholder naming its type."""
-    kind = F.coalesce(part["type"], F.lit("text"))
-    flat = escaped(F.coalesce(part["text"], F.lit("")))
+def _is_text(part: Column) -> Column:
+    return ~F.coalesce(part["type"], F.lit("text")).isin(*RATES)
+
+
+def _said(part: Column) -> Column:
+    return F.coalesce(part["text"], F.lit(""))
+
+
+def _visit(part: Column, following: Column) -> Column:
+    """The flat text of a part: its escaped text, or a placeholder naming its type. Adjacent texts are escaped as
+    the one text they become: a ``<`` before a text that starts with ``|`` is part of a ``<|``."""
+    own = escaped(_said(part))
+    split = F.endswith(_said(part), F.lit("<")) & F.coalesce(_is_text(following) & F.startswith(_said(following), F.lit("|")), F.lit(False))
+    flat = F.when(split, F.concat(F.substr(own, F.lit(1), F.length(own) - 1), F.lit("%3C"))).otherwise(own)
     for name in RATES:
-        flat = F.when(kind == name, F.lit(f"<|{name}|>")).otherwise(flat)
+        flat = F.when(part["type"] == name, F.lit(f"<|{name}|>")).otherwise(flat)
     return flat
 
 
+def _flat(parts: Column) -> Column:
+    """The flat text of a turn's parts; empty texts stand between no others."""
+    heard = F.filter(parts, lambda p: ~_is_text(p) | (_said(p) != ""))
+    each = F.transform(F.array(heard), lambda h: F.transform(h, lambda p, i: _visit(p, F.get(h, i + 1))))
+    return F.concat_ws("", F.flatten(each))
+
+
 def _tokens(part: Column) -> Column:
     n = F.lit(0.0)
     for name, rate in RATES.items():
@@ -69,7 +86,7 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     media = F.filter(part, lambda p: p["type"].isin(*RATES))
     flat = turns.select(
         F.col(conv_col).alias("c"), F.col(turn_col).alias("t"), role.alias("r"),
-        F.concat_ws("", F.transform(part, _visit)).alias("x"),
+        _flat(part).alias("x"),
         F.transform(media, lambda p: F.struct(p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens"))).alias("m"))
     chats = flat.groupBy("c").agg(F.array_sort(F.collect_list(F.struct("t", "r", "x", "m"))).alias("turns"))
     head = F.transform("turns", lambda t: F.concat(F.lit(TURN), escaped(t["r"]), F.lit(BODY)))
