@@ -77,4 +77,35 @@ def test_windows_choose_beside_a_small_article():
 def test_lesser_regions_are_kept():
     long, closing, gap = "Word by word. " * 77, "A closing line. " * 13, "<div class=ad>Buy</div>"
     page = f"<div><p>{long}<p>{long}<p>{long}</div>{gap}<p>Few words.</p>{gap}<p>{closing}</p>{gap}<p>Tail."
-    assert main_text(page).split("\n") == [long.strip()] * 3 + ["Few words.", closing.strip()]
+    assert main_text(page).split("\n") == [long.strip()] * 3 + ["Few words.", closing.strip(), "Tail."]
+
+
+def test_names_are_hints():
+    p, q = PARAGRAPH * 3, PARAGRAPH * 2
+    body = f"<p>{p}</p><p>{q}</p>"
+    for page in (f"<div class='content no-sidebar'>{body}</div>", f"<article class='post comments-open'>{body}</article>",
+                 f"<main class='has-banner'>{body}</main>", f"<article class='category-social'>{body}</article>",
+                 f"<form id=aspnetForm>{body}</form>", f"<form><div>{body}</div><input></form>", f"<div class='page-header'>{body}</div>",
+                 f"<div id=social-wrap><div>{body}</div></div>"):
+        assert main_text(f"<body>{page}</body>") == f"{p}\n{q}", page
+    assert main_text(f"<body><div class=header>Site<div>{body}</div>").endswith(f"{p}\n{q}")
+    assert main_text(f"<body><p>{p}<div class=comments>{body * 9}</div>") == p  # comments may be longer than the article
+    assert main_text(f"<body><p>{p}<div class='cookie-notice'>{PARAGRAPH}</div>") == p
+
+
+def test_short_texts_at_either_end_stay():
+    ad, long = "<div class=ad>Buy</div>", PARAGRAPH * 4
+    assert main_text(f"<body><nav>N</nav><div><p>It began.{ad}<p>{long}<p>{long}{ad}<p>It ended.</div><div>Imprint</div>") == \
+        f"It began.\n{long}\n{long}\nIt ended."
+
+
+def test_hostile_pages_take_linear_time():
+    import time
+    for page in ("<a " * 350_000, "<a " * 350_000 + ">", "<a '" * 250_000 + ">", '<a "' * 250_001 + ">x", "<p>" + "<b title='" * 90_000 + "'>",
+                 "<!--" * 250_000, "<" * 1_000_000, "</" * 500_000 + ">", '<a ">' * 250_001):
+        began = time.process_time()
+        main_text(page)
+        assert time.process_time() - began < 8, page[:20]
+    began = time.process_time()
+    main_text("<a " * 333_333)
+    assert time.process_time() - began < 1

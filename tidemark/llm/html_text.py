@@ -11,7 +11,12 @@ bound a region; regions whose peak reaches the surge level are main text, and so
 are lesser ones between the first and the last of these. Where the lines in
 article (or main) elements hold most of the page's length, the element is a
 weight: its lines count double, link text too, none of its regions is too low,
-and a region outside must reach a share of the page's highest peak.
+and a region outside must reach a share of the page's highest peak. Before the
+first and after the last high region a lower one is kept if it stands in the same
+element as a line of a high one.
+
+A class or id is only a hint: an element that was dropped for its name (or a form)
+and holds nearly all of the page's text is a plain block after all.
 """
 
 from __future__ import annotations
@@ -61,47 +66,120 @@ _WALLS = frozenset("table td th caption".split())
 _P = frozenset("p")
 _OPEN = 512  # levels of nesting that are told apart, as in browsers
 
-_TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>|</[^>]*>""", re.S)
+#: An element dropped for its name is a plain block if it holds so many characters, and so many times what is kept besides.
+SPARED, TIMES = 200, 4
+# Words before a name that make it say something about the page, not about the element.
+ABOUT = frozenset("no has have with without hide hidden is category tag layout".split())
+COMMENTS = frozenset("comment comments commentlist respond disqus".split())
+
+_START = re.compile(r"<(?=[a-zA-Z/!?])")
+#: A tag without angle brackets in its quotes: it ends before the next bracket, so no part of a page is read twice.
+_PLAIN = re.compile(r"""<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^'"<>]|"[^"<>]*"|'[^'<>]*')*+)>""")
+_WORD = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*+)")
+_STOP = re.compile(r"""["'>]""")
 _NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _CLOSE = {t: re.compile(rf"</{t}\b[^>]*>|\Z", re.I) for t in RAW}
 
 
-def _unwanted(tag: str, attributes: str) -> bool:
+def _tag(html: str, at: int, last: int) -> tuple[int, int, bool, str, str] | None:
+    """The next tag or comment from ``at``: start, end, whether an end tag, name (empty for comments and the like),
+    attributes. ``last``: place of the page's last ``>``; what opens after it is text."""
+    while (m := _START.search(html, at)) and m.start() < last:
+        at = m.start()
+        if plain := _PLAIN.match(html, at):
+            return at, plain.end(), bool(plain[1]), plain[2].lower(), plain[3]
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            return at, len(html) if end < 0 else end + 3, False, "", ""
+        name = _WORD.match(html, at)
+        if not name:
+            return at, html.find(">", at) + 1, False, "", ""
+        i = name.end()
+        while True:  # quoted values may hold brackets; a quote that is not closed before the last one is a character
+            stop = _STOP.search(html, i)
+            if stop[0] == ">":
+                return at, stop.end(), html[at + 1] == "/", name[1].lower(), html[name.end():stop.start()]
+            i = html.find(stop[0], stop.end(), last) + 1 or stop.end()
+    if m and html.startswith("<!--", m.start()):
+        return m.start(), len(html), False, "", ""
+    return None
+
+
+def _unwanted(tag: str, attributes: str) -> int:
+    """0: wanted; 1: dropped for its name, or a form; 2: reader comments by name; 3: dropped for what it is."""
     if tag in DROPPED:
-        return True
+        return 1 if tag == "form" else 3
     if "=" not in attributes or tag in ("html", "body"):
-        return False
-    return any(not NAMES.isdisjoint(re.split(r"[^a-z]+", (a or b or c).lower())) for a, b, c in _NAME.findall(attributes))
+        return 0
+    found = 0
+    for a, b, c in _NAME.findall(attributes):
+        for name in (a or b or c).lower().split():
+            words = [w for w in re.split(r"[^a-z]+", name) if w]
+            if not words or words[0] in ABOUT or NAMES.isdisjoint(words) or tag in ARTICLE and len(words) > 1:
+                continue
+            found = max(found, 1 if COMMENTS.isdisjoint(words) else 2)
+    return found
+
+
+Line = tuple[str, int, bool, int]
 
 
-def lines(html: str) -> list[tuple[str, int, bool]]:
-    """(text, length without links and white space, inside an article) of each line; borders as blank lines."""
-    out: list[tuple[str, int, bool]] = []
+def lines(html: str) -> list[Line]:
+    """(text, length without links and white space, inside an article, element around the block) of each line; borders
+    as blank lines. Where a dropped element turns out to hold nearly all text, the page is read again with it."""
+    spared: set[int] = set()
+    while True:
+        out, held = _lines(html, spared)
+        kept = sum(n for _, n, *_ in out)
+        best = max(((n, at) for at, (n, kind) in held.items() if kind == 1 or kind == 2 and not kept), default=(0, 0))
+        if best[0] < SPARED or best[0] < TIMES * kept:
+            return out
+        spared.add(best[1])
+
+
+def _lines(html: str, spared: set[int]) -> tuple[list[Line], dict[int, tuple[int, int]]]:
+    """Lines, and of each element dropped for its name: by place in the page, its text's length and why it was dropped."""
+    out: list[Line] = []
+    held: dict[int, tuple[int, int]] = {}
+    last, number, inner, why = html.rfind(">"), 0, 0, (0, 0)
     parts: list[str] = []
     linked = article = links = 0
+    around: int | None = None  # element around the block that the line's first text stands in
     dropped = 0  # place on the stack of the dropped element, counted from 1
     stack: list[str] = []
+    numbers: list[int] = []  # of the open elements
     opened: Counter[str] = Counter()
 
+    def home() -> int:
+        """The element around the innermost open block."""
+        for i in range(len(stack) - 1, -1, -1):
+            if stack[i] in BLOCKS:
+                return numbers[i - 1] if i else 0
+        return 0
+
     def flush(border: bool = False) -> None:
-        nonlocal linked
+        nonlocal linked, around
         if parts:
             text = " ".join(unescape("".join(parts)).split())
             if text:
-                out.append((text, max(0, len(text) - text.count(" ") - linked), article > 0))
+                out.append((text, max(0, len(text) - text.count(" ") - linked), article > 0, around or 0))
             parts.clear()
-            linked = 0
+            linked, around = 0, None
         if border:
-            out.extend([("", 0, False)] * BLOCK)
+            out.extend([("", 0, False, -1)] * BLOCK)
 
     def end(size: int) -> None:
         """Closes the elements above the first ``size`` of the stack."""
-        nonlocal dropped, article
+        nonlocal dropped, article, inner
         while len(stack) > size:
             gone = stack.pop()
+            numbers.pop()
             opened[gone] -= 1
             if dropped > len(stack):
                 dropped = 0
+                if why[1] < 3:
+                    held[why[0]] = (inner, why[1])
+                inner = 0
             elif gone in ARTICLE and not dropped:
                 flush(True)
                 article -= 1
@@ -119,21 +197,25 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
 
     at = 0
     while True:
-        m = _TAG.search(html, at)
-        piece = html[at:m.start() if m else len(html)]
+        m = _tag(html, at, last)
+        piece = html[at:m[0] if m else len(html)]
         if dropped and stack[dropped - 1] == "head" and not piece.isspace() and piece and len(stack) == dropped:
             end(dropped - 1)  # text is the first content of the body
-        if not dropped:
+        if dropped:
+            if piece and not links and why[1] < 3:
+                inner += len(piece) - sum(map(piece.count, " \n\t"))
+        else:
             if piece:
+                if around is None and not piece.isspace():
+                    around = home()
                 parts.append(piece)
                 if links:
                     linked += len(piece) - piece.count(" ")
         if not m:
             break
-        at = m.end()
-        if not m[2]:
+        begin, at, close, tag, attributes = m
+        if not tag:
             continue
-        tag, close = m[2].lower(), bool(m[1])
         if tag in RAW:
             if not close:
                 at = _CLOSE[tag].search(html, at).end()
@@ -158,22 +240,28 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
                     end(i)
             elif tag in BLOCKS and (i := place(_P, _WALLS | {"button", "object"})) is not None:
                 end(i)
-        single = tag in VOID or m[3].rstrip().endswith("/") and (tag in FOREIGN or any(opened[t] for t in FOREIGN))
+        single = tag in VOID or attributes.rstrip().endswith("/") and (tag in FOREIGN or any(opened[t] for t in FOREIGN))
         if dropped:
             if not close and not single and len(stack) < _OPEN:
+                number += 1
                 stack.append(tag)
+                numbers.append(number)
                 opened[tag] += 1
+            if tag == "a":
+                links = 0 if close else 1
             continue
         if not close and not single:
-            unwanted = _unwanted(tag, m[3])
+            unwanted = 0 if begin in spared else _unwanted(tag, attributes)
             if tag in ARTICLE or unwanted and (tag in BLOCKS or tag in DROPPED):
                 flush(True)
             if len(stack) >= _OPEN:
                 end(_OPEN - 1)
+            number += 1
             stack.append(tag)
+            numbers.append(number)
             opened[tag] += 1
             if unwanted:
-                dropped = len(stack)
+                dropped, why, inner, links = len(stack), (begin, unwanted), 0, 0
                 continue
             if tag in ARTICLE:
                 article += 1
@@ -187,14 +275,15 @@ def lines(html: str) -> list[tuple[str, int, bool]]:
         elif tag == "a":
             links = 0 if close else 1
     flush()
-    return out
+    end(0)
+    return out, held
 
 
 def main_text(html: str | None) -> str:
     """The main text of a whole page; empty for a page that is null, empty or without text."""
     page = lines(html or "")
-    marked = sum(n for _, n, _ in page) <= 2 * sum(n for _, n, inside in page if inside)
-    lengths = [WEIGHT * (len(text) - text.count(" ")) if marked and inside else n for text, n, inside in page]
+    marked = sum(n for _, n, *_ in page) <= 2 * sum(n for _, n, inside, _ in page if inside)
+    lengths = [WEIGHT * (len(text) - text.count(" ")) if marked and inside else n for text, n, inside, _ in page]
     sums, total = [], 0
     for i, n in enumerate(lengths):
         total += n - (lengths[i - BLOCK] if i >= BLOCK else 0)
@@ -209,10 +298,14 @@ def main_text(html: str | None) -> str:
         surge = i
         while i < len(sums) and sums[i]:
             i += 1
-        high = max(sums[surge:i]) >= level or marked and any(inside for _, _, inside in page[surge:i])
+        high = max(sums[surge:i]) >= level or marked and any(inside for _, _, inside, _ in page[surge:i])
         regions.append((surge, i, high))
     high = [k for k, r in enumerate(regions) if r[2]]
-    kept = [text for surge, dive, _ in regions[high[0]:high[-1] + 1] for text, _, _ in page[surge:dive] if text] if high else []
+    if not high:
+        return ""
+    homes = {page[i][3] for k in high for i in range(*regions[k][:2]) if page[i][0]}
+    kept = [text for k, (surge, dive, _) in enumerate(regions) for text, _, _, home in page[surge:dive]
+            if text and (high[0] <= k <= high[-1] or home in homes)]
     return "\n".join(kept)
 
 
