@@ -64,16 +64,74 @@ def test_query_on_whole_table(spark):
         assert set(line.split(",")) <= set(r.spans.split(",")) or not line
 
 
+def brute_rounds(edges):
+    """The rounds in plain Python: edges (pattern, instance, seed)."""
+    import math
+    known, by = {i for _, i, s in edges if s}, {}
+    for p, i, _ in edges:
+        by.setdefault(p, set()).add(i)
+    while True:
+        scores = {p: len(x & known) / (len(x) + 1) for p, x in by.items() if len(x & known) >= max(pii.SUPPORT, pii.SHARE * len(x))}
+        accepted = {i for _, i, _ in edges if 1 - math.prod(1 - scores[p] for p, x in by.items() if p in scores and i in x) >= pii.ACCEPT}
+        if accepted <= known:
+            return accepted, set(scores)
+        known |= accepted
+
+
+def test_rounds_against_brute_force(spark):
+    r = random.Random(3)
+    edges = {}
+    for _ in range(400):
+        edges[f"p{r.randint(0, 25)}", f"i{int(r.expovariate(0.02))}"] = r.random() < 0.35
+    edges = [(p, i, s) for (p, i), s in edges.items()]
+    # one chain that needs several rounds, an instance that only two weak patterns carry together, one that a single weak one cannot
+    edges += [(f"c{n}", f"x{n}-{j}", n == 0 or j > 2) for n in range(5) for j in range(4)] + [(f"c{n}", f"x{n + 1}-0", False) for n in range(4)]
+    edges += [(p, f"{p}{j}", j < 3) for p in ("w", "v") for j in range(5)] + [("w", "both", False), ("v", "both", False)]
+    accepted, confident = pii.bootstrap(spark.createDataFrame(edges, "pattern string, instance string, seed boolean"))
+    want = brute_rounds(edges)
+    assert {r.instance for r in accepted.collect()} == want[0] and {r.pattern for r in confident.collect()} == want[1]
+    assert any(i not in {x for _, x, s in edges if s} for i in want[0])
+
+
+def added(df):
+    return {r.doc_id: [r.text[s.a:s.b] for s in r.all_spans if s.k == 4] for r in df.collect()}
+
+
 def test_bootstrap_discovers_identifiers_by_context(spark):
-    # the word before emails becomes a pattern; a handle without a domain after it is found, elsewhere it is not
-    rows = [(i, f"please write to contact user{i}@mail.example.com for more") for i in range(12)]
-    rows += [(100, "please contact user77@localhost today"), (101, "flight user77x leaves"), (102, "see page 12 of volume 3")]
-    out = {r.doc_id: r for r in pii.find(spark.createDataFrame(rows, SCHEMA)).collect()}
-    assert [rows[12][1][s.a:s.b] for s in out[100].all_spans] == [] or [s.k for s in out[100].all_spans] == [4]
-    assert out[101].all_spans == [] and out[102].all_spans == []
-    edges = spark.createDataFrame([("p", f"i{n}", True) for n in range(9)] + [("p", "new", False), ("q", "other", False), ("p2", "new", False)],
-                                  "pattern string, instance string, seed boolean")
-    assert [(r.pattern, r.instance) for r in pii.bootstrap(edges).collect()] == [("p", "new")]
+    keys = [f"{i:02d}ab3c9d{i:02d}ef7a81b2c3" for i in range(6)]
+    rows = [(i, f'some words {i} api_key = "{k}", more') for i, k in enumerate(keys)]
+    rows += [(100, 'other api_key = "n0tlong" here'), (101, "the short n0tlong elsewhere"), (102, "see page 12 of volume 3"),
+             (103, f"again {keys[2]} in the open"), (104, "api_key = none")]
+    rows += [(200 + i, f"write to user{i}@mail.example.com now") for i in range(6)] + [(300, "write to user77@localhost now"), (301, "user77@localhost again")]
+    got = added(pii.find(spark.createDataFrame(rows, SCHEMA)))
+    assert [got[i] for i in range(6)] == [[k] for k in keys]
+    assert got[100] == ["n0tlong"] and got[101] == []  # a short value only where its pattern stands
+    assert got[103] == [keys[2]] and got[300] == got[301] == ["user77@localhost"]
+    assert got[102] == got[104] == [] and all(got[200 + i] == [] for i in range(6))
+
+
+def test_many_matches_take_linear_time(spark):
+    import time
+    one = " ".join(f"u{i}@a.bc" for i in range(pii.CHUNK * 5 + 3))
+    assert found(pii.find(spark.createDataFrame([(1, one)], SCHEMA)))[1] == brute(one)
+    text = " ".join(f"u{i}@a.bc" for i in range(40_000))
+    began = time.time()
+    n = spark.createDataFrame([(1, text)], SCHEMA).select(F.size(pii.base_spans(F.col("text"))).alias("n")).first().n
+    assert n == 40_000 and time.time() - began < 15
+
+
+def test_added_spans_of_the_given_documents(spark):
+    """The quoted values of ``token = "..."`` that overlap no base span are found; hardly anything else is."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = pii.find(docs).collect()
+    hits = spare = 0
+    for r in rows:
+        got = {(s.a, s.b) for s in r.all_spans if s.k == 4}
+        spans = [m.span(1) for m in re.finditer(r'(?i)token = "([0-9a-f]{20,})"', r.text or "")]
+        free = {(a, b) for a, b in spans if not any(s.a < b and s.b > a for s in r.base)}
+        assert free <= got
+        hits, spare = hits + len(free), spare + len(got - free)
+    assert hits >= 10 and spare <= 0.1 * hits
 
 
 def test_masking_and_edges(spark):
