@@ -99,7 +99,7 @@ def test_edges(spark):
     assert sorted((r.doc_id or -1, r.component_id) for r in out) == [(-1, 3), (3, 3), (5, 3), (5, 3), (9, 9)]
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 3, 9]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [3, 9]  # a copy without an id goes too
     twice = spark.createDataFrame([(1, "x y z"), (1, "x y z")], SCHEMA)
     assert simhash.keep_one(twice).count() == 1
 
@@ -108,3 +108,29 @@ def test_edges(spark):
 def test_long_texts(n):
     t = " ".join(["word", "other", "third", "x"] * n)
     assert simhash.fingerprint(t) % (1 << 64) == brute_fingerprint(t)
+
+
+def test_rows_without_an_id_link_others_and_one_row_of_a_group_stays(spark):
+    def flipped(bits):  # texts whose fingerprints form a chain are found by search over small changes
+        return simhash.fingerprint(bits)
+
+    base = " ".join(f"w{i}" for i in range(400))
+    found = {flipped(base): base}
+    chain = [base]
+    for i in range(4000):
+        t = base.replace(f"w{i % 400} ", f"x{i} ", 1)
+        f = flipped(t)
+        if 0 < bin((f ^ flipped(chain[-1])) & (2 ** 64 - 1)).count("1") <= 2 and f not in found:
+            found[f] = t
+            chain.append(t)
+            base = t
+        if len(chain) == 4:
+            break
+    assert len(chain) >= 3
+    a, b, c = chain[:3]
+    rows = [(1, a), (None, b), (2, c), (None, b), (2, "another text that is nobody's copy at all"), (2, "another text that is nobody's copy at all"), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(df).collect()), key=str)
+    assert got.count((0, 1)) == 2 and (1, 1) in got and (2, 1) in got and got.count((2, 2)) == 2 and (0, None) in got
+    kept = sorted(((r.doc_id or 0, r.text or "") for r in simhash.keep_one(df).collect()))
+    assert kept == sorted([(1, a), (2, rows[4][1]), (0, "")])

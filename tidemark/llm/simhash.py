@@ -58,14 +58,19 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batches: Iterator[pd.DataFrame], shingle: int) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield pd.DataFrame({"id": b["id"], "fp": [fingerprint(t, shingle) for t in b["text"]]})
+        yield pd.DataFrame({"id": b["id"], "h": b["h"], "fp": [fingerprint(t, shingle) for t in b["text"]]})
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``id`` (long), ``fp`` (long) for every row of ``docs``."""
+    """``id`` (long), ``h`` (hash of the text), ``fp`` (long) for every row of ``docs``."""
     prepare(docs.sparkSession)
-    return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-            .mapInPandas(lambda it: _fingerprints(it, shingle), "id long, fp long"))
+    text = F.col(text_col).cast("string")
+    return (docs.select(F.col(id_col).cast("long").alias("id"), _hash(text_col).alias("h"), text.alias("text"))
+            .mapInPandas(lambda it: _fingerprints(it, shingle), "id long, h long, fp long"))
+
+
+def _hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def _left(fp: Column) -> Column:
@@ -109,38 +114,50 @@ def links(nodes: DataFrame) -> DataFrame:
             .select(F.col("rep").alias("u"), F.col("rep2").alias("v")))
 
 
+def grouped(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """``id``, ``h``, ``fp``, ``root`` (the group's smallest linked fingerprint), ``component_id`` (the group's smallest id)
+    for every row of ``docs``. Fingerprints are the nodes, so rows without an id link like any other."""
+    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    nodes = written(fps.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    roots = written(components(links(nodes.select("fp", F.col("fp").alias("rep")))), "roots")
+    known = written(nodes.join(if_small(roots, 64), F.col("fp") == F.col("node"), "left")
+                    .select(F.col("fp").alias("fp_"), F.coalesce("root", "fp").alias("root"), "least"), "groups")
+    least = written(known.groupBy(F.col("root").alias("root_")).agg(F.min("least").alias("component_id")), "least")
+    known = written(known.join(if_small(least, 64), F.col("root") == F.col("root_")).select("fp_", "root", "component_id"), "components")
+    return fps.join(if_small(known, 72), F.col("fp") == F.col("fp_"), "left").select("id", "h", "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs``: the id column, ``fingerprint`` (16 hex digits),
     ``component_id`` (smallest id reachable over links of at most two differing bits).
 
     A null text counts as empty; texts without words share fingerprint zero and
-    are linked like any other. A null id never names a group: its row gets the
-    smallest id of its group (null if the group has none). Repeated rows give
-    repeated results. An empty table gives an empty one. Only the two named
-    columns are read, so further columns may have any name.
+    are linked like any other. A row with a null id links others like any row, but
+    never names a group: it gets the smallest id of its group (null if the
+    group has none). Repeated rows give repeated results. An empty table gives
+    an empty one. Only the two named columns are read, so further columns may have
+    any name.
     """
-    fps = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    groups = fps.groupBy("fp").agg(F.min("id").alias("rep"))
-    nodes = written(groups.where(F.col("rep").isNotNull()), "nodes")
-    roots = written(components(links(nodes)), "roots")
-    known = written(nodes.join(if_small(roots, 64), F.col("rep") == F.col("node"), "left")
-                    .select(F.col("fp").alias("fp_"), F.coalesce("root", "rep").alias("component_id")), "groups")
-    return (fps.join(if_small(known, 64), F.col("fp") == F.col("fp_"), "left")
-            .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    return grouped(docs, id_col, text_col, shingle).select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with one row of each near-duplicate group: that of the smallest id
-    (one of its rows, if the id is repeated). Rows with a null id have no name to
-    be removed by and stay."""
-    found = written(near_duplicates(docs, id_col, text_col, shingle).select(F.col(id_col).alias("id_"), "component_id"), "found")
-    name = fresh(docs, "id_")[0]
-    out = found.where(F.col("id_") != F.col("component_id")).select(F.col("id_").alias(name)).distinct()
-    kept = docs.join(if_small(written(out, "out"), 64), F.col(id_col) == F.col(name), "left_anti")
-    again = written(found.where(F.col("id_") == F.col("component_id")).groupBy("id_").agg(F.count("*").alias("n"))
-                    .where("n > 1").select(F.col("id_").alias(name)), "again")
+    """``docs`` with one row of each near-duplicate group: that of the smallest id, rows without an id coming last
+    and rows of one id by a hash of the text. Rows are told apart by id and text: an id that is repeated
+    with other texts keeps those that are nobody's copy, and of equal rows one stays."""
+    found = written(grouped(docs, id_col, text_col, shingle).select("id", "h", "root"), "found")
+    first = F.struct(F.col("id").isNull().alias("last"), "id", "h")
+    best = written(found.groupBy(F.col("root").alias("root_")).agg(F.min(first).alias("best")), "best")
+    i, h, key = fresh(docs, "id_", "h_", "key_")
+    out = (found.join(if_small(best, 96), F.col("root") == F.col("root_")).where(first != F.col("best"))
+           .select(F.col("id").alias(i), F.col("h").alias(h)).distinct())
+    keyed = docs.withColumn(key, _hash(text_col))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(i)) & (F.col(key) == F.col(h))
+    kept = keyed.join(if_small(written(out, "out"), 64), same, "left_anti")
+    again = written(found.groupBy(F.col("id").alias(i), F.col("h").alias(h)).agg(F.count("*").alias("n")).where("n > 1").drop("n"), "again")
     if not again.head(1):
-        return kept
+        return kept.drop(key)
     again = if_small(again, 64)
-    return kept.join(again, F.col(id_col) == F.col(name), "left_anti").unionByName(
-        kept.join(again, F.col(id_col) == F.col(name), "left_semi").dropDuplicates([id_col]))
+    return kept.join(again, same, "left_anti").unionByName(
+        kept.join(again, same, "left_semi").dropDuplicates([id_col, key])).drop(key)
