@@ -3,8 +3,8 @@
 Vectors are reduced to a space in which the largest inner product is the smallest
 distance (one further component completes each vector to the largest norm), and
 projected by a few Gaussian (2-stable) directions. A kd-tree over the projections
-holds the index: its upper levels, fitted on a bounded sample, deal all vectors
-to cells, each a task's work; within a cell the levels go on down to leaves. A
+holds the index: its upper levels, fitted on a sample of a few projections for each
+cell, deal all vectors to cells, each a task's work; within a cell the levels go on down to leaves. A
 query takes projected neighbours incrementally, leaf by leaf, and verifies them on
 the original vectors. It stops when a chi-square test holds: a vector nearer than
 the k-th one found would, with probability ``CONFIDENCE``, have shown a projected
@@ -24,10 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import prepare, written
+from tidemark.llm.common import if_small, prepare, written
 
-#: Directions; confidence of the stopping test; vectors of a leaf; rows of a cell; rows the upper levels are fitted on.
-DIRECTIONS, CONFIDENCE, LEAF, CELL, SAMPLE = 8, 0.9, 256, 16_384, 50_000
+#: Directions; confidence of the stopping test; vectors of a leaf; rows of a cell; rows (their projections) that the
+#: upper levels are fitted on, for each cell and at least.
+DIRECTIONS, CONFIDENCE, LEAF, CELL, SAMPLE, LEAST = 8, 0.9, 256, 16_384, 16, 20_000
 #: Query rows that a task takes at once.
 BLOCK = 512
 
@@ -199,7 +200,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
 
     Null, zero and empty vectors and those with null or non-finite components,
     and null ids, take no part; fewer candidates than ``k`` give shorter answers.
-    Vectors must share one length. A repeated row counts once; a repeated id with
+    The length is that of the vector with the smallest id; vectors and queries of
+    another length take no part. A repeated row counts once; a repeated id with
     different vectors counts with each. Further columns are not read; an empty
     table gives an empty answer. Every vector is indexed; recall is below 1 only
     by the stopping test (measured in the tests).
@@ -209,13 +211,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     rows = _clean(vectors, id_col, vec_col)
     table = written(index(rows, k + 1), "vectors")
     asked = written(_clean(queries, id_col, vec_col).distinct(), "queries")
-    facts = table.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim"), F.min(F.size("v")).alias("least"),
-                      F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("far")).first()
+    dim = table.agg(F.min_by(F.size("v"), "key").alias("dim")).first()["dim"]
     answer = "query_id long, rank int, vec_id long, score double"
-    if not facts["n"]:
+    if dim is None:
         return spark.createDataFrame([], answer)
-    if facts["dim"] != facts["least"]:
-        raise ValueError("vectors of different lengths")
+    table, asked = table.where(F.size("v") == dim), asked.where(F.size("v") == dim)
+    facts = table.agg(F.count("*").alias("n"), F.lit(dim).alias("dim"),
+                      F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("far")).first()
     far, axes, ratio = float(facts["far"]), directions(facts["dim"]), stop_ratio(confidence)
 
     def project(v: np.ndarray, complete: bool) -> np.ndarray:
@@ -224,9 +226,17 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
 
     n_cells = max(1, -(-facts["n"] // cell_rows))
     if n_cells > 1:
-        fraction = min(1.0, 1.1 * SAMPLE / facts["n"])
-        sample = table.select("v").sample(fraction, seed=11).limit(SAMPLE).toPandas()["v"]
-        tree = _grown(project(np.stack(sample.to_numpy()), True), n_cells)
+        axes_of = [f"p{j}" for j in range(DIRECTIONS)]
+
+        def projections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                if len(b):
+                    yield pd.DataFrame(project(np.stack(b["v"].to_numpy()), True), columns=axes_of)
+
+        wanted = max(LEAST, SAMPLE * n_cells)
+        sample = table.select("v").sample(min(1.0, 1.1 * wanted / facts["n"]), seed=11).mapInPandas(
+            projections, ", ".join(f"{c} double" for c in axes_of)).limit(wanted).toPandas()
+        tree = _grown(sample.to_numpy(), n_cells)
     else:
         tree = 0
     low, high = _boxes(tree, DIRECTIONS)
@@ -265,14 +275,19 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     asks = "cell long, q long, v array<double>, known double"
 
     def visits(ask: DataFrame) -> DataFrame:
-        # the queries of a cell go in blocks, each meeting a copy of the cell's rows
-        blocks = max(1, -(-distinct.count() // (8 * BLOCK)))
-        data = cells.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))) if blocks > 1 else cells.withColumn("part", F.lit(0))
-        ask = ask.withColumn("part", F.pmod(F.xxhash64("q"), F.lit(blocks)).cast("int"))
+        # the queries of a cell go in as many blocks as there are, each meeting a copy of that cell's rows;
+        # cells that no query visits take no part
+        ask = written(ask, "asks")
+        visited = if_small(written(ask.groupBy(F.col("cell").alias("cell_")).agg(
+            F.ceil(F.count("*") / (8 * BLOCK)).cast("int").alias("blocks")), "visited"), 64)
+        data = (cells.join(visited, F.col("cell") == F.col("cell_"))
+                .select("cell", "key", "v", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part")))
+        ask = (ask.join(visited, F.col("cell") == F.col("cell_"))
+               .select("cell", "q", "v", "known", F.pmod(F.xxhash64("q"), F.col("blocks")).cast("int").alias("part")))
         return (data.groupBy("cell", "part").cogroup(ask.groupBy("cell", "part"))
                 .applyInPandas(visit, "q long, key long, score double"))
 
-    first = written(distinct.mapInPandas(home, asks), "home")
+    first = distinct.mapInPandas(home, asks)
     found = written(visits(first), "found")
     if n_cells > 1:
         kth = found.groupBy("q").agg(F.sort_array(F.collect_list("score"), asc=False).alias("s")).select(
