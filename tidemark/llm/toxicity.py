@@ -194,15 +194,17 @@ def training_rows(docs: DataFrame, labels: DataFrame, target: str, modulus: int,
                   rows: int = TRAIN_ROWS) -> DataFrame:
     """``doc_id``, ``text``, ``y`` of the labelled rows outside the held-out remainder, ``rows`` at most.
 
-    The sample takes the smallest hashes of the id; a repeated id counts once
-    (label 1 if any of its labels is). Unlabelled rows and null ids are left out.
+    The sample takes the smallest hashes of the id; a repeated id counts once, in
+    the labels (1 if any is) and in ``docs`` (the smallest of its texts).
+    Unlabelled rows and null ids are left out.
     """
     sample = (labels.where(F.col("doc_id").isNotNull() & F.col(target).isNotNull()
                            & (crc_mod(F.col("doc_id"), modulus) != held))
               .groupBy("doc_id").agg(F.max(F.col(target).cast("int")).alias("y"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).withColumnRenamed("doc_id", "id_"))
     return written(docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-                   .join(F.broadcast(sample), F.col("doc_id") == F.col("id_")).select("doc_id", "text", "y"), "train")
+                   .join(F.broadcast(sample), F.col("doc_id") == F.col("id_"))  # ``rows`` rows
+                   .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")), "train")
 
 
 def learn_lexicon(train: DataFrame, size: int = LEXICON) -> list[Entry]:
