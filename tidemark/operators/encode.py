@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import written_table
+
 def dummy_name(col: str, level) -> str:
     """Column name of a level: ``col_level``, the level's text unchanged (two levels never share a name)."""
     return f"{col}_{level}"
@@ -117,20 +119,21 @@ def impute_mean(df: DataFrame, cols: Sequence[str], means: Mapping[str, float] |
 def frequency_index(df: DataFrame, col: str, out: str, order: str = "frequencyDesc") -> DataFrame:
     """label -> index by frequency (ties by value), or alphabetical.
 
-    The label vocabulary is aggregated and ranked in two levels: labels of one
-    frequency (or one first letters' range) are ranked among themselves, and
-    offset by the running totals over the few frequencies; so no task sorts the
-    whole vocabulary. The join back is the planner's choice."""
+    The label vocabulary is aggregated and cut into ranges of about equal size in
+    the order of the index; each range is numbered by itself and offset by the
+    sizes of the ranges before it. So no task sorts more than a range, however many
+    labels share a frequency. The join back is the planner's choice."""
     from tidemark.operators.lookup import lookup_join
     from pyspark.sql import Window
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("__n")).filter(F.col(col).isNotNull())
-    part = (-F.col("__n")) if order == "frequencyDesc" else F.substring(F.col(col).cast("string"), 1, 2)
-    counts = counts.withColumn("__p", part)
-    sizes = counts.groupBy("__p").agg(F.count(F.lit(1)).alias("__s"))
-    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # over distinct frequencies only
+    keys = [F.desc("__n"), F.asc(col)] if order == "frequencyDesc" else [F.asc(F.col(col).cast("string"))]
+    # written, so that a range is the same set of labels wherever it is read
+    ranges = written_table(counts.repartitionByRange(*keys).withColumn("__p", F.spark_partition_id()), "labels")
+    sizes = ranges.groupBy("__p").agg(F.count(F.lit(1)).alias("__s"))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
     sizes = sizes.select("__p", F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__o"))
-    own = Window.partitionBy("__p").orderBy(col)
-    vocab = (counts.withColumn("__r", F.row_number().over(own)).join(sizes, "__p")
+    own = Window.partitionBy("__p").orderBy(*keys)
+    vocab = (ranges.withColumn("__r", F.row_number().over(own)).join(F.broadcast(sizes), "__p")
              .select(col, (F.col("__r") + F.col("__o") - 1).cast("double").alias(out)))
     return lookup_join(df, vocab, col, "left")
 

@@ -109,18 +109,50 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
                     F.try_divide(F.col("n_missing").cast("double"), F.col("__n")).alias("share")))
 
 
+def _value_text(c: str, t: T.DataType) -> str | None:
+    """SQL for a column's value as text, equal where values are; null for types whose text does not tell values apart."""
+    q = f"`{c}`"
+    if isinstance(t, (T.FloatType, T.DoubleType)):
+        return f"CAST({q} + 0.0 AS STRING)"  # one zero
+    if isinstance(t, T.StringType):  # long texts by their digest
+        return f"CASE WHEN length({q}) > 64 THEN sha2({q}, 256) ELSE {q} END"
+    if isinstance(t, (*_NUMERIC, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return f"CAST({q} AS STRING)"
+    return None
+
+
+def distinct_counts(df: DataFrame) -> DataFrame:
+    """(column_name, n_unique, n_total): distinct and present values of every column, exactly, in two levels.
+
+    Rows become (column, value) pairs, made unique with counts per task before they
+    are shuffled by the pair; a second aggregate counts the pairs of a column. A
+    column of few values costs a few rows per task, and no row is copied whole for
+    each column, as one aggregate with many distinct counts would do."""
+    made = {f.name: _value_text(f.name, f.dataType) for f in df.schema.fields}
+    made = {c: x or f"sha2(to_json(struct(`{c}`)), 256)" for c, x in made.items()}
+    parts = ", ".join(f"'{c}', CASE WHEN `{c}` IS NOT NULL THEN {x} END" for c, x in made.items())
+    pairs = df.selectExpr(f"stack({len(made)}, {parts}) AS (column_name, value)").where("value IS NOT NULL")
+    per = (pairs.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("column_name").agg(F.count(F.lit(1)).alias("n_unique"), F.sum("n").alias("n_total")))
+    names = df.sparkSession.createDataFrame([(c,) for c in made], "column_name string")
+    return names.join(per, "column_name", "left").fillna(0, ["n_unique", "n_total"])
+
+
 def column_profile(df: DataFrame, max_share: float | None = 0.5, approx: bool = False) -> DataFrame:
     """Dtype, distinct values, non-null count and distinct/non-null per
-    column; keep the columns under ``max_share`` (likely categoricals)."""
-    cols = df.columns
-    cd = F.approx_count_distinct if approx else F.count_distinct
-    aggs = []
-    for i, c in enumerate(cols):
-        aggs += [cd(F.col(c)).alias(f"u{i}"), F.count(F.col(c)).alias(f"t{i}")]
+    column; keep the columns under ``max_share`` (likely categoricals). Exact
+    by ``distinct_counts``; ``approx`` takes sketches in one aggregate."""
     types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    parts = ", ".join(f"'{c}', '{types[c]}', u{i}, t{i}" for i, c in enumerate(cols))
-    out = (df.agg(*aggs)
-           .selectExpr(f"stack({len(cols)}, {parts}) AS (column_name, dtype, n_unique, n_total)")
+    if approx:
+        aggs = []
+        for i, c in enumerate(types):
+            aggs += [F.approx_count_distinct(F.col(f"`{c}`")).alias(f"u{i}"), F.count(F.col(f"`{c}`")).alias(f"t{i}")]
+        parts = ", ".join(f"'{c}', u{i}, t{i}" for i, c in enumerate(types))
+        out = df.agg(*aggs).selectExpr(f"stack({len(types)}, {parts}) AS (column_name, n_unique, n_total)")
+    else:
+        out = distinct_counts(df)
+    named = df.sparkSession.createDataFrame(list(types.items()), "column_name string, dtype string")
+    out = (named.join(out, "column_name").select("column_name", "dtype", "n_unique", "n_total")
            .withColumn("unique_share", F.try_divide(F.col("n_unique").cast("double"), F.col("n_total"))))
     if max_share is not None:
         out = out.filter(F.col("unique_share") < max_share)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import TOKEN_PATTERN
 from tidemark.operators import encode as E
 from tidemark.operators import model as ML
+from tidemark.operators.kernel import fourier_map
 from tidemark.operators.metrics import binary_metrics, per_class_report
 from tidemark.operators.profile import cluster_ratio, describe_by
 from tidemark.operators.rank import topk_classes, top_n_per_group
@@ -110,6 +111,36 @@ def q_census_classifiers(spark, sf_dir):
     return spark.createDataFrame(out, "model string, accuracy double, f_beta double")
 
 
+@register("census_kernel_svc")
+def q_census_kernel_svc(spark, sf_dir):
+    """Support vectors, linear and with a Gaussian kernel (random Fourier features): accuracy and F0.5 on test."""
+    ds, feats = census_dataset(spark, sf_dir)
+    rows = written_table(fourier_map(len(feats), 256, gamma=0.5).transform(ds).select("label", "split", "features", "kernel_features"), "census-kernel")
+    train, test = rows.where("split = 'train'"), rows.where("split = 'test'")
+    out = []
+    for kind, col in (("linear", "features"), ("gaussian", "kernel_features")):
+        m = ML.make_classifier("svc", features=col, maxIter=30).fit(train)
+        met = binary_metrics(m.transform(test), "label", "prediction", 0.5).first()
+        out.append((kind, float(met["accuracy"]), float(met["f_beta"])))
+    return spark.createDataFrame(out, "kernel string, accuracy double, f_beta double")
+
+
+_MAP = fourier_map(64, 8, gamma=2.0, seed=3)
+_COSINES = ", ".join(f"0.5 * cos(list_sum(list_transform(list_zip(embedding, {list(w)}), lambda z: cast(z[1] AS DOUBLE) * z[2])) + {b})"
+                     for w, b in zip(_MAP.directions, _MAP.phases))
+
+
+@register("kernel_features", f"""
+WITH z AS (SELECT vec_id, [{_COSINES}] AS z FROM embeddings)
+SELECT vec_id, CAST(i AS INTEGER) AS feature, round(z[i], 6) AS value FROM z, range(1, 9) r(i)
+""")
+def q_kernel_features(spark, sf_dir):
+    """Random Fourier features of the embeddings, one row per vector and feature."""
+    emb = td.table(spark, sf_dir, "embeddings")
+    z = emb.select("vec_id", F.posexplode(_MAP.column(F.col("embedding").cast("array<double>"))).alias("i", "v"))
+    return z.select("vec_id", (F.col("i") + 1).alias("feature"), F.round("v", 6).alias("value"))
+
+
 @register("census_lr_coefficients")
 def q_census_lr_coefficients(spark, sf_dir):
     """Intercept and coefficients of the logistic regression (+ its
