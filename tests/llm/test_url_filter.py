@@ -55,3 +55,14 @@ def test_path_alone_decides(spark, model):
     assert [(r.url, r.block_score) for r in got if r.verdict != r.wanted] == []
     again = spark.createDataFrame([("http://casino-slots.example.edu/77",), ("http://city-museum.example.edu/77",)], "url string")
     assert sorted(r.verdict for r in url_filter.judge(again, model).collect()) == ["allow", "block"]
+
+
+def test_held_out_rows_of_the_labelled_table(spark, model):
+    rows = {r.label: r for r in url_filter.held_out_share(model, url_filter.labelled_table(spark)).collect()}
+    assert rows[1.0].n > 100 and rows[1.0].right >= 0.8 * rows[1.0].n
+    assert rows[0.0].n > 500 and rows[0.0].right >= 0.98 * rows[0.0].n
+
+
+def test_words_of_the_table_are_not_the_pages(spark):
+    words = {*url_filter.ALLOW_WORDS, *url_filter.NEUTRAL_WORDS, *url_filter.SYLLABLES}
+    assert not words & set("the that th re in er tion an on ou ha st en es of".split())

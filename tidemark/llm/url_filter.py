@@ -1,7 +1,7 @@
 """URL filters: host and path rules first, then logistic regression on hashed n-grams, native.
 
 Character n-grams of host and path are hashed into a fixed number of features;
-the regression is trained from a small labelled URL table. Nothing is shuffled:
+the regression is trained from a small labelled URL table that knows nothing of the pages judged. Nothing is shuffled:
 a URL is judged where it is read.
 """
 
@@ -20,27 +20,35 @@ from tidemark.llm.common import ascii_lower
 FEATURES = 1 << 13
 GRAMS = (3, 4)
 
-# The labelled URL table, as words by label and the addresses that each word takes, at one time in the
-# host over a path that says nothing, at one time in the path under a host that says nothing.
+# The labelled URL table. Words by label, names that say nothing and stand beside both, and the addresses
+# that each word takes, at one time in the host, at one time in the path under a host that says nothing.
 BLOCK_WORDS = (
     "casino slots jackpot poker lottery bets betting win prize pills meds viagra pharmacy cheap free money loans spam "
     "farm links ads adserver track tracker click banner popup adult xxx porn sex cams escort replica hack crack warez").split()
 ALLOW_WORDS = (
     "university garden news city software encyclopedia museum recipes kitchen weather library school hospital travel island "
-    "forum radio bank theatre maps region newspaper journal science teacher athletics other station mountain parliament history "
-    "thing another north river street water bread house letter the that with this from have their these those through there "
-    "than then thank order earth health month south both tenth action nation stone rest east best").split()
+    "forum radio bank theatre maps region newspaper journal science teacher athletics station mountain parliament history "
+    "street water bread house letter order health archive music church insurance village railway football cycling "
+    "chemistry physics language grammar dictionary council airport harbour gallery festival orchestra lecture academy").split()
+NEUTRAL_WORDS = (
+    "acme lake blue maria peter delta nova studio group world web online service home team north central smith garcia mueller "
+    "martin point line plus media digital global local green silver park valley bridge summit").split()
+#: Invented names of two or three of these syllables; like names that mean nothing they are allowed.
+SYLLABLES = "ka lo mi ru ta ven sol bri dan pe zu nor fal gim".split()
 ADDRESSES = (
-    "http://{w}.example.com/",
-    "https://www.{w}-home.example.org/view/5120.html",
-    "https://m.the-{w}.example.net/p/88?page=2&ref=x",
-    "http://blog.{w}-{w}.example.com/2024/06/4101/",
-    "http://www.example.com/{w}",
-    "https://m.example.org/{w}/5120.html",
-    "https://blog.example.net/view/the-{w}-{w}/?page=2&ref=x",
-    "http://site.example.edu/2024/06/{w}_home.php",
-    "http://example.com/p/88/my-{w}/index.html",
+    "http://www.{w}.com/",
+    "https://{n}-{w}.org/{m}/5120.html",
+    "https://m.{w}{n}.net/p/88?page=2&ref=x",
+    "ftp://files.{w}-{n}.info/2024/06/4101/",
+    "http://blog.{m}-{w}-{n}.example.com/",
+    "http://www.{n}.com/{w}",
+    "https://{n}{m}.co.uk/{w}/{m}.html",
+    "https://blog.{n}.io/view/the-{w}-{m}/?page=2&ref=x",
+    "http://{n}.edu/2024/06/{w}_{m}.php",
+    "http://shop.{n}.de/p/88/my-{w}/index.html",
 )
+#: One row in so many of the table is held out.
+HELD_OUT = 5
 
 
 @dataclass(frozen=True)
@@ -97,18 +105,40 @@ def _features(urls: DataFrame) -> DataFrame:
 
 
 def labelled_table(spark: SparkSession) -> DataFrame:
-    """``url``, ``label`` (1: block): every word of the two lists at every address."""
-    words = [F.struct(F.lit(w).alias("w"), F.lit(label).alias("label"))
-             for label, ws in ((1.0, BLOCK_WORDS), (0.0, ALLOW_WORDS)) for w in ws]
-    rows = spark.range(1).select(F.explode(F.array(*words)).alias("x"))
-    return (rows.select("x.w", "x.label", F.explode(F.array(*[F.lit(a) for a in ADDRESSES])).alias("a"))
-            .select(F.replace("a", F.lit("{w}"), F.col("w")).alias("url"), "label"))
-
-
-def train(labelled: DataFrame, ridge: float = 0.005) -> LogisticRegressionModel:
-    """The regression from ``url``, ``label`` (1: block)."""
-    rows = _features(labelled.select("label", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
-    return LogisticRegression(featuresCol="__features", labelCol="label", regParam=ridge, maxIter=100, standardization=False,
+    """``url``, ``label`` (1: block), ``held_out``: every word of the two lists at every address, between two pairs of
+    neutral words, and the addresses of neutral words and invented names alone, which are allowed."""
+    def words(ws, label: float, salt: str):
+        return [F.struct(F.lit(w).alias("w"), F.lit(label).alias("label"), F.lit(f"{salt}{i}").alias("salt")) for i, w in enumerate(ws)]
+
+    names = [a + b + c for i, a in enumerate(SYLLABLES) for j, b in enumerate(SYLLABLES) for c in ("", SYLLABLES[(3 * i + 5 * j) % len(SYLLABLES)])]
+    rows = words(BLOCK_WORDS, 1.0, "b") + words(ALLOW_WORDS, 0.0, "a") + words(NEUTRAL_WORDS, 0.0, "n") + words(names, 0.0, "s")
+    neutral = F.array(*[F.lit(w) for w in NEUTRAL_WORDS])
+
+    def pick(k: int) -> Column:
+        return F.element_at(neutral, (F.pmod(F.xxhash64("salt", "address", "turn", F.lit(k)), F.lit(len(NEUTRAL_WORDS))) + 1).cast("int"))
+
+    table = (spark.range(1).select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+             .withColumn("address", F.explode(F.array(*[F.lit(a) for a in ADDRESSES])))
+             .withColumn("turn", F.explode(F.when(F.col("salt").rlike("^s"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1))))))
+    url = F.replace(F.replace(F.replace("address", F.lit("{w}"), F.col("w")), F.lit("{n}"), pick(1)), F.lit("{m}"), pick(2))
+    return table.select(url.alias("url"), "label").withColumn("held_out", F.crc32(F.col("url").cast("binary")) % HELD_OUT == 0)
+
+
+def held_out_share(model: LogisticRegressionModel, labelled: DataFrame) -> DataFrame:
+    """``label``, ``n``, ``right``: the held-out rows of a labelled table that the regression alone judges rightly."""
+    judged = judge(labelled.where("held_out"), model, ()).withColumn("right", (F.col("verdict") == "block") == (F.col("label") == 1))
+    return judged.groupBy("label").agg(F.count("*").alias("n"), F.sum(F.col("right").cast("long")).alias("right"))
+
+
+def train(labelled: DataFrame, ridge: float = 0.001, balance: float = 0.25) -> LogisticRegressionModel:
+    """The regression from the rows of ``url``, ``label`` (1: block), ``held_out`` that are not held out. Block rows
+    together weigh ``balance`` times the others: a url that says nothing is allowed."""
+    fitted = labelled.where(~F.col("held_out"))
+    n = fitted.agg(F.sum("label").alias("block"), F.sum(1 - F.col("label")).alias("allow")).first()
+    weight = balance * (n["allow"] or 0.0) / n["block"] if n["block"] else 1.0
+    rows = _features(fitted.select("label", F.when(F.col("label") == 1, weight or 1.0).otherwise(1.0).alias("weight"),
+                                   host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
+    return LogisticRegression(featuresCol="__features", labelCol="label", weightCol="weight", regParam=ridge, maxIter=100, standardization=False,
                               probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction").fit(rows)
 
 
