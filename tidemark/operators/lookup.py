@@ -8,11 +8,15 @@ skewed partitions.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.session import written_table
+
+
 def lookup_join(df: DataFrame, dim: DataFrame, on: str | Sequence[str], how: str = "left") -> DataFrame:
     """Left lookup join of a small dimension."""
     return df.join(dim, on, how)
@@ -41,3 +45,36 @@ def struct_lookup(c: str | Column, mapping: Mapping[int, tuple], fields: Sequenc
     m = F.create_map(*[x for k, v in mapping.items() for x in (
         F.lit(k), F.struct(*[F.lit(e).alias(f) for e, f in zip(v, fields)]))])
     return F.try_element_at(m, col)
+
+
+def _unmapped(code: str | Column, value: str | Column) -> Column:
+    code, value = (F.col(c) if isinstance(c, str) else c for c in (code, value))
+    return code.isNotNull() & value.isNull()
+
+
+def observe_unmapped(df: DataFrame, seen: Observation, lookups: Mapping[str, tuple[str | Column, str | Column]]) -> DataFrame:
+    """``df`` as it is; the job that runs it also counts into ``seen`` all rows (``rows``)
+    and, for each lookup (name -> code, looked-up value), those whose code is there but has no
+    value. A null code is missing, not unmapped.
+
+    The counts cost no scan. They are exact where the rows are written or collected
+    in the stage that looks them up (a task that is run again counts once there); in front of a
+    further shuffle a lost executor may count its rows again. ``written_with_unmapped`` is exact."""
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(_unmapped(c, v)).alias(n) for n, (c, v) in lookups.items()])
+
+
+def written_with_unmapped(df: DataFrame, name: str, lookups: Mapping[str, tuple[str | Column, str | Column]]) -> tuple[DataFrame, dict[str, int]]:
+    """``df`` written below the shared folder and read back, and the counts of
+    ``observe_unmapped`` gathered by that write."""
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    out = written_table(observe_unmapped(df, seen, lookups), name)
+    return out, {k: int(v) for k, v in seen.get.items()}
+
+
+def unmapped_codes(df: DataFrame, lookups: Mapping[str, tuple[str | Column, str | Column]]) -> DataFrame:
+    """``lookup``, ``code`` (as text), ``n``: the codes that had no value, all lookups in one
+    aggregate (worth running where a count of ``written_with_unmapped`` is not 0)."""
+    cells = [F.when(_unmapped(c, v), F.struct(F.lit(n).alias("lookup"), (F.col(c) if isinstance(c, str) else c).cast("string").alias("code")))
+             for n, (c, v) in lookups.items()]
+    return (df.select(F.explode(F.array_compact(F.array(*cells))).alias("x")).groupBy("x.lookup", "x.code")
+            .agg(F.count(F.lit(1)).alias("n")))

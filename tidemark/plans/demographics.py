@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import ones_digit, tens_digit
 from tidemark.operators.clean import (codes_to_null, columns_of_type, drop_columns, keep_dense_rows,
                                      parse_code_list_py)
-from tidemark.operators.lookup import struct_lookup
+from tidemark.operators.lookup import observe_unmapped, struct_lookup
 from tidemark.sources import testdata as td
 
 # Code -> (decade, movement) with mainstream = 0 and
@@ -73,13 +73,26 @@ def binary_levels(df: DataFrame, cols) -> dict[str, list]:
     return out
 
 
+#: Lookups of the mixed columns: name -> (code, looked-up value).
+MIXED_LOOKUPS = {"decade_code": ("decade_code", "decade"), "cameo": ("cameo", "wealth")}
+
+
+def split_mixed(x: DataFrame) -> DataFrame:
+    """The mixed columns split in two each; null in both where a code is missing or unknown."""
+    dm = struct_lookup(F.col("decade_code"), DECADE_MOVEMENT, ["decade", "movement"])
+    return x.withColumns({"decade": dm["decade"], "movement": dm["movement"],
+                          "wealth": tens_digit("cameo"), "lifestage": ones_digit("cameo")})
+
+
 def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",),
-                       max_missing: int = 1, binary=None, fitted_out: dict | None = None) -> DataFrame:
+                       max_missing: int = 1, binary=None, fitted_out: dict | None = None,
+                       unmapped: Observation | None = None) -> DataFrame:
     """P11 -> P02 (fixed list) -> P14 -> X18 (binary re-encode, drop
     multi-level categoricals) -> J12/X08 (split mixed columns) -> drop the
     remaining mixed columns. ``binary`` (column -> [level0, level1]) is the
     fitted part; pass the population's to clean customers identically
-    (``fitted_out`` receives the levels fitted here)."""
+    (``fitted_out`` receives the levels fitted here). ``unmapped`` counts, with the job
+    that runs the result, the rows whose code no lookup knows (``MIXED_LOOKUPS``)."""
     codes = codes_from_meta(meta)
     categorical = set(columns_of_type(meta, ["categorical"]))
     mixed_cols = set(columns_of_type(meta, ["mixed"]))
@@ -97,7 +110,7 @@ def clean_demographics(df: DataFrame, meta: DataFrame, drop_fixed=("p_partkey",)
                              .when(F.col(c) == F.lit(lv0), 0).otherwise(1))
         else:
             x = x.drop(c)
-    dm = struct_lookup(F.col("decade_code"), DECADE_MOVEMENT, ["decade", "movement"])
-    x = x.withColumns({"decade": dm["decade"], "movement": dm["movement"],
-                       "wealth": tens_digit("cameo"), "lifestage": ones_digit("cameo")})
+    x = split_mixed(x)
+    if unmapped is not None:
+        x = observe_unmapped(x, unmapped, MIXED_LOOKUPS)
     return x.drop(*[c for c in x.columns if c in mixed_cols])

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalar as X
 from tidemark.operators.cohort import rate_per_member, semi_join, anti_join
-from tidemark.operators.lookup import lookup_default, lookup_join, struct_lookup
+from tidemark.operators.lookup import lookup_default, lookup_join, struct_lookup, unmapped_codes, written_with_unmapped
 from tidemark.operators.rank import topk_classes
-from tidemark.plans.demographics import DECADE_MOVEMENT
+from tidemark.plans.demographics import DECADE_MOVEMENT, MIXED_LOOKUPS, split_mixed
 from tidemark.plans.registry import register
 from tidemark.sources import testdata as td
 
@@ -139,6 +139,33 @@ def q_decade_movement(spark, sf_dir):
                     X.tens_digit("cameo").alias("wealth"), X.ones_digit("cameo").alias("lifestage"))
 
 
+_UNMAPPED_SQL = f"""
+WITH {td.DEMO_SQL},
+m(code) AS (VALUES {", ".join(f"({k})" for k in DECADE_MOVEMENT)}),
+u AS (SELECT 'decade_code' AS lookup, CAST(decade_code AS VARCHAR) AS code,
+             decade_code IS NOT NULL AND decade_code NOT IN (SELECT code FROM m) AS missed FROM population
+      UNION ALL
+      SELECT 'cameo', cameo, cameo IS NOT NULL AND NOT regexp_full_match(cameo, '[0-9][0-9].*') FROM population)
+"""
+
+
+@register("lookup_totals", _UNMAPPED_SQL + """
+SELECT lookup, count(*) AS n_rows, count(*) FILTER (WHERE missed) AS n_unmapped FROM u GROUP BY lookup
+""")
+def q_lookup_totals(spark, sf_dir):
+    """Rows that each lookup saw and could not map, observed by the job that writes the looked-up rows."""
+    _, seen = written_with_unmapped(split_mixed(td.population(spark, sf_dir)), "split", MIXED_LOOKUPS)
+    return spark.createDataFrame([(n, seen["rows"], seen[n]) for n in MIXED_LOOKUPS], "lookup string, n_rows long, n_unmapped long")
+
+
+@register("unmapped_codes", _UNMAPPED_SQL + "SELECT lookup, code, count(*) AS n FROM u WHERE missed GROUP BY ALL")
+def q_unmapped_codes(spark, sf_dir):
+    """The codes that no map knows, for the lookups whose observed count is not 0."""
+    out, seen = written_with_unmapped(split_mixed(td.population(spark, sf_dir)), "split", MIXED_LOOKUPS)
+    missed = {n: c for n, c in MIXED_LOOKUPS.items() if seen[n]}
+    return unmapped_codes(out, missed or MIXED_LOOKUPS)
+
+
 @register("scalar_rules", f"""
 WITH {td.WIN_SQL}
 SELECT seq, regexp_replace(LogHost, '\\d+', '', 'g') AS host_class,
