@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tidemark.functions.text import TOKEN_PATTERN, tokens
+from tidemark.functions.text import TOKEN_PATTERN, raw_tokens, tokens
 from tidemark.operators.frozen import fit_vocabulary, vector_batches, weigh
+from tidemark.operators.lemmas import lemma_tokens
 from tidemark.operators.sample import hash_split
 from tidemark.operators.text import bag_of_words, doc_count, tf_idf, term_counts
 from tidemark.plans.q_sample import h_sql
@@ -31,6 +32,31 @@ def q_tokenize(spark, sf_dir):
     return d.select("doc_id", F.inline(made))
 
 
+_RAW_SQL = "regexp_extract_all(text, '" + TOKEN_PATTERN.replace("'", "''") + "')"
+
+
+def _lemma_table(spark, sf_dir):
+    """Stand-in lemma table: words of the benchmark items of four letters and more, and the same without the last letter."""
+    raw = F.explode(raw_tokens("text")).alias("word")
+    return td.table(spark, sf_dir, "benchmark").select(raw).distinct().where("length(word) >= 4").selectExpr(
+        "word", "left(word, length(word) - 1) AS lemma")
+
+
+@register("tokenize_lemmas", f"""
+WITH l AS (SELECT DISTINCT word, left(word, length(word) - 1) AS lemma
+           FROM (SELECT unnest({_RAW_SQL}) AS word FROM benchmark) WHERE length(word) >= 4),
+r AS (SELECT doc_id, {_RAW_SQL} AS raw FROM documents),
+t AS (SELECT doc_id, unnest(raw) AS word, generate_subscripts(raw, 1) AS pos FROM r),
+m AS (SELECT doc_id, list(lower(trim(coalesce(lemma, t.word))) ORDER BY pos) AS tokens FROM t LEFT JOIN l ON t.word = l.word GROUP BY doc_id)
+SELECT r.doc_id, CAST(len(r.raw) AS INTEGER) AS n_tokens, coalesce(array_to_string(m.tokens, ' '), '') AS tokens
+FROM r LEFT JOIN m ON r.doc_id = m.doc_id
+""")
+def q_tokenize_lemmas(spark, sf_dir):
+    """F13 with a joined lemma table: whole-text tokens in order, lemma of the token as written, then lower-cased and trimmed."""
+    t = lemma_tokens(td.table(spark, sf_dir, "documents"), "doc_id", "text", _lemma_table(spark, sf_dir))
+    return t.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
+
+
 BOW_SQL = f"""
 WITH t AS (SELECT doc_id, unnest({_TOK_SQL}) AS term FROM documents),
 c AS MATERIALIZED (SELECT doc_id, term, count(*) AS count FROM t GROUP BY ALL),
