@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.text import TOKEN_PATTERN
 from tidemark.operators import encode as E
 from tidemark.operators import model as ML
+from tidemark.operators.head import fit_head
 from tidemark.operators.kernel import fourier_map
 from tidemark.operators.metrics import binary_metrics, per_class_report
 from tidemark.operators.profile import cluster_ratio, describe_by
@@ -458,6 +459,18 @@ def q_embedding_mlp(spark, sf_dir):
                       F.col("t.prob").alias("prob"))
 
 
+@register("embedding_head")
+def q_embedding_head(spark, sf_dir):
+    """Two ReLU layers with dropout and log-softmax, learned by mini-batch gradients on the train
+    split; top-3 classes of the test split by log probability."""
+    x = hash_split(td.table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"), "vec_id", 0.2, 0)
+    train, test = x.where("split = 'train'"), x.where("split = 'test'")
+    fitted = fit_head(train, "vec_id", "embedding", "label", 10, hidden=(64, 64), epochs=5)
+    top = test.select("vec_id", "label", fitted.scores(test, "embedding").alias("score")).select(
+        "vec_id", "label", F.posexplode(topk_classes("score", 3)).alias("pos", "t"))
+    return top.select("vec_id", "label", (F.col("pos") + 1).alias("rank"), F.col("t.cls").alias("cls"), F.col("t.prob").alias("prob"))
+
+
 @register("model_roundtrip", f"""
 WITH {td.CENSUS_SQL}
 SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_different FROM census
