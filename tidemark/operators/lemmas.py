@@ -22,17 +22,19 @@ def lemma_tokens(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame, wor
     a null id is an id like others. Only the two named columns are read. The last step
     holds what the text itself (with its copies of the same id) holds; no task holds all rows of a
     word: they are on the join's streamed side, which adaptive execution splits."""
-    d = docs.select(F.col(doc_id).alias("_id"), F.md5(F.col(text).cast("string")).alias("_h"), F.col(text).cast("string").alias("_text"))
+    d = docs.select(F.col(doc_id).alias("_id"), F.unhex(F.md5(F.col(text).cast("string"))).alias("_h"), F.col(text).cast("string").alias("_text"))
     made = d.select("_id", "_h", F.posexplode_outer(raw_tokens("_text", pattern)).alias("_pos", "_raw"))
     known = (lemmas.where(F.col(word).isNotNull() & F.col(lemma).isNotNull())
              .groupBy(F.col(word).alias("_raw")).agg(F.min(lemma).alias("_lemma")))
-    placed = made.join(known, "_raw", "left").select("_id", "_h", "_pos", F.lower(F.trim(F.coalesce("_lemma", "_raw"))).alias("_token"))
+    # a position of eight hex digits in front of the token: shorter than a struct, and in order as text
+    placed = made.join(known, "_raw", "left").select(
+        "_id", "_h", (F.col("_pos") == 0).alias("_first"),
+        F.concat(F.lpad(F.hex("_pos"), 8, "0"), F.lower(F.trim(F.coalesce("_lemma", "_raw")))).alias("_at"))
     # equal rows (id and text) share a key: each position then comes once for each of them
     whole = placed.groupBy("_id", "_h").agg(
-        F.sort_array(F.collect_list(F.when(F.col("_pos").isNotNull(), F.struct("_pos", "_token")))).alias("_t"),
-        F.count(F.lit(1)).alias("_rows"), F.count_if(F.col("_pos") == 0).alias("_starts"))
+        F.sort_array(F.collect_list("_at")).alias("_t"), F.count(F.lit(1)).alias("_rows"), F.count_if("_first").alias("_starts"))
     copies = F.when(F.col("_starts") > 0, F.col("_starts")).otherwise(F.col("_rows")).cast("int")
     whole = whole.select("_id", "_h", "_t", copies.alias("_copies"))
-    once = F.expr("if(_copies = 1 or size(_t) = 0, _t._token, transform(sequence(0, size(_t) - 1, _copies), i -> _t[i]._token))")
+    once = F.expr("transform(if(_copies = 1 or size(_t) = 0, _t, transform(sequence(0, size(_t) - 1, _copies), i -> _t[i])), x -> substr(x, 9))")
     return (whole.select("_id", F.when(F.col("_h").isNotNull(), once).alias(out), F.explode(F.sequence(F.lit(1), "_copies")).alias("_c"))
             .select(F.col("_id").alias(doc_id), out))
