@@ -11,7 +11,7 @@ import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -37,16 +37,37 @@ GRIDS = {
 }
 
 
+def _without_summary(java_model):
+    """A fitted model without its training summary. The summary of a binary classifier holds the session, and a
+    session that has had an ``Observation`` cannot be sent to tasks: the model would fail in every later transform."""
+    return java_model.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+
+
+class _LogisticRegression(LogisticRegression):
+    def _create_model(self, java_model):
+        return super()._create_model(_without_summary(java_model))
+
+
+class _RandomForestClassifier(RandomForestClassifier):
+    def _create_model(self, java_model):
+        return super()._create_model(_without_summary(java_model))
+
+
+class _LinearSVC(LinearSVC):
+    def _create_model(self, java_model):
+        return super()._create_model(_without_summary(java_model))
+
+
 def make_classifier(kind: str, label: str = "label", features: str = "features", seed: int = 42, **kw):
-    """L01, L02, L03, L06, L15 estimators by name."""
+    """L01, L02, L03, L06, L15 estimators by name; their models carry no training summary."""
     if kind == "lr":
-        return LogisticRegression(labelCol=label, featuresCol=features, **kw)
+        return _LogisticRegression(labelCol=label, featuresCol=features, **kw)
     if kind == "rf":
-        return RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
+        return _RandomForestClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
     if kind == "gbt":
         return GBTClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
     if kind == "svc":
-        return LinearSVC(labelCol=label, featuresCol=features, **kw)
+        return _LinearSVC(labelCol=label, featuresCol=features, **kw)
     if kind == "mlp":
         return MultilayerPerceptronClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
     raise ValueError(kind)
