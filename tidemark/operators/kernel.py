@@ -3,7 +3,7 @@
 MLlib's support vector classifier is linear. The kernel exp(-gamma |x - y|^2) is the mean of
 cos(w.x + b) cos(w.y + b) * 2 over random directions w (normal, variance 2 gamma) and phases b, so
 a linear classifier on ``size`` such cosines is one in the kernel's space, up to an error that
-falls with the root of ``size``. The cosines are column expressions over literal constants that a seed fixes.
+falls with the root of ``size``. The constants are fixed by a seed; tasks compute the cosines block by block with numpy.
 """
 
 from __future__ import annotations
@@ -11,10 +11,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Rows whose features are computed at once.
+_ROWS = 1024
+
 
 @dataclass(frozen=True)
 class FourierMap:
@@ -23,16 +28,35 @@ class FourierMap:
     phases: tuple[float, ...]
 
     def column(self, x: Column) -> Column:
-        """The features of an array column as an array: sqrt(2 / size) cos(w.x + b)."""
-        scale = (2.0 / len(self.phases)) ** 0.5
-        maps = F.array(*[F.struct(F.array(*[F.lit(v) for v in w]).alias("w"), F.lit(b).alias("b"))
-                         for w, b in zip(self.directions, self.phases)])
+        """The features of an array<double> column as an array: sqrt(2 / size) cos(w.x + b). A null array, or one that
+        holds a null or is of another length, has null features."""
+        return self._mapped()(x)
+
+    def _mapped(self):
+        w, b = np.array(self.directions), np.array(self.phases)
+        scale = (2.0 / len(b)) ** 0.5
 
-        def one(m: Column) -> Column:
-            dot = F.aggregate(F.zip_with(m["w"], x, lambda a, c: a * c), F.lit(0.0), lambda s, v: s + v)
-            return F.cos(dot + m["b"]) * scale
+        @F.arrow_udf("array<double>")
+        def mapped(x: pa.Array) -> pa.Array:
+            out = []
+            for at in range(0, len(x), _ROWS):
+                part = x.slice(at, _ROWS)
+                length, nulls = pc.list_value_length(part), pc.list_parent_indices(part).filter(pc.list_flatten(part).is_null())
+                good = pc.fill_null(pc.equal(length, w.shape[1]), False).to_numpy(zero_copy_only=False).copy()
+                good[nulls.to_numpy()] = False
+                rows = part.filter(pa.array(good)).flatten().to_numpy(zero_copy_only=False).reshape(-1, w.shape[1])
+                z = np.zeros((len(rows), len(b)))
+                for j in range(w.shape[1]):  # component after component: sums do not depend on the block's size
+                    z += rows[:, j:j + 1] * w[:, j]
+                with np.errstate(invalid="ignore"):
+                    z = np.cos(z + b) * scale
+                values, known = np.zeros((len(part), len(b))), np.repeat(good, len(b))
+                values[good] = z
+                starts = np.arange(len(part) + 1, dtype=np.int32) * len(b)
+                out.append(pa.ListArray.from_arrays(pa.array(starts), pa.array(values.ravel(), mask=~known)))
+            return pa.concat_arrays(out) if out else pa.array([], pa.list_(pa.float64()))
 
-        return F.transform(maps, one)
+        return mapped
 
     def transform(self, df: DataFrame, features: str = "features", out: str = "kernel_features") -> DataFrame:
         """``df`` with the vector column ``out``; ``features`` is a vector column."""
