@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import ascii_lower
+from tidemark.operators.model import make_classifier
 
 FEATURES = 1 << 13
 GRAMS = (3, 4)
@@ -138,8 +139,8 @@ def train(labelled: DataFrame, ridge: float = 0.001, balance: float = 0.25) -> L
     weight = balance * (n["allow"] or 0.0) / n["block"] if n["block"] else 1.0
     rows = _features(fitted.select("label", F.when(F.col("label") == 1, weight or 1.0).otherwise(1.0).alias("weight"),
                                    host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")))
-    return LogisticRegression(featuresCol="__features", labelCol="label", weightCol="weight", regParam=ridge, maxIter=100, standardization=False,
-                              probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction").fit(rows)
+    return make_classifier("lr", features="__features", weightCol="weight", regParam=ridge, maxIter=100, standardization=False,
+                           probabilityCol="__probability", rawPredictionCol="__raw", predictionCol="__prediction").fit(rows)
 
 
 def judge(urls: DataFrame, model: LogisticRegressionModel, rules: tuple[Rule, ...] = RULES, url_col: str = "url") -> DataFrame:
