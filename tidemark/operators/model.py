@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 from tidemark.operators.kmeans_many import kmeans_many
 
 
+#: Rows that a task of a search works on, at least.
+TASK_ROWS = 25_000
+
+
 def vectorise(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
     """columns -> one vector column (nulls are an error, as in MLlib)."""
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
@@ -82,10 +86,16 @@ def param_grid(est, grid: Mapping[str, Sequence]) -> list:
 
 def grid_search(est, grid: Mapping[str, Sequence], evaluator, folds: int = 2, parallelism: int = 4,
                 seed: int = 42, train: DataFrame | None = None):
-    """K-fold cross-validated grid search, ``parallelism`` fits at once."""
+    """K-fold cross-validated grid search, ``parallelism`` fits at once. ``train`` should be written or persisted."""
     cv = CrossValidator(estimator=est, estimatorParamMaps=param_grid(est, grid), evaluator=evaluator,
                         numFolds=folds, parallelism=parallelism, seed=seed)
-    return cv.fit(train) if train is not None else cv
+    return cv.fit(in_tasks(train)) if train is not None else cv
+
+
+def in_tasks(train: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """``train`` in no more partitions than it has ``rows`` rows each: a search of trees runs thousands of small jobs,
+    whose tasks then grow with the rows and not with the cores."""
+    return train.coalesce(max(1, -(-train.count() // rows)))
 
 
 def best_params(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
