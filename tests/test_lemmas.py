@@ -57,3 +57,11 @@ def test_no_literal_map_and_no_python_in_the_plan(spark):
     docs = spark.range(10).select("id", F.lit("mice").alias("text"))
     plan = lemma_tokens(docs, "id", "text", spark.createDataFrame(LEMMAS, "word string, lemma string"))._jdf.queryExecution().executedPlan().toString()
     assert "map(" not in plan and "Python" not in plan and "Cartesian" not in plan
+
+
+def test_tokens_are_not_shuffled_with_a_small_table(spark):
+    docs = spark.range(10).select("id", F.lit("mice and words").alias("text"))
+    few = spark.createDataFrame(LEMMAS, "word string, lemma string").coalesce(1).limit(20)
+    plan = lemma_tokens(docs, "id", "text", few)._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"Exchange (?:hashpartitioning\(_\w*id#|SinglePartition, REPARTITION)[^\n]*", plan)
+    assert "BroadcastHashJoin" in plan and len(dealt) == 1 and "REPARTITION_BY_NUM" in dealt[0], plan

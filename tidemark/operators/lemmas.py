@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import TOKEN_PATTERN, raw_tokens
+from tidemark.operators.text import text_tasks
 
 
 def lemma_tokens(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame, word: str = "word", lemma: str = "lemma",
@@ -21,8 +22,10 @@ def lemma_tokens(docs: DataFrame, doc_id: str, text: str, lemmas: DataFrame, wor
     An empty text has no tokens, a null text null. Repeated rows come back each time,
     a null id is an id like others. Only the two named columns are read. The last step
     holds what the text itself (with its copies of the same id) holds; no task holds all rows of a
-    word: they are on the join's streamed side, which adaptive execution splits."""
+    word: they are on the join's streamed side, which adaptive execution splits. Texts are dealt out whole,
+    by id and text, before they are cut into tokens: with a small table no token is shuffled."""
     d = docs.select(F.col(doc_id).alias("_id"), F.unhex(F.md5(F.col(text).cast("string"))).alias("_h"), F.col(text).cast("string").alias("_text"))
+    d = d.repartition(text_tasks(docs, text), "_id", "_h")
     made = d.select("_id", "_h", F.posexplode_outer(raw_tokens("_text", pattern)).alias("_pos", "_raw"))
     known = (lemmas.where(F.col(word).isNotNull() & F.col(lemma).isNotNull())
              .groupBy(F.col(word).alias("_raw")).agg(F.min(lemma).alias("_lemma")))
