@@ -53,3 +53,14 @@ def test_counts_are_not_shuffled(spark):
 def test_tasks_grow_in_number(spark):
     d = spark.range(9).selectExpr("id", f"repeat('word ', {T.TASK_TEXT // 5}) AS message")
     assert T.text_tasks(d.limit(0), "message") == 1 and T.text_tasks(d, "message") == 9
+
+
+def test_a_fit_shuffles_sums_by_term_only(spark, monkeypatch):
+    from tidemark.operators.text_model import TextFeatures
+    d, seen = docs(spark), []
+    collect = type(d).collect
+    monkeypatch.setattr(type(d), "collect", lambda self: (seen.append(self), collect(self))[1])
+    model = TextFeatures(ngramMax=2, maxDF=0.6, maxFeatures=4).fit(d)
+    keys = [line for line in exchanges(seen[0]) if "hashpartitioning" in line]
+    assert keys and not any(re.search(r"\(id#", line) for line in keys)
+    assert model.stages[1].vocabulary == ["storm", "the storm", "day", "the the"]
