@@ -50,3 +50,12 @@ def test_edges(spark):
     got = kmeans_many(same, [1, 3])
     assert got[1].cost == got[3].cost == 0 and (got[3].centres == [1.0, 2.0]).all()
     assert kmeans_many(same.limit(0), [2])[2].cost == 0
+
+
+def test_rows_are_dealt_out_to_tasks_of_bounded_size(spark):
+    """A table in one file is one split: tasks must grow with its rows."""
+    from tidemark.operators import model as ML
+    rows = spark.range(0, 1000, 1, 1)
+    assert ML.dealt_out(rows, 100).rdd.getNumPartitions() == 10
+    assert ML.dealt_out(rows, 1000).rdd.getNumPartitions() == 1
+    assert ML.dealt_out(rows, 300).distinct().count() == 1000

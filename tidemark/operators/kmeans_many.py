@@ -58,17 +58,25 @@ def _scan(rows: DataFrame, models: list[np.ndarray]) -> dict[tuple[int, int], tu
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, cost, s = np.zeros(len(centres), np.int64), np.zeros(len(centres)), np.zeros((len(centres), dim))
-        norms = (centres ** 2).sum(1)
+        norms, twice = (centres ** 2).sum(1)[:, None], 2 * centres
+        # a model at a time, its distances in one buffer that stays in the cache: rows x all centres would not
+        room = np.empty(max(len(c) for c in models) * _BLOCK)
         for b in batches:
             for a in range(0, len(b), _BLOCK):
-                x = _points(b.column(0).slice(a, _BLOCK))
-                near = norms - 2 * (x @ centres.T)  # the row's own norm is the same for all centres
-                for m in range(len(models)):
-                    at = starts[m] + near[:, starts[m]:starts[m + 1]].argmin(1)
-                    n += np.bincount(at, minlength=len(n))
-                    cost += np.bincount(at, ((x - centres[at]) ** 2).sum(1), len(n))
+                x = np.ascontiguousarray(_points(b.column(0).slice(a, _BLOCK)).T)
+                far, gap = np.empty(x.shape[1]), np.empty(x.shape[1])
+                for m, own in enumerate(models):
+                    of, k = slice(starts[m], starts[m + 1]), len(own)
+                    near = room[:k * x.shape[1]].reshape(k, -1)
+                    np.matmul(twice[of], x, out=near)
+                    at = np.subtract(norms[of], near, out=near).argmin(0)  # the row's own norm is the same for all centres
+                    n[of] += np.bincount(at, minlength=k)
+                    far[:] = 0
                     for j in range(dim):
-                        s[:, j] += np.bincount(at, x[:, j], len(n))
+                        s[of, j] += np.bincount(at, x[j], k)
+                        np.subtract(x[j], own[at, j], out=gap)
+                        far += np.multiply(gap, gap, out=gap)
+                    cost[of] += np.bincount(at, far, k)
         used = np.flatnonzero(n)
         yield pa.record_batch([pa.array(used.astype(np.int32)), pa.array(n[used]), pa.array(cost[used]),
                                pa.array(s[used].tolist(), pa.list_(pa.float64()))], names=["centre", "n", "cost", "s"])

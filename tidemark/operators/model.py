@@ -98,6 +98,13 @@ def in_tasks(train: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
     return train.coalesce(max(1, -(-train.count() // rows)))
 
 
+def dealt_out(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """``df`` in as many partitions as it has ``rows`` rows each (as it is, when one is enough): scans of compressed
+    tables are split by bytes, which are few for a model's many rounds over them."""
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
 def best_params(spark: SparkSession, model, names: Sequence[str]) -> DataFrame:
     """Chosen parameter values of a fitted model, as (param, value)."""
     rows = [(n, str(model.getOrDefault(model.getParam(n)))) for n in names if model.hasParam(n)]

@@ -338,7 +338,8 @@ def segments_pipeline(pop, k_pca: int = 3, k_clusters: int = 4):
 def _segments_inputs(spark, sf_dir):
     meta = td.demo_meta(spark)
     fit: dict = {}
-    pop = clean_demographics(td.population(spark, sf_dir), meta, fitted_out=fit)
+    # one file is few splits, however many rows it holds: the rows are dealt out before all else
+    pop = clean_demographics(ML.dealt_out(td.population(spark, sf_dir)), meta, fitted_out=fit)
     cust = clean_demographics(td.demo_customers(spark, sf_dir), meta, binary=fit)
     return tuple(written_table(x.withColumn("mfgr_side", F.col("mfgr_side").cast("int")), "segments") for x in (pop, cust))
 
