@@ -96,3 +96,17 @@ def test_unusable_rows_take_no_part(spark):
     assert all(len(s) == 2 for s in scored.values() if s)
     with pytest.raises(ValueError):
         H.fit_head(a.limit(0), "id", "x", "y", 2)
+
+
+@pytest.mark.parametrize("chain_rows", [16_384, 60, 25])
+def test_steps_are_handed_on_by_few_jobs(spark, monkeypatch, chain_rows):
+    """The steps of many small batches are not a job each, and the weights are those of the sequential version."""
+    monkeypatch.setattr(H, "CHAIN_ROWS", chain_rows)
+    df = frame(spark, *rows(150)).repartition(5)
+    kw = dict(hidden=[8, 5], epochs=2, batch_rows=10, rate=0.05, momentum=0.9, decay=1e-3, dropout=0.25, seed=4)
+    spark.sparkContext.setJobGroup(f"chain-{chain_rows}", "")
+    got = H.fit_head(df, "id", "x", "y", 4, **kw)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"chain-{chain_rows}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert np.allclose(H._flat(got.layers), sequential(spark, df, 4, **kw), atol=1e-9)
+    assert chain_rows != 16_384 or jobs < 15  # 30 steps

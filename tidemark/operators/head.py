@@ -4,8 +4,10 @@ Mini-batch gradients with momentum and weight decay, data-parallel: rows are dea
 batches by a hash of their key and written once, a folder for each batch. In a step the
 weights are broadcast, every task adds up the gradient over its rows of the batch, partial
 sums are added by up to ``FAN`` tasks where a batch has more files, and the driver moves the
-weights. What the driver holds is the model, whatever the number of rows. Dropout masks are
-hashes of (key, step, unit), so a task that is run again drops the same units.
+weights. Small batches need no sums: a task takes the steps of at most ``CHAIN_ROWS`` rows, one after the other,
+and hands the weights on, so that a step does not cost a job. What the driver holds is the model,
+whatever the number of rows. Dropout masks are hashes of (key, step, unit), so a task that is run
+again drops the same units.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from tidemark.session import scratch_table_path, ship_package
 
 #: Tasks that add up partial sums, and rows of a batch in one file.
 FAN, FILE_ROWS = 16, 65_536
+#: Rows of the batches that one task takes steps over, at most; larger batches are summed over tasks.
+CHAIN_ROWS = 16_384
 
 Layers = list[tuple[np.ndarray, np.ndarray]]
 
@@ -173,24 +177,72 @@ def fit_head(df: DataFrame, key: str, features: str, label: str, classes: int, h
     tasks = min(batches * files, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     (dealt.repartition(tasks, "batch", F.pmod(F.xxhash64("key"), F.lit(files)))
      .write.partitionBy("batch").option("maxRecordsPerFile", FILE_ROWS).parquet(path))
-    there = sorted(r["batch"] for r in spark.read.parquet(path).select("batch").distinct().collect())  # names of folders
+    every = spark.read.schema("key long, y int, x array<double>, batch int").parquet(path)  # files are listed once
+    there = {r["batch"]: r["n"] for r in every.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}  # names of folders
     sizes = [length["k"], *hidden, classes]
     weights = _flat(start(sizes, seed))
     moving, losses, number, rng = np.zeros_like(weights), [], 0, np.random.default_rng(seed)
     for _ in range(epochs):
         seen, lost = 0, 0.0
-        for batch in rng.permutation(there):
-            shared = spark.sparkContext.broadcast(weights)
-            rows = spark.read.schema("key long, y int, x array<double>").parquet(f"{path}/batch={batch}")
-            count, loss, grad = _total(rows.mapInArrow(_step(shared, sizes, number, dropout), _SUMS), len(weights), files)
+        for part in _runs(rng.permutation(sorted(there)).tolist(), there, files):
+            if files == 1 and there[part[0]] <= CHAIN_ROWS:
+                shared = spark.sparkContext.broadcast((weights, moving))
+                moved = every.where(F.col("batch").isin(part)).coalesce(1).mapInArrow(
+                    _chain(shared, part, sizes, number, dropout, rate, momentum, decay), _MOVED).first()
+                weights, moving = np.frombuffer(moved["weights"]), np.frombuffer(moved["moving"])
+                count, loss = moved["n"], moved["loss"]
+            else:
+                shared = spark.sparkContext.broadcast(weights)
+                rows = spark.read.schema("key long, y int, x array<double>").parquet(f"{path}/batch={part[0]}")
+                count, loss, grad = _total(rows.mapInArrow(_step(shared, sizes, number, dropout), _SUMS), len(weights), files)
+                moving = momentum * moving + grad / max(count, 1) + decay * weights
+                weights = weights - rate * moving
             shared.destroy()
-            moving = momentum * moving + grad / max(count, 1) + decay * weights
-            weights = weights - rate * moving
-            seen, lost, number = seen + count, lost + loss, number + 1
+            seen, lost, number = seen + count, lost + loss, number + len(part)
         losses.append(lost / seen)
     return Head(sizes, _layers(weights, sizes), losses)
 
 
+def _runs(order: list[int], rows: dict[int, int], files: int) -> Iterator[list[int]]:
+    """Batches in their order, in runs of at most ``CHAIN_ROWS`` rows; a batch of more rows, or of several files, for itself."""
+    run, held = [], 0
+    for batch in order:
+        if run and (files > 1 or held + rows[batch] > CHAIN_ROWS):
+            yield run
+            run, held = [], 0
+        run.append(batch)
+        held += rows[batch]
+    if run:
+        yield run
+
+
+_MOVED = "n long, loss double, weights binary, moving binary"
+
+
+def _chain(shared, part: list[int], sizes: list[int], number: int, dropout: float, rate: float, momentum: float, decay: float):
+    """The task of a run of steps over the batches ``part``, in this order: the weights it ends with."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, moving = shared.value
+        keys, labels, xs, of = [], [], [], []
+        for b in batches:
+            if len(b):
+                keys.append(b.column(0).to_numpy())
+                labels.append(b.column(1).to_numpy())
+                xs.append(b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(len(b), -1))
+                of.append(b.column(3).to_numpy(zero_copy_only=False))
+        key, y, x, of = (np.concatenate(c) for c in (keys, labels, xs, of))
+        lost = 0.0
+        for i, batch in enumerate(part):
+            on = of == batch
+            some, grads = gradient(_layers(weights, sizes), x[on], y[on], keep_masks(key[on], number + i, sizes[1:-1], dropout))
+            moving = momentum * moving + _flat(grads) / int(on.sum()) + decay * weights
+            weights, lost = weights - rate * moving, lost + some
+        yield pa.record_batch([pa.array([len(of)], pa.int64()), pa.array([lost]), pa.array([weights.tobytes()], pa.binary()),
+                               pa.array([moving.tobytes()], pa.binary())], names=["n", "loss", "weights", "moving"])
+
+    return work
+
+
 def _step(shared, sizes: list[int], number: int, dropout: float):
     """The task of a step: one row of sums over its rows of the batch."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
