@@ -223,12 +223,17 @@ def q_imbalance_experiment(spark, sf_dir):
     return spark.createDataFrame(rows, "label string, negative_fraction double, test_auc double")
 
 
+#: Messages that a task of the message models works on.
+MESSAGE_ROWS = 2_048
+
+
 @register("message_classifier")
 def q_message_classifier(spark, sf_dir):
     """L07 + L08 + E04: one text pipeline (tokens -> counts -> IDF -> LR) per
     label column, per-class report on the hash-split test set."""
     msgs = expand_labels(td.messages(spark, sf_dir), td.categories(spark, sf_dir))
-    msgs = hash_split(msgs, "id", 0.25, 0)
+    msgs = hash_split(msgs, "id", 0.25, 0).select("id", "message", "quality", "toxic", "split")
+    msgs = ML.dealt_out(written_table(msgs, "labelled-messages"), MESSAGE_ROWS)  # tokens are kept by task while counted
     tok = RegexTokenizer(inputCol="message", outputCol="tokens", pattern=TOKEN_PATTERN, gaps=False)
     cv = CountVectorizer(inputCol="tokens", outputCol="tf", maxDF=0.75, vocabSize=5000)
     idf = IDF(inputCol="tf", outputCol="features")
@@ -236,7 +241,7 @@ def q_message_classifier(spark, sf_dir):
     feat = Pipeline(stages=[tok, cv, idf]).fit(msgs.filter("split = 'train'"))
     x = written_table(feat.transform(msgs).select("id", "split", "quality", "toxic", "features"), "message-features")
     labels = ["quality", "toxic"]
-    models = ML.multi_output(x.filter("split = 'train'").withColumn("quality", F.col("quality").cast("double"))
+    models = ML.multi_output(ML.dealt_out(x.filter("split = 'train'"), MESSAGE_ROWS).withColumn("quality", F.col("quality").cast("double"))
                              .withColumn("toxic", F.col("toxic").cast("double")), labels,
                              lambda lb: ML.make_classifier("lr", label=lb, maxIter=20))
     test = x.filter("split = 'test'")
