@@ -158,3 +158,37 @@ def test_lists_of_slices():
     t = pa.table({"x": pa.array([[1], [2, 3], [], [4]])}).slice(1, 3)
     size, flat = lm._ragged(t["x"])
     assert size.tolist() == [2, 0, 1] and flat.tolist() == [2, 3, 4]
+
+
+def test_a_sweep_moves_every_customer():
+    """60 customers of a dish, all at one table: one sweep spreads them, forty reach the exact mean number of tables."""
+    n, dishes, d, w = 60, 3_000, 0.5, 2.0
+    row = np.zeros(n + 2)
+    row[0] = 1.0
+    for i in range(n):  # scaled weights of t tables
+        row[1:] = row[:-1] * w + np.maximum(i - np.arange(1, n + 2) * d, 0) * row[1:]
+        row[0] = 0.0
+        row /= row.sum()
+    mean = (row * np.arange(n + 2)).sum()
+    tables = lm.Tables(np.ones(dishes, np.int64), np.full(dishes, n, np.int64))
+    one = tables.reseat(np.full(dishes, n), d, lambda rows, t: np.full(len(rows), w), np.arange(dishes), 1)
+    assert one.sizes.sum() == n * dishes
+    # a customer alone at a table has moved; where only some move, most of the dish stays at its first table
+    assert one.count.mean() > 0.5 * mean
+    for sweep in range(2, 45):
+        one = one.reseat(np.full(dishes, n), d, lambda rows, t: np.full(len(rows), w), np.arange(dishes), sweep)
+    assert abs(one.count.mean() - mean) < 0.03 * mean
+
+
+def test_dishes_seated_alone_or_along_give_the_same(monkeypatch):
+    rng = np.random.default_rng(0)
+    n, key = np.r_[rng.integers(1, 200, 60), 900, 3], rng.integers(-2 ** 62, 2 ** 62, 62)
+    found = []
+    for along in (0, 10, 10 ** 9):
+        monkeypatch.setattr(lm, "ALONG", along)
+        tables = lm.Tables(np.ones(len(n), np.int64), n.copy())
+        for sweep in range(3):
+            tables = tables.reseat(n + sweep % 2, 0.5, lambda rows, t: 0.3 + 0.02 * t, key, sweep)
+        found.append((tables.count.tolist(), tables.sizes.tolist()))
+    assert found[0] == found[1] == found[2]
+
