@@ -192,3 +192,15 @@ def test_dishes_seated_alone_or_along_give_the_same(monkeypatch):
         found.append((tables.count.tolist(), tables.sizes.tolist()))
     assert found[0] == found[1] == found[2]
 
+
+def test_large_rows_are_held_one_by_one(spark, tmp_path):
+    """Rows of 8 MB in one file: no row group, which is written and read whole, holds more than three."""
+    rows = spark.range(8, numPartitions=1).selectExpr("id", "transform(sequence(1, 1000000), i -> xxhash64(id, i)) AS x")
+    kept = lm._kept(rows, str(tmp_path / "rows"))
+    assert kept.count() == 8
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+    groups = [g for f in Path(tmp_path / "rows").glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for g in
+              (m.row_group(i).num_rows for i in range(m.num_row_groups))]
+    assert sum(groups) == 8 and max(groups) <= 3
