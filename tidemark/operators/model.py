@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.grid_forest import GridForest
+from tidemark.operators.kernel import KernelSVC
 from tidemark.operators.kmeans_many import kmeans_many
 
 
@@ -75,6 +76,8 @@ def make_classifier(kind: str, label: str = "label", features: str = "features",
         return GBTClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
     if kind == "svc":
         return _LinearSVC(labelCol=label, featuresCol=features, **kw)
+    if kind == "kernel_svc":
+        return KernelSVC(labelCol=label, featuresCol=features, **kw)
     if kind == "mlp":
         return MultilayerPerceptronClassifier(labelCol=label, featuresCol=features, seed=seed, **kw)
     raise ValueError(kind)
