@@ -88,3 +88,30 @@ def test_one_class_or_equal_rows_give_leaves(spark):
     assert len(m.trees.tree) == 3 and {r.prediction for r in m.transform(one).collect()} <= {0.0, 1.0}
     two = spark.createDataFrame([(SparseVector(5, [1], [1.0]), float(i % 2)) for i in range(6)], ["features", "label"])
     assert len(S.SparseForest(numTrees=3).fit(two).trees.tree) == 3
+
+
+def test_points_of_a_search_share_their_cuts(spark, monkeypatch):
+    """Four points on the same texts: cuts chosen once, and each model is the one fitted alone."""
+    from tidemark.operators import text_model as T
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(" ".join(f"w{j}" for j in rng.integers(0, 40, 12)), float(i % 2)) for i in range(120)], ["message", "label"]).coalesce(2).persist()
+    chosen, choose = [], S.fit_cuts
+    monkeypatch.setattr(S, "fit_cuts", lambda *a: chosen.append(1) or choose(*a))
+    pipe = T.text_pipeline(S.SparseForest(labelCol="label", maxDepth=4))
+    grid = T.text_grid(pipe, {"ngramMax": [1]}, {"numTrees": [3, 5], "minInstancesPerNode": [1, 2]})
+    fits = pipe.fitMultiple(df, grid)
+    models = dict(next(fits) for _ in grid)
+    assert len(models) == 4 and len(chosen) == 1
+    for i, point in enumerate(grid):
+        alone = pipe.fit(df, point)
+        a, b = models[i].stages[-1], alone.stages[-1]
+        assert a.trees.feature.tolist() == b.trees.feature.tolist() and a.trees.counts.tolist() == b.trees.counts.tolist()
+
+
+def test_tasks_of_a_worker_draw_features_once_a_pass(monkeypatch):
+    drawn, draw = [], S.Layout.of
+    monkeypatch.setattr(S.Layout, "of", staticmethod(lambda *a: drawn.append(1) or draw(*a)))
+    S._layout_of_pass.cache_clear()
+    number, nodes = np.full(50, 3), np.arange(4)
+    two = [S._layout_of_pass(nodes.tobytes(), 8, number.tobytes(), 1) for _ in range(2)]
+    assert len(drawn) == 1 and two[0].features.tolist() == draw(nodes, 8, number, 1).features.tolist()
