@@ -204,3 +204,15 @@ def test_large_rows_are_held_one_by_one(spark, tmp_path):
     groups = [g for f in Path(tmp_path / "rows").glob("*.parquet") for m in [pq.ParquetFile(f).metadata] for g in
               (m.row_group(i).num_rows for i in range(m.num_row_groups))]
     assert sum(groups) == 8 and max(groups) <= 3
+
+
+def test_other_dishes_change_no_seating():
+    """A dish that gains or loses customers is seated alike whoever stands beside it."""
+    rng = np.random.default_rng(1)
+    now, want, key = rng.integers(1, 12, 40), rng.integers(1, 12, 40), rng.integers(-2 ** 62, 2 ** 62, 40)
+
+    def seated(at):
+        t = lm.Tables(np.ones(len(at), np.int64), now[at]).reseat(want[at], 0.5, lambda rows, n: 0.5 + 0.1 * n, key[at], 3)
+        return [p.tolist() for p in np.split(t.sizes, np.cumsum(t.count)[:-1])]
+
+    assert seated(np.arange(40)) == [seated(np.array([i]))[0] for i in range(40)]
